@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, licenses
+from . import bpe, exact_dedup, licenses, ngram_join
 
 
 def queries() -> dict:
     return {
+        "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_bpe": bpe.op2_bpe,
         "op3_licenses": licenses.op3_licenses,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
