@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, licenses, ngram_join, quality_cnn
+from . import bpe, exact_dedup, licenses, ngram_join, quality_cnn, syncmers
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "op2_bpe": bpe.op2_bpe,
         "op3_licenses": licenses.op3_licenses,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+        "op7_fingerprints": syncmers.op7_fingerprints,
         "op8_quality": quality_cnn.op8_quality,
     }
 

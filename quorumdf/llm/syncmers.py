@@ -38,7 +38,7 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
 
     The steps are columns of their own, so that no lambda recomputes an array.
     """
-    words, units, h, inner, spots, anchors = (f"__{out}_{i}" for i in range(6))
+    words, units, h, inner, middle, spots, anchors = (f"__{out}_{i}" for i in range(7))
     df = df.withColumn(words, F.split(F.col(text), SPACE))
     chars = F.split(F.col(text), "")
     df = df.withColumn(words + "c", F.when(F.size(words) < SHORT, chars))
@@ -54,14 +54,16 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(
         inner, F.when(F.size(h) >= K, F.zip_with(F.col(h), F.slice(F.col(h), F.lit(S), F.size(h)), lambda x, y: F.xxhash64(x, y)))
     )
-    last = K - S
-    edge = lambda i: F.least(*[at(inner, i + j) for j in range(last + 1)]) == F.least(at(inner, i), at(inner, i + last))
-    df = df.withColumn(spots, F.when(F.size(h) >= K, F.filter(F.sequence(F.lit(0), F.size(h) - K), edge)))
+    # the middle of a k-mer's inner s-mers: the smaller of the second and the third
+    df = df.withColumn(middle, F.zip_with(F.slice(F.col(inner), 2, F.greatest(F.size(inner), F.lit(0))), F.slice(F.col(inner), 3, F.greatest(F.size(inner), F.lit(0))), lambda x, y: F.least(x, y)))
+    edge = lambda i: F.least(at(inner, i), at(inner, i + K - S)) <= at(middle, i)
+    # naming ``middle`` twice keeps the optimiser from moving it into the lambda
+    df = df.withColumn(spots, F.when((F.size(h) >= K) & (F.size(middle) > 0), F.filter(F.sequence(F.lit(0), F.size(h) - K), edge)))
     df = df.withColumn(anchors, F.transform(spots, lambda i: F.xxhash64(*[at(h, i + j) for j in range(K)])))
     found = F.slice(F.sort_array(F.array_distinct(anchors)), 1, WIDTH)
     whole = F.array(F.xxhash64(text))
     df = df.withColumn(out, F.when(F.size(F.coalesce(F.col(anchors), F.array())) > 0, found).otherwise(whole))
-    return df.drop(words, words + "c", units, h, inner, spots, anchors)
+    return df.drop(words, words + "c", units, h, inner, middle, spots, anchors)
 
 
 def likeness(a: Column, b: Column) -> Column:
