@@ -84,11 +84,10 @@ def ngram_counts(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
     return sums
 
 
-def _losses(code: np.ndarray, n: np.ndarray, at: np.ndarray) -> np.ndarray:
+def interpolated_losses(code: np.ndarray, n: np.ndarray, at: np.ndarray, order: int = ORDER, mixture: tuple = MIX) -> np.ndarray:
     """Loss (nats) of the last symbol of each code in ``at`` under interpolated counts."""
-    total = np.full(len(at), MIX[-1] / SIZE)
-    symbol = at % SIZE
-    for k, weight in zip(range(ORDER, 0, -1), MIX):
+    total = np.full(len(at), mixture[-1] / SIZE)
+    for k, weight in zip(range(order, 0, -1), mixture):
         modulus = SIZE**k
         gram = np.bincount(code % modulus, n, minlength=modulus) if k <= 3 else None
         if gram is None:
@@ -107,11 +106,11 @@ def difference_table(counts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.n
     """(codes, target loss, background loss) for every code that any document has."""
     counts = counts.sort_values("code")
     code, n = counts["code"].to_numpy(np.int64), counts["all"].to_numpy(np.float64)
-    background = _losses(code, n, code)
+    background = interpolated_losses(code, n, code)
     good = counts[counts["good"].notna()]
     if not len(good):
         return code, background, background
-    return code, _losses(good["code"].to_numpy(np.int64), good["good"].to_numpy(np.float64), code), background
+    return code, interpolated_losses(good["code"].to_numpy(np.int64), good["good"].to_numpy(np.float64), code), background
 
 
 _DENSE: dict[str, np.ndarray] = {}

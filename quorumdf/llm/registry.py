@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, licenses, lm_scoring, ngram_join, quality_cnn, syncmers
+from . import bpe, exact_dedup, language_id, licenses, lm_scoring, ngram_join, quality_cnn, syncmers
 
 
 def queries() -> dict:
@@ -14,6 +14,7 @@ def queries() -> dict:
         "op7_fingerprints": syncmers.op7_fingerprints,
         "op8_quality": quality_cnn.op8_quality,
         "op9_lm_scoring": lm_scoring.op9_lm_scoring,
+        "op10_language_id": language_id.op10_language_id,
     }
 
 
