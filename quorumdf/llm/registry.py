@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, licenses, lm_scoring, ngram_join, quality_cnn, syncmers
+from . import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_cnn, syncmers
 
 
 def queries() -> dict:
@@ -10,6 +10,8 @@ def queries() -> dict:
         "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_bpe": bpe.op2_bpe,
         "op3_licenses": licenses.op3_licenses,
+        "op4_pii": pii.op4_pii,
+        "op5_mixing": mixing.op5_mixing,
         "op6_exact_dedup": exact_dedup.op6_exact_dedup,
         "op7_fingerprints": syncmers.op7_fingerprints,
         "op8_quality": quality_cnn.op8_quality,
@@ -19,4 +21,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_exact_dedup": exact_dedup.OP6_SQL}
+    return {"op5_mixing": mixing.OP5_SQL, "op6_exact_dedup": exact_dedup.OP6_SQL}
