@@ -45,7 +45,7 @@ from .common import shuffle_partitions, table, whole_text, written
 from .components import connected_components
 
 WORDS = 5
-SKETCH_WORDS = 16  # of 64 bits
+SKETCH_BITS = 1024  # at least
 CHUNK_BYTES = 1 << 20
 FLUSH = 1_500_000
 BLOCK = 2048
@@ -249,17 +249,67 @@ def _chunks(ids, texts):
         yield ids[begin:], texts[begin:]
 
 
-def _sketches(tokens, counts) -> np.ndarray:
-    """Parity of the tokens per bit: XOR never shows more differences than the sets have."""
-    bits = SKETCH_WORDS * 64
-    doc = np.repeat(np.arange(len(counts)), counts)
-    spot = (mix(tokens ^ _U(0x7F4A7C15)) % _U(bits)).astype(np.int64)
-    out = np.zeros((len(counts), bits), np.uint8)
-    for lo in range(0, len(counts), 512):
-        part = (doc >= lo) & (doc < lo + 512)
-        n = min(512, len(counts) - lo)
-        out[lo : lo + n] = (np.bincount((doc[part] - lo) * bits + spot[part], minlength=n * bits) & 1).reshape(n, bits)
-    return np.packbits(out, axis=1)
+def _sketches(tokens, counts) -> list[bytes | None]:
+    """Parity of the tokens per bit: XOR never shows more differences than the sets have.
+
+    A sketch has at least as many bits as tokens, in a power of two, so that
+    unrelated sets of any size differ in more bits than a link allows.  Half a
+    sketch XOR the other half is the sketch of half as many bits.
+    """
+    spots = mix(tokens ^ _U(0x7F4A7C15))
+    first = np.cumsum(counts) - counts
+    out: list[bytes | None] = [None] * len(counts)
+    for d in np.flatnonzero(counts > SKETCH_BITS).tolist():
+        bits = 1 << int(counts[d] - 1).bit_length()
+        at = (spots[first[d] : first[d] + counts[d]] & _U(bits - 1)).astype(np.int64)
+        out[d] = np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes()
+    few = np.flatnonzero((counts > 0) & (counts <= SKETCH_BITS))
+    for lo in range(0, len(few), 512):
+        docs = few[lo : lo + 512]
+        n = counts[docs]
+        at = np.repeat(first[docs] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        spot = (spots[at] & _U(SKETCH_BITS - 1)).astype(np.int64) + np.repeat(np.arange(len(docs)), n) * SKETCH_BITS
+        bits = (np.bincount(spot, minlength=len(docs) * SKETCH_BITS) & 1).astype(np.uint8).reshape(len(docs), SKETCH_BITS)
+        for d, row in zip(docs.tolist(), np.packbits(bits, axis=1)):
+            out[d] = row.tobytes()
+    return out
+
+
+class _Sketches:
+    """Sketches of many documents, each also folded to half its bits."""
+
+    def __init__(self, column):
+        column = list(column)
+        self.words = np.array([len(x) // 8 for x in column], np.int64)
+        self.flat = np.frombuffer(b"".join(column), _U)
+        self.at = np.cumsum(self.words) - self.words
+        self.half_at = self.at // 2
+        self.half = np.zeros(len(self.flat) // 2 + 1, _U)
+        for w in np.unique(self.words).tolist():
+            rows = np.flatnonzero(self.words == w)
+            whole = self.flat[self.at[rows][:, None] + np.arange(w)]
+            self.half[self.half_at[rows][:, None] + np.arange(w // 2)] = whole[:, : w // 2] ^ whole[:, w // 2 :]
+
+    def _take(self, rows, w):
+        out = np.empty((len(rows), w), _U)
+        even = self.words[rows] == w
+        out[even] = self.flat[self.at[rows[even]][:, None] + np.arange(w)]
+        out[~even] = self.half[self.half_at[rows[~even]][:, None] + np.arange(w)]
+        return out
+
+    def possible(self, i, j, n_i, n_j, other=None) -> np.ndarray:
+        """Whether the sound bounds on size and differences leave pairs (i, j) possible."""
+        other = other or self
+        ok = (4 * n_i >= 3 * n_j) & (4 * n_j >= 3 * n_i)
+        narrow = np.minimum(self.words[i], other.words[j])
+        for w in np.unique(narrow[ok]).tolist():
+            rows = np.flatnonzero(ok & (narrow == w))
+            step = max(1, (1 << 20) // w)
+            for lo in range(0, len(rows), step):
+                r = rows[lo : lo + step]
+                apart = np.bitwise_count(self._take(i[r], w) ^ other._take(j[r], w)).sum(axis=1)
+                ok[r] = apart <= (n_i[r] + n_j[r]) // 7
+        return ok
 
 
 def _profile(batches):
@@ -267,7 +317,7 @@ def _profile(batches):
         for ids, texts in _chunks(pdf["doc_id"].to_numpy(), pdf["text"].tolist()):
             tokens, counts = shingle_sets(texts)
             packed = _sketches(tokens, counts)
-            yield pd.DataFrame({"doc_id": ids, "n_shingles": counts, "sketch": [r.tobytes() if c else None for r, c in zip(packed, counts)]})
+            yield pd.DataFrame({"doc_id": ids, "n_shingles": counts, "sketch": packed})
 
 
 def _planes(a: np.ndarray) -> bytes:
@@ -394,26 +444,17 @@ def _unpack_pairs(batches):
 
 def _unpack_buckets(batches):
     for pdf in batches:
-        for bucket, i in zip(pdf["bucket"], pdf["ids"]):
-            members = _unplanes(i)
-            yield pd.DataFrame({"bucket": np.full(len(members), bucket), "doc_id": members})
-
-
-def _near_by_sketch(x, y, nx, ny):
-    """Whether the sound bound leaves a pair possible."""
-    apart = np.bitwise_count(x ^ y).sum(axis=-1)
-    fits = (4 * nx >= 3 * ny) & (4 * ny >= 3 * nx)
-    return fits & (apart <= (nx + ny) // 7)
-
-
-def _sketch_rows(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), _U).reshape(-1, SKETCH_WORDS)
+        members = [_unplanes(i) for i in pdf["ids"]]
+        if members:
+            sizes = [len(m) for m in members]
+            yield pd.DataFrame({"bucket": np.repeat(pdf["bucket"].to_numpy(), sizes), "doc_id": np.concatenate(members)})
 
 
 def _filter_pairs(batches):
     for pdf in batches:
         if len(pdf):
-            ok = _near_by_sketch(_sketch_rows(pdf["sketch_a"]), _sketch_rows(pdf["sketch_b"]), pdf["n_a"].to_numpy(), pdf["n_b"].to_numpy())
+            rows = np.arange(len(pdf))
+            ok = _Sketches(pdf["sketch_a"]).possible(rows, rows, pdf["n_a"].to_numpy(), pdf["n_b"].to_numpy(), _Sketches(pdf["sketch_b"]))
             yield pdf.loc[ok, ["a", "b"]]
 
 
@@ -432,36 +473,55 @@ def _verify(batches):
         yield pd.DataFrame({"a": a[ok], "b": b[ok]})
 
 
-def _groups(batches, names):
-    """Frames of equal values in ``names`` out of batches sorted by them."""
-    rest = None
+def _whole_groups(batches, names, least=20_000):
+    """Frames of at least so many rows, cut only between values of ``names`` they are sorted by."""
+    rest = []
     for pdf in batches:
-        pdf = pdf if rest is None or not len(rest) else pd.concat([rest, pdf], ignore_index=True)
-        if not len(pdf):
+        rest.append(pdf)
+        if sum(map(len, rest)) < least:
             continue
+        pdf = pd.concat(rest, ignore_index=True)
         k = pdf[names].to_numpy()
-        cut = np.r_[0, np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1]
-        for lo, hi in zip(cut[:-1], cut[1:]):
-            yield pdf.iloc[lo:hi]
-        rest = pdf.iloc[cut[-1] :]
-    if rest is not None and len(rest):
-        yield rest
+        cut = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+        if len(cut):
+            yield pdf.iloc[: cut[-1]]
+            rest = [pdf.iloc[cut[-1] :]]
+        else:
+            rest = [pdf]
+    if rest and sum(map(len, rest)):
+        yield pd.concat(rest, ignore_index=True)
 
 
 def _search_blocks(batches):
-    """Pairs of different components in a pair of blocks that the sketch bound leaves possible."""
-    for g in _groups(batches, ["bucket", "block_a", "block_b"]):
-        ids, comp, n = (g[c].to_numpy() for c in ("doc_id", "component_id", "n_shingles"))
-        side, sk = g["block"].to_numpy(), _sketch_rows(g["sketch"])
-        same = g["block_a"].iloc[0] == g["block_b"].iloc[0]
-        left = np.flatnonzero(side == g["block_a"].iloc[0])
-        right = np.flatnonzero(side == g["block_b"].iloc[0])
-        for i in left:
-            j = right[right > i] if same else right
-            j = j[comp[j] != comp[i]]
-            j = j[_near_by_sketch(sk[j], sk[i], n[j], n[i])] if len(j) else j
-            if len(j):
-                yield pd.DataFrame({"a": np.minimum(ids[i], ids[j]), "b": np.maximum(ids[i], ids[j])})
+    """Pairs of different components in a pair of blocks that the sketch bound leaves possible.
+
+    Rows are compared with those at distance 1, 2, ... in their group, all
+    groups at once, so small groups cost no loop of their own.
+    """
+    names = ["bucket", "block_a", "block_b"]
+    for g in _whole_groups(batches, names):
+        ids, comp, n, side = (g[c].to_numpy() for c in ("doc_id", "component_id", "n_shingles", "block"))
+        k = g[names].to_numpy()
+        group = np.cumsum(np.r_[0, (k[1:] != k[:-1]).any(axis=1)])
+        end = np.searchsorted(group, group, "right")
+        across = (k[:, 1] != k[:, 2])
+        sketches = _Sketches(g["sketch"])
+        rows, found = np.arange(len(g)), []
+        step = 1
+        while True:
+            rows = rows[rows + step < end[rows]]
+            if not len(rows):
+                break
+            i, j = rows, rows + step
+            use = (comp[i] != comp[j]) & (~across[i] | (side[i] != side[j]))
+            i, j = i[use], j[use]
+            if len(i):
+                ok = sketches.possible(i, j, n[i], n[j])
+                found.append(np.stack([ids[i[ok]], ids[j[ok]]], 1))
+            step += 1
+        if found:
+            pairs = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 # --- the join ----------------------------------------------------------------
