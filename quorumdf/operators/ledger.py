@@ -1,0 +1,96 @@
+"""Fund ledger, cost estimates and their ordered folds."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+# Dollars per million tokens (input, output) by model-name prefix, first match wins.
+PRICES = [("large", 15.0, 75.0), ("medium", 3.0, 15.0), ("small", 0.8, 4.0)]
+OTHER_PRICE = (15.0, 75.0)
+CACHE_READ, CACHE_WRITE, OCR_PAGE = 0.10, 1.25, 0.001
+DEFAULT_COST_CENTS = 10
+
+
+def balances(events: DataFrame, keys=("jurisdiction_id",)) -> DataFrame:
+    """Balance, held amounts and what is available, per key; holds are the grants here."""
+    amount = F.col("amount_cents")
+    return events.groupBy(*keys).agg(
+        F.sum(F.when(F.col("kind") != "grant", amount).otherwise(0)).alias("balance"), F.sum(F.when(F.col("kind") == "grant", amount).otherwise(0)).alias("held")
+    ).withColumn("available", F.col("balance") - F.col("held"))
+
+
+def recent_average(events: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """Mean of the latest k spends per key."""
+    w = Window.partitionBy(*keys).orderBy(F.desc("ts"), F.desc("event_id"))
+    rows = events.filter("kind = 'spend'").withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k)
+    return rows.groupBy(*keys).agg(F.round(F.avg(-F.col("amount_cents")), 6).alias("avg_cents"), F.count(F.lit(1)).alias("n"))
+
+
+def fold_admission(events: pd.DataFrame, floor: int = 0, state: dict | None = None) -> tuple[list[tuple[int, str, int]], dict]:
+    """Admission of one account's events in order: (event, decision, balance) and the state after.
+
+    A spend that would take the balance under the floor is refused and pauses
+    the account until the next deposit; while paused every spend is refused.
+    """
+    state = state or {"balance": 0, "paused": False}
+    out = []
+    for event, kind, cents in zip(events["event_id"], events["kind"], events["amount_cents"]):
+        cents = int(cents)
+        if kind != "spend":
+            state["balance"] += cents
+            state["paused"] = False
+            decision = "credited"
+        elif state["paused"]:
+            decision = "refused_paused"
+        elif state["balance"] + cents < floor:
+            state["paused"] = True
+            decision = "refused_floor"
+        else:
+            state["balance"] += cents
+            decision = "admitted"
+        out.append((int(event), decision, state["balance"]))
+    return out, state
+
+
+def admission(events: DataFrame, keys: list[str], floor: int = 0) -> DataFrame:
+    """The fold per account; accounts are the unit that can't be cut, their events small rows."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["ts", "event_id"])
+        return pd.DataFrame(fold_admission(pdf, floor)[0], columns=["event_id", "decision", "balance"])
+
+    return events.select(*keys, "event_id", "ts", "kind", "amount_cents").groupBy(*keys).applyInPandas(run, "event_id long, decision string, balance long")
+
+
+def usage_cost(usage: DataFrame) -> DataFrame:
+    """Cost per unit and model from tokens, cached tokens and recognised pages."""
+    price_in, price_out = F.lit(OTHER_PRICE[0]), F.lit(OTHER_PRICE[1])
+    for prefix, a, b in reversed(PRICES):
+        hit = F.col("model").startswith(prefix)
+        price_in, price_out = F.when(hit, a).otherwise(price_in), F.when(hit, b).otherwise(price_out)
+    tokens = F.col("input") * price_in + F.col("output") * price_out + F.col("cache_read") * price_in * CACHE_READ + F.col("cache_write") * price_in * CACHE_WRITE
+    cost = tokens / 1e6 + F.col("pages") * OCR_PAGE
+    return usage.groupBy("unit_id", "model").agg(F.round(F.sum(cost), 6).alias("cost"))
+
+
+def workload(meeting: DataFrame, body: DataFrame, split_day: str) -> DataFrame:
+    """Documents in all, to do, and from before the split day, per jurisdiction and kind."""
+    kinds = meeting.select("body_id", "meeting_id", "meeting_date", "minutes_url", F.expr("stack(2, 'agenda', agenda_url, 'minutes', minutes_url) AS (kind, url)"))
+    rows = kinds.filter("url is not null").join(body.select("body_id", "jurisdiction_id"), "body_id")
+    old = F.col("meeting_date") < F.lit(split_day).cast("date")
+    todo = F.col("meeting_id") % 3 == 0
+    return rows.groupBy("jurisdiction_id", "kind").agg(F.count(F.lit(1)).alias("total"), F.count_if(todo).alias("remaining"), F.count_if(todo & old).alias("historical"))
+
+
+def onboarding_estimate(work: DataFrame, rates: DataFrame) -> DataFrame:
+    """Cost of the remaining documents at the kind's recent rate, or the default where there is none."""
+    rows = work.join(F.broadcast(rates), "kind", "left")  # one row per kind
+    cost = F.col("remaining") * F.coalesce("avg_cents", F.lit(float(DEFAULT_COST_CENTS)))
+    used = F.col("remaining") > 0
+    per = rows.groupBy("jurisdiction_id").agg(
+        F.round(F.sum(cost), 4).alias("cents"), F.count_if(used & F.col("avg_cents").isNotNull()).alias("known"), F.count_if(used & F.col("avg_cents").isNull()).alias("unknown")
+    )
+    basis = F.when(F.col("unknown") == 0, "empirical").when(F.col("known") == 0, "default").otherwise("mixed")
+    return per.select("jurisdiction_id", "cents", basis.alias("basis"))

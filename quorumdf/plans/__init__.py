@@ -4,7 +4,7 @@ from importlib import import_module
 
 from . import registry
 
-_MODULES = ["detector_queries", "profile_queries"]
+_MODULES = ["detector_queries", "profile_queries", "compliance_queries", "entity_queries"]
 
 
 def _load() -> None:
