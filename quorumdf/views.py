@@ -100,6 +100,8 @@ def with_views(sql: str) -> str:
     body = sql.strip()
     if not names:
         return body
+    if body[:15].upper() == "WITH RECURSIVE ":
+        return f"WITH RECURSIVE {head},\n{body[15:]}"
     if body[:5].upper() == "WITH ":
         return f"WITH {head},\n{body[5:]}"
     return f"WITH {head}\n{body}"
