@@ -32,7 +32,7 @@ from .symbols import SIZE, codes
 ORDER = 4
 #: Weights of the orders 4, 3, 2, 1 and of the uniform model.
 MIX = (0.55, 0.27, 0.12, 0.055, 0.005)
-PIECE = 6 << 20
+PIECE = 4 << 20
 
 
 def _count(batches):
@@ -74,8 +74,9 @@ def _count(batches):
 
 def ngram_counts(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """code, all, good: how often an n-gram is in all documents and in the target's (null: never)."""
+    # The marks grow with the corpus, so they are merged by id at every size and never broadcast.
     marks = target_ids.select(F.col("doc_id").alias(id_col), F.lit(True).alias("target")).distinct()
-    rows = docs.select(id_col, whole_text(text_col).alias("text")).join(marks, id_col, "left")
+    rows = docs.select(id_col, whole_text(text_col).alias("text")).join(marks.hint("merge"), id_col, "left")
     rows = rows.select("text", F.coalesce("target", F.lit(False)).alias("target"))
     # a target document is held once; the background is the sum of both
     sums = rows.mapInPandas(_count, "model int, code long, n long").groupBy("code").agg(

@@ -15,7 +15,7 @@ SIZE = 64
 
 
 def _table() -> np.ndarray:
-    t = np.zeros(256, np.uint8)
+    t = np.zeros(256, np.int32)
     t[0x61:0x7B] = np.arange(1, 27)
     t[0x41:0x5B] = 27 + np.arange(26) // 5
     t[0x30:0x3A] = 33
@@ -32,9 +32,8 @@ SYMBOL = _table()
 
 def codes(raw: bytes, order: int) -> np.ndarray:
     """Codes of all n-grams of the order in a text that starts with order - 1 blanks."""
-    s = SYMBOL[np.frombuffer(raw, np.uint8)].astype(np.int64)
-    s = np.concatenate([np.zeros(order - 1, np.int64), s])
-    out = np.zeros(len(raw), np.int64)
+    s = np.concatenate([np.zeros(order - 1, np.int32), SYMBOL[np.frombuffer(raw, np.uint8)]])
+    out = np.zeros(len(raw), np.int32)  # 64 ** 4 fits
     for k in range(order):
         out = out * SIZE + s[k : k + len(raw)]
     return out
