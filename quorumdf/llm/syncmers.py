@@ -29,7 +29,7 @@ K, S = 5, 2
 SHORT = 40
 GRAM = 5
 WIDTH = 64
-RANGES_PER_PARTITION = 4
+RANGES_PER_PARTITION = 2
 LOWEST = -(1 << 63)
 
 
