@@ -83,7 +83,7 @@ OBSERVERS: dict[str, Callable] = {
     "agenda_missing": lambda c: agenda_missing(c.meeting, c.as_of).select("body_id", "severity", "n"),
     "meeting_notice_too_short": lambda c: notice_too_short(c.meeting, c.as_of).select("body_id", "severity", "n"),
     "minutes_missing": lambda c: minutes_missing(c.meeting, c.as_of).select("body_id", "severity", "n"),
-    "member_roster_missing": lambda c: member_roster_missing(c.governing_body, c.official, c.term).select("body_id", F.lit("high").alias("severity"), F.lit(0).cast("long").alias("n")),
+    "member_roster_missing": lambda c: member_roster_missing(c.governing_body, c.official.filter("official_id % 4 = 0"), c.term).select("body_id", F.lit("high").alias("severity"), F.lit(0).cast("long").alias("n")),
 }
 
 

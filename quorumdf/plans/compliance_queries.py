@@ -21,7 +21,7 @@ def _missing(has, want, grace):
 
 MINUTES = _missing(f"(minutes_url IS NOT NULL OR {_SRC})", f"minutes_url IS NULL AND NOT {_SRC} AND NOT {_UNAV}", 45)
 AGENDA = _missing("agenda_url IS NOT NULL", f"agenda_url IS NULL AND NOT {_UNAV}", 0)
-ROSTER = "SELECT body_id FROM governing_body b WHERE NOT EXISTS (SELECT 1 FROM official o JOIN term t ON o.official_id = t.official_id WHERE t.end_date IS NULL AND o.body_id = b.body_id)"
+ROSTER = "SELECT body_id FROM governing_body b WHERE NOT EXISTS (SELECT 1 FROM official o JOIN term t ON o.official_id = t.official_id WHERE t.end_date IS NULL AND o.body_id = b.body_id AND o.official_id % 4 = 0)"
 NOTICE = f"""SELECT *, CASE WHEN shortest < 1 THEN 'high' ELSE 'medium' END AS severity FROM (
  SELECT body_id, count(*) AS n, CAST(min(meeting_date - posted_date) AS INT) AS shortest, min(meeting_date) AS since_date FROM meeting
  WHERE meeting_type = 'regular' AND meeting_date - posted_date BETWEEN 0 AND 2 AND meeting_date >= CAST({AS} - INTERVAL 24 MONTH AS DATE) GROUP BY body_id) a WHERE n >= 2"""
@@ -43,14 +43,14 @@ def c03(c):
 
 @query("c04_member_roster_missing", ROSTER)
 def c04(c):
-    return O.member_roster_missing(c.governing_body, c.official, c.term)
+    return O.member_roster_missing(c.governing_body, c.official.filter("official_id % 4 = 0"), c.term)
 
 
 @query("c05_campaign_finance_missing", f"""WITH given AS (SELECT DISTINCT o.body_id, b.jurisdiction_id FROM contribution k JOIN official o ON k.official_id = o.official_id JOIN governing_body b ON b.body_id = o.body_id
- WHERE contributor_type = 'pac' AND received >= CAST({AS} - INTERVAL 96 MONTH AS DATE))
+ WHERE contributor_type = 'pac' AND o.official_id % 5 = 0 AND received >= CAST({AS} - INTERVAL 96 MONTH AS DATE))
 SELECT b.body_id, count(*) AS members FROM governing_body b JOIN official o ON o.body_id = b.body_id WHERE b.jurisdiction_id IN (SELECT jurisdiction_id FROM given) AND b.body_id NOT IN (SELECT body_id FROM given) GROUP BY 1""")
 def c05(c):
-    return O.campaign_finance_missing(c.governing_body, c.official, c.contribution, c.as_of)
+    return O.campaign_finance_missing(c.governing_body, c.official, c.contribution.filter("official_id % 5 = 0"), c.as_of)
 
 
 @query("c06_notice_too_short", NOTICE)

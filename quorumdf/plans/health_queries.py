@@ -137,9 +137,10 @@ def f08(c):
     return H.rescan_due(c.meeting, c.as_of)
 
 
-@query("f09_pending_work", "SELECT meeting_id FROM meeting m WHERE minutes_url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM motion k WHERE k.meeting_id = m.meeting_id)")
+@query("f09_pending_work", "SELECT meeting_id FROM meeting m WHERE minutes_url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM motion k WHERE k.meeting_id = m.meeting_id AND k.motion_type = 'zoning_change')")
 def f09(c):
-    return c.meeting.filter("minutes_url is not null").join(c.motion.select("meeting_id"), "meeting_id", "left_anti").select("meeting_id")
+    done = c.motion.filter("motion_type = 'zoning_change'").select("meeting_id")
+    return c.meeting.filter("minutes_url is not null").join(done, "meeting_id", "left_anti").select("meeting_id")
 
 
 @query("f10_build_phase_gate", f"SELECT jurisdiction_id, count(*) FILTER (WHERE keep) AS kept, count(*) FILTER (WHERE NOT keep) AS deferred FROM (SELECT b.jurisdiction_id, meeting_date >= {AS} - 730 OR b.jurisdiction_id % 2 = 0 AS keep FROM meeting m JOIN governing_body b ON m.body_id = b.body_id) a GROUP BY 1")
@@ -149,9 +150,10 @@ def f10(c):
     return rows.groupBy("jurisdiction_id").agg(F.count_if(keep).alias("kept"), F.count_if(~keep).alias("deferred"))
 
 
-@query("f12_weekly_sweep", "SELECT jurisdiction_id FROM jurisdiction WHERE coalesce(TRY_CAST(fips AS BIGINT), 0) % 7 = isodow(DATE '2001-09-01') - 1")
+@query("f12_weekly_sweep", "SELECT body_id FROM governing_body WHERE coalesce(TRY_CAST(CASE WHEN body_id % 6 = 0 THEN 'x' ELSE CAST(1000 + body_id AS VARCHAR) END AS BIGINT), 0) % 7 = isodow(DATE '2001-09-01') - 1")
 def f12(c):
-    return c.jurisdiction.filter(F.coalesce(F.expr("try_cast(fips as bigint)"), F.lit(0)) % 7 == F.weekday(O.day(c.as_of))).select("jurisdiction_id")
+    fips = F.when(F.col("body_id") % 6 == 0, "x").otherwise((1000 + F.col("body_id")).cast("string"))
+    return c.governing_body.withColumn("fips", fips).filter(F.coalesce(F.expr("try_cast(fips as bigint)"), F.lit(0)) % 7 == F.weekday(O.day(c.as_of))).select("body_id")
 
 
 @query("t01_content_addressed_texts", "SELECT sha256(coalesce(text, '')) AS hash, min(doc_id) AS first_id, count(*) AS n_ids, max(length(text)) AS n_chars FROM documents GROUP BY 1")
