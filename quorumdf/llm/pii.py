@@ -46,7 +46,7 @@ PATTERNS = [
     ("card", re.compile(r"(?<![\d.])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d|\.\d)")),
     ("ip", re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
-    ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])")),
+    ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])")),
     ("date", re.compile(r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}([/.])\d{1,2}\1\d{4})(?![\d/-]|\.\d)")),
 ]
 _RANK = {kind: i for i, (kind, _) in enumerate(PATTERNS)}
