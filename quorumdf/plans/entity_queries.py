@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from quorumdf.functions import names as N
 from quorumdf.operators import ledger as L
 from quorumdf.operators import resolution as E
 
@@ -16,11 +15,6 @@ def _sim(a, b):
     return f"round(len(list_intersect({a}, {b})) / (len({a}) + len({b}) - len(list_intersect({a}, {b}))), 6)"
 
 
-def _people(c):
-    """Person-like names made from part names: title, first and last words, with official ids."""
-    return c.part.select(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"))
-
-
 @query("e03_trigram_similar_pairs", f"""WITH n AS (SELECT name, {_GRAMS.format('name')} AS g FROM ({_NAMES}) x)
 SELECT a.name AS ka, b.name AS kb, {_sim('a.g', 'b.g')} AS similarity FROM n a JOIN n b ON a.name < b.name WHERE {_sim('a.g', 'b.g')} >= 0.4""")
 def e03(c):

@@ -1,11 +1,9 @@
 """Queries of payload facts, repairs, corrections and the remaining joins, expressions and lists."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quorumdf.operators import detectors as D
 from quorumdf.operators import facts as R
-from quorumdf.operators import observers as O
 from quorumdf.operators import profiles as P
 from quorumdf.operators import sinks as K
 

@@ -1,6 +1,5 @@
 """Queries that complete the inventory: staff, enrichment, embedded minutes, photos, digests, contacts."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quorumdf.functions import names as N
