@@ -68,12 +68,13 @@ def keep_first(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id")
     the ids, so texts move once and are not sorted for it.  Of rows that repeat
     the winning id with an equal text, one stays.
     """
-    won = groups(docs, text_col, id_col).select(F.col("keep_id").alias("__keep"), F.xxhash64("norm").alias("__won"))
-    marked = docs.withColumn("__hash", F.xxhash64(F.regexp_replace(whole_text(text_col), SPACE, " ")))
-    hit = F.col(id_col).eqNullSafe(F.col("__keep")) & (F.col("__hash") == F.col("__won"))
-    kept = marked.join(won.hint("shuffle_hash"), hit, "left_semi")
-    same = Window.partitionBy(id_col, "__hash").orderBy(F.xxhash64(*[c for c in docs.columns if c != text_col]))
-    return kept.withColumn("__nth", F.row_number().over(same)).filter("__nth = 1").drop("__hash", "__nth")
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))  # noqa: E731  no id is written as ''
+    won = groups(docs, text_col, id_col).select(name("keep_id").alias("__name"), F.xxhash64("norm").alias("__hash"))
+    marked = docs.withColumn("__name", name(id_col)).withColumn("__hash", F.xxhash64(F.regexp_replace(whole_text(text_col), SPACE, " ")))
+    kept = marked.join(won.hint("shuffle_hash"), ["__name", "__hash"], "left_semi")
+    # by the join's own keys, so the rows stay where they are
+    same = Window.partitionBy("__name", "__hash").orderBy(F.xxhash64(*[c for c in docs.columns if c != text_col]))
+    return kept.withColumn("__nth", F.row_number().over(same)).filter("__nth = 1").select(*docs.columns)
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:
