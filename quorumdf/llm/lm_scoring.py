@@ -1,5 +1,9 @@
 """Cross-entropy difference: a target and a background n-gram model per symbol.
 
+``op9_lm_scoring`` scores by the corpus's own words, see ``token_lm``, whose
+counts grow with the corpus.  The functions here are the byte-class variant, of
+which that takes the orders and weights.
+
 Method.  The target model counts the documents that ``labels`` marks as good
 (quality 1), the background model counts all documents.  Both are interpolated
 4-gram models over the one vocabulary of ``symbols``, so a table has at most
@@ -158,4 +162,6 @@ def score_documents(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id",
 def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    return score_documents(docs, ngram_counts(docs, good))
+    from .token_lm import score_by_tokens
+
+    return score_by_tokens(docs, good)

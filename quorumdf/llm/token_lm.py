@@ -1,0 +1,204 @@
+"""Cross-entropy difference of 4-gram models over the corpus's own words.
+
+Method.  A token is a word, a single letter of a script written without spaces,
+or any other single character that isn't white space; case is kept and no token
+is folded or left out.  The background model counts all documents, the target
+model those that the labels mark.  Both are interpolated n-gram models with the
+orders and weights of ``lm_scoring``; the uniform part is one over the number of
+distinct tokens of the corpus.  So what is gathered grows with the corpus.
+
+Every text counts as: start mark, tokens, end mark.  The count of a history is
+therefore that of the n-gram which ends one place before.  The marks are counted
+but not scored: the mean is taken over the tokens.
+
+Counting and lookup are one exchange of packed messages, and nothing is broadcast
+or collected.  Documents are dealt into blocks by id, n-grams into buckets by a
+64-bit hash.  A block sends each bucket the sorted distinct hashes that it has
+there, with their counts; the bucket adds the counts of all blocks and answers
+each with the sums, in its own order.  A frequent n-gram is thus one entry per
+block.  Two n-grams of a corpus of 1e9 distinct ones share a hash with a chance
+of about 3 %, and then their counts are added.
+
+Defined results: null texts and texts of white space have no tokens and score 0;
+rows that repeat an id are scored each; with no target document every difference
+is 0; an empty table gives none.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+import numpy as np
+import pandas as pd
+import regex
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import shuffle_partitions, whole_text
+from .lm_scoring import MIX, ORDER
+
+#: Blocks and buckets per shuffle partition: what one of them holds stays small.
+SPREAD = 3
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+TOKEN = regex.compile(rf"(?V1)[{_UNSPACED}]|[[\p{{L}}\p{{M}}\p{{N}}_]--[{_UNSPACED}]]+|\S")
+_START, _END = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_ODD = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93)]
+MESSAGE = "block int, bucket int, words binary, words_all binary, words_good binary, grams binary, grams_all binary, grams_good binary"
+ANSWER = "block int, bucket int, totals array<long>, words_all binary, words_good binary, grams_all binary, grams_good binary"
+
+
+def pack(values: np.ndarray) -> bytes:
+    """Unsigned numbers by planes of their bytes, which Spark's codec then shortens."""
+    return np.ascontiguousarray(values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def pack_sorted(hashes: np.ndarray) -> bytes:
+    return pack(np.diff(hashes, prepend=np.uint64(0)))
+
+
+def unpack_sorted(raw: bytes) -> np.ndarray:
+    return np.cumsum(unpack(raw), dtype=np.uint64)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _ODD[0]
+    x = (x ^ (x >> np.uint64(27))) * _ODD[1]
+    return x ^ (x >> np.uint64(31))
+
+
+class Block:
+    """The n-gram hashes at every place of the texts of a block.
+
+    ``words`` and ``grams`` are the sorted distinct hashes of order 1 and of the
+    higher orders; ``at[k]`` leads from the places to them.
+    """
+
+    def __init__(self, texts):
+        known: dict[str, int] = {}
+        parts, sizes = [], []
+        for text in texts:
+            found = TOKEN.findall(text)
+            parts.append(np.fromiter((known.setdefault(t, len(known)) for t in found), np.int64, len(found)))
+            sizes.append(len(found))
+        value = np.array([int.from_bytes(hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") for t in known], np.uint64)
+        self.sizes = np.array(sizes, np.int64)
+        spans = np.where(self.sizes > 0, self.sizes + 2, 0)  # a text without tokens has no marks either
+        self.begin = np.cumsum(spans) - spans
+        token = np.empty(int(spans.sum()), np.uint64)
+        for size, begin, part in zip(self.sizes, self.begin, parts):
+            if size:
+                token[begin], token[begin + size + 1] = _START, _END
+                token[begin + 1 : begin + size + 1] = value[part]
+        self.text = np.repeat(np.arange(len(sizes)), spans)
+        place = np.arange(len(token)) - self.begin[self.text]
+        self.start = place == 0
+        self.scored = ~self.start & (place <= self.sizes[self.text])
+        gram, higher = token, []
+        for k in range(1, ORDER):
+            before = np.full(len(token), _START)  # before the start are more start marks
+            before[k:] = np.where(place[k:] >= k, token[: len(token) - k], _START)
+            gram = _mix(gram * _ODD[2] + _mix(before + np.uint64(k)))
+            higher.append(gram)
+        self.words, at = np.unique(token, return_inverse=True)
+        self.grams, above = np.unique(np.concatenate(higher), return_inverse=True)
+        self.at = [at, *np.split(above, ORDER - 1)]
+
+    def counts(self, places=None) -> tuple[np.ndarray, np.ndarray]:
+        """How often each of ``words`` and of ``grams`` is at the given places."""
+        pick = (lambda a: a) if places is None else (lambda a: a[places])
+        return np.bincount(pick(self.at[0]), minlength=len(self.words)), sum(np.bincount(pick(a), minlength=len(self.grams)) for a in self.at[1:])
+
+    def mean_losses(self, words: np.ndarray, grams: np.ndarray, total: int, vocabulary: int) -> np.ndarray:
+        """The mean loss (nats) of every text's tokens under a model's counts."""
+        hits = [words[self.at[0]].astype(np.float64), *(grams[a].astype(np.float64) for a in self.at[1:])]
+        chance = np.full(len(self.text), MIX[-1] / vocabulary)
+        for k, weight in zip(range(ORDER, 0, -1), MIX):
+            seen = np.roll(hits[k - 2], 1) if k > 1 else np.full(len(self.text), float(total))
+            chance += weight * np.divide(hits[k - 1], seen, out=np.full(len(seen), 1 / vocabulary), where=seen > 0)
+        sums = np.bincount(self.text[self.scored], -np.log(chance[self.scored]), minlength=len(self.sizes))
+        return sums / np.maximum(self.sizes, 1)
+
+
+def _edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the buckets, equal ranges of the hashes, begin and end in a sorted array."""
+    cuts = np.array([(i << 64) // buckets for i in range(1, buckets)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(hashes, cuts), [len(hashes)]])
+
+
+def _send(buckets: int):
+    def send(key, docs: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
+        names = MESSAGE.replace(" int", "").replace(" binary", "").split(", ")
+        b = Block(docs["text"])
+        if not len(b.text):
+            return pd.DataFrame(columns=names)
+        good = docs["id"].isin(set(marks["id"])).to_numpy() & docs["id"].notna().to_numpy()
+        (wa, ga), (wg, gg) = b.counts(), b.counts(good[b.text])
+        w, g = _edges(b.words, buckets), _edges(b.grams, buckets)
+        rows = []
+        for i in range(buckets):  # every bucket hears of every block, as its answer has its share of the totals
+            x, y = slice(w[i], w[i + 1]), slice(g[i], g[i + 1])
+            rows.append((key[0], i, pack_sorted(b.words[x]), pack(wa[x]), pack(wg[x]), pack_sorted(b.grams[y]), pack(ga[y]), pack(gg[y])))
+        return pd.DataFrame(rows, columns=names)
+
+    return send
+
+
+def _add(hashes: list[np.ndarray], counts: list[list[np.ndarray]]):
+    """The distinct hashes of all messages, the summed counts, and the sums in each message's order."""
+    known, at = np.unique(np.concatenate(hashes), return_inverse=True)
+    sums = []
+    for of in counts:
+        total = np.zeros(len(known), np.uint64)
+        np.add.at(total, at, np.concatenate(of))
+        sums.append(total)
+    ends = np.cumsum([len(h) for h in hashes])[:-1]
+    return known, sums, [[pack(s[a]) for a in np.split(at, ends)] for s in sums]
+
+
+def _answer(key, messages: pd.DataFrame) -> pd.DataFrame:
+    words, sums, back = _add([unpack_sorted(x) for x in messages["words"]], [[unpack(x) for x in messages[c]] for c in ("words_all", "words_good")])
+    _, _, back_grams = _add([unpack_sorted(x) for x in messages["grams"]], [[unpack(x) for x in messages[c]] for c in ("grams_all", "grams_good")])
+    real = words != _START
+    totals = [int(real.sum()), *(int(s[real].sum()) for s in sums)]
+    return pd.DataFrame({
+        "block": messages["block"], "bucket": messages["bucket"], "totals": [totals] * len(messages),
+        "words_all": back[0], "words_good": back[1], "grams_all": back_grams[0], "grams_good": back_grams[1],
+    })
+
+
+def _score(key, docs: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    b = Block(docs["text"])
+    background = target = np.zeros(len(docs))
+    if len(b.text):
+        answers = answers.sort_values("bucket")
+        vocabulary, total, good = np.sum([list(t) for t in answers["totals"]], axis=0)
+        joined = {c: np.concatenate([unpack(x) for x in answers[c]]) for c in ("words_all", "words_good", "grams_all", "grams_good")}
+        background = b.mean_losses(joined["words_all"], joined["grams_all"], total, vocabulary)
+        target = b.mean_losses(joined["words_good"], joined["grams_good"], good, vocabulary) if good else background
+    return pd.DataFrame({"id": docs["id"], "n_symbols": b.sizes, "target_loss": target, "background_loss": background, "score": target - background})
+
+
+def _dealt(df: DataFrame, id_col: str, blocks: int, *more) -> DataFrame:
+    key = F.col(id_col).cast("string")
+    return df.select(F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), key.alias("id"), *more)
+
+
+def _asked(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str, parts: int) -> tuple[DataFrame, DataFrame]:
+    rows = _dealt(docs, id_col, parts, whole_text(text_col).alias("text"))
+    kind = docs.schema[id_col].dataType
+    marks = _dealt(target_ids.select(F.col("doc_id").cast(kind).alias("doc_id")).filter("doc_id is not null").distinct(), "doc_id", parts)
+    return rows, rows.groupBy("block").cogroup(marks.groupBy("block")).applyInPandas(_send(parts), MESSAGE)
+
+
+def score_by_tokens(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
+    """doc_id, n_symbols (tokens), target_loss, background_loss, score for every document."""
+    parts = parts or SPREAD * shuffle_partitions(docs.sparkSession)
+    rows, messages = _asked(docs, target_ids, id_col, text_col, parts)
+    answers = messages.groupBy("bucket").applyInPandas(_answer, ANSWER)
+    scored = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_score, "id string, n_symbols long, target_loss double, background_loss double, score double")
+    kind = docs.schema[id_col].dataType
+    return scored.select(F.col("id").cast(kind).alias("doc_id"), "n_symbols", "target_loss", "background_loss", "score")

@@ -1,0 +1,66 @@
+"""op9 over words, against a dictionary model."""
+
+import math
+from collections import Counter
+
+import pytest
+
+from quorumdf.llm import lm_scoring, token_lm
+
+DOCS = "doc_id long, text string"
+
+
+def brute(rows, good):
+    split = [(i, token_lm.TOKEN.findall(t or "")) for i, t in rows]
+
+    def model(texts):
+        hit, history = Counter(), Counter()
+        for words in filter(None, texts):
+            marks = ["<s>"] * 4 + words + ["</s>"]
+            for at in range(4, len(marks)):
+                for k in range(1, 5):
+                    hit[tuple(marks[at - k + 1 : at + 1])] += 1
+                    history[k, tuple(marks[at - k + 1 : at])] += 1
+        return hit, history
+
+    everything = model([w for _, w in split])
+    some = model([w for i, w in split if i in good])
+    size = sum(len(g) == 1 for g in everything[0])
+
+    def loss(words, counts):
+        if not words:
+            return 0.0
+        hit, history = counts
+        marks, total = ["<s>"] * 4 + words, 0.0
+        for at in range(4, len(marks)):
+            p = lm_scoring.MIX[-1] / size
+            for k, weight in zip((4, 3, 2, 1), lm_scoring.MIX):
+                seen = history[k, tuple(marks[at - k + 1 : at])]
+                p += weight * (hit[tuple(marks[at - k + 1 : at + 1])] / seen if seen else 1 / size)
+            total -= math.log(p)
+        return total / len(words)
+
+    return sorted((i is None, i or 0, len(w), round(loss(w, some if some[0] else everything), 9), round(loss(w, everything), 9)) for i, w in split)
+
+
+ROWS = [
+    (1, "the cat sat on the mat. The cat!"), (2, "the dog sat on the mat"), (2, "the dog sat on the mat"), (3, None), (4, " \n\t"), (5, ""),
+    (None, "no id here"), (6, "日本語の文 été naïve"), (7, "cat the mat the on sat"), ((1 << 53) + 1, "a"), (8, "word " * 400),
+]
+
+
+@pytest.mark.parametrize("good", [{1, 2, (1 << 53) + 1}, set()])
+def test_token_scores_equal_brute_force(spark, good):
+    marks = spark.createDataFrame([(i,) for i in good] + [(None,)], "doc_id long")
+    got = token_lm.score_by_tokens(spark.createDataFrame(ROWS, DOCS), marks, parts=5).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.n_symbols, round(r.target_loss, 9), round(r.background_loss, 9)) for r in got) == brute(ROWS, good)
+    assert token_lm.score_by_tokens(spark.createDataFrame([], DOCS), marks, parts=2).count() == 0
+
+
+def test_op9_tells_words_of_one_byte_class_apart(spark, tmp_path):
+    """Capitals A to E were one symbol; so the two kinds of documents scored alike."""
+    rows = [(i, ("ABE CAB " if i < 10 else "BAD DEC ") * 5) for i in range(20)]
+    spark.createDataFrame(rows, DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r.score for r in lm_scoring.op9_lm_scoring(spark, str(tmp_path)).collect()}
+    assert max(got[i] for i in range(10)) < 0 < min(got[i] for i in range(10, 20))
