@@ -5,8 +5,8 @@ signature never sees punctuation or line breaks.  Each line reads
 
     kind  label  keyword  pattern
 
-``keyword`` is a word that every match of ``pattern`` contains: a text without
-it skips the pattern.  The kinds, from the strongest evidence to the weakest,
+``keyword`` is a word that every text with a match of ``pattern`` contains, or
+several with commas of which it contains one: a text without skips the pattern.  The kinds, from the strongest evidence to the weakest,
 are ``tag`` (a machine-readable identifier), ``notice`` (a grant that names the
 licence), ``body`` (wording of the licence itself), ``link`` (its address) and
 ``name`` (a mention).
@@ -30,8 +30,8 @@ name   mit            expat     \bexpat licen[cs]e\b
 name   x11            x11       \bx11 licen[cs]e\b
 tag    apache-2       spdx      spdx license identifier apache 2 0\b
 notice apache-2       apache    (?:licensed|released|distributed|available) under the (?:terms of the )?apache (?:software )?licen[cs]e (?:version )?2(?: 0)?\b
-notice apache-2       apache    you may not use this file except in compliance with the license
-body   apache-2       redistribution apache license version 2 0 january 2004 .{0,80}?terms and conditions for use reproduction and distribution
+notice apache-2       compliance you may not use this file except in compliance with the license
+body   apache-2       january        apache license version 2 0 january 2004 .{0,80}?terms and conditions for use reproduction and distribution
 body   apache-2       contributor each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license
 link   apache-2       apache    (?:www )?apache org licenses license 2 0\b
 name   apache-2       apache    \bapache (?:software )?(?:licen[cs]e )?(?:v|version )?2(?: 0)?\b
@@ -48,16 +48,16 @@ tag    gpl-3-or-later spdx      spdx license identifier gpl 3 0 or later\b
 notice gpl-2-or-later gnu       under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or (?:at your option )?any later version
 notice gpl-3-or-later gnu       under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or (?:at your option )?any later version
 notice gpl-2          gnu       under the terms of the gnu general public license version 2 (?:only )?as published by
-notice gpl-2          gpl       (?:licensed|released|distributed) under (?:the )?(?:gnu )?gpl ?v?2\b
-notice gpl-3          gpl       (?:licensed|released|distributed) under (?:the )?(?:gnu )?gpl ?v?3\b
+notice gpl-2          gpl,gpl2,gplv2 (?:licensed|released|distributed) under (?:the )?(?:gnu )?gpl ?v?2\b
+notice gpl-3          gpl,gpl3,gplv3 (?:licensed|released|distributed) under (?:the )?(?:gnu )?gpl ?v?3\b
 body   gpl-2          gnu       gnu general public license version 2 june 1991
 body   gpl-3          gnu       gnu general public license version 3 29 june 2007
 body   gpl            freedom   the licenses for most software are designed to take away your freedom to share and change it
 link   gpl-2          gnu       gnu org licenses (?:old licenses )?gpl 2 0\b
 link   gpl-3          gnu       gnu org licenses gpl 3 0\b
 link   gpl            gnu       gnu org licenses gpl\b
-name   gpl-2          gpl       \bgpl ?v?(?:ersion )?2\b
-name   gpl-3          gpl       \bgpl ?v?(?:ersion )?3\b
+name   gpl-2          gpl,gpl2,gplv2,gplversion,gplersion \bgpl ?v?(?:ersion )?2\b
+name   gpl-3          gpl,gpl3,gplv3,gplversion,gplersion \bgpl ?v?(?:ersion )?3\b
 name   gpl-2          gplv2     \bgplv2\b
 name   gpl-3          gplv3     \bgplv3\b
 name   gpl            gnu       \bgnu general public licen[cs]e\b
@@ -72,15 +72,15 @@ body   lgpl-3         gnu       gnu lesser general public license version 3 29 j
 body   lgpl-2         gnu       gnu library general public license version 2 june 1991
 link   lgpl-2.1       gnu       gnu org licenses (?:old licenses )?lgpl 2 1\b
 link   lgpl           gnu       gnu org licenses lgpl\b
-name   lgpl-2.1       lgpl      \blgpl ?v?2 1\b
-name   lgpl-3         lgpl      \blgpl ?v?3\b
+name   lgpl-2.1       lgpl,lgpl2,lgplv2 \blgpl ?v?2 1\b
+name   lgpl-3         lgpl,lgpl3,lgplv3 \blgpl ?v?3\b
 name   lgpl-3         lgplv3    \blgplv3\b
 name   lgpl           gnu       \bgnu (?:lesser|library) general public licen[cs]e\b
 tag    agpl-3         spdx      spdx license identifier agpl 3 0(?: only| or later)?\b
 notice agpl-3         affero    gnu affero general public license as published by the free software foundation
 body   agpl-3         affero    gnu affero general public license version 3 19 november 2007
 link   agpl-3         gnu       gnu org licenses agpl\b
-name   agpl-3         agpl      \bagpl ?v?3?\b
+name   agpl-3         agpl,agplv,agpl3,agplv3 \bagpl ?v?3?\b
 name   agpl-3         agplv3    \bagplv3\b
 name   agpl-3         affero    \baffero general public licen[cs]e\b
 tag    gfdl           spdx      spdx license identifier gfdl 1 [123]\b
@@ -102,7 +102,7 @@ body   0bsd           fee       permission to use copy modify and or distribute
 link   bsd-2          opensource opensource org licenses? bsd 2 clause\b
 link   bsd-3          opensource opensource org licenses? bsd 3 clause\b
 link   bsd            opensource opensource org licenses bsd license\b
-name   bsd-2          bsd       \b(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd licen[cs]e)\b
+name   bsd-2          bsd,freebsd \b(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd licen[cs]e)\b
 name   bsd-3          bsd       \b(?:bsd 3 clause|3 clause bsd|modified bsd|new bsd)\b
 name   bsd-4          bsd       \b(?:bsd 4 clause|4 clause bsd|original bsd)\b
 name   bsd            bsd       \bbsd (?:style )?licen[cs]ed?\b
@@ -120,8 +120,8 @@ body   mpl-2          mozilla   mozilla public license version 2 0\b
 body   mpl-1.1        mozilla   mozilla public license version 1 1\b
 link   mpl-2          mozilla   mozilla org mpl 2 0\b
 link   mpl            mozilla   mozilla org mpl\b
-name   mpl-2          mpl       \bmpl ?v?2(?: 0)?\b
-name   mpl-1.1        mpl       \bmpl ?v?1 1\b
+name   mpl-2          mpl,mpl2,mplv2 \bmpl ?v?2(?: 0)?\b
+name   mpl-1.1        mpl,mpl1,mplv1 \bmpl ?v?1 1\b
 name   mpl            mozilla   \bmozilla public licen[cs]e\b
 tag    epl-1          spdx      spdx license identifier epl 1 0\b
 tag    epl-2          spdx      spdx license identifier epl 2 0\b
@@ -137,7 +137,7 @@ tag    edl-1          spdx      spdx license identifier edl 1 0\b
 name   edl-1          eclipse   \beclipse distribution licen[cs]e\b
 tag    cddl-1.0       spdx      spdx license identifier cddl 1 0\b
 tag    cddl-1.1       spdx      spdx license identifier cddl 1 1\b
-notice cddl           cddl      subject to the terms of the common development and distribution license .{0,30}?cddl
+notice cddl           development subject to the terms of the common development and distribution license .{0,30}?cddl
 body   cddl           development common development and distribution license cddl version 1 [01]
 name   cddl           development \bcommon development and distribution licen[cs]e\b
 name   cddl           cddl      \bcddl\b
@@ -160,7 +160,7 @@ notice cc0-1.0        cc0       (?:released|dedicated|licensed) (?:under|to|into
 body   cc0-1.0        affirmer  affirmer hereby overtly fully permanently irrevocably and unconditionally waives
 link   cc0-1.0        creativecommons creativecommons org publicdomain zero 1 0\b
 name   cc0-1.0        cc0       \bcc0(?: 1 0)?(?: universal)?\b
-notice public-domain  domain    (?:released|placed|dedicated) (?:into|in|to) the public domain
+notice public-domain  public    (?:released|placed|dedicated) (?:into|in|to) the public domain
 link   public-domain  creativecommons creativecommons org publicdomain mark 1 0\b
 name   public-domain  domain    \bpublic domain (?:work|dedication|mark)\b
 tag    wtfpl          spdx      spdx license identifier wtfpl\b
@@ -281,17 +281,17 @@ name   cc-by-nd       cc        \bcc by nd(?: [1-4] [05])?\b
 name   cc-by          cc        \bcc by(?: [1-4] [05])?\b(?! (?:sa|nd|nc)\b)
 name   cc             creative  \bcreative commons\b
 notice proprietary    rights    all rights reserved (?:this|no part|unauthori[sz]ed)
-notice proprietary    proprietary (?:proprietary and confidential|confidential and proprietary)
-notice proprietary    permission (?:no part of this|may not be reproduced) .{0,80}?without (?:the )?(?:prior )?written permission
+notice proprietary    proprietary,confidential (?:proprietary and confidential|confidential and proprietary)
+notice proprietary    written    (?:no part of this|may not be reproduced) .{0,80}?without (?:the )?(?:prior )?written permission
 name   proprietary    reserved  \ball rights reserved\b
 notice commercial     commercial (?:requires?|under) a (?:separate )?commercial licen[cs]e
 tag    openrail       spdx      spdx license identifier (?:open|creativeml open|bigscience open)rail(?: m)?\b
 name   openrail       openrail  \b(?:creativeml |bigscience )?openrail(?: m)?\b
 name   llama-community llama    \bllama (?:2|3|3 1) community licen[cs]e\b
 name   json           json      \bjson licen[cs]e\b
-body   json           evil      the software shall be used for good not evil
+body   json           good      the software shall be used for good not evil
 name   beerware       beerware  \bbeerware\b
-body   beerware       beer      if we meet some day and you think this stuff is worth it you can buy me a beer
+body   beerware       meet      if we meet some day and you think this stuff is worth it you can buy me a beer
 """
 
 

@@ -1,7 +1,7 @@
 """Licence scan by ordered signature rules.
 
 Every whole text is lower-cased and reduced to its words with one space
-between.  A rule runs only when its keyword is among the words.  Of overlapping
+between.  A rule runs only when one of its keywords is among the words.  Of overlapping
 detections, one whose interval lies inside that of a detection with a higher
 priority (kind, then length, then order in the rule list) is dropped.  The base
 phrases are rules that nothing suppresses.
@@ -40,7 +40,9 @@ def _rules() -> dict[bytes, list]:
         by_word: dict[bytes, list] = {}
         for order, kind, label, keyword, pattern in signatures():
             rank, confidence = KINDS[kind]
-            by_word.setdefault(keyword.encode(), []).append((_whole_words(pattern), rank, order, label, confidence))
+            rule = (_whole_words(pattern), rank, order, label, confidence)
+            for word in keyword.split(","):
+                by_word.setdefault(word.encode(), []).append(rule)
         _COMPILED.update(by_word)
     return _COMPILED
 
@@ -89,9 +91,9 @@ def scan(text: str) -> dict:
                 at = m.start()
                 base.append((seen, size, label))
     rules = _rules()
-    for keyword in rules.keys() & present:
-        for pattern, rank, order, label, confidence in rules[keyword]:
-            found += [(m.start(), m.end(), rank, order, label, confidence) for m in pattern.finditer(stream)]
+    wanted = {rule[2]: rule for keyword in rules.keys() & present for rule in rules[keyword]}  # once, whatever the keywords present
+    for pattern, rank, order, label, confidence in wanted.values():
+        found += [(m.start(), m.end(), rank, order, label, confidence) for m in pattern.finditer(stream)]
     kept = suppress(found)
     base_labels = sorted({b[2] for b in base})
     return {
