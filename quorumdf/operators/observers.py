@@ -68,11 +68,11 @@ def notice_too_short(meeting: DataFrame, as_of: str) -> DataFrame:
     return per.withColumn("severity", F.when(F.col("shortest") < 1, "high").otherwise("medium"))
 
 
-def budget_overdue(motion: DataFrame, meeting: DataFrame, as_of: str) -> DataFrame:
-    """Bodies that adopted budgets in two or more years but none for 14 months, while they kept meeting."""
-    passed = motion.filter((F.col("outcome") == "passed") & F.col("title").rlike(BUDGET) & ~F.col("title").rlike(NOT_BUDGET) & (F.col("motion_id") % 2 == 0))
+def budget_overdue(motion: DataFrame, meeting: DataFrame, as_of: str, months: int = 14) -> DataFrame:
+    """Bodies that adopted budgets in two or more years but none for so many months, while they kept meeting."""
+    passed = motion.filter((F.col("outcome") == "passed") & F.col("title").rlike(BUDGET) & ~F.col("title").rlike(NOT_BUDGET))
     per = passed.groupBy("body_id").agg(F.countDistinct(F.year("motion_date")).alias("years"), F.max("motion_date").alias("last_adopted"))
-    per = per.filter((F.col("years") >= 2) & (F.col("last_adopted") < F.add_months(day(as_of), -14 + 12)))
+    per = per.filter((F.col("years") >= 2) & (F.col("last_adopted") < F.add_months(day(as_of), -months)))
     later = meeting.filter(F.col("minutes_url").isNotNull() & (F.col("meeting_date") < day(as_of))).select("body_id", "meeting_date")
     n = per.join(later, "body_id").filter("meeting_date > last_adopted").groupBy("body_id").agg(F.count(F.lit(1)).alias("later"))
     return per.join(n, "body_id").filter("later >= 3")
@@ -83,7 +83,7 @@ OBSERVERS: dict[str, Callable] = {
     "agenda_missing": lambda c: agenda_missing(c.meeting, c.as_of).select("body_id", "severity", "n"),
     "meeting_notice_too_short": lambda c: notice_too_short(c.meeting, c.as_of).select("body_id", "severity", "n"),
     "minutes_missing": lambda c: minutes_missing(c.meeting, c.as_of).select("body_id", "severity", "n"),
-    "member_roster_missing": lambda c: member_roster_missing(c.governing_body, c.official.filter("official_id % 4 = 0"), c.term).select("body_id", F.lit("high").alias("severity"), F.lit(0).cast("long").alias("n")),
+    "member_roster_missing": lambda c: member_roster_missing(c.governing_body, c.official, c.term).select("body_id", F.lit("high").alias("severity"), F.lit(0).cast("long").alias("n")),
 }
 
 
