@@ -30,18 +30,22 @@ def w08(c):
     return P.wealth_by_year(c.property_record).select("official_id", "assessment_year", "change")
 
 
-@query("d12_official_as_recommender", """WITH n AS (SELECT c_custkey AS official_id, lower(c_name) AS low FROM customer WHERE c_custkey % 200 = 0 AND length(c_name) >= 8)
-SELECT DISTINCT motion_id, official_id FROM motion JOIN n ON contains(lower(petitioner), low) WHERE petitioner LIKE 'City Manager %'""")
-def d12(c):
+def recommenders(motion, names):
     """Containment as an equi-join: the substrings of the distinct name lengths, eight characters or more."""
-    names = c.customer.filter("c_custkey % 200 = 0").select(F.col("c_custkey").alias("official_id"), F.lower("c_name").alias("low")).filter(F.length("low") >= 8)
+    names = names.filter(F.length("low") >= 8)
     lengths = names.select(F.length("low").alias("len")).distinct()
-    texts = c.motion.filter(F.col("petitioner").like("City Manager %")).select("motion_id", F.lower("petitioner").alias("text"))
+    texts = motion.filter(F.col("petitioner").like("City Manager %")).select("motion_id", F.lower("petitioner").alias("text"))
     probes = texts.crossJoin(F.broadcast(lengths)).filter(F.length("text") >= F.col("len"))  # a few dozen lengths at most
     parts = probes.select("motion_id", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - F.col("len") + 1), lambda i: F.substring(F.col("text"), i, F.col("len")))).alias("low"))
     return parts.join(names, "low").select("motion_id", "official_id").distinct()
 
 
+@query("d12_official_as_recommender", """WITH n AS (SELECT c_custkey AS official_id, lower(c_name) AS low FROM customer WHERE c_custkey % 200 = 0 AND length(c_name) >= 8)
+SELECT DISTINCT motion_id, official_id FROM motion JOIN n ON contains(lower(petitioner), low) WHERE petitioner LIKE 'City Manager %'""")
+def d12(c):
+    return recommenders(c.motion, c.customer.filter("c_custkey % 200 = 0").select(F.col("c_custkey").alias("official_id"), F.lower("c_name").alias("low")))
+
+
 @query("e06_bulk_resolver", """WITH n AS (SELECT DISTINCT petitioner AS name FROM motion WHERE petitioner IS NOT NULL), k AS (SELECT min(c_custkey) AS id, lower(c_name) AS low FROM customer WHERE c_custkey % 2 = 0 GROUP BY 2)
 SELECT name, CASE WHEN regexp_matches(name, '[0-9(]') THEN NULL ELSE id END AS official_id, CASE WHEN regexp_matches(name, '[0-9(]') THEN 'unresolvable' WHEN id IS NOT NULL THEN 'alias' ELSE 'none' END AS matched_via FROM n LEFT JOIN k ON lower(name) = low""")
 def e06(c):

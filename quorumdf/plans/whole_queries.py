@@ -4,10 +4,15 @@ The given SQL of those has the same cut, so they stay as they are.  These have
 no SQL: ``tests/test_whole_queries.py`` holds them against brute force.
 """
 
+from pyspark.sql import functions as F
+
+from quorumdf.operators import detectors as D
 from quorumdf.operators import observers as O
+from quorumdf.operators import resolution as E
 
 from .compliance_queries import _prior
 from .registry import query
+from .remaining_queries import recommenders
 
 
 @query("c04_member_roster_missing_whole")
@@ -29,3 +34,30 @@ def c07(c):
 def c08(c):
     observed, _ = O.observe(c)
     return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records")
+
+
+@query("e03b_customer_name_typos_whole")
+def e03b(c):
+    return E.similar_pairs(c.customer, c.customer, "c_custkey", "c_name", "c_custkey", "c_name", 0.75, ordered=True).select("ka", "kb", "similarity")
+
+
+@query("e04_ranked_candidates_whole")
+def e04(c):
+    shown = c.customer.select("c_name", F.expr("replace(c_name, 'Customer', 'Supplier')").alias("name"))
+    cand = E.ranked_candidates(shown.select("name").distinct(), c.official)
+    return cand.join(shown, "name").select(F.col("c_name").alias("name"), "official_id", "similarity", "rn")
+
+
+@query("d11_official_as_petitioner_whole")
+def d11(c):
+    return D.official_as_petitioner(c.motion, c.customer.select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name")))
+
+
+@query("d12_official_as_recommender_whole")
+def d12(c):
+    return recommenders(c.motion, c.customer.select(F.col("c_custkey").alias("official_id"), F.lower("c_name").alias("low")))
+
+
+@query("f06_array_overlap_whole")
+def f06(c):
+    return c.motion.groupBy("body_id").agg(F.bool_or(F.coalesce(F.col("motion_type").isin("ordinance", "nothing"), F.lit(False))).alias("hit"))

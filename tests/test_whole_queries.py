@@ -1,5 +1,7 @@
 """Queries over all rows, on fixtures that the cut ones get wrong."""
 
+import itertools
+import re
 from datetime import date
 from types import SimpleNamespace
 
@@ -43,3 +45,30 @@ def test_whole_queries_are_registered_and_run(spark):
     assert len(names) == 4 and not set(names) & set(plans.oracle_sql())
     c = views.Civic(spark, "/root/testdata/sf0.001")
     assert W.c08(c).count() >= 0 and W.c07(c).count() >= 0
+
+
+def test_names_and_motions_of_any_id_are_searched(spark):
+    names = ["Ann Marie Miller", "Ann Marie Muller", "Bob Stone", "Customer#0000015", "Customer#0000016"]
+    customer = spark.createDataFrame(list(enumerate(names, 1)), "c_custkey long, c_name string")
+    pets = ["Mayor Ann Marie Miller of Rome", "bob stone", "City Manager for Ann Marie Muller", "City Manager Bob Stone", None, "someone"]
+    motion = spark.createDataFrame([(i, i % 2, p, "ordinance" if i == 3 else "resolution") for i, p in enumerate(pets, 1)], "motion_id long, body_id int, petitioner string, motion_type string")
+    official = spark.createDataFrame([(1, "Supplier#0000015"), (2, "Bob Stones")], "official_id long, canonical_name string")
+    c = SimpleNamespace(customer=customer, motion=motion, official=official)
+
+    def grams(text):
+        return {f"  {w} "[i : i + 3] for w in re.findall("[a-z0-9]+", text.lower()) for i in range(len(w) + 1)}
+
+    def alike(a, b):
+        x, y = grams(a), grams(b)
+        return round(len(x & y) / len(x | y), 6)
+
+    pairs = [(i, j, alike(a, b)) for (i, a), (j, b) in itertools.combinations(enumerate(names, 1), 2)]
+    assert sorted(map(tuple, W.e03b(c).collect())) == [p for p in pairs if p[2] >= 0.75] != []
+    ranked = {n: sorted((-s, i) for i, o in ((1, "Supplier#0000015"), (2, "Bob Stones")) if (s := alike(n.replace("Customer", "Supplier"), o)) >= 0.65) for n in names}
+    assert sorted((r.name, r.rn, r.official_id, r.similarity) for r in W.e04(c).collect()) == sorted((n, k, i, -s) for n, found in ranked.items() for k, (s, i) in enumerate(found, 1))
+    titles = ["", "city manager ", "mayor ", "councilmember ", "commissioner "]
+    starts = [(m, k) for m, p in enumerate(pets, 1) for k, n in enumerate(names, 1) if p and any(p.lower().startswith(t + n.lower()) for t in titles)]
+    assert sorted(map(tuple, W.d11(c).collect())) == starts != []
+    inside = [(m, k) for m, p in enumerate(pets, 1) for k, n in enumerate(names, 1) if p and p.startswith("City Manager ") and n.lower() in p.lower()]
+    assert sorted(map(tuple, W.d12(c).collect())) == inside != []
+    assert sorted(map(tuple, W.f06(c).collect())) == [(0, False), (1, True)]
