@@ -40,8 +40,8 @@ ROUNDS = 8
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TRIGGER = re.compile(r"[0-9@]|[\"']\s*[:=]|[:=]\s*[\"']")
 PATTERNS = [
-    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")),
-    ("secret", re.compile(r"(?i)(?<![a-z0-9])(?:token|secret|passw(?:or)?d|api[ _-]?key|access[ _-]?key|key)\b[\"']?\s{0,4}[:=]\s{0,4}[\"']([A-Za-z0-9_\-+/=.]{8,512})[\"']")),
+    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![A-Za-z0-9-])")),
+    ("secret", re.compile(r"(?i)(?<![a-z0-9])(?:token|secret|passw(?:or)?d|api[ _-]?key|access[ _-]?key|key)\b[\"']?\s{0,4}[:=]\s{0,4}[\"']([A-Za-z0-9_\-+/=.]{8,})[\"']")),
     ("iban", re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")),
     ("card", re.compile(r"(?<![\d.])(?:\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d|\.\d)")),
     ("ip", re.compile(rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\d|\.\d)")),
@@ -49,6 +49,16 @@ PATTERNS = [
     ("phone", re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?\(\d{1,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\d-])")),
     ("date", re.compile(r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}([/.])\d{1,2}\1\d{4})(?![\d/-]|\.\d)")),
 ]
+#: Characters of an IBAN by country; one of another country or length ends where its check digits hold.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 _RANK = {kind: i for i, (kind, _) in enumerate(PATTERNS)}
 _FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _FIRST_DAY
@@ -64,7 +74,8 @@ class Permutation:
         body = bytes([r]) + tweak + b"|" + half.to_bytes(size, "big")
         out, block = b"", 0
         while len(out) < size:
-            out += hashlib.blake2b(bytes([block]) + body, key=self.key, digest_size=min(64, max(8, size))).digest()
+            mark = bytes([block]) if block < 256 else b"\xff" + block.to_bytes(4, "big")
+            out += hashlib.blake2b(mark + body, key=self.key, digest_size=min(64, max(8, size))).digest()
             block += 1
         return int.from_bytes(out[:size], "big")
 
@@ -74,7 +85,7 @@ class Permutation:
             return value
         width = ((n - 1).bit_length() + 1) // 2
         mask, size = (1 << width) - 1, (width + 7) // 8
-        mark = f"{tweak}:{n}".encode()
+        mark = f"{tweak}:{n}".encode() if n.bit_length() < 12_000 else hashlib.blake2b(f"{tweak}:{n:x}".encode()).digest()
         while True:
             left, right = value >> width, value & mask
             for r in reversed(range(ROUNDS)) if back else range(ROUNDS):
@@ -216,18 +227,35 @@ def _days_like(size: tuple[int, int], swapped: bool):
     return _DAYS_LIKE[size, swapped]
 
 
+def _ibans(text: str, pattern: re.Pattern):
+    """Spans of valid IBANs: upper-case words that follow one aren't part of it."""
+    m = pattern.search(text)
+    while m:
+        a, b = m.span()
+        ends = [b, *(i for i in range(b - 1, a, -1) if text[i] == " ")]
+        length = IBAN_LENGTHS.get(text[a : a + 2])
+        ends.sort(key=lambda e: e - a - text.count(" ", a, e) != length)  # the country's length first, then the longest
+        end = next((e for e in ends if _pseudonym("iban", text[a:e], _CHECK, False) is not None), None)
+        if end:
+            yield a, end
+        m = pattern.search(text, end or a + 1)
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """Candidates without overlaps, in order: (start, end, kind)."""
     if not _TRIGGER.search(text):
         return []
     spans = []
     for kind, pattern in PATTERNS:
+        if kind == "iban":
+            spans += [(a, b, kind) for a, b in _ibans(text, pattern)]
+            continue
         for m in pattern.finditer(text):
             a, b = m.span(1) if kind == "secret" else m.span()
             spans.append((a, b, kind))
     out, end = [], 0
     for a, b, kind in sorted(spans, key=lambda s: (s[0], s[0] - s[1], _RANK[s[2]])):
-        if a >= end and _pseudonym(kind, text[a:b], _CHECK, False) is not None:
+        if a >= end and (kind in ("email", "secret") or _pseudonym(kind, text[a:b], _CHECK, False) is not None):  # any such string is valid
             out.append((a, b, kind))
             end = b
     return out
