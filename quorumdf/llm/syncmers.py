@@ -1,14 +1,17 @@
 """Document fingerprints by closed syncmers, in DataFrame functions alone.
 
-Method.  A text is a row of units: its words, or for texts of fewer than
-``SHORT`` words its runs of five code points.  Of the k-mers of units, those are
+Method.  A text of any length is a row of units: its runs of five code points,
+white space as one blank.  Of the k-mers of units, those are
 anchors whose minimal inner s-mer (by hash) lies at either edge.  Whether a
 k-mer is an anchor depends on nothing outside of it, so an edit moves or changes
-only the anchors that it touches.  The fingerprint is the ``WIDTH`` smallest
-distinct anchor hashes of the whole text; the likeness of two fingerprints is the
-share of the ``WIDTH`` smallest of their union that both have.
-
-Neighbours in id order are found without one global sort: quantiles of the ids
+only the anchors that it touches.  ``with_anchors`` keeps every anchor with its
+position; the fingerprint has all distinct hashes in order, and the likeness of
+two texts is the Jaccard similarity of their whole anchor sets.
+``with_fingerprint`` is the sketch of the ``WIDTH`` smallest over words, which
+no query uses.
+
+Anchors are more than the text, so only texts are shuffled and the neighbour's
+anchors are made again.  Neighbours in id order are found without one global sort: quantiles of the ids
 cut the table into ranges, every range is ordered for itself, and the row at each
 cut is also sent to the range above, so texts are shuffled once.
 
@@ -66,10 +69,34 @@ def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.drop(words, words + "c", units, h, inner, middle, spots, anchors)
 
 
+def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: every anchor of column ``text`` as (hash, position), by position in code points of the spaced text."""
+    spaced, chars, h, inner, middle, spots = (f"__{out}_{i}" for i in range(6))
+    df = df.withColumn(spaced, F.regexp_replace(F.col(text), SPACE, " ")).withColumn(chars, F.split(F.col(spaced), ""))
+    at = lambda a, i: F.get(F.col(a), i)
+    df = df.withColumn(
+        h, F.when(F.size(chars) >= GRAM + K - 1, F.transform(F.sequence(F.lit(0), F.size(chars) - GRAM), lambda i: F.xxhash64(*[at(chars, i + j) for j in range(GRAM)])))
+    )
+    df = df.withColumn(inner, F.zip_with(F.col(h), F.slice(F.col(h), F.lit(S), F.size(h)), lambda x, y: F.xxhash64(x, y)))
+    df = df.withColumn(middle, F.zip_with(F.slice(F.col(inner), 2, F.size(inner)), F.slice(F.col(inner), 3, F.size(inner)), lambda x, y: F.least(x, y)))
+    edge = lambda i: F.least(at(inner, i), at(inner, i + K - S)) <= at(middle, i)
+    df = df.withColumn(spots, F.when(F.col(h).isNotNull() & (F.size(middle) > 0), F.filter(F.sequence(F.lit(0), F.size(h) - K), edge)))
+    one = lambda x, i: F.struct(x.alias("hash"), i.alias("position"))
+    found = F.transform(spots, lambda i: one(F.xxhash64(*[at(h, i + j) for j in range(K)]), i))
+    whole = F.array(one(F.xxhash64(text), F.lit(0)))
+    return df.withColumn(out, F.when(F.size(F.coalesce(F.col(spots), F.array())) > 0, found).otherwise(whole)).drop(spaced, chars, h, inner, middle, spots)
+
+
+def with_hashes(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: the sorted distinct hashes of all anchors."""
+    df = with_anchors(df, text, f"__{out}")
+    return df.withColumn(out, F.sort_array(F.array_distinct(F.col(f"__{out}").getField("hash")))).drop(f"__{out}")
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Estimated Jaccard similarity of two anchor sets by their smallest hashes."""
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, WIDTH)
-    return F.size(F.array_intersect(F.array_intersect(both, a), b)) / F.size(both)
+    """Jaccard similarity of two sets of anchor hashes without repeats."""
+    both = F.size(F.array_intersect(a, b))
+    return both / (F.size(a) + F.size(b) - both)
 
 
 def as_text(fingerprint: Column) -> Column:
@@ -125,18 +152,19 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str], ranges: int | No
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_chars and the fingerprint as text, for every document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    return with_fingerprint(rows, "text", "fp").select("doc_id", F.length("text").cast("long").alias("n_chars"), as_text(F.col("fp")).alias("fingerprint"))
+    return with_hashes(rows, "text", "fp").select("doc_id", F.length("text").cast("long").alias("n_chars"), as_text(F.col("fp")).alias("fingerprint"))
 
 
 def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprints of every text, of its edited text, and their likenesses."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
     rows = rows.withColumn("key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST))).withColumn("tie", F.xxhash64("text"))
-    rows = with_next(with_fingerprint(rows, "text", "fp"), id_col, ["text", "fp"])
+    rows = with_next(rows, id_col, ["text"])
     third = F.floor(F.length("text") / 3).cast("int")
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 3)))"), F.substring("next_text", F.lit(1), third)))
-    rows = rows.withColumn("n_chars", F.length("text").cast("long")).drop("text", "next_text")
-    rows = with_fingerprint(rows, "edited", "edited_fp")
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
+    for text, fp in (("text", "fp"), ("next_text", "next_fp"), ("edited", "edited_fp")):
+        rows = with_hashes(rows, text, fp)
     return rows.select(
         "doc_id",
         "n_chars",
