@@ -61,3 +61,15 @@ def d12(c):
 @query("f06_array_overlap_whole")
 def f06(c):
     return c.motion.groupBy("body_id").agg(F.bool_or(F.coalesce(F.col("motion_type").isin("ordinance", "nothing"), F.lit(False))).alias("hit"))
+
+
+@query("m04_digest_lines_whole")
+def m04(c):
+    """One row per line of a digest, with the whole body; order by comment_id within an item."""
+    return c.citizen_comment.filter("role = 'user'").select("item_id", "comment_id", F.concat_ws(": ", "stance", "text").alias("line"))
+
+
+@query("m04_digest_tallies_whole")
+def m04_tallies(c):
+    counts = [F.count_if(F.col("stance") == s).alias(s) for s in ("support", "oppose", "neutral")]
+    return c.citizen_comment.filter("role = 'user'").groupBy("item_id").agg(*counts)

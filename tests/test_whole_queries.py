@@ -72,3 +72,18 @@ def test_names_and_motions_of_any_id_are_searched(spark):
     inside = [(m, k) for m, p in enumerate(pets, 1) for k, n in enumerate(names, 1) if p and p.startswith("City Manager ") and n.lower() in p.lower()]
     assert sorted(map(tuple, W.d12(c).collect())) == inside != []
     assert sorted(map(tuple, W.f06(c).collect())) == [(0, False), (1, True)]
+
+
+def test_digest_lines_have_whole_bodies(spark):
+    rows = [(1, 10, "user", "oppose", "x" * 500), (1, 11, "user", "support", "no"), (2, 12, "clerk", "neutral", "y")]
+    c = SimpleNamespace(citizen_comment=spark.createDataFrame(rows, "item_id int, comment_id int, role string, stance string, text string"))
+    assert sorted(map(tuple, W.m04(c).collect())) == [(1, 10, "oppose: " + "x" * 500), (1, 11, "support: no")]
+    assert sorted(map(tuple, W.m04_tallies(c).collect())) == [(1, 1, 1, 0)]
+
+
+def test_linked_failures_are_not_gathered():
+    import inspect
+
+    from quorumdf.plans import facts_queries
+
+    assert "collect_list" not in inspect.getsource(facts_queries.h08)
