@@ -55,6 +55,14 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(taken: list[str], want: str) -> str:
+    """``want``, with underscores behind it until no column has the name (case aside, as Spark compares)."""
+    low = {c.lower() for c in taken}
+    while want.lower() in low:
+        want += "_"
+    return want
+
+
 def whole_text(col="text"):
     """The text, null as the empty string."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
