@@ -16,7 +16,9 @@ mix has ``budget`` documents in expectation; by default as many as there are.
 Defined results: a null source is a source of its own, named ''; a null id hashes
 as 'null'; rows that repeat an id get equal counts; sources without a given
 weight get none; null and empty texts are documents as any; an empty table gives
-none; columns other than id and source are carried along.
+none; very long texts move as any, once; columns of ``docs`` are carried along.  One
+that has the name of an output gives way to it, so name the outputs otherwise to
+keep both.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, table, written
+from .common import free_name, shuffle_partitions, table, written
 
 SEED = "mix-1"
 TEMPERATURE = 0.5
@@ -65,34 +67,46 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, tempe
     return rates.select("__source", "rate", "parts", grown.alias("cdf"))
 
 
-def replicate(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, budget: float | None = None, seed: str = SEED, id_col: str = "doc_id") -> DataFrame:
-    """The documents by their numbers of copies, with rate, n_copies, copy and shuffle_key, shuffled.
+OUTPUTS = ("rate", "n_copies", "copy", "shuffle_key")
+
+
+def replicate(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, budget: float | None = None, seed: str = SEED, id_col: str = "doc_id", outputs: tuple[str, str, str, str] = OUTPUTS) -> DataFrame:
+    """The documents by their numbers of copies, with the four ``outputs`` beside their columns, shuffled.
 
     The rates are written first: Spark then knows their size and broadcasts them
     where they are small, so texts move once, in the shuffle at the end.
     """
-    docs = docs.drop("rate", "n_copies", "copy", "shuffle_key", "__source")
-    rates = written(source_rates(docs, weights, temperature, budget), "rates")
+    docs = docs.drop(*outputs)
+    rate, n_copies, copy, order = outputs
+    taken = [*docs.columns, *outputs]
+    source, cdf, parts, one_u, mean_rate = (free_name(taken, n) for n in ("__source", "__cdf", "__parts", "__u", "__rate"))
+    rates = source_rates(docs.select("source"), weights, temperature, budget)
+    rates = written(rates.select(F.col("__source").alias(source), F.col("rate").alias(mean_rate), F.col("parts").alias(parts), F.col("cdf").alias(cdf)), "rates")
     name = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
-    joined = docs.withColumn("__source", F.coalesce("source", F.lit(""))).join(rates, "__source")
+    joined = docs.withColumn(source, F.coalesce("source", F.lit(""))).join(rates, source)
     drawn = F.aggregate(
-        F.sequence(F.lit(0), F.col("parts") - 1),
+        F.sequence(F.lit(0), F.col(parts) - 1),
         F.lit(0),
-        lambda s, j: s + F.size(F.filter("cdf", lambda c: c <= unit_hash(F.lit(seed), name, j.cast("string")))),
+        lambda s, j: s + F.size(F.filter(cdf, lambda c: c <= unit_hash(F.lit(seed), name, j.cast("string")))),
     )
-    first = unit_hash(F.lit(seed), name, F.lit("0"))
-    joined = joined.withColumn("__u", first)
-    one = F.size(F.filter("cdf", lambda c: c <= F.col("__u")))
-    counted = joined.withColumn("n_copies", F.when(F.col("parts") == 1, one).otherwise(drawn)).drop("cdf", "parts", "__source", "__u")
-    copies = counted.filter("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), name, F.col("copy").cast("string"))))
-    return keyed.repartition(shuffle_partitions(docs.sparkSession), "shuffle_key").sortWithinPartitions("shuffle_key")
+    joined = joined.withColumn(one_u, unit_hash(F.lit(seed), name, F.lit("0")))
+    one = F.size(F.filter(cdf, lambda c: c <= F.col(one_u)))
+    counted = joined.withColumn(n_copies, F.when(F.col(parts) == 1, one).otherwise(drawn))
+    copies = counted.filter(F.col(n_copies) > 0).withColumn(copy, F.explode(F.sequence(F.lit(0), F.col(n_copies) - 1)))
+    keyed = copies.withColumn(order, F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), name, F.col(copy).cast("string"))))
+    keyed = keyed.select(*docs.columns, F.col(mean_rate).alias(rate), n_copies, copy, order)
+    return keyed.repartition(shuffle_partitions(docs.sparkSession), order).sortWithinPartitions(order)
+
+
+def mix(docs: DataFrame, **options) -> DataFrame:
+    """The shuffled copies with the columns of ``docs`` alone, whatever their names."""
+    outputs = tuple(free_name(docs.columns, n) for n in OUTPUTS)
+    return replicate(docs, outputs=outputs, **options).select(*docs.columns)
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    mixed = replicate(docs)
-    return mixed.select("doc_id", "source", F.round("rate", 9).alias("rate"), F.col("n_copies").cast("int").alias("n_copies"), F.col("copy").cast("int").alias("copy"), "shuffle_key")
+    mixed = replicate(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "source", F.round("rate", 9).alias("rate"), F.col("n_copies").cast("int").alias("n_copies"), F.col("copy").cast("int").alias("copy"), "shuffle_key", "text")
 
 
 OP5_SQL = r"""
@@ -103,7 +117,7 @@ WITH s AS (
 ), r AS (
   SELECT src, all_n * w / all_w / n AS rate, CAST(greatest(1, ceil(all_n * w / all_w / n / 32.0)) AS INTEGER) AS parts FROM s, t
 ), d AS (
-  SELECT doc_id, source, rate, parts, rate / parts AS mean, coalesce(CAST(doc_id AS VARCHAR), 'null') AS name
+  SELECT doc_id, source, text, rate, parts, rate / parts AS mean, coalesce(CAST(doc_id AS VARCHAR), 'null') AS name
   FROM documents JOIN r ON coalesce(source, '') = src
 ), u AS (
   SELECT d.*, p.j, CAST(CAST('0x' || substr(md5('mix-1:' || name || ':' || CAST(p.j AS VARCHAR)), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496.0 AS u
@@ -112,12 +126,12 @@ WITH s AS (
   SELECT src, kk, sum(exp(-rate / parts + kk * ln(rate / parts) - lgamma(kk + 1))) OVER (PARTITION BY src ORDER BY kk) AS cdf
   FROM r, (SELECT unnest(range(161)) AS kk)
 ), c AS (
-  SELECT u.doc_id, u.source, u.rate, u.name, u.j, count(k.kk) AS n
+  SELECT u.doc_id, u.source, u.text, u.rate, u.name, u.j, count(k.kk) AS n
   FROM u LEFT JOIN k ON k.src = coalesce(u.source, '') AND k.cdf <= u.u GROUP BY ALL
 ), n AS (
-  SELECT doc_id, source, rate, name, CAST(sum(n) AS INTEGER) AS n_copies FROM c GROUP BY ALL
+  SELECT doc_id, source, text, rate, name, CAST(sum(n) AS INTEGER) AS n_copies FROM c GROUP BY ALL
 )
 SELECT doc_id, source, round(rate, 9) AS rate, n_copies, CAST(x.copy AS INTEGER) AS copy,
-       md5('mix-1:order:' || name || ':' || CAST(x.copy AS VARCHAR)) AS shuffle_key
+       md5('mix-1:order:' || name || ':' || CAST(x.copy AS VARCHAR)) AS shuffle_key, text
 FROM n, LATERAL (SELECT unnest(range(n_copies)) AS copy) x
 """
