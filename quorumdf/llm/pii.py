@@ -10,7 +10,8 @@ holder can turn them back.
     card    all digits but the first and the check digit, which is made anew
     iban    the account part by character class, check digits made anew
     ssn     the index among allowed numbers
-    phone   the digits after a country code
+    phone   the digits after the country code, which the digits alone tell; a
+            number of ten digits without one counts as one of country code 1
     date    the day among those of 1900..2099
     ip      all 32 bits
     email   letters and digits of the local part, by class
@@ -19,7 +20,12 @@ holder can turn them back.
 Defined results: null text stays null, with nothing found; an empty text stays
 empty; of overlapping candidates the one that starts first stays, then the
 longer, then the kind listed first; rows that repeat an id are treated each; an
-empty table gives none.  Whole texts are read; other columns are kept.
+empty table gives none.  Whole texts are read, very long ones too; other columns
+are kept.  A column that has the name of an output gives way to it, so name the
+outputs otherwise to keep both.
+
+The key is the caller's; the query reads it from ``spark.quorumdf.pii.key``.  A
+date's pseudonym links dates of one form of writing.
 """
 
 from __future__ import annotations
@@ -35,8 +41,13 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from .common import table
 
-DEFAULT_KEY = b"replace this key before use"
+KEY_SETTING = "spark.quorumdf.pii.key"
+#: What the query takes where no key is set, as on test data.  It is public, so it hides nothing.
+TEST_KEY = b"test tables only"
 ROUNDS = 8
+#: Country codes of one and of two digits; all others have three.
+ONE_DIGIT_CODES = "1 7".split()
+TWO_DIGIT_CODES = "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _TRIGGER = re.compile(r"[0-9@]|[\"']\s*[:=]|[:=]\s*[\"']")
 PATTERNS = [
@@ -132,6 +143,11 @@ def _iban_check(country: str, account: str) -> str:
     return f"{98 - number % 97:02d}"
 
 
+def code_length(digits: str) -> int:
+    """Digits of the country code of an international number, whatever its separators."""
+    return 1 if digits[:1] in ONE_DIGIT_CODES else 2 if digits[:2] in TWO_DIGIT_CODES else 3
+
+
 def _pseudonym(kind: str, value: str, perm: Permutation, back: bool) -> str | None:
     """The value's pseudonym (or original), or None where it isn't valid."""
     if kind == "card":
@@ -159,11 +175,9 @@ def _pseudonym(kind: str, value: str, perm: Permutation, back: bool) -> str | No
         digits = re.sub(r"\D", "", value)
         if not 8 <= len(digits) <= 15:
             return None
-        lead = re.match(r"\+(\d{1,3}?)(?=\D|\d{8,12}$|\d)", value) if value[0] == "+" else None
-        code = re.match(r"\+(\d{1,3})[ .(-]", value)
-        keep = len(code.group(1)) if code else (1 if lead else 0)
-        n = len(digits) - keep
-        return _refill(value, digits[:keep] + str(perm.apply(int(digits[keep:]), 10**n, f"phone{digits[:keep]}", back)).zfill(n))
+        keep = code_length(digits) if value[0] == "+" else 0
+        n, code = len(digits) - keep, digits[:keep] if keep else "1" * (len(digits) == 10)
+        return _refill(value, digits[:keep] + str(perm.apply(int(digits[keep:]), 10**n, f"phone{code}", back)).zfill(n))
     if kind == "date":
         parts = re.split(r"[-/.]", value)
         y, m, d = (0, 1, 2) if len(parts[0]) == 4 else (2, 1, 0)
@@ -276,10 +290,10 @@ def pseudonymise(text: str, perm: Permutation, back: bool = False) -> tuple[str,
     return "".join(out) + text[at:], spans
 
 
-def pseudonymise_documents(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col: str = "text", back: bool = False) -> DataFrame:
-    """All columns of ``docs`` with the text pseudonymised, plus ``n_private`` and ``kinds``."""
-    docs = docs.drop("n_private", "kinds")
-    schema = StructType(docs.schema.fields + [StructField("n_private", LongType()), StructField("kinds", StringType())])
+def pseudonymise_documents(docs: DataFrame, key: bytes, text_col: str = "text", back: bool = False, outputs: tuple[str, str] = ("n_private", "kinds")) -> DataFrame:
+    """All columns of ``docs`` with the text pseudonymised, plus how many values were found and their kinds."""
+    docs = docs.drop(*outputs)
+    schema = StructType(docs.schema.fields + [StructField(outputs[0], LongType()), StructField(outputs[1], StringType())])
 
     def run(batches):
         perm = Permutation(key)
@@ -287,11 +301,14 @@ def pseudonymise_documents(docs: DataFrame, key: bytes = DEFAULT_KEY, text_col:
             done = [(None, []) if t is None else pseudonymise(t, perm, back) for t in batch.column(text_col).to_pylist()]
             at = batch.schema.get_field_index(text_col)
             batch = batch.set_column(at, text_col, pa.array([t for t, _ in done], batch.schema.field(at).type))
-            batch = batch.append_column("n_private", pa.array([len(s) for _, s in done], pa.int64()))
-            yield batch.append_column("kinds", pa.array([",".join(sorted({k for _, _, k in s})) for _, s in done], pa.string()))
+            batch = batch.append_column(outputs[0], pa.array([len(s) for _, s in done], pa.int64()))
+            yield batch.append_column(outputs[1], pa.array([",".join(sorted({k for _, _, k in s})) for _, s in done], pa.string()))
 
     return docs.mapInArrow(run, schema)
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:
-    return pseudonymise_documents(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_private", "kinds", "text")
+    set_key = spark.conf.get(KEY_SETTING, None)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    hidden = pseudonymise_documents(docs, set_key.encode() if set_key else TEST_KEY)
+    return hidden.select("doc_id", "n_private", "kinds", "text")

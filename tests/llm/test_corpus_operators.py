@@ -207,9 +207,9 @@ def test_pii_round_trip_and_links(spark):
     assert pii.pseudonymise(hidden, perm, back=True)[0] == text
     first, second = [re.sub(r"\D", "", hidden[a:b]) for a, b, k in pii.find(hidden) if k == "card"]
     assert first == second
-    got = {r.doc_id: r for r in pii.pseudonymise_documents(docs(spark)).collect()}
+    got = {r.doc_id: r for r in pii.pseudonymise_documents(docs(spark), b"key").collect()}
     assert got[1].text is None and got[1].n_private == 0 and got[2].text == ""
-    assert pii.pseudonymise_documents(docs(spark, [])).count() == 0
+    assert pii.pseudonymise_documents(docs(spark, []), b"key").count() == 0
 
 
 def test_mixing_counts(spark):
