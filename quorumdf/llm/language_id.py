@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import table, whole_text, written
-from .lm_scoring import interpolated_losses
 from .symbols import SIZE, codes
 
 ORDER = 3
@@ -87,6 +86,24 @@ def _count(batches):
         yield pd.DataFrame({"lang": lang, "code": code, "n": dense[code]})
 
 
+def interpolated_losses(code: np.ndarray, n: np.ndarray, at: np.ndarray, order: int, mixture: tuple) -> np.ndarray:
+    """Loss (nats) of the last symbol of each code in ``at`` under interpolated counts."""
+    total = np.full(len(at), mixture[-1] / SIZE)
+    for k, weight in zip(range(order, 0, -1), mixture):
+        modulus = SIZE**k
+        gram = np.bincount(code % modulus, n, minlength=modulus) if k <= 3 else None
+        if gram is None:
+            spot = np.searchsorted(code, at)
+            spot = np.minimum(spot, max(0, len(code) - 1))
+            hit = np.where(code[spot] == at, n[spot], 0) if len(code) else np.zeros(len(at))
+        else:
+            hit = gram[at % modulus]
+        history = np.bincount(code // SIZE % (modulus // SIZE), n, minlength=modulus // SIZE) if k > 1 else np.array([n.sum()])
+        seen = history[at // SIZE % (modulus // SIZE)] if k > 1 else history[np.zeros(len(at), np.int64)]
+        total += weight * np.divide(hit, seen, out=np.full(len(at), 1 / SIZE), where=seen > 0)
+    return -np.log(total)
+
+
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log probabilities by trigram and language) from all documents."""
     rows = docs.filter("lang is not null").select("lang", whole_text().alias("text"))

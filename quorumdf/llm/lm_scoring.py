@@ -1,167 +1,349 @@
-"""Cross-entropy difference: a target and a background n-gram model per symbol.
-
-``op9_lm_scoring`` scores by the corpus's own words, see ``token_lm``, whose
-counts grow with the corpus.  The functions here are the byte-class variant, of
-which that takes the orders and weights.
-
-Method.  The target model counts the documents that ``labels`` marks as good
-(quality 1), the background model counts all documents.  Both are interpolated
-4-gram models over the one vocabulary of ``symbols``, so a table has at most
-64 ** 4 entries however large the corpus is; counts cover every document.  A
-document's score is the mean over its symbols of the target's loss minus the
-background's: lower means closer to the target.
-
-Counting: each map task sums the n-grams of its batches with numpy (the local
-combine), the sums are added by a grouped aggregation, and the finished table of
-at most 64 ** 4 rows goes to the tasks as one broadcast of a proven size bound
-(32 bits per entry, 64 MB).
-
-Defined results: null and empty texts have no symbols and score 0; rows that
-repeat an id are scored each; with no target document the target is the
-background and every difference is 0; an empty table gives none.
+"""Cross-entropy difference of two 4-gram models over the corpus's own words.
+
+Method.  A token is a word, a single letter of a script written without spaces,
+or any other single character that isn't white space; case is kept and no token
+is folded or left out.  The background model counts all documents, the target
+model those that the labels mark, so what is gathered grows with the corpus.  The
+two are matched: one vocabulary (all distinct tokens of the corpus), the same
+orders, weights and uniform part, and neither has seen the document that it
+scores: a document's own counts are taken off before.  A document's score is the
+mean over its tokens of the target's loss minus the background's, in nats: lower
+means closer to the target.  A document that occurs twice is foretold by its copy,
+so its background loss stands apart.
+
+Every text counts as: start mark, tokens, end mark.  The count of a history is
+therefore that of the n-gram that ends one place before.  The marks are counted
+but not scored.
+
+Counting and lookup are exchanges of packed messages, and nothing is broadcast or
+collected.  Documents are dealt into blocks by id, n-grams into buckets by a
+hash of ``BITS`` bits.  A block sends each bucket the sorted distinct hashes that
+it has there, with their counts; the bucket adds the counts of all blocks and
+answers each with the sums, in its own order.  A frequent n-gram is thus one entry
+per block.  There are two such rounds.  The first is of words and bigrams.  An
+n-gram occurs in another document only if all its bigrams do, so the second round
+leaves out those higher n-grams whose count without the document's own is 0
+anyway: the losses are the same as if every n-gram were sent.  Two n-grams of a
+corpus of 1e9 distinct ones share a hash with a chance of 4e-6 each; then their
+counts are added.
+
+Defined results: null texts and texts of white space have no tokens and score 0;
+rows that repeat an id are scored each, and a row sees the others; rows of one
+hot id are dealt over ``SALTS`` blocks by their texts; with no target document
+every difference is 0; very long texts are read whole; other columns are ignored,
+whatever their names; an empty table gives none.
 """
 
 from __future__ import annotations
 
-import uuid
+import functools
 
 import numpy as np
 import pandas as pd
+import regex
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, whole_text
-from .symbols import SIZE, codes
+from .common import shuffle_partitions, table, whole_text
 
 ORDER = 4
 #: Weights of the orders 4, 3, 2, 1 and of the uniform model.
 MIX = (0.55, 0.27, 0.12, 0.055, 0.005)
-PIECE = 4 << 20
-
-
-def _count(batches):
-    """Sums of n-gram codes per model (0 background, 1 target) over a task's texts."""
-    dense = np.zeros((2, SIZE**ORDER), np.int32)
-    held: list[list[np.ndarray]] = [[], []]
-    size, total = 0, 0
-
-    def add():
-        for model in (0, 1):
-            if held[model]:
-                dense[model] += np.bincount(np.concatenate(held[model]), minlength=SIZE**ORDER).astype(np.int32)
-                held[model].clear()
-
-    def rows():
-        for model in (0, 1):
-            code = np.flatnonzero(dense[model])
-            if len(code):
-                yield pd.DataFrame({"model": model, "code": code, "n": dense[model][code].astype(np.int64)})
-
-    for pdf in batches:
-        for text, target in zip(pdf["text"], pdf["target"]):
-            raw = text.encode("utf-8", "surrogatepass")
-            for at in range(0, len(raw), PIECE):
-                lead = min(at, ORDER - 1)
-                code = codes(raw[at - lead : at + PIECE], ORDER)[lead:]
-                held[int(target)].append(code)
-                size += len(code)
-                if size >= PIECE:
-                    add()
-                    total, size = total + size, 0
-                    if total > 1 << 30:  # before a 32-bit sum could run over
-                        yield from rows()
-                        dense[:] = 0
-                        total = 0
-    add()
-    yield from rows()
-
-
-def ngram_counts(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """code, all, good: how often an n-gram is in all documents and in the target's (null: never)."""
-    # The marks grow with the corpus, so they are merged by id at every size and never broadcast.
-    marks = target_ids.select(F.col("doc_id").alias(id_col), F.lit(True).alias("target")).distinct()
-    rows = docs.select(id_col, whole_text(text_col).alias("text")).join(marks.hint("merge"), id_col, "left")
-    rows = rows.select("text", F.coalesce("target", F.lit(False)).alias("target"))
-    # a target document is held once; the background is the sum of both
-    sums = rows.mapInPandas(_count, "model int, code long, n long").groupBy("code").agg(
-        F.sum("n").alias("all"), F.sum(F.when(F.col("model") == 1, F.col("n"))).alias("good")
-    )
-    return sums
-
-
-def interpolated_losses(code: np.ndarray, n: np.ndarray, at: np.ndarray, order: int = ORDER, mixture: tuple = MIX) -> np.ndarray:
-    """Loss (nats) of the last symbol of each code in ``at`` under interpolated counts."""
-    total = np.full(len(at), mixture[-1] / SIZE)
-    for k, weight in zip(range(order, 0, -1), mixture):
-        modulus = SIZE**k
-        gram = np.bincount(code % modulus, n, minlength=modulus) if k <= 3 else None
-        if gram is None:
-            spot = np.searchsorted(code, at)
-            spot = np.minimum(spot, max(0, len(code) - 1))
-            hit = np.where(code[spot] == at, n[spot], 0) if len(code) else np.zeros(len(at))
-        else:
-            hit = gram[at % modulus]
-        history = np.bincount(code // SIZE % (modulus // SIZE), n, minlength=modulus // SIZE) if k > 1 else np.array([n.sum()])
-        seen = history[at // SIZE % (modulus // SIZE)] if k > 1 else history[np.zeros(len(at), np.int64)]
-        total += weight * np.divide(hit, seen, out=np.full(len(at), 1 / SIZE), where=seen > 0)
-    return -np.log(total)
-
-
-def difference_table(counts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(codes, target loss, background loss) for every code that any document has."""
-    counts = counts.sort_values("code")
-    code, n = counts["code"].to_numpy(np.int64), counts["all"].to_numpy(np.float64)
-    background = interpolated_losses(code, n, code)
-    good = counts[counts["good"].notna()]
-    if not len(good):
-        return code, background, background
-    return code, interpolated_losses(good["code"].to_numpy(np.int64), good["good"].to_numpy(np.float64), code), background
-
-
-_DENSE: dict[str, np.ndarray] = {}
-
-
-def _dense(name: str, shared) -> np.ndarray:
-    """The two losses side by side by code, unpacked once per process."""
-    if name not in _DENSE:
-        code, target, background = shared.value
-        both = np.zeros((SIZE**ORDER, 2), np.float32)
-        both[code, 0], both[code, 1] = target, background
-        _DENSE.clear()
-        _DENSE[name] = both
-    return _DENSE[name]
-
-
-def score_documents(docs: DataFrame, counts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_symbols, target_loss, background_loss, score for every document."""
-    spark = docs.sparkSession
-    code, target, background = difference_table(counts.toPandas())
-    shared = spark.sparkContext.broadcast((code.astype(np.int32), target.astype(np.float32), background.astype(np.float32)))
-    rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    name = uuid.uuid4().hex
-
-    def run(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            value, out = _dense(name, shared), np.zeros((len(pdf), 3))
-            for i, text in enumerate(pdf["text"]):
-                raw = text.encode("utf-8", "surrogatepass")
-                sums = np.zeros(2)
-                for at in range(0, len(raw), 1 << 20):
-                    lead = min(at, ORDER - 1)
-                    sums += value[codes(raw[at - lead : at + (1 << 20)], ORDER)[lead:]].sum(axis=0, dtype=np.float64)
-                if raw:
-                    out[i] = len(raw), *(sums / len(raw))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_symbols": out[:, 0].astype(np.int64), "target_loss": out[:, 1], "background_loss": out[:, 2], "score": out[:, 1] - out[:, 2]})
-
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInPandas(run, f"doc_id {kind}, n_symbols long, target_loss double, background_loss double, score double")
+#: Blocks and buckets per shuffle partition: what one of them holds stays small.
+SPREAD = 3
+SALTS = 16
+BITS = 48
+_UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
+_WORD = rf"(?V1)[[\p{{L}}\p{{M}}\p{{N}}_]--[{_UNSPACED}]]+"
+_SINGLE = rf"(?V1)[\S--[[\p{{L}}\p{{M}}\p{{N}}_]--[{_UNSPACED}]]]+"
+_U = np.uint64
+_DROP = _U(64 - BITS)
+_START, _END = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
+_ODD = [_U(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
+_P = 0x9E3779B97F4A7C15
+MESSAGE = "block int, bucket int, body binary"
+
+
+# --- packed arrays -----------------------------------------------------------
+
+
+def pack(*arrays: np.ndarray) -> bytes:
+    """Arrays of unsigned numbers, each by planes of its bytes, compressed together."""
+    sizes = np.array([len(a) for a in arrays], np.uint32)
+    planes = [np.ascontiguousarray(a, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
+    return zstandard.compress(sizes.tobytes() + b"".join(planes), 1)
+
+
+def unpack(body: bytes, n: int) -> list[np.ndarray]:
+    raw = zstandard.decompress(body)
+    out, at = [], 4 * n
+    for size in np.frombuffer(raw, np.uint32, n).tolist():
+        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * size, at).reshape(8, size).T).view(np.uint64).ravel())
+        at += 8 * size
+    return out
+
+
+def _steps(hashes: np.ndarray) -> np.ndarray:
+    return np.diff(hashes, prepend=_U(0))
+
+
+def _unsteps(steps: np.ndarray) -> np.ndarray:
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+# --- tokens and n-grams of a block -------------------------------------------
+
+
+@functools.lru_cache(None)
+def _classes() -> np.ndarray:
+    """Of every code point: 0 white space, 1 part of a word, 2 a token of its own."""
+    points = np.r_[0:0xD800, 0xE000:0x110000].astype(np.uint32)
+    every = points.tobytes().decode("utf-32-le")
+    out = np.zeros(0x110000, np.uint8)
+    out[0xD800:0xE000] = 2
+    for kind, pattern in ((1, _WORD), (2, _SINGLE)):
+        for m in regex.finditer(pattern, every):
+            out[points[m.start() : m.end()]] = kind
+    return out
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> _U(30))) * _ODD[0]
+    x = (x ^ (x >> _U(27))) * _ODD[1]
+    return x ^ (x >> _U(31))
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    p = np.full(n, base, _U)
+    p[:1] = 1
+    return np.cumprod(p, dtype=_U)
+
+
+def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the tokens of all texts, one after another, and how many each has."""
+    spans = np.array([len(t) + 1 for t in texts], np.int64)
+    point = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _classes()[point]
+    word = kind == 1
+    starts = np.flatnonzero((kind == 2) | (word & ~np.r_[False, word[:-1]]))
+    ends = np.flatnonzero((kind == 2) | (word & ~np.r_[word[1:], False])) + 1
+    sums = np.zeros(len(point) + 1, _U)
+    np.cumsum(_mix(point.astype(_U) + _ODD[3]) * _powers(_P, len(point)), dtype=_U, out=sums[1:])
+    back = _powers(pow(_P, -1, 1 << 64), len(point))
+    value = _mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(_U) * _ODD[2])
+    owner = np.searchsorted(np.cumsum(spans), starts, "right")
+    return value, np.bincount(owner, minlength=len(texts))
+
+
+class Grams:
+    """The distinct n-grams of some places, how often each is there, and how often in the text of a place."""
+
+    def __init__(self, hashes: np.ndarray, text: np.ndarray, good: np.ndarray):
+        order = np.argsort(hashes, kind="stable")  # equal ones stay in the order of the texts
+        s, t = hashes[order], text[order]
+        new = np.r_[True, s[1:] != s[:-1]][: len(s)]
+        begin = np.flatnonzero(new)
+        self.known = s[begin]
+        self.all = np.diff(np.r_[begin, len(s)])
+        self.good = np.add.reduceat(good[order].astype(np.int64), begin) if len(s) else self.all
+        self.at = np.empty(len(s), np.int64)
+        self.at[order] = np.cumsum(new) - 1
+        run = np.flatnonzero(new | np.r_[True, t[1:] != t[:-1]][: len(s)])
+        size = np.diff(np.r_[run, len(s)])
+        self.own = np.empty(len(s), np.int64)
+        self.own[order] = np.repeat(size, size)
+
+
+class Block:
+    """The n-grams that end at every place of the texts of a block."""
+
+    def __init__(self, texts: list[str], good: np.ndarray):
+        value, self.sizes = tokens(texts)
+        spans = np.where(self.sizes > 0, self.sizes + 2, 0)  # a text without tokens has no marks either
+        begin = np.cumsum(spans) - spans
+        self.text = np.repeat(np.arange(len(texts)), spans)
+        place = np.arange(len(self.text)) - begin[self.text]
+        self.start = place == 0
+        self.scored = ~self.start & (place <= self.sizes[self.text])
+        self.is_good = good
+        self.good = good[self.text]
+        token = np.full(len(self.text), _START)
+        token[self.scored] = value
+        token[place == self.sizes[self.text] + 1] = _END
+        gram, self.hashes = token, [token >> _DROP]
+        for k in range(1, ORDER):
+            before = np.full(len(token), _START)  # before the start are more start marks
+            before[k:] = np.where(place[k:] >= k, token[: len(token) - k], _START)
+            gram = _mix(gram * _ODD[2] + _mix(before + _U(k)))
+            self.hashes.append(gram >> _DROP)
+
+    def grams(self, k: int) -> Grams:
+        return Grams(self.hashes[k], self.text, self.good)
+
+    def worth_sending(self, bigrams: Grams, sums: np.ndarray) -> list[np.ndarray]:
+        """The places whose 3-gram, and those whose 4-gram, has only bigrams that another document has, too."""
+        shared = sums[bigrams.at].astype(np.int64) > bigrams.own
+        # before its start a text has only pairs of start marks
+        one = np.where(self.start, True, np.roll(shared, 1))
+        two = np.where(self.start | np.roll(self.start, 1), True, np.roll(shared, 2))
+        return [shared & one, shared & one & two]
+
+    def mean_losses(self, others: list[np.ndarray], total: np.ndarray, vocabulary: int) -> np.ndarray:
+        """The mean loss (nats) of every text's tokens, by each place's counts in the other documents."""
+        chance = np.full(len(self.text), MIX[-1] / vocabulary)
+        for k, weight in zip(range(ORDER, 0, -1), MIX):
+            seen = np.roll(others[k - 2], 1) if k > 1 else total[self.text]
+            chance += weight * np.divide(others[k - 1], seen, out=np.full(len(seen), 1 / vocabulary), where=seen > 0)
+        sums = np.bincount(self.text[self.scored], -np.log(chance[self.scored]), minlength=len(self.sizes))
+        return sums / np.maximum(self.sizes, 1)
+
+
+# --- the exchanges -----------------------------------------------------------
+
+
+def _edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    """Where the buckets, equal ranges of the hashes, begin and end in a sorted array."""
+    cuts = np.array([(i << BITS) // buckets for i in range(1, buckets)], np.uint64)
+    return np.concatenate([[0], np.searchsorted(hashes, cuts), [len(hashes)]])
+
+
+def _block(rows: pd.DataFrame) -> tuple[Block, pd.Series]:
+    """The texts of a block in an order of their own, so that every exchange sees the same, and their ids."""
+    marks = set(rows.loc[rows["is_mark"], "id"])
+    docs = rows[~rows["is_mark"]].sort_values(["id", "text"], kind="stable", ignore_index=True)
+    good = docs["id"].isin(marks).to_numpy() & docs["id"].notna().to_numpy()
+    return Block(docs["text"].tolist(), good), docs["id"]
+
+
+def _messages(block: int, buckets: int, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
+    """One message per bucket with its share of each table of (hashes, counts in all, counts in the target)."""
+    cuts = [_edges(hashes, buckets) for hashes, _, _ in tables]
+    bodies = []
+    for i in range(buckets):
+        parts = []
+        for (hashes, every, good), cut in zip(tables, cuts):
+            at = slice(cut[i], cut[i + 1])
+            parts += [_steps(hashes[at]), every[at], good[at]]
+        bodies.append(pack(*parts))
+    return pd.DataFrame({"block": block, "bucket": np.arange(buckets), "body": bodies})
+
+
+_NOTHING = pd.DataFrame({"block": [], "bucket": [], "body": []})
+
+
+def _send_short(buckets: int):
+    def send(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        block, _ = _block(rows)
+        if not len(block.text):
+            return _NOTHING
+        return _messages(key[0], buckets, [(g.known, g.all, g.good) for g in (block.grams(0), block.grams(1))])
+
+    return send
+
+
+def _send_long(buckets: int):
+    def send(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+        if not len(answers):
+            return _NOTHING
+        block, _ = _block(rows)
+        _, (_, _, every, _) = _sums(answers, 2)
+        places = block.worth_sending(block.grams(1), every)
+        hashes = np.concatenate([block.hashes[k][p] for k, p in zip((2, 3), places)])
+        g = Grams(hashes, np.zeros(len(hashes), np.int64), np.concatenate([block.good[p] for p in places]))
+        return _messages(key[0], buckets, [(g.known, g.all, g.good)])
+
+    return send
+
+
+def _add(tables: int):
+    """Answers with the sums over all blocks; the first table's number of distinct hashes and its totals lead."""
+
+    def add(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(b, 3 * tables) for b in messages["body"]]
+        back, totals = [[] for _ in parts], np.zeros(3, np.uint64)
+        for t in range(tables):
+            hashes = [_unsteps(p[3 * t]) for p in parts]
+            known, at = np.unique(np.concatenate(hashes), return_inverse=True)
+            sums = []
+            for c in (1, 2):
+                total = np.zeros(len(known), np.uint64)
+                np.add.at(total, at, np.concatenate([p[3 * t + c] for p in parts]))
+                sums.append(total)
+            if t == 0:
+                real = known != _START >> _DROP
+                totals = np.array([real.sum(), sums[0][real].sum(), sums[1][real].sum()], np.uint64)
+            ends = np.cumsum([len(h) for h in hashes])[:-1]
+            for s in sums:
+                for own, share in zip(back, np.split(at, ends)):
+                    own.append(s[share])
+        return pd.DataFrame({"block": messages["block"], "bucket": messages["bucket"], "body": [pack(totals, *b) for b in back]})
+
+    return add
+
+
+def _sums(answers: pd.DataFrame, tables: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The totals, and per table the sums over all and over the target's documents, in the block's order."""
+    parts = [unpack(b, 1 + 2 * tables) for b in answers.sort_values("bucket")["body"]]
+    return np.sum([p[0] for p in parts], axis=0), [np.concatenate([p[i] for p in parts]) for i in range(1, 1 + 2 * tables)]
+
+
+def _score(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    block, ids = _block(rows)
+    background = target = np.zeros(len(ids))
+    if len(block.text):
+        short, long = answers[~answers["long"]], answers[answers["long"]]
+        (vocabulary, total, total_good), words_and_bigrams = _sums(short, 2)
+        _, higher = _sums(long, 1)
+        grams = [block.grams(k) for k in range(ORDER)]
+        places = block.worth_sending(grams[1], words_and_bigrams[2])
+        sent = Grams(np.concatenate([block.hashes[k][p] for k, p in zip((2, 3), places)]), np.zeros(sum(p.sum() for p in places), np.int64), np.zeros(sum(p.sum() for p in places), bool))
+        own_size = np.where(block.sizes > 0, block.sizes + 1, 0)
+
+        def losses(which: int, own: bool | np.ndarray, everything: int) -> np.ndarray:
+            others = []
+            for k in (0, 1):
+                others.append(words_and_bigrams[2 * k + which][grams[k].at].astype(np.float64) - own_part(grams[k].own, own))
+            spots = np.split(higher[which][sent.at].astype(np.float64), [places[0].sum()])
+            for k, p, found in zip((2, 3), places, spots):
+                counts = np.zeros(len(block.text))  # what wasn't sent is in no other document
+                counts[p] = found - own_part(grams[k].own, own)[p]
+                others.append(counts)
+            return block.mean_losses(others, everything - np.where(own, own_size, 0).astype(np.float64), int(vocabulary))
+
+        def own_part(counts: np.ndarray, own: bool | np.ndarray) -> np.ndarray:
+            return counts if own is True else np.where(own[block.text], counts, 0)
+
+        background = losses(0, True, int(total))
+        target = losses(1, block.is_good, int(total_good)) if total_good else background
+    return pd.DataFrame({"id": ids, "n_symbols": block.sizes, "target_loss": target, "background_loss": background, "score": target - background})
+
+
+def _dealt(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFrame:
+    """Documents and target marks by block: block, id, is_mark, text.  A mark goes to every block its id may be in."""
+    kind = docs.schema[id_col].dataType
+    block = lambda salt: F.pmod(F.xxhash64("id", salt), F.lit(blocks)).cast("int").alias("block")
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), whole_text(text_col).alias("text"))
+    rows = rows.select(block(F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")), "id", F.lit(False).alias("is_mark"), "text")
+    marks = target_ids.select(F.col("doc_id").cast(kind).cast("string").alias("id")).filter("id is not null")
+    marks = marks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    marks = marks.select(block(F.col("salt")), "id", F.lit(True).alias("is_mark"), F.lit(None).cast("string").alias("text")).distinct()
+    return rows.unionByName(marks)
+
+
+def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
+    """doc_id, n_symbols (tokens), target_loss, background_loss, score for every document."""
+    parts = parts or SPREAD * shuffle_partitions(docs.sparkSession)
+    by_block = _dealt(docs, target_ids, id_col, text_col, parts).groupBy("block")
+    short = by_block.applyInPandas(_send_short(parts), MESSAGE).groupBy("bucket").applyInPandas(_add(2), MESSAGE)
+    long = by_block.cogroup(short.groupBy("block")).applyInPandas(_send_long(parts), MESSAGE)
+    long = long.groupBy("bucket").applyInPandas(_add(1), MESSAGE)
+    answers = short.withColumn("long", F.lit(False)).unionByName(long.withColumn("long", F.lit(True)))
+    scored = by_block.cogroup(answers.groupBy("block")).applyInPandas(_score, "id string, n_symbols long, target_loss double, background_loss double, score double")
+    return scored.select(F.col("id").cast(docs.schema[id_col].dataType).alias("doc_id"), "n_symbols", "target_loss", "background_loss", "score")
 
 
 def op9_lm_scoring(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
-    from .token_lm import score_by_tokens
-
-    return score_by_tokens(docs, good)
+    return score_documents(docs, good)

@@ -10,7 +10,7 @@ import zlib
 
 import pytest
 
-from quorumdf.llm import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_cnn, syncmers
+from quorumdf.llm import bpe, exact_dedup, language_id, licenses, mixing, ngram_join, pii, quality_cnn, syncmers
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 ODD = [
@@ -304,19 +304,6 @@ def test_quality_chunks_do_not_change_the_score(monkeypatch):
     assert net.score([b"", text])[1] == pytest.approx(whole)
 
 
-def test_lm_difference(spark):
-    rows = [(i, "the cat sat on the mat " * 5, "en", "a", 1) for i in range(10)] + [(i, "ZZZ 123 !!! qqq " * 5, "en", "b", 1) for i in range(10, 20)] + [(30, None, None, None, None)]
-    df = docs(spark, rows)
-    good = spark.createDataFrame([(i,) for i in range(5)], "doc_id long")
-    counts = lm_scoring.ngram_counts(df, good)
-    assert counts.agg({"all": "sum"}).first()[0] == sum(len(t) for _, t, *_ in rows if t)
-    got = {r.doc_id: r for r in lm_scoring.score_documents(df, counts).collect()}
-    assert max(got[i].score for i in range(10)) < 0 < min(got[i].score for i in range(10, 20))
-    assert got[30].n_symbols == 0 and got[30].score == 0
-    none = lm_scoring.ngram_counts(df, good.limit(0))
-    assert {round(r.score, 9) for r in lm_scoring.score_documents(df, none).collect()} == {0.0}
-
-
 def test_language_fusion(spark):
     train = docs(spark, [(1, "the house and the tree of this town " * 20, "en", "a", 1), (2, "das Haus und der Baum der Stadt ist " * 20, "de", "a", 1), (3, None, None, None, None)])
     pages = [
