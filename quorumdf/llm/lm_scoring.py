@@ -19,13 +19,13 @@ Counting and lookup are exchanges of packed messages, and nothing is broadcast o
 collected.  Documents are dealt into blocks by id, n-grams into buckets by a
 hash of ``BITS`` bits.  A block sends each bucket the sorted distinct hashes that
 it has there, with their counts; the bucket adds the counts of all blocks and
-answers each with the sums, in its own order.  A frequent n-gram is thus one entry
-per block.  There are two such rounds.  The first is of words and bigrams.  An
-n-gram occurs in another document only if all its bigrams do, so the second round
-leaves out those higher n-grams whose count without the document's own is 0
-anyway: the losses are the same as if every n-gram were sent.  Two n-grams of a
-corpus of 1e9 distinct ones share a hash with a chance of 4e-6 each; then their
-counts are added.
+answers each with what the others have, in its own order.  A frequent n-gram is
+thus one entry per block.  There are three such rounds: words and bigrams, then
+3-grams, then 4-grams.  An n-gram occurs in another document only if both shorter
+n-grams within it do, so a round leaves out those whose count without the
+document's own is 0 anyway: the losses are the same as if every n-gram were sent.
+Two n-grams of a corpus of 1e9 distinct ones share a hash with a chance of 4e-6
+each; then their counts are added.
 
 Defined results: null texts and texts of white space have no tokens and score 0;
 rows that repeat an id are scored each, and a row sees the others; rows of one
@@ -40,6 +40,9 @@ import functools
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.ipc
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -53,6 +56,7 @@ MIX = (0.55, 0.27, 0.12, 0.055, 0.005)
 #: Blocks and buckets per shuffle partition: what one of them holds stays small.
 SPREAD = 3
 SALTS = 16
+PIECE = 48 << 20
 BITS = 48
 _UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
 _WORD = rf"(?V1)[[\p{{L}}\p{{M}}\p{{N}}_]--[{_UNSPACED}]]+"
@@ -69,18 +73,36 @@ MESSAGE = "block int, bucket int, body binary"
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of unsigned numbers, each by planes of its bytes, compressed together."""
-    sizes = np.array([len(a) for a in arrays], np.uint32)
-    planes = [np.ascontiguousarray(a, np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes() for a in arrays]
-    return zstandard.compress(sizes.tobytes() + b"".join(planes), 1)
+    """Arrays of unsigned numbers by planes of their bytes; empty planes are left out, others compressed each for itself."""
+    heads, bodies = [], []
+    for a in arrays:
+        raw = np.ascontiguousarray(a, np.uint64).view(np.uint8).reshape(-1, 8)
+        planes = int(a.max()).bit_length() + 7 >> 3 if len(a) else 0
+        heads += [len(a), planes]
+        for i in range(planes):
+            plane = raw[:, i].tobytes()
+            short = zstandard.compress(plane, 1) if len(plane) > 64 else plane
+            bodies.append(short if len(short) < len(plane) else plane)
+            heads.append(len(bodies[-1]))
+    return np.array(heads, np.uint32).tobytes() + b"".join(bodies)
 
 
 def unpack(body: bytes, n: int) -> list[np.ndarray]:
-    raw = zstandard.decompress(body)
-    out, at = [], 4 * n
-    for size in np.frombuffer(raw, np.uint32, n).tolist():
-        out.append(np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * size, at).reshape(8, size).T).view(np.uint64).ravel())
-        at += 8 * size
+    """The ``n`` arrays of a packed body."""
+    heads, shapes, at = np.frombuffer(body, np.uint32, len(body) // 4), [], 0
+    for _ in range(n):
+        size, planes = heads[at : at + 2].tolist()
+        shapes.append((size, heads[at + 2 : at + 2 + planes].tolist()))
+        at += 2 + planes
+    at *= 4
+    out = []
+    for size, shares in shapes:
+        raw = np.zeros((size, 8), np.uint8)
+        for i, share in enumerate(shares):
+            plane = body[at : at + share]
+            raw[:, i] = np.frombuffer(plane if share == size else zstandard.decompress(plane), np.uint8)
+            at += share
+        out.append(raw.view(np.uint64).ravel())
     return out
 
 
@@ -114,10 +136,16 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def _powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n, base, _U)
-    p[:1] = 1
-    return np.cumprod(p, dtype=_U)
+    """The first powers of a number, kept between blocks."""
+    if n > len(_POWERS.get(base, ())):
+        p = np.full(n + n // 4, base, _U)
+        p[:1] = 1
+        _POWERS[base] = np.cumprod(p, dtype=_U)
+    return _POWERS[base][:n]
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -178,16 +206,13 @@ class Block:
             gram = _mix(gram * _ODD[2] + _mix(before + _U(k)))
             self.hashes.append(gram >> _DROP)
 
-    def grams(self, k: int) -> Grams:
-        return Grams(self.hashes[k], self.text, self.good)
+    def grams(self, k: int, places: np.ndarray | slice = slice(None)) -> Grams:
+        """The n-grams of order k + 1 that end at the given places."""
+        return Grams(self.hashes[k][places], self.text[places], self.good[places])
 
-    def worth_sending(self, bigrams: Grams, sums: np.ndarray) -> list[np.ndarray]:
-        """The places whose 3-gram, and those whose 4-gram, has only bigrams that another document has, too."""
-        shared = sums[bigrams.at].astype(np.int64) > bigrams.own
-        # before its start a text has only pairs of start marks
-        one = np.where(self.start, True, np.roll(shared, 1))
-        two = np.where(self.start | np.roll(self.start, 1), True, np.roll(shared, 2))
-        return [shared & one, shared & one & two]
+    def before(self, known: np.ndarray) -> np.ndarray:
+        """The values of the places before; before its start a text has start marks alone, which say nothing."""
+        return np.where(self.start, True, np.roll(known, 1))
 
     def mean_losses(self, others: list[np.ndarray], total: np.ndarray, vocabulary: int) -> np.ndarray:
         """The mean loss (nats) of every text's tokens, by each place's counts in the other documents."""
@@ -208,28 +233,84 @@ def _edges(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(hashes, cuts), [len(hashes)]])
 
 
-def _block(rows: pd.DataFrame) -> tuple[Block, pd.Series]:
-    """The texts of a block in an order of their own, so that every exchange sees the same, and their ids."""
-    marks = set(rows.loc[rows["is_mark"], "id"])
-    docs = rows[~rows["is_mark"]].sort_values(["id", "text"], kind="stable", ignore_index=True)
-    good = docs["id"].isin(marks).to_numpy() & docs["id"].notna().to_numpy()
-    return Block(docs["text"].tolist(), good), docs["id"]
+def _block(rows: pd.DataFrame) -> tuple[Block, pa.Array]:
+    """The texts of a block in an order of their own, so that every round sees the same, and their ids."""
+    parts = pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in rows["body"]])
+    marks = parts.filter(pc.field("is_mark"))["id"]
+    docs = parts.filter(~pc.field("is_mark")).sort_by([("id", "ascending"), ("text", "ascending")])
+    good = pc.is_in(docs["id"], value_set=marks.combine_chunks()).to_numpy()
+    return Block(docs["text"].to_pylist(), good), docs["id"].to_pandas()
 
 
-def _messages(block: int, buckets: int, tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    """One message per bucket with its share of each table of (hashes, counts in all, counts in the target)."""
-    cuts = [_edges(hashes, buckets) for hashes, _, _ in tables]
+def _messages(block: int, buckets: int, tables: list[Grams]) -> pd.DataFrame:
+    """One message per bucket with its share of each table: hashes, counts in all and in the target's documents."""
+    cuts = [_edges(g.known, buckets) for g in tables]
     bodies = []
     for i in range(buckets):
         parts = []
-        for (hashes, every, good), cut in zip(tables, cuts):
+        for g, cut in zip(tables, cuts):
             at = slice(cut[i], cut[i + 1])
-            parts += [_steps(hashes[at]), every[at], good[at]]
+            parts += [_steps(g.known[at]), g.all[at], g.good[at]]
         bodies.append(pack(*parts))
     return pd.DataFrame({"block": block, "bucket": np.arange(buckets), "body": bodies})
 
 
-_NOTHING = pd.DataFrame({"block": [], "bucket": [], "body": []})
+def _add(tables: int):
+    """Answers with what the other blocks have; the first table's totals lead."""
+
+    def add(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpack(b, 3 * tables) for b in messages["body"]]
+        back, totals = [[] for _ in parts], np.zeros(3, np.uint64)
+        for t in range(tables):
+            hashes = [_unsteps(p[3 * t]) for p in parts]
+            known = np.unique(np.concatenate(hashes))
+            at = [np.searchsorted(known, h) for h in hashes]
+            for c in (1, 2):
+                total = np.zeros(len(known), np.uint64)
+                for p, a in zip(parts, at):
+                    total[a] += p[3 * t + c]  # a message has no hash twice
+                if t == 0:
+                    real = known != _START >> _DROP
+                    totals[0], totals[c] = real.sum(), total[real].sum()
+                for own, p, a in zip(back, parts, at):
+                    own.append(total[a] - p[3 * t + c])
+        return pd.DataFrame({"block": messages["block"], "bucket": messages["bucket"], "body": [pack(totals, *b) for b in back]})
+
+    return add
+
+
+class Known:
+    """What the rounds so far have told of a block: its n-grams, and their counts in the other documents."""
+
+    def __init__(self, rows: pd.DataFrame, answers: pd.DataFrame):
+        self.block, self.ids = _block(rows)
+        self.parts = {r: a.sort_values("bucket")["body"] for r, a in answers.groupby("round")}
+        #: Counts of each order at every place, by model: with the block's own documents, but not the place's own.
+        self.others: list[tuple[np.ndarray, np.ndarray]] = []
+        if len(self.block.text) and self.parts:
+            self._read(1, [slice(None), slice(None)])
+            while len(self.others) < ORDER and len(self.others) in self.parts:
+                self._read(len(self.others), [self.possible()])
+
+    def possible(self) -> np.ndarray:
+        """Places of the next order whose both shorter n-grams are in other documents, too."""
+        shared = self.others[-1][0] > 0
+        return shared & self.block.before(shared)
+
+    def _read(self, r: int, places: list) -> None:
+        parts = [unpack(b, 1 + 2 * len(places)) for b in self.parts[r]]
+        if r == 1:
+            self.vocabulary, self.total, self.total_good = np.sum([p[0] for p in parts], axis=0).tolist()
+        for i, at in enumerate(places):
+            g = self.block.grams(len(self.others), at)
+            good = self.block.is_good[self.block.text[at]]
+            counts = []
+            for which, mine, own in ((1, g.all, g.own), (2, g.good, np.where(good, g.own, 0))):
+                sums = np.concatenate([p[2 * i + which] for p in parts]).astype(np.int64) + mine
+                full = np.zeros(len(self.block.text))  # what wasn't sent is in no other document
+                full[at] = sums[g.at] - own
+                counts.append(full)
+            self.others.append(tuple(counts))
 
 
 def _send_short(buckets: int):
@@ -237,109 +318,87 @@ def _send_short(buckets: int):
         block, _ = _block(rows)
         if not len(block.text):
             return _NOTHING
-        return _messages(key[0], buckets, [(g.known, g.all, g.good) for g in (block.grams(0), block.grams(1))])
+        return _messages(key[0], buckets, [block.grams(0), block.grams(1)])
 
     return send
 
 
 def _send_long(buckets: int):
     def send(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        if not len(answers):
+        known = Known(rows, answers)
+        if not known.others:
             return _NOTHING
-        block, _ = _block(rows)
-        _, (_, _, every, _) = _sums(answers, 2)
-        places = block.worth_sending(block.grams(1), every)
-        hashes = np.concatenate([block.hashes[k][p] for k, p in zip((2, 3), places)])
-        g = Grams(hashes, np.zeros(len(hashes), np.int64), np.concatenate([block.good[p] for p in places]))
-        return _messages(key[0], buckets, [(g.known, g.all, g.good)])
+        return _messages(key[0], buckets, [known.block.grams(len(known.others), known.possible())])
 
     return send
 
 
-def _add(tables: int):
-    """Answers with the sums over all blocks; the first table's number of distinct hashes and its totals lead."""
-
-    def add(key: tuple, messages: pd.DataFrame) -> pd.DataFrame:
-        parts = [unpack(b, 3 * tables) for b in messages["body"]]
-        back, totals = [[] for _ in parts], np.zeros(3, np.uint64)
-        for t in range(tables):
-            hashes = [_unsteps(p[3 * t]) for p in parts]
-            known, at = np.unique(np.concatenate(hashes), return_inverse=True)
-            sums = []
-            for c in (1, 2):
-                total = np.zeros(len(known), np.uint64)
-                np.add.at(total, at, np.concatenate([p[3 * t + c] for p in parts]))
-                sums.append(total)
-            if t == 0:
-                real = known != _START >> _DROP
-                totals = np.array([real.sum(), sums[0][real].sum(), sums[1][real].sum()], np.uint64)
-            ends = np.cumsum([len(h) for h in hashes])[:-1]
-            for s in sums:
-                for own, share in zip(back, np.split(at, ends)):
-                    own.append(s[share])
-        return pd.DataFrame({"block": messages["block"], "bucket": messages["bucket"], "body": [pack(totals, *b) for b in back]})
-
-    return add
-
-
-def _sums(answers: pd.DataFrame, tables: int) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The totals, and per table the sums over all and over the target's documents, in the block's order."""
-    parts = [unpack(b, 1 + 2 * tables) for b in answers.sort_values("bucket")["body"]]
-    return np.sum([p[0] for p in parts], axis=0), [np.concatenate([p[i] for p in parts]) for i in range(1, 1 + 2 * tables)]
+_NOTHING = pd.DataFrame({"block": [], "bucket": [], "body": []})
 
 
 def _score(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    block, ids = _block(rows)
-    background = target = np.zeros(len(ids))
-    if len(block.text):
-        short, long = answers[~answers["long"]], answers[answers["long"]]
-        (vocabulary, total, total_good), words_and_bigrams = _sums(short, 2)
-        _, higher = _sums(long, 1)
-        grams = [block.grams(k) for k in range(ORDER)]
-        places = block.worth_sending(grams[1], words_and_bigrams[2])
-        sent = Grams(np.concatenate([block.hashes[k][p] for k, p in zip((2, 3), places)]), np.zeros(sum(p.sum() for p in places), np.int64), np.zeros(sum(p.sum() for p in places), bool))
-        own_size = np.where(block.sizes > 0, block.sizes + 1, 0)
-
-        def losses(which: int, own: bool | np.ndarray, everything: int) -> np.ndarray:
-            others = []
-            for k in (0, 1):
-                others.append(words_and_bigrams[2 * k + which][grams[k].at].astype(np.float64) - own_part(grams[k].own, own))
-            spots = np.split(higher[which][sent.at].astype(np.float64), [places[0].sum()])
-            for k, p, found in zip((2, 3), places, spots):
-                counts = np.zeros(len(block.text))  # what wasn't sent is in no other document
-                counts[p] = found - own_part(grams[k].own, own)[p]
-                others.append(counts)
-            return block.mean_losses(others, everything - np.where(own, own_size, 0).astype(np.float64), int(vocabulary))
-
-        def own_part(counts: np.ndarray, own: bool | np.ndarray) -> np.ndarray:
-            return counts if own is True else np.where(own[block.text], counts, 0)
-
-        background = losses(0, True, int(total))
-        target = losses(1, block.is_good, int(total_good)) if total_good else background
-    return pd.DataFrame({"id": ids, "n_symbols": block.sizes, "target_loss": target, "background_loss": background, "score": target - background})
+    known = Known(rows, answers)
+    block = known.block
+    background = target = np.zeros(len(known.ids))
+    if known.others:
+        own = np.where(block.sizes > 0, block.sizes + 1.0, 0)
+        background = block.mean_losses([a for a, _ in known.others], known.total - own, known.vocabulary)
+        target = background
+        if known.total_good:
+            target = block.mean_losses([g for _, g in known.others], known.total_good - np.where(block.is_good, own, 0), known.vocabulary)
+    return pd.DataFrame({"id": known.ids, "n_symbols": block.sizes, "target_loss": target, "background_loss": background, "score": target - background})
+
+
+def _packed(batches):
+    """Rows of a block as one compressed body, from as many rows as fit in PIECE bytes."""
+    held, size = [], 0
+
+    def flush():
+        rows = pa.Table.from_batches(held).sort_by("block")
+        block = rows["block"].to_numpy()
+        begin = np.flatnonzero(np.r_[True, block[1:] != block[:-1]])
+        bodies = []
+        for a, b in zip(begin, np.r_[begin[1:], len(block)]):
+            sink, part = pa.BufferOutputStream(), rows.slice(a, b - a).drop_columns(["block"])
+            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_table(part.combine_chunks())
+            bodies.append(sink.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(block[begin], pa.int32()), pa.array(bodies, pa.binary())], ["block", "body"])
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= PIECE:
+            yield flush()
+            held, size = [], 0
+    if sum(b.num_rows for b in held):
+        yield flush()
 
 
 def _dealt(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFrame:
-    """Documents and target marks by block: block, id, is_mark, text.  A mark goes to every block its id may be in."""
+    """Documents and target marks by block: block, body.  A mark goes to every block that its id may be in."""
     kind = docs.schema[id_col].dataType
     block = lambda salt: F.pmod(F.xxhash64("id", salt), F.lit(blocks)).cast("int").alias("block")
     rows = docs.select(F.col(id_col).cast("string").alias("id"), whole_text(text_col).alias("text"))
     rows = rows.select(block(F.pmod(F.xxhash64("text"), F.lit(SALTS)).cast("int")), "id", F.lit(False).alias("is_mark"), "text")
     marks = target_ids.select(F.col("doc_id").cast(kind).cast("string").alias("id")).filter("id is not null")
     marks = marks.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    marks = marks.select(block(F.col("salt")), "id", F.lit(True).alias("is_mark"), F.lit(None).cast("string").alias("text")).distinct()
-    return rows.unionByName(marks)
+    marks = marks.select(block(F.col("salt")), "id", F.lit(True).alias("is_mark"), F.lit("").alias("text"))
+    return rows.unionByName(marks).mapInArrow(_packed, "block int, body binary")
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """doc_id, n_symbols (tokens), target_loss, background_loss, score for every document."""
-    parts = parts or SPREAD * shuffle_partitions(docs.sparkSession)
-    by_block = _dealt(docs, target_ids, id_col, text_col, parts).groupBy("block")
-    short = by_block.applyInPandas(_send_short(parts), MESSAGE).groupBy("bucket").applyInPandas(_add(2), MESSAGE)
-    long = by_block.cogroup(short.groupBy("block")).applyInPandas(_send_long(parts), MESSAGE)
-    long = long.groupBy("bucket").applyInPandas(_add(1), MESSAGE)
-    answers = short.withColumn("long", F.lit(False)).unionByName(long.withColumn("long", F.lit(True)))
-    scored = by_block.cogroup(answers.groupBy("block")).applyInPandas(_score, "id string, n_symbols long, target_loss double, background_loss double, score double")
+    spark = docs.sparkSession
+    parts = parts or SPREAD * shuffle_partitions(spark)
+    by_block = lambda df: df.repartition(shuffle_partitions(spark), "block")  # noqa: E731  one exchange, used by every round
+    rows = by_block(_dealt(docs, target_ids, id_col, text_col, parts)).groupBy("block")
+    answers = None
+    for r in range(1, ORDER):
+        sent = rows.applyInPandas(_send_short(parts), MESSAGE) if r == 1 else rows.cogroup(answers.groupBy("block")).applyInPandas(_send_long(parts), MESSAGE)
+        answer = by_block(sent.groupBy("bucket").applyInPandas(_add(2 if r == 1 else 1), MESSAGE)).withColumn("round", F.lit(r))
+        answers = answer if answers is None else answers.unionByName(answer)
+    scored = rows.cogroup(answers.groupBy("block")).applyInPandas(_score, "id string, n_symbols long, target_loss double, background_loss double, score double")
     return scored.select(F.col("id").cast(docs.schema[id_col].dataType).alias("doc_id"), "n_symbols", "target_loss", "background_loss", "score")
 
 
