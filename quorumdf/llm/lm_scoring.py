@@ -20,7 +20,7 @@ collected.  Documents are dealt into blocks by id, n-grams into buckets by a
 hash of ``BITS`` bits.  A block sends each bucket the sorted distinct hashes that
 it has there, with their counts; the bucket adds the counts of all blocks and
 answers each with what the others have, in its own order.  A frequent n-gram is
-thus one entry per block.  There are three such rounds: words and bigrams, then
+thus one entry per block.  The number of blocks follows from the size of the texts alone.  There are three such rounds: words and bigrams, then
 3-grams, then 4-grams.  An n-gram occurs in another document only if both shorter
 n-grams within it do, so a round leaves out those whose count without the
 document's own is 0 anyway: the losses are the same as if every n-gram were sent.
@@ -53,8 +53,8 @@ from .common import shuffle_partitions, table, whole_text
 ORDER = 4
 #: Weights of the orders 4, 3, 2, 1 and of the uniform model.
 MIX = (0.55, 0.27, 0.12, 0.055, 0.005)
-#: Blocks and buckets per shuffle partition: what one of them holds stays small.
-SPREAD = 3
+#: Code points of text in a block on average; there are as many buckets as blocks, so neither grows with the corpus.
+BLOCK_CHARS = 5_000_000
 SALTS = 16
 PIECE = 48 << 20
 BITS = 48
@@ -390,7 +390,9 @@ def _dealt(docs: DataFrame, target_ids: DataFrame, id_col: str, text_col: str, b
 def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """doc_id, n_symbols (tokens), target_loss, background_loss, score for every document."""
     spark = docs.sparkSession
-    parts = parts or SPREAD * shuffle_partitions(spark)
+    if parts is None:
+        chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+        parts = 1 + chars // BLOCK_CHARS
     by_block = lambda df: df.repartition(shuffle_partitions(spark), "block")  # noqa: E731  one exchange, used by every round
     rows = by_block(_dealt(docs, target_ids, id_col, text_col, parts)).groupBy("block")
     answers = None
