@@ -1,24 +1,29 @@
 """Document fingerprints by closed syncmers, in DataFrame functions alone.
 
-Method.  A text of any length is a row of units: its runs of five code points,
-white space as one blank.  Of the k-mers of units, those are
-anchors whose minimal inner s-mer (by hash) lies at either edge.  Whether a
-k-mer is an anchor depends on nothing outside of it, so an edit moves or changes
-only the anchors that it touches.  ``with_anchors`` keeps every anchor with its
-position; the fingerprint has all distinct hashes in order, and the likeness of
-two texts is the Jaccard similarity of their whole anchor sets.
-``with_fingerprint`` is the sketch of the ``WIDTH`` smallest over words, which
-no query uses.
+Method.  A text of any length is a row of units: its words, single letters of
+scripts written without spaces, and single other characters; white space says
+nothing.  Of the k-mers of units, those are anchors whose minimal inner s-mer (by
+hash) lies at either edge.  Whether a k-mer is an anchor depends on nothing
+outside of it, so an edit moves or changes only the anchors that it touches.
+
+The fingerprint has every anchor with its position, counted in units.  Two texts
+match by position: an anchor is matched if the other text has it, too, at the
+same distance from the anchor before.  Distances instead of places make passages
+match wherever they stand.  The likeness of two texts is the Jaccard similarity
+of their sets of such placed anchors.
 
 Anchors are more than the text, so only texts are shuffled and the neighbour's
-anchors are made again.  Neighbours in id order are found without one global sort: quantiles of the ids
-cut the table into ranges, every range is ordered for itself, and the row at each
-cut is also sent to the range above, so texts are shuffled once.
+anchors are made again.  Neighbours in id order are found without one global sort:
+quantiles of the ids cut the table into ranges, every range is ordered for itself,
+and the row at each cut is also sent to the range above, so texts are shuffled
+once.  The ranges have names that Spark's hash deals evenly to the tasks.
 
 Defined results: null text is the empty text; texts with fewer than k units, or
-without an anchor, have the hash of the whole text as their one anchor; rows that
-repeat an id stand next to each other by their texts; a null id is the smallest;
-the only document of a table is its own neighbour; an empty table gives none.
+without an anchor, have the hash of all their units as their one anchor, at 0;
+rows that repeat an id stand next to each other by their texts; a null id is the
+smallest; the only document of a table is its own neighbour; very long texts are
+read whole; other columns are ignored, whatever their names; an empty table gives
+none.
 """
 
 from __future__ import annotations
@@ -26,81 +31,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACE, shuffle_partitions, table, whole_text
+from .common import shuffle_partitions, table, whole_text
 
 K, S = 5, 2
-SHORT = 40
-GRAM = 5
-WIDTH = 64
 RANGES_PER_PARTITION = 2
 LOWEST = -(1 << 63)
+_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+#: A letter of an unspaced script, a run of other letters, marks and numbers, or any other character but the six of white space.
+UNIT = rf"[{_UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}_&&[^{_UNSPACED}]]+|[^\x20\x09-\x0D]"
 
 
-def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: the sorted array of the smallest anchor hashes of column ``text``.
+def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Add ``out``: every anchor of column ``text`` as (hash, position), in the order of the text.
 
-    The steps are columns of their own, so that no lambda recomputes an array.
+    The steps are columns of their own, so that no lambda makes an array again.
     """
-    words, units, h, inner, middle, spots, anchors = (f"__{out}_{i}" for i in range(7))
-    df = df.withColumn(words, F.split(F.col(text), SPACE))
-    chars = F.split(F.col(text), "")
-    df = df.withColumn(words + "c", F.when(F.size(words) < SHORT, chars))
-    gram = lambda i: F.concat(*[F.get(F.col(words + "c"), i + j) for j in range(GRAM)])
-    df = df.withColumn(
-        units,
-        F.when(F.size(words) >= SHORT, F.col(words))
-        .when(F.size(words + "c") < GRAM, F.array(F.col(text)))
-        .otherwise(F.transform(F.sequence(F.lit(0), F.size(words + "c") - GRAM), gram)),
-    )
-    df = df.withColumn(h, F.transform(units, lambda u: F.xxhash64(u)))
+    h, inner, middle, spots = (f"__{out}_{i}" for i in range(4))
     at = lambda a, i: F.get(F.col(a), i)
-    df = df.withColumn(
-        inner, F.when(F.size(h) >= K, F.zip_with(F.col(h), F.slice(F.col(h), F.lit(S), F.size(h)), lambda x, y: F.xxhash64(x, y)))
-    )
-    # the middle of a k-mer's inner s-mers: the smaller of the second and the third
-    df = df.withColumn(middle, F.zip_with(F.slice(F.col(inner), 2, F.greatest(F.size(inner), F.lit(0))), F.slice(F.col(inner), 3, F.greatest(F.size(inner), F.lit(0))), lambda x, y: F.least(x, y)))
-    edge = lambda i: F.least(at(inner, i), at(inner, i + K - S)) <= at(middle, i)
-    # naming ``middle`` twice keeps the optimiser from moving it into the lambda
-    df = df.withColumn(spots, F.when((F.size(h) >= K) & (F.size(middle) > 0), F.filter(F.sequence(F.lit(0), F.size(h) - K), edge)))
-    df = df.withColumn(anchors, F.transform(spots, lambda i: F.xxhash64(*[at(h, i + j) for j in range(K)])))
-    found = F.slice(F.sort_array(F.array_distinct(anchors)), 1, WIDTH)
-    whole = F.array(F.xxhash64(text))
-    df = df.withColumn(out, F.when(F.size(F.coalesce(F.col(anchors), F.array())) > 0, found).otherwise(whole))
-    return df.drop(words, words + "c", units, h, inner, middle, spots, anchors)
-
-
-def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: every anchor of column ``text`` as (hash, position), by position in code points of the spaced text."""
-    spaced, chars, h, inner, middle, spots = (f"__{out}_{i}" for i in range(6))
-    df = df.withColumn(spaced, F.regexp_replace(F.col(text), SPACE, " ")).withColumn(chars, F.split(F.col(spaced), ""))
-    at = lambda a, i: F.get(F.col(a), i)
-    df = df.withColumn(
-        h, F.when(F.size(chars) >= GRAM + K - 1, F.transform(F.sequence(F.lit(0), F.size(chars) - GRAM), lambda i: F.xxhash64(*[at(chars, i + j) for j in range(GRAM)])))
-    )
+    df = df.withColumn(h, F.transform(F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)), lambda u: F.xxhash64(u)))
     df = df.withColumn(inner, F.zip_with(F.col(h), F.slice(F.col(h), F.lit(S), F.size(h)), lambda x, y: F.xxhash64(x, y)))
+    # the smaller of the two inner s-mers that lie at no edge
     df = df.withColumn(middle, F.zip_with(F.slice(F.col(inner), 2, F.size(inner)), F.slice(F.col(inner), 3, F.size(inner)), lambda x, y: F.least(x, y)))
     edge = lambda i: F.least(at(inner, i), at(inner, i + K - S)) <= at(middle, i)
-    df = df.withColumn(spots, F.when(F.col(h).isNotNull() & (F.size(middle) > 0), F.filter(F.sequence(F.lit(0), F.size(h) - K), edge)))
+    # naming ``middle`` twice keeps the optimiser from moving it into the lambda
+    df = df.withColumn(spots, F.when((F.size(h) >= K) & (F.size(middle) > 0), F.filter(F.sequence(F.lit(0), F.size(h) - K), edge)))
     one = lambda x, i: F.struct(x.alias("hash"), i.alias("position"))
     found = F.transform(spots, lambda i: one(F.xxhash64(*[at(h, i + j) for j in range(K)]), i))
-    whole = F.array(one(F.xxhash64(text), F.lit(0)))
-    return df.withColumn(out, F.when(F.size(F.coalesce(F.col(spots), F.array())) > 0, found).otherwise(whole)).drop(spaced, chars, h, inner, middle, spots)
+    whole = F.array(one(F.xxhash64(F.col(h)), F.lit(0)))
+    return df.withColumn(out, F.when(F.size(F.coalesce(F.col(spots), F.array())) > 0, found).otherwise(whole)).drop(h, inner, middle, spots)
 
 
-def with_hashes(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Add ``out``: the sorted distinct hashes of all anchors."""
-    df = with_anchors(df, text, f"__{out}")
-    return df.withColumn(out, F.sort_array(F.array_distinct(F.col(f"__{out}").getField("hash")))).drop(f"__{out}")
+def with_placed(df: DataFrame, anchors: str, out: str) -> DataFrame:
+    """Add ``out``: the distinct placed anchors, each a hash of the anchor's and its distance from the one before."""
+    before = F.concat(F.slice(F.col(anchors), 1, 1), F.slice(F.col(anchors), 1, F.size(anchors) - 1))
+    placed = F.zip_with(F.col(anchors), before, lambda x, y: F.xxhash64(x["hash"], x["position"] - y["position"]))
+    return df.withColumn(out, F.array_distinct(placed))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two sets of anchor hashes without repeats."""
+    """Jaccard similarity of two sets of placed anchors without repeats."""
     both = F.size(F.array_intersect(a, b))
     return both / (F.size(a) + F.size(b) - both)
 
 
-def as_text(fingerprint: Column) -> Column:
-    return F.array_join(F.transform(fingerprint, lambda x: F.lower(F.lpad(F.hex(x), 16, "0"))), "")
+def as_text(anchors: Column) -> Column:
+    """Anchors as ``position:hash``, with commas between."""
+    return F.array_join(F.transform(anchors, lambda x: F.concat(x["position"].cast("string"), F.lit(":"), x["hash"].cast("string"))), ",")
 
 
 def _below(cuts: list[int], key: Column) -> Column:
@@ -130,6 +106,18 @@ def id_cuts(ids: DataFrame, ranges: int) -> list[int]:
     return sorted(r.top for r in tops.collect())
 
 
+def range_names(spark, ranges: int, partitions: int) -> list[int]:
+    """Numbers for the ranges, such that Spark's hash partitioning deals as many to every task."""
+    each = -(-ranges // partitions)
+    tried = spark.range(64 * ranges + 64).select(F.col("id").cast("int").alias("name"))
+    rows = tried.select("name", F.pmod(F.hash("name"), F.lit(partitions)).alias("task")).collect()  # 64 numbers a range
+    by_task: dict[int, list[int]] = {}
+    for r in rows:
+        by_task.setdefault(r.task, []).append(r.name)
+    names = [names[i] for i in range(each) for names in by_task.values() if i < len(names)]
+    return (names + [r.name for r in rows if r.name not in set(names)])[:ranges]
+
+
 def with_next(docs: DataFrame, id_col: str, carried: list[str], ranges: int | None = None) -> DataFrame:
     """Add ``next_<c>`` for each carried column: its value in the next row by descending id.
 
@@ -144,15 +132,17 @@ def with_next(docs: DataFrame, id_col: str, carried: list[str], ranges: int | No
     at_cut = F.get(F.array(*map(F.lit, cuts)), F.col("range")) == F.col("key")
     copies = F.when(at_cut, F.array(F.struct(F.col("range").alias("r"), F.lit(0).alias("guest")), F.struct(((F.col("range") + 1) % n).alias("r"), F.lit(1).alias("guest"))))
     placed = placed.withColumn("__to", F.explode(copies.otherwise(F.array(F.struct(F.col("range").alias("r"), F.lit(0).alias("guest"))))))
-    placed = placed.withColumn("range", F.col("__to.r")).withColumn("guest", F.col("__to.guest")).drop("__to")
+    names = F.array(*map(F.lit, range_names(spark, n, shuffle_partitions(spark))))
+    placed = placed.withColumn("range", F.get(names, F.col("__to.r"))).withColumn("guest", F.col("__to.guest")).drop("__to")
     order = Window.partitionBy("range").orderBy("guest", F.col("key").desc(), F.col("tie"))
     return placed.withColumns({f"next_{c}": F.lead(c).over(order) for c in carried}).filter("guest = 0").drop("range", "guest")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_chars and the fingerprint as text, for every document."""
+    """doc_id, n_chars, the anchors as (hash, position) and as text, for every document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
-    return with_hashes(rows, "text", "fp").select("doc_id", F.length("text").cast("long").alias("n_chars"), as_text(F.col("fp")).alias("fingerprint"))
+    rows = with_anchors(rows, "text", "anchors")
+    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), "anchors", as_text(F.col("anchors")).alias("fingerprint"))
 
 
 def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,15 +154,15 @@ def edited_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - int(floor(length(text) / 3)))"), F.substring("next_text", F.lit(1), third)))
     rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     for text, fp in (("text", "fp"), ("next_text", "next_fp"), ("edited", "edited_fp")):
-        rows = with_hashes(rows, text, fp)
+        rows = with_placed(with_anchors(rows, text, fp), fp, f"{fp}_placed")
     return rows.select(
         "doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("fp")).alias("fingerprint"),
         as_text(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
-        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        likeness(F.col("fp_placed"), F.col("edited_fp_placed")).alias("near_edited"),
+        likeness(F.col("fp_placed"), F.col("next_fp_placed")).alias("near_next"),
     )
 
 

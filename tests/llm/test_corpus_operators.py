@@ -263,21 +263,6 @@ def test_fingerprints_and_neighbours(spark):
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
 
 
-def test_syncmers_equal_brute_force(spark):
-    rnd = random.Random(9)
-    text = " ".join(rnd.choice("abc") + str(rnd.randint(0, 9)) for _ in range(80))
-    rows = spark.createDataFrame([(w,) for w in text.split()], "w string").selectExpr("w", "xxhash64(w) h").distinct().collect()
-    h = {r.w: r.h for r in rows}
-    seq = [h[w] for w in text.split()]
-    pairs = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(zip(seq, seq[1:]))], "i int, a long, b long")
-    inner = [r.s for r in pairs.selectExpr("i", "xxhash64(a, b) s").orderBy("i").collect()]
-    at = [i for i in range(len(seq) - 4) if min(inner[i : i + 4]) in (inner[i], inner[i + 3])]
-    quint = spark.createDataFrame([(*seq[i : i + 5],) for i in at], "a long, b long, c long, d long, e long")
-    want = sorted({r.x for r in quint.selectExpr("xxhash64(a,b,c,d,e) x").collect()})[: syncmers.WIDTH]
-    df = syncmers.with_fingerprint(spark.createDataFrame([(text,)], "text string"), "text", "fp")
-    assert df.first().fp == want
-
-
 def test_quality_network_held_out(spark, tmp_path):
     rnd = random.Random(2)
     rows, labels = [], []
