@@ -13,13 +13,20 @@ compiled form keeps, per token, the two states that it was copied from and the
 rank at which that happened, plus the removed arcs with their ranks.  An arc is
 looked up in a transition table that is filled from this form on first use.
 
-Encoding reads a pre-split word by transitions: from each state the longest
-token on an open arc is taken, stepping back where a path ends.  A word has
-exactly one accepted path, which is the tokenisation that the merges define.
-Decoding emits the labels of the arcs.
-
-Only the pre-splitting pattern, the vocabulary file and special tokens are read
-from the tokenizer's JSON file; nothing is trained and the file is not copied.
+Encoding is deterministic.  A row of tokens that the merges give is one for each
+of its prefixes, too, so after every byte of a pre-split word the automaton is in
+exactly one state, the last token of the bytes so far.  Going from left to right,
+the state after a byte is the one token that ends there and that the table has as
+an open arc out of the state where it begins; nothing is tried again.  The path
+is then read from the last state back.  Decoding emits the labels of the arcs.
+
+The vocabulary, the merges and the special tokens are read from the tokenizer's
+JSON file; the pre-splitting pattern is the constant ``PRE_SPLIT``.  Nothing is
+trained and the file is not copied.
+
+Defined results: null and empty texts have no tokens; rows that repeat an id are
+encoded each, equal texts alike; texts and words of any length are read whole;
+other columns are ignored, whatever their names; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -39,6 +46,7 @@ from .common import table, whole_text
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHED_WORDS = 400_000
 CACHED_ARCS = 600_000
+_SHORT = (2, 1)
 
 
 def byte_symbols() -> dict[str, int]:
@@ -56,18 +64,23 @@ class MergeAutomaton:
         self.labels = {i: label for label, i in vocab.items()}
         self.special = dict(special or {})
         self.labels.update({i: s.encode("utf-8") for s, i in self.special.items()})
-        self.longest = max(map(len, vocab), default=1)
         self.born: dict[int, int] = {}  # state -> rank of the gadget that made it; bytes have none
         self.copied: dict[int, tuple[int, int]] = {}  # state ab -> (a, b)
         self.removed: dict[tuple[int, int], int] = {}  # arc b out of state a -> rank
         for rank, (a, b) in enumerate(merges):
             self._gadget(rank, vocab[a], vocab[b], vocab[a + b])
         self.arcs: dict[tuple[int, int], bool] = {}
-        #: Tokens that are a path of one arc: their two parts were still apart at their birth.
-        self.reachable = {
-            label: i for label, i in vocab.items()
-            if (i in self.copied and self._resolve(*self.copied[i], self.born[i])) or (i not in self.copied and len(label) == 1)
-        }
+        #: Tokens that are a path of one arc: both parts are, and they were still apart at the token's birth.
+        self.reachable = {label: i for label, i in vocab.items() if i not in self.copied and len(label) == 1}
+        for i, (a, b) in self.copied.items():  # by rank
+            if self.labels[a] in self.reachable and self.labels[b] in self.reachable and self._resolve(a, b, self.born[i]):
+                self.reachable[self.labels[i]] = i
+        #: Sizes of the tokens that end in three bytes, from the longest; a shorter one may always end there.
+        by_last: dict[bytes, set[int]] = {}
+        for label in self.reachable:
+            if len(label) > 2:
+                by_last.setdefault(label[-3:], set()).add(len(label))
+        self.sizes = {last: (*sorted(x, reverse=True), 2, 1) for last, x in by_last.items()}
         self.words = _Words(self)
 
     def _gadget(self, rank: int, a: int, b: int, ab: int) -> None:
@@ -108,39 +121,36 @@ class MergeAutomaton:
 
     def encode_word(self, word: bytes) -> list[int]:
         """The one accepted path of a pre-split word."""
-        ids, arcs, size = self.reachable, self.arcs, len(word)
+        ids, arcs, sizes = self.reachable, self.arcs, self.sizes
         whole = ids.get(word)
         if whole is not None:
             return [whole]
-        path: list[int] = []
-        starts: list[int] = []
-        dead: set[tuple[int, int]] = set()  # (position, state) from which no path leads on
-        at, state = 0, -1
-        end = min(size, self.longest)
-        while at < size:
-            while end > at:
-                token = ids.get(word[at:end])
-                if token is not None:
-                    if state < 0:
-                        is_open = True
-                    else:
-                        is_open = arcs.get((state, token))
-                        if is_open is None:
-                            is_open = self.has_arc(state, token)
-                    if is_open and not (dead and (end, token) in dead):
-                        break
-                end -= 1
-            if end > at:
-                path.append(token)
-                starts.append(at)
-                state, at = token, end
-                end = min(size, at + self.longest)
-                continue
-            if not path:
+        states, begins = [-1], [0]  # the state after each prefix, and where its token begins
+        for end in range(1, len(word) + 1):
+            for size in sizes.get(word[end - 3 : end], _SHORT) if end > 2 else _SHORT:
+                begin = end - size
+                if begin < 0:
+                    continue
+                token = ids.get(word[begin:end])
+                if token is None:
+                    continue
+                state = states[begin]
+                if begin:
+                    is_open = arcs.get((state, token))
+                    if is_open is None:
+                        is_open = self.has_arc(state, token)
+                    if not is_open:
+                        continue
+                states.append(token)
+                begins.append(begin)
+                break
+            else:
                 raise ValueError("a byte of the word is not in the vocabulary")
-            dead.add((at, path.pop()))
-            end, at = at - 1, starts.pop()
-            state = path[-1] if path else -1
+        path, at = [], len(word)
+        while at:
+            path.append(states[at])
+            at = begins[at]
+        path.reverse()
         return path
 
     def encode(self, text: str) -> bytes:
@@ -219,7 +229,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encode_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", decode: bool = True, extra: list[str] | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", decode: bool = True) -> DataFrame:
     """Encode every whole text and decode it again, in Arrow batches on the executors.
 
     Returns doc_id, ids (binary, little-endian unsigned 32-bit), n_tokens and,

@@ -22,10 +22,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a local one only where none is set."""
+    """The shared folder named by the cluster; in local mode, as in tests, one of its own where none is set."""
     conf = spark.sparkContext.getConf()
     path = conf.get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = getattr(spark.sparkContext, "_quorumdf_scratch", None)
         if path is None:
             path = tempfile.mkdtemp(prefix="spark-", dir="/tmp")

@@ -17,7 +17,8 @@ Defined results: null and empty pages have no text evidence and follow the rest;
 a page with no evidence gets the overall share of languages; ties go to the
 language that sorts first; documents without a language are not counted; with no
 counted document the table's result has a null language; an empty table gives
-none; rows that repeat an id are judged each.
+none; rows that repeat an id are judged each; pages of any length are read whole;
+other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ priority (kind, then length, then order in the rule list) is dropped.  The base
 phrases are rules that nothing suppresses.
 
 Defined results: null and empty texts have no words, no labels and score 0;
-rows that repeat an id give one result row each; an empty table gives none.
+rows that repeat an id give one result row each; texts of any length are read
+whole; detections of equal place and rank stay by the order of the rules; other
+columns are ignored, whatever their names; an empty table gives none.
 """
 
 from __future__ import annotations

@@ -28,7 +28,9 @@ a chance below 1e-13.
 Defined results: null, empty and blank texts have no shingles and no links; with
 fewer than five words the whole sequence is the one shingle; rows that repeat a
 ``doc_id`` are nodes of one name, so their components are joined; rows with a
-null ``doc_id`` get their size and a null component; an empty table gives none.
+null ``doc_id`` get their size and a null component; texts of any length are read
+whole, one at a time; of linked documents the smallest id names the component;
+other columns are ignored, whatever their names; an empty table gives none.
 """
 
 from __future__ import annotations
