@@ -6,7 +6,8 @@ Stages keep the columns of ``documents``; the last one returns the tokens.
 
 Defined results: null and empty texts pass as empty texts do in each operator;
 rows that repeat an id and a text are reduced to one by the dedup stage; an empty
-table gives an empty result; extra columns are carried to the last stage.
+table gives an empty result; extra columns are carried unchanged to the last stage,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -15,14 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumdf.llm import bpe, exact_dedup, mixing, ngram_join, quality_cnn
-from quorumdf.llm.common import table, written
+from quorumdf.llm.common import free_name, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte-level network predicts to be good."""
     model = quality_cnn.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality_cnn.score_documents(docs, model)
-    return scored.filter(F.col("score") >= quality_cnn.THRESHOLD).select(*docs.columns)
+    score = free_name(docs.columns, "score")
+    scored = quality_cnn.score_documents(docs, model, out=score)
+    return scored.filter(F.col(score) >= quality_cnn.THRESHOLD).select(*docs.columns)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the sources' target weights, in random order."""
-    return mixing.replicate(docs).select(*docs.columns)
+    return mixing.mix(docs)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
