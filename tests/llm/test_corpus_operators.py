@@ -306,25 +306,3 @@ def test_language_fusion(spark):
     assert language_id.identify_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), docs(spark, [])).count() == 5
 
 
-def test_pipeline_equals_its_stages_by_brute_force(spark, tmp_path):
-    import corpus_pipeline
-
-    path, library = tokenizer()
-    rnd = random.Random(8)
-    rows = []
-    for i in range(160):
-        words = ["".join(rnd.choice("aeiourstln") for _ in range(rnd.randint(2, 8))) for _ in range(50)]
-        rows.append((i, " ".join(w + "***" for w in words) if i % 4 == 0 else " ".join(words), "en", f"s{i % 3}", 1))
-    rows += [(200 + i, rows[i + 1][1], "en", "s0", 1) for i in range(20)]  # exact copies
-    rows += [(300 + i, rows[i + 1][1] + " end", "en", "s1", 1) for i in range(20)]  # near copies
-    labels = spark.createDataFrame([(i, int(i % 4 != 0), 0) for i in range(160)], "doc_id long, quality int, toxic int")
-    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
-    labels.write.parquet(f"{tmp_path}/labels.parquet")
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
-    text = {i: t for i, t, *_ in rows}
-    kept = {r.doc_id for r in got}
-    assert kept <= {i for i in range(160) if i % 4}
-    for r in got:
-        ids = library.encode(text[r.doc_id], add_special_tokens=False).ids
-        assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
-        assert r.decoded_sha256 == hashlib.sha256(text[r.doc_id].encode()).hexdigest()
