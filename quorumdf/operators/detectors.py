@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Wording that marks staff, generic petitioners and titles.
-STAFF_WORDS = ["staff", "manager", "director", "planner", "engineer", "attorney", "clerk", "administrator", "department", "chief", "coordinator", "inspector", "superintendent"]
-GENERIC_PETITIONERS = ["applicant", "petitioner", "owner", "citizen", "resident", "unknown"]
-PARCEL = r"(?i)parcel\s+(?:id\s+)?(\d+[\s-]?\d*)"
+# Words that mark staff, generic petitioners, titles of staff, forms of parcels and of street addresses.
+STAFF_WORDS = ["director", "administrator", "attorney", "clerk", "manager", "engineer", "chief", "inspector", "coordinator", "secretary", "treasurer", "superintendent", "officer"]
+GENERIC_PETITIONERS = ["staff", "resident", "applicant", "petitioner", "unknown", "n/a"]
+STAFF_TITLES = [
+    "director", "administrator", "attorney", "clerk", "manager", "engineer", "chief", "inspector", "coordinator", "secretary", "treasurer",
+    "superintendent", "officer", "planner", "accountant", "auditor",
+]
+PARCEL = r"(?i)Parcel\s*(?:ID|No\.?|#)?\s*([A-Z]?\s?\d{2,4}[\s\-]\d{2,4}[A-Z]?)"
+STREETS = "Lane|Ln|Street|St|Avenue|Ave|Road|Rd|Drive|Dr|Court|Ct|Way|Boulevard|Blvd|Circle|Cir|Place|Pl|Parkway|Pkwy|Highway|Hwy"
+ADDRESS = rf"(?i)\b(\d{{1,5}}\s+[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:{STREETS})\b)"
 BUNDLE_TYPES = ["zoning_change", "ordinance"]
 RECONSIDER_TYPES = BUNDLE_TYPES + ["resolution"]
 
 
 def parcel_ids(title: Column) -> Column:
-    """Normalised parcel ids named in a text, distinct."""
-    found = F.regexp_extract_all(title, F.lit(PARCEL), 1)
-    return F.array_distinct(F.transform(found, lambda x: F.concat(F.lit("parcel:"), F.upper(F.regexp_replace(F.trim(x), r"\s+", " ")))))
+    """Normalised ids of the parcels and street addresses named in a text, distinct."""
+    def named(kind, pattern):
+        found = F.regexp_extract_all(title, F.lit(pattern), F.lit(1))
+        return F.transform(found, lambda x: F.concat(F.lit(f"{kind}:"), F.upper(F.regexp_replace(F.trim(x), r"\s+", " "))))
+
+    return F.array_distinct(F.concat(named("parcel", PARCEL), named("addr", ADDRESS)))
 
 
 def unanimity_rate(motion: DataFrame) -> DataFrame:
@@ -62,18 +71,26 @@ def development_bundle(motion: DataFrame) -> DataFrame:
     return per.filter("n_parcels >= 3").withColumn("severity", severity)
 
 
+def staff_words() -> Column:
+    """The staff words in the petitioner's name."""
+    return F.filter(F.array(*map(F.lit, STAFF_WORDS)), lambda w: F.lower(F.col("petitioner")).contains(w))
+
+
 def petitioner_is_staff(motion: DataFrame) -> DataFrame:
-    words = F.array(*map(F.lit, STAFF_WORDS))
-    hits = F.filter(words, lambda w: F.lower(F.col("petitioner")).contains(w))
-    return motion.withColumn("matched", hits).filter(F.size("matched") > 0).select("motion_id", F.array_join("matched", ",").alias("matched"), F.lit(2).alias("severity"))
+    return motion.withColumn("matched", staff_words()).filter(F.size("matched") > 0).select("motion_id", F.array_join("matched", ",").alias("matched"), F.lit(2).alias("severity"))
 
 
-def tally_mismatch(motion: DataFrame, vote: DataFrame) -> DataFrame:
-    """Declared totals that differ from the votes recorded; a null part of a tally excludes the motion."""
+def with_recorded(motion: DataFrame, vote: DataFrame) -> DataFrame:
+    """Motions with the sum of their declared tally and the number of votes recorded."""
     declared = F.col("tally_yes") + F.col("tally_no") + F.col("tally_abstain")
     cast = vote.groupBy("motion_id").agg(F.count(F.lit(1)).alias("recorded"))
-    rows = motion.withColumn("declared", declared).filter("declared > 0").join(cast, "motion_id", "left").fillna(0, ["recorded"])
-    return rows.filter("declared <> recorded").select("motion_id", "declared", "recorded")
+    return motion.withColumn("declared", declared).join(cast, "motion_id", "left").fillna(0, ["recorded"])
+
+
+def tally_mismatch(motion: DataFrame, vote: DataFrame) -> DataFrame:
+    """Declared totals that differ from the votes recorded; a null part of a tally excludes the motion."""
+    rows = with_recorded(motion, vote).filter("declared > 0 and declared <> recorded")
+    return rows.select("motion_id", "declared", "recorded")
 
 
 def short_motion_title(motion: DataFrame) -> DataFrame:
@@ -90,9 +107,13 @@ def low_confidence_meeting(meeting: DataFrame) -> DataFrame:
     return meeting.filter(F.col("meta").ilike("%unavailable%")).select("meeting_id", "body_id")
 
 
-def generic_petitioner(motion: DataFrame) -> DataFrame:
+def is_generic_petitioner() -> Column:
     low = F.lower(F.trim("petitioner"))
-    return motion.filter(low.isin(GENERIC_PETITIONERS + ["staff"]) | (F.length(low) < 3)).select("motion_id", low.alias("petitioner"), F.lit(1).alias("severity"))
+    return low.isin(GENERIC_PETITIONERS) | (F.length(low) < 3)
+
+
+def generic_petitioner(motion: DataFrame) -> DataFrame:
+    return motion.filter(is_generic_petitioner()).select("motion_id", F.lower(F.trim("petitioner")).alias("petitioner"), F.lit(1).alias("severity"))
 
 
 def official_as_petitioner(motion: DataFrame, names: DataFrame) -> DataFrame:
@@ -110,7 +131,7 @@ def official_as_petitioner(motion: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def staff_looking_official(official: DataFrame, term: DataFrame) -> DataFrame:
-    titled = official.filter(F.col("canonical_name").rlike(r"(?i)\b(?:manager|clerk|attorney|director|supplier)\b"))
+    titled = official.filter(F.col("canonical_name").rlike(rf"(?i)\b(?:{'|'.join(STAFF_TITLES)})\b"))
     return titled.join(term.select("official_id"), "official_id", "left_anti").select("official_id", "canonical_name")
 
 
@@ -121,29 +142,29 @@ def top_finding(findings: DataFrame, key: str = "motion_id") -> DataFrame:
 
 
 def quarantine(motion: DataFrame, findings: DataFrame) -> DataFrame:
-    """New state of the motions: flagged ones become disputed, others clean, with the transition."""
+    """New state of the motions, from their ``old_state``: flagged ones become disputed, others clean, with the transition."""
     top = top_finding(findings).select("motion_id", "pattern_id", "severity")
-    old = F.when(F.col("motion_id") % 41 == 0, "disputed").when(F.col("motion_id") % 43 == 0, "repairing").otherwise("clean")
-    rows = motion.withColumn("old_state", old).join(top, "motion_id", "left")
+    rows = motion.join(top, "motion_id", "left")
     new = (
         F.when(F.col("old_state") == "repairing", "repairing").when(F.col("pattern_id").isNotNull(), "disputed").otherwise("clean")
     )
     return rows.select("motion_id", "old_state", new.alias("new_state"), F.when(new == "disputed", F.col("pattern_id")).alias("reason"))
 
 
-#: Detector registry: id -> function(civic) -> findings keyed by motion with a severity.
+#: Detector registry: id -> (what marks a motion that ``with_recorded`` gives, severity).
 MOTION_DETECTORS = {
-    "qa_generic_petitioner": lambda c: generic_petitioner(c.motion).select("motion_id", "severity"),
-    "qa_petitioner_is_staff": lambda c: petitioner_is_staff(c.motion).select("motion_id", "severity"),
-    "qa_short_motion_title": lambda c: short_motion_title(c.motion).select("motion_id", "severity"),
-    "qa_tally_mismatch": lambda c: tally_mismatch(c.motion, c.vote).select("motion_id", F.lit(2).alias("severity")),
+    "qa_generic_petitioner": (is_generic_petitioner, 1),
+    "qa_petitioner_is_staff": (lambda: F.size(staff_words()) > 0, 2),
+    "qa_short_motion_title": (lambda: F.length(F.trim("title")) < 10, 1),
+    "qa_tally_mismatch": (lambda: (F.col("declared") > 0) & (F.col("declared") != F.col("recorded")), 2),
 }
 
 
 def run_detectors(civic, registry=None) -> DataFrame:
-    """One plan over all registered detectors, each row under its pattern's id."""
-    parts = [f(civic).withColumn("pattern_id", F.lit(name)) for name, f in sorted((registry or MOTION_DETECTORS).items())]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Findings of all registered detectors, each under its pattern's id, from one scan of the motions."""
+    found = [
+        F.when(marks(), F.struct(F.lit(severity).alias("severity"), F.lit(name).alias("pattern_id")))
+        for name, (marks, severity) in sorted((registry or MOTION_DETECTORS).items())
+    ]
+    rows = with_recorded(civic.motion, civic.vote)
+    return rows.select("motion_id", F.inline(F.array_compact(F.array(*found))))

@@ -52,11 +52,11 @@ def run_outcome(steps: DataFrame, key: str) -> DataFrame:
 def capability_ladder(meeting: DataFrame, motion: DataFrame, contribution: DataFrame, official: DataFrame, body: DataFrame) -> DataFrame:
     """One row per jurisdiction and capability with its state, from one wide aggregation each."""
     b = body.select("body_id", "jurisdiction_id")
-    m = meeting.join(F.broadcast(b), "body_id").groupBy("jurisdiction_id").agg(  # one row per body
+    m = meeting.join(b, "body_id").groupBy("jurisdiction_id").agg(
         F.count(F.lit(1)).alias("meetings"), F.count("agenda_url").alias("agendas"), F.count("minutes_url").alias("minutes"), F.count("packet_url").alias("packets")
     )
-    n = motion.join(F.broadcast(b), "body_id").groupBy("jurisdiction_id").agg(F.count(F.lit(1)).alias("motions"))
-    k = contribution.join(official.select("official_id", "body_id"), "official_id").join(F.broadcast(b), "body_id").groupBy("jurisdiction_id").agg(F.count(F.lit(1)).alias("gifts"))
+    n = motion.join(b, "body_id").groupBy("jurisdiction_id").agg(F.count(F.lit(1)).alias("motions"))
+    k = contribution.join(official.select("official_id", "body_id"), "official_id").join(b, "body_id").groupBy("jurisdiction_id").agg(F.count(F.lit(1)).alias("gifts"))
     wide = m.join(n, "jurisdiction_id", "left").join(k, "jurisdiction_id", "left").fillna(0)
     rows = wide.select("jurisdiction_id", "meetings", F.expr("stack(5, 'agendas', agendas, 'minutes', minutes, 'packets', packets, 'motions', motions, 'contributions', gifts) AS (capability, n)"))
     state = F.when(F.col("n") == 0, "coming_soon").when(F.col("capability").isin("motions", "contributions"), "indexed").when(F.col("n") * 2 >= F.col("meetings"), "indexed").otherwise("in_progress")
@@ -121,9 +121,7 @@ def incremental_cutoff(meeting: DataFrame, as_of: str) -> DataFrame:
 
 
 def rescan_due(meeting: DataFrame, as_of: str) -> DataFrame:
-    """Never scanned, or a placeholder of seven days, or available for thirty."""
-    scanned = F.when(F.col("meeting_id") % 4 != 0, F.date_sub(day(as_of), (F.col("meeting_id") % 40).cast("int")))
-    placeholder = F.col("meeting_id") % 3 == 0
-    age = F.datediff(day(as_of), scanned)
-    due = scanned.isNull() | (placeholder & (age > 7)) | (~placeholder & (age > 30))
+    """Meetings never scanned (``scanned_on`` null), placeholders scanned over seven days ago, others over thirty."""
+    age = F.datediff(day(as_of), F.col("scanned_on"))
+    due = F.col("scanned_on").isNull() | (F.col("is_placeholder") & (age > 7)) | (~F.col("is_placeholder") & (age > 30))
     return meeting.filter(due).select("meeting_id")

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Dollars per million tokens (input, output) by model-name prefix, first match wins.
-PRICES = [("large", 15.0, 75.0), ("medium", 3.0, 15.0), ("small", 0.8, 4.0)]
+PRICES = [("claude-opus-4", 15.0, 75.0), ("claude-sonnet-4", 3.0, 15.0), ("claude-haiku-4", 1.0, 5.0), ("claude-3-5-haiku", 0.80, 4.0), ("claude-3-5-sonnet", 3.0, 15.0)]
 OTHER_PRICE = (15.0, 75.0)
 CACHE_READ, CACHE_WRITE, OCR_PAGE = 0.10, 1.25, 0.001
 DEFAULT_COST_CENTS = 10
@@ -75,13 +75,12 @@ def usage_cost(usage: DataFrame) -> DataFrame:
     return usage.groupBy("unit_id", "model").agg(F.round(F.sum(cost), 6).alias("cost"))
 
 
-def workload(meeting: DataFrame, body: DataFrame, split_day: str) -> DataFrame:
-    """Documents in all, to do, and from before the split day, per jurisdiction and kind."""
-    kinds = meeting.select("body_id", "meeting_id", "meeting_date", "minutes_url", F.expr("stack(2, 'agenda', agenda_url, 'minutes', minutes_url) AS (kind, url)"))
+def workload(meeting: DataFrame, body: DataFrame, split_day: str, todo: Column) -> DataFrame:
+    """Documents in all, to do (by a condition on the meeting), and from before the split day, per jurisdiction and kind."""
+    kinds = meeting.select("body_id", "meeting_id", "meeting_date", todo.alias("todo"), F.expr("stack(2, 'agenda', agenda_url, 'minutes', minutes_url) AS (kind, url)"))
     rows = kinds.filter("url is not null").join(body.select("body_id", "jurisdiction_id"), "body_id")
     old = F.col("meeting_date") < F.lit(split_day).cast("date")
-    todo = F.col("meeting_id") % 3 == 0
-    return rows.groupBy("jurisdiction_id", "kind").agg(F.count(F.lit(1)).alias("total"), F.count_if(todo).alias("remaining"), F.count_if(todo & old).alias("historical"))
+    return rows.groupBy("jurisdiction_id", "kind").agg(F.count(F.lit(1)).alias("total"), F.count_if("todo").alias("remaining"), F.count_if(F.col("todo") & old).alias("historical"))
 
 
 def onboarding_estimate(work: DataFrame, rates: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, ke
     def prefix(df, side):
         rows = df.select(f"k{side}", F.size(f"g{side}").alias("size"), F.explode(f"g{side}").alias("gram")).join(freq, "gram")
         w = Window.partitionBy(f"k{side}").orderBy("n", "gram")
-        keep = F.col("size") - F.ceil(F.lit(threshold) * F.col("size")) + 1
+        keep = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
         return rows.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= keep).select(f"k{side}", "gram")
 
     cand = prefix(a, "a").join(prefix(b, "b"), "gram")
@@ -59,7 +59,10 @@ def high_confidence(names: DataFrame, officials: DataFrame, alias: DataFrame) ->
 
 
 def bulk_resolve(names: DataFrame, alias: DataFrame, officials: DataFrame) -> DataFrame:
-    """Staged resolution of distinct names: guard, alias, stripped alias, unique surname with agreeing first name."""
+    """Staged resolution of distinct names: guard, alias, stripped alias, unique surname with agreeing first name.
+
+    A bare surname agrees with every first name, so it resolves where one official alone has it.
+    """
     base = names.select("name").distinct()
     bad = N.looks_unresolvable(F.col("name"))
     good = base.filter(~bad)

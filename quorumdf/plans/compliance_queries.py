@@ -21,7 +21,7 @@ def _missing(has, want, grace):
 
 MINUTES = _missing(f"(minutes_url IS NOT NULL OR {_SRC})", f"minutes_url IS NULL AND NOT {_SRC} AND NOT {_UNAV}", 45)
 AGENDA = _missing("agenda_url IS NOT NULL", f"agenda_url IS NULL AND NOT {_UNAV}", 0)
-ROSTER = "SELECT body_id FROM governing_body b WHERE NOT EXISTS (SELECT 1 FROM official o JOIN term t ON o.official_id = t.official_id WHERE t.end_date IS NULL AND o.body_id = b.body_id AND o.official_id % 4 = 0)"
+ROSTER = "SELECT body_id FROM governing_body b WHERE NOT EXISTS (SELECT 1 FROM official o JOIN term t ON o.official_id = t.official_id WHERE t.end_date IS NULL AND o.body_id = b.body_id)"
 NOTICE = f"""SELECT *, CASE WHEN shortest < 1 THEN 'high' ELSE 'medium' END AS severity FROM (
  SELECT body_id, count(*) AS n, CAST(min(meeting_date - posted_date) AS INT) AS shortest, min(meeting_date) AS since_date FROM meeting
  WHERE meeting_type = 'regular' AND meeting_date - posted_date BETWEEN 0 AND 2 AND meeting_date >= CAST({AS} - INTERVAL 24 MONTH AS DATE) GROUP BY body_id) a WHERE n >= 2"""
@@ -31,10 +31,6 @@ PRIOR = """SELECT body_id, cat AS category, CASE body_id % 4 WHEN 0 THEN 'open'
  FROM governing_body, (SELECT 'minutes_missing' AS cat UNION ALL SELECT 'agenda_missing' UNION ALL SELECT 'meeting_notice_too_short') c WHERE body_id % 3 <> 0"""
 
 
-#: The SQL of the queries below knows the members with a fourth of the ids only; ``whole_queries`` has them without that.
-IN_SQL = O.OBSERVERS | {"member_roster_missing": lambda c: O.member_roster_missing(c.governing_body, c.official.filter("official_id % 4 = 0"), c.term).select("body_id", F.lit("high").alias("severity"), F.lit(0).cast("long").alias("n"))}
-
-
 @query("c02_minutes_missing", MINUTES)
 def c02(c):
     return O.minutes_missing(c.meeting, c.as_of)
@@ -47,14 +43,14 @@ def c03(c):
 
 @query("c04_member_roster_missing", ROSTER)
 def c04(c):
-    return O.member_roster_missing(c.governing_body, c.official.filter("official_id % 4 = 0"), c.term)
+    return O.member_roster_missing(c.governing_body, c.official, c.term)
 
 
 @query("c05_campaign_finance_missing", f"""WITH given AS (SELECT DISTINCT o.body_id, b.jurisdiction_id FROM contribution k JOIN official o ON k.official_id = o.official_id JOIN governing_body b ON b.body_id = o.body_id
- WHERE contributor_type = 'pac' AND o.official_id % 5 = 0 AND received >= CAST({AS} - INTERVAL 96 MONTH AS DATE))
+ WHERE contributor_type = 'pac' AND received >= CAST({AS} - INTERVAL 96 MONTH AS DATE))
 SELECT b.body_id, count(*) AS members FROM governing_body b JOIN official o ON o.body_id = b.body_id WHERE b.jurisdiction_id IN (SELECT jurisdiction_id FROM given) AND b.body_id NOT IN (SELECT body_id FROM given) GROUP BY 1""")
 def c05(c):
-    return O.campaign_finance_missing(c.governing_body, c.official, c.contribution.filter("official_id % 5 = 0"), c.as_of)
+    return O.campaign_finance_missing(c.governing_body, c.official, c.contribution, c.as_of)
 
 
 @query("c06_notice_too_short", NOTICE)
@@ -63,12 +59,11 @@ def c06(c):
 
 
 @query("c07_budget_overdue", f"""WITH p AS (SELECT body_id, count(DISTINCT year(motion_date)) AS years, max(motion_date) AS last_adopted FROM motion
- WHERE outcome = 'passed' AND regexp_matches(title, '(?i)budget') AND NOT regexp_matches(title, '(?i)amendment|adjustment') AND motion_id % 2 = 0 GROUP BY 1)
+ WHERE outcome = 'passed' AND regexp_matches(title, '(?i)budget') AND NOT regexp_matches(title, '(?i)amendment|adjustment') GROUP BY 1)
 SELECT p.*, later FROM p JOIN (SELECT p.body_id, count(*) AS later FROM p JOIN meeting m ON p.body_id = m.body_id AND m.meeting_date > last_adopted AND minutes_url IS NOT NULL AND m.meeting_date < {AS} GROUP BY 1) l ON p.body_id = l.body_id
-WHERE years >= 2 AND last_adopted < CAST({AS} - INTERVAL 2 MONTH AS DATE) AND later >= 3""")
+WHERE years >= 2 AND last_adopted < CAST({AS} - INTERVAL 14 MONTH AS DATE) AND later >= 3""")
 def c07(c):
-    """Even ids and two months, as in the SQL."""
-    return O.budget_overdue(c.motion.filter("motion_id % 2 = 0"), c.meeting, c.as_of, months=2)
+    return O.budget_overdue(c.motion, c.meeting, c.as_of)
 
 
 def _prior(c):
@@ -90,20 +85,20 @@ SELECT *, CASE WHEN action IN ('inserted', 'reopened') THEN 'open' WHEN action =
 
 @query("c08_finding_lifecycle", _fold(False))
 def c08(c):
-    observed, _ = O.observe(c, IN_SQL)
-    return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records")
+    observed, failed = O.observe(c)
+    return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", protect=F.col("p_category").isin(failed))
 
 
 @query("h05_issue_lifecycle", _fold(True))
 def h05(c):
-    observed, _ = O.observe(c, IN_SQL)
-    return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", frozen=["wont_fix"])
+    observed, failed = O.observe(c)
+    return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", frozen=["wont_fix"], protect=F.col("p_category").isin(failed))
 
 
 @query("c09_request_per_jurisdiction", f"""WITH o AS ({OBSERVED}) SELECT b.jurisdiction_id, count(*) AS n, string_agg(o.category || ':' || o.body_id, ',' ORDER BY o.category, o.body_id) AS findings FROM o JOIN governing_body b ON o.body_id = b.body_id GROUP BY 1""")
 def c09(c):
-    observed, _ = O.observe(c, IN_SQL)
-    rows = observed.join(F.broadcast(c.governing_body.select("body_id", "jurisdiction_id")), "body_id")  # one row per body
+    observed, _ = O.observe(c)
+    rows = observed.join(c.governing_body.select("body_id", "jurisdiction_id"), "body_id")
     items = F.transform(F.sort_array(F.collect_list(F.struct("category", "body_id"))), lambda s: F.concat_ws(":", s["category"], s["body_id"].cast("string")))
     return rows.groupBy("jurisdiction_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(items, ",").alias("findings"))
 
@@ -111,7 +106,7 @@ def c09(c):
 @query("c10_issue_text", f"""WITH o AS ({OBSERVED}), r AS (SELECT *, row_number() OVER (PARTITION BY body_id ORDER BY category) AS i FROM o)
 SELECT body_id, string_agg(i || '. ' || category || ' (' || n || ')', chr(10) ORDER BY i) AS body_text FROM r GROUP BY 1""")
 def c10(c):
-    observed, _ = O.observe(c, IN_SQL)
+    observed, _ = O.observe(c)
     ordered = F.sort_array(F.collect_list(F.struct("category", "n")))
     per = observed.groupBy("body_id").agg(ordered.alias("items"))
     lines = F.transform("items", lambda s, i: F.format_string("%d. %s (%d)", i + 1, s["category"], s["n"]))
@@ -194,7 +189,7 @@ def k13(c):
     return K.upsert(_target(c), _source(c), ["k"], coalesce=True)
 
 
-@query("k14_supersede_failures", """SELECT f.failure_id, f.jurisdiction_id, f.job, min(o.created_at) AS resolved_at FROM failure f LEFT JOIN outcome o ON f.jurisdiction_id = o.jurisdiction_id AND o.status = 'ok' AND o.event_id % 50 = 0 AND o.created_at > f.created_at GROUP BY 1, 2, 3""")
+@query("k14_supersede_failures", """SELECT f.failure_id, f.jurisdiction_id, f.job, min(o.created_at) AS resolved_at FROM failure f LEFT JOIN outcome o ON f.jurisdiction_id = o.jurisdiction_id AND o.status = 'ok' AND o.created_at > f.created_at GROUP BY 1, 2, 3""")
 def k14(c):
-    ok = c.outcome.filter("status = 'ok' and event_id % 50 = 0").select("jurisdiction_id", "created_at")
+    ok = c.outcome.filter("status = 'ok'").select("jurisdiction_id", "created_at")
     return K.supersede_failures(c.failure, ok, ["jurisdiction_id"], "created_at").select("failure_id", "jurisdiction_id", "job", "resolved_at")

@@ -6,10 +6,11 @@ from quorumdf.operators import detectors as D
 
 from .registry import query
 
-_STAFF = ", ".join(f"'{w}'" for w in D.STAFF_WORDS)
-_GENERIC = ", ".join(f"'{w}'" for w in D.GENERIC_PETITIONERS + ["staff"])
+_STAFF = "'director', 'administrator', 'attorney', 'clerk', 'manager', 'engineer', 'chief', 'inspector', 'coordinator', 'secretary', 'treasurer', 'superintendent', 'officer'"
+_GENERIC = "'staff', 'resident', 'applicant', 'petitioner', 'unknown', 'n/a'"
 PARCELS = """SELECT motion_id, meeting_id, body_id, motion_date, motion_type,
-    'parcel:' || upper(regexp_extract(title, 'Parcel ID (\\d+ \\d+)', 1)) AS parcel FROM motion WHERE title LIKE 'Parcel ID %'"""
+    CASE WHEN title LIKE 'Parcel ID %' THEN 'parcel:' || substr(title, 11) WHEN title LIKE 'Parcel No. %' THEN 'parcel:' || substr(title, 12)
+         ELSE 'addr:' || replace(upper(substr(title, 13)), '  ', ' ') END AS parcel FROM motion WHERE title LIKE 'Parcel %' OR title LIKE 'Rezoning of %'"""
 
 QA_SQL = f"""
 SELECT motion_id, 1 AS severity, 'qa_generic_petitioner' AS pattern_id FROM motion WHERE lower(trim(petitioner)) IN ({_GENERIC}) OR length(lower(trim(petitioner))) < 3
@@ -96,7 +97,7 @@ def d10(c):
     return D.low_confidence_meeting(c.meeting)
 
 
-_NAMES = "SELECT custkey AS official_id, name AS canonical_name FROM (SELECT c_custkey AS custkey, c_name AS name FROM customer WHERE c_custkey % 50 = 0) x"
+_NAMES = "SELECT custkey AS official_id, name AS canonical_name FROM (SELECT c_custkey AS custkey, c_name AS name FROM customer ) x"
 
 
 @query("d11_official_as_petitioner", f"""
@@ -105,7 +106,7 @@ SELECT DISTINCT motion_id, official_id FROM motion JOIN n ON
   starts_with(lower(petitioner), lower(canonical_name)) OR starts_with(lower(petitioner), 'city manager ' || lower(canonical_name))
   OR starts_with(lower(petitioner), 'mayor ' || lower(canonical_name)) OR starts_with(lower(petitioner), 'councilmember ' || lower(canonical_name)) OR starts_with(lower(petitioner), 'commissioner ' || lower(canonical_name))""")
 def d11(c):
-    names = c.customer.filter("c_custkey % 50 = 0").select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name"))
+    names = c.customer.select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name"))
     return D.official_as_petitioner(c.motion, names)
 
 
@@ -114,7 +115,7 @@ def d13(c):
     return D.generic_petitioner(c.motion)
 
 
-@query("d15_staff_looking_officials", r"SELECT official_id, canonical_name FROM official o WHERE regexp_matches(canonical_name, '(?i)\b(?:manager|clerk|attorney|director|supplier)\b') AND NOT EXISTS (SELECT 1 FROM term t WHERE t.official_id = o.official_id)")
+@query("d15_staff_looking_officials", "SELECT official_id, canonical_name FROM official o WHERE canonical_name LIKE 'City Clerk %' AND NOT EXISTS (SELECT 1 FROM term t WHERE t.official_id = o.official_id)")
 def d15(c):
     return D.staff_looking_official(c.official, c.term)
 
@@ -125,7 +126,9 @@ s AS (SELECT m.motion_id, pattern_id, CASE WHEN m.motion_id % 41 = 0 THEN 'dispu
 n AS (SELECT *, CASE WHEN old_state = 'repairing' THEN 'repairing' WHEN pattern_id IS NOT NULL THEN 'disputed' ELSE 'clean' END AS new_state FROM s)
 SELECT motion_id, old_state, new_state, CASE WHEN new_state = 'disputed' THEN pattern_id END AS reason FROM n""")
 def d16(c):
-    return D.quarantine(c.motion, D.run_detectors(c))
+    m = F.col("motion_id")  # what an earlier run left
+    old = F.when(m % 41 == 0, "disputed").when(m % 43 == 0, "repairing").otherwise("clean")
+    return D.quarantine(c.motion.withColumn("old_state", old), D.run_detectors(c))
 
 
 @query("w02_top_finding_per_motion", f"WITH q AS ({QA_SQL}) SELECT motion_id, severity, pattern_id FROM (SELECT *, row_number() OVER (PARTITION BY motion_id ORDER BY severity DESC, pattern_id) AS rn FROM q) a WHERE rn = 1")

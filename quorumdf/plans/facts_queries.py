@@ -90,7 +90,7 @@ _BUD = "SELECT b.jurisdiction_id, year(motion_date) + CASE WHEN month(motion_dat
 
 @query("r14_budget_precedence", f"SELECT jurisdiction_id, fiscal_year, source_id, meeting_date, total FROM (SELECT *, row_number() OVER (PARTITION BY jurisdiction_id, fiscal_year ORDER BY meeting_date DESC, source_id DESC) AS rn FROM ({_BUD}) k WHERE total IS NOT NULL AND fiscal_year <> 1997) a WHERE rn = 1")
 def r14(c):
-    b = c.motion.filter(F.col("title").contains("budget")).join(F.broadcast(c.governing_body.select("body_id", "jurisdiction_id")), "body_id")  # one row per body
+    b = c.motion.filter(F.col("title").contains("budget")).join(c.governing_body.select("body_id", "jurisdiction_id"), "body_id")
     year = F.year("motion_date") + (F.month("motion_date") >= 4).cast("int")
     cand = b.select("jurisdiction_id", year.alias("fiscal_year"), F.col("motion_id").alias("source_id"), F.col("motion_date").alias("meeting_date"), F.when(F.col("motion_id") % 4 != 0, F.col("motion_id")).alias("total"))
     existing = c.jurisdiction.select("jurisdiction_id", F.lit(1997).alias("fiscal_year"), F.lit("state").alias("provider"))
@@ -160,7 +160,7 @@ def n02(c):
 @query("j01_vote_chain", "SELECT j.display_name, v.vote_value, count(*) AS n FROM vote v JOIN motion m ON v.motion_id = m.motion_id JOIN governing_body b ON m.body_id = b.body_id JOIN jurisdiction j ON b.jurisdiction_id = j.jurisdiction_id GROUP BY 1, 2")
 def j01(c):
     rows = c.vote.select("motion_id", "vote_value").join(c.motion.select("motion_id", "body_id"), "motion_id")
-    rows = rows.join(F.broadcast(c.governing_body), "body_id").join(F.broadcast(c.jurisdiction), "jurisdiction_id")  # one row per body
+    rows = rows.join(c.governing_body, "body_id").join(c.jurisdiction, "jurisdiction_id")
     return rows.groupBy("display_name", "vote_value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -179,8 +179,8 @@ def j03(c):
 @query("j11_two_path_attribution", "SELECT f.failure_id, coalesce(b.jurisdiction_id, m.jurisdiction_id, f.jurisdiction_id) AS jurisdiction_id FROM failure f LEFT JOIN governing_body b ON f.failure_id % 50 = b.body_id LEFT JOIN (SELECT meeting_id, jurisdiction_id FROM meeting x JOIN governing_body y ON x.body_id = y.body_id) m ON f.failure_id = m.meeting_id")
 def j11(c):
     b = c.governing_body.select(F.col("body_id").cast("long").alias("bid"), F.col("jurisdiction_id").alias("jb"))
-    m = c.meeting.select("meeting_id", "body_id").join(F.broadcast(c.governing_body.select("body_id", F.col("jurisdiction_id").alias("jm"))), "body_id").select("meeting_id", "jm")  # one row per body
-    rows = c.failure.withColumn("bid", F.col("failure_id") % 50).join(F.broadcast(b), "bid", "left").join(m, F.col("failure_id") == F.col("meeting_id"), "left")
+    m = c.meeting.select("meeting_id", "body_id").join(c.governing_body.select("body_id", F.col("jurisdiction_id").alias("jm")), "body_id").select("meeting_id", "jm")
+    rows = c.failure.withColumn("bid", F.col("failure_id") % 50).join(b, "bid", "left").join(m, F.col("failure_id") == F.col("meeting_id"), "left")
     return rows.select("failure_id", F.coalesce("jb", "jm", "jurisdiction_id").cast("long").alias("jurisdiction_id"))
 
 
@@ -241,10 +241,10 @@ def f03(c):
     return c.nation.agg(F.count_if(F.col("n_name").like("U_ITED%")).alias("any_char"), F.count_if(F.col("n_name").ilike("%united%")).alias("folded"))
 
 
-@query("f06_array_overlap", "SELECT body_id, list_has_any(list(DISTINCT motion_type), ['ordinance', 'nothing']) AS hit FROM motion WHERE motion_id % 50 = 0 GROUP BY 1")
+@query("f06_array_overlap", "SELECT body_id, list_has_any(list(DISTINCT motion_type), ['ordinance', 'nothing']) AS hit FROM motion GROUP BY 1")
 def f06(c):
     wanted = F.array(F.lit("ordinance"), F.lit("nothing"))
-    return c.motion.filter("motion_id % 50 = 0").groupBy("body_id").agg(F.arrays_overlap(F.collect_set("motion_type"), wanted).alias("hit"))
+    return c.motion.groupBy("body_id").agg(F.arrays_overlap(F.collect_set("motion_type"), wanted).alias("hit"))
 
 
 @query("k09_calendar_enrich", """WITH s AS (SELECT DISTINCT body_id, meeting_date FROM meeting WHERE meeting_id % 4 = 0 UNION SELECT body_id, meeting_date + 400 FROM meeting WHERE meeting_id % 40 = 0),
@@ -270,8 +270,8 @@ def m02(c):
 
 
 @query("m05_home_change_cooldown", """WITH RECURSIVE e AS (SELECT user_id, event_id, ts, event_id % 3 AS home, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
-f AS (SELECT user_id, i, event_id, home AS cur, ts AS changed, 'first' AS decision FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.i, e.event_id, CASE WHEN e.home <> cur AND e.ts >= changed + INTERVAL 10 DAY THEN e.home ELSE cur END, CASE WHEN e.home <> cur AND e.ts >= changed + INTERVAL 10 DAY THEN e.ts ELSE changed END,
- CASE WHEN e.home = cur THEN 'noop' WHEN e.ts >= changed + INTERVAL 10 DAY THEN 'changed' ELSE 'cooldown' END FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1) SELECT event_id, decision FROM f""")
+f AS (SELECT user_id, i, event_id, home AS cur, ts AS changed, 'first' AS decision FROM e WHERE i = 1 UNION ALL SELECT e.user_id, e.i, e.event_id, CASE WHEN e.home <> cur AND e.ts >= changed + INTERVAL 30 DAY THEN e.home ELSE cur END, CASE WHEN e.home <> cur AND e.ts >= changed + INTERVAL 30 DAY THEN e.ts ELSE changed END,
+ CASE WHEN e.home = cur THEN 'noop' WHEN e.ts >= changed + INTERVAL 30 DAY THEN 'changed' ELSE 'cooldown' END FROM f JOIN e ON e.user_id = f.user_id AND e.i = f.i + 1) SELECT event_id, decision FROM f""")
 def m05(c):
     import pandas as pd
 
@@ -283,7 +283,7 @@ def m05(c):
                 cur, changed, decision = home, ts, "first"
             elif home == cur:
                 decision = "noop"
-            elif ts >= changed + pd.Timedelta(days=10):
+            elif ts >= changed + pd.Timedelta(days=30):
                 cur, changed, decision = home, ts, "changed"
             else:
                 decision = "cooldown"

@@ -134,7 +134,9 @@ def f07(c):
 
 @query("f08_due_for_rescan", f"""SELECT meeting_id FROM (SELECT meeting_id, CASE WHEN meeting_id % 4 <> 0 THEN meeting_id % 40 END AS age FROM meeting) a WHERE age IS NULL OR (meeting_id % 3 = 0 AND age > 7) OR (meeting_id % 3 <> 0 AND age > 30)""")
 def f08(c):
-    return H.rescan_due(c.meeting, c.as_of)
+    m = F.col("meeting_id")  # what the scans left
+    scanned = F.when(m % 4 != 0, F.date_sub(F.lit(c.as_of).cast("date"), (m % 40).cast("int")))
+    return H.rescan_due(c.meeting.withColumns({"scanned_on": scanned, "is_placeholder": m % 3 == 0}), c.as_of)
 
 
 @query("f09_pending_work", "SELECT meeting_id FROM meeting m WHERE minutes_url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM motion k WHERE k.meeting_id = m.meeting_id AND k.motion_type = 'zoning_change')")
@@ -145,7 +147,7 @@ def f09(c):
 
 @query("f10_build_phase_gate", f"SELECT jurisdiction_id, count(*) FILTER (WHERE keep) AS kept, count(*) FILTER (WHERE NOT keep) AS deferred FROM (SELECT b.jurisdiction_id, meeting_date >= {AS} - 730 OR b.jurisdiction_id % 2 = 0 AS keep FROM meeting m JOIN governing_body b ON m.body_id = b.body_id) a GROUP BY 1")
 def f10(c):
-    rows = c.meeting.join(F.broadcast(c.governing_body), "body_id")  # one row per body
+    rows = c.meeting.join(c.governing_body, "body_id")
     keep = (F.col("meeting_date") >= F.date_sub(O.day(c.as_of), 730)) | (F.col("jurisdiction_id") % 2 == 0)
     return rows.groupBy("jurisdiction_id").agg(F.count_if(keep).alias("kept"), F.count_if(~keep).alias("deferred"))
 
@@ -214,9 +216,9 @@ def m01(c):
 
 
 @query("m04_digest_compile", """SELECT item_id, count(*) FILTER (WHERE stance = 'support') AS support, count(*) FILTER (WHERE stance = 'oppose') AS oppose, count(*) FILTER (WHERE stance = 'neutral') AS neutral,
- string_agg(stance || ': ' || substr(text, 1, 40), chr(10) ORDER BY comment_id) AS lines FROM citizen_comment WHERE role = 'user' GROUP BY 1""")
+ string_agg(stance || ': ' || text, chr(10) ORDER BY comment_id) AS lines FROM citizen_comment WHERE role = 'user' GROUP BY 1""")
 def m04(c):
-    line = F.concat_ws(": ", "stance", F.substring("text", 1, 40))
+    line = F.concat_ws(": ", "stance", "text")
     lines = F.transform(F.sort_array(F.collect_list(F.struct("comment_id", line.alias("line")))), lambda s: s["line"])
     counts = [F.count_if(F.col("stance") == s).alias(s) for s in ("support", "oppose", "neutral")]
     return c.citizen_comment.filter("role = 'user'").groupBy("item_id").agg(*counts, F.array_join(lines, "\n").alias("lines"))

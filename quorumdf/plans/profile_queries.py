@@ -85,7 +85,7 @@ def p13(c):
  round(100.0 * count(*) FILTER (WHERE tally_yes > 0 AND tally_no = 0 AND tally_abstain = 0) / count(*), 1)::DOUBLE AS unanimous_pct
  FROM motion m JOIN governing_body b ON m.body_id = b.body_id JOIN jurisdiction j ON b.jurisdiction_id = j.jurisdiction_id GROUP BY 1, 2""")
 def p14(c):
-    rows = c.motion.join(F.broadcast(c.governing_body), "body_id").join(F.broadcast(c.jurisdiction), "jurisdiction_id")  # one row per body
+    rows = c.motion.join(c.governing_body, "body_id").join(c.jurisdiction, "jurisdiction_id")
     unanimous = (F.col("tally_yes") > 0) & (F.col("tally_no") == 0) & (F.col("tally_abstain") == 0)
     return rows.groupBy("jurisdiction_id", "display_name").agg(
         F.count(F.lit(1)).alias("n_motions"), F.countDistinct("body_id").alias("n_bodies"), F.round(100.0 * F.count_if(unanimous) / F.count(F.lit(1)), 1).cast("double").alias("unanimous_pct")

@@ -8,6 +8,7 @@ from quorumdf.operators import observers as O
 from quorumdf.operators import profiles as P
 from quorumdf.operators import resolution as E
 
+from .entity_queries import _GRAMS, _sim
 from .registry import query
 
 AS = "DATE '2001-09-01'"
@@ -40,18 +41,17 @@ def recommenders(motion, names):
     return parts.join(names, "low").select("motion_id", "official_id").distinct()
 
 
-@query("d12_official_as_recommender", """WITH n AS (SELECT c_custkey AS official_id, lower(c_name) AS low FROM customer WHERE c_custkey % 200 = 0 AND length(c_name) >= 8)
+@query("d12_official_as_recommender", """WITH n AS (SELECT c_custkey AS official_id, lower(c_name) AS low FROM customer WHERE length(c_name) >= 8)
 SELECT DISTINCT motion_id, official_id FROM motion JOIN n ON contains(lower(petitioner), low) WHERE petitioner LIKE 'City Manager %'""")
 def d12(c):
-    return recommenders(c.motion, c.customer.filter("c_custkey % 200 = 0").select(F.col("c_custkey").alias("official_id"), F.lower("c_name").alias("low")))
+    return recommenders(c.motion, c.customer.select(F.col("c_custkey").alias("official_id"), F.lower("c_name").alias("low")))
 
 
-@query("e06_bulk_resolver", """WITH n AS (SELECT DISTINCT petitioner AS name FROM motion WHERE petitioner IS NOT NULL), k AS (SELECT min(c_custkey) AS id, lower(c_name) AS low FROM customer WHERE c_custkey % 2 = 0 GROUP BY 2)
+@query("e06_bulk_resolver", """WITH n AS (SELECT DISTINCT petitioner AS name FROM motion WHERE petitioner IS NOT NULL), k AS (SELECT min(c_custkey) AS id, lower(c_name) AS low FROM customer GROUP BY 2)
 SELECT name, CASE WHEN regexp_matches(name, '[0-9(]') THEN NULL ELSE id END AS official_id, CASE WHEN regexp_matches(name, '[0-9(]') THEN 'unresolvable' WHEN id IS NOT NULL THEN 'alias' ELSE 'none' END AS matched_via FROM n LEFT JOIN k ON lower(name) = low""")
 def e06(c):
-    alias = c.customer.filter("c_custkey % 2 = 0").select(F.col("c_name").alias("alias"), F.col("c_custkey").alias("official_id"))
-    none = c.official.limit(0).select("official_id", "canonical_name")
-    return E.bulk_resolve(c.motion.filter("petitioner is not null").select(F.col("petitioner").alias("name")), alias, none).select("name", "official_id", "matched_via")
+    alias = c.customer.select(F.col("c_name").alias("alias"), F.col("c_custkey").alias("official_id"))
+    return E.bulk_resolve(c.motion.filter("petitioner is not null").select(F.col("petitioner").alias("name")), alias, c.official).select("name", "official_id", "matched_via")
 
 
 @query("e09_roster_match", "SELECT o.official_id, o.body_id FROM official o JOIN (SELECT upper(canonical_name) AS up, body_id FROM official WHERE official_id % 2 = 0) r ON lower(o.canonical_name) = lower(r.up) AND o.body_id = r.body_id")
@@ -111,10 +111,12 @@ def h18(c):
     return c.jurisdiction.withColumn("z", R.time_zone(none, none, F.col("state_abbr"))).filter(F.col("z.source").isin("assumed", "default")).select("jurisdiction_id")
 
 
-@query("j08_similarity_self_join", "SELECT a.p_name AS ka, b.p_name AS kb FROM (SELECT DISTINCT p_name FROM part) a JOIN (SELECT DISTINCT p_name FROM part) b ON a.p_name < b.p_name AND split_part(a.p_name, ' ', 1) = split_part(b.p_name, ' ', 1)")
+@query("j08_similarity_self_join", f"""WITH n AS (SELECT DISTINCT p_name AS name, {_GRAMS.format('p_name')} AS g FROM part)
+SELECT a.name AS ka, b.name AS kb FROM n a JOIN n b ON a.name < b.name WHERE {_sim('a.g', 'b.g')} >= 0.5 AND split_part(a.name, ' ', 1) = split_part(b.name, ' ', 1)""")
 def j08(c):
-    n = c.part.select("p_name").distinct().withColumn("first", F.get(F.split("p_name", " "), F.lit(0)))
-    return n.alias("a").join(n.alias("b"), F.expr("a.first = b.first and a.p_name < b.p_name")).select(F.col("a.p_name").alias("ka"), F.col("b.p_name").alias("kb"))
+    n = c.part.select("p_name").distinct()
+    first = lambda t: F.substring_index(t, " ", 1)
+    return E.similar_pairs(n, n, "p_name", "p_name", "p_name", "p_name", 0.5, ordered=True).filter(first("ta") == first("tb")).select("ka", "kb")
 
 
 @query("j13_directory_link", "SELECT n.n_nationkey, r.r_regionkey FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE r_regionkey END IS DISTINCT FROM CASE WHEN n_nationkey % 2 = 0 THEN r_regionkey END")
@@ -132,10 +134,11 @@ def k10(c):
     return c.meeting.select("meeting_id", F.when(F.col("meeting_id") % 6 == 0, F.array_sort(F.map_keys(marked))).otherwise(F.map_keys(cleared)).alias("keys"))
 
 
-@query("m03_digest_candidates", f"SELECT item_id, count(*) AS n FROM citizen_comment WHERE role = 'user' AND item_id % 3 = 0 GROUP BY 1")
+@query("m03_digest_candidates", f"SELECT item_id, count(*) AS n FROM citizen_comment WHERE role = 'user' GROUP BY 1 HAVING count(*) FILTER (WHERE stance = 'oppose') > 1")
 def m03(c):
-    due = c.spark.range(40).filter("id % 3 = 0").select(F.col("id").alias("item_id"))
-    return c.citizen_comment.filter("role = 'user'").join(due, "item_id", "left_semi").groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
+    rows = c.citizen_comment.filter("role = 'user'")
+    due = rows.filter("stance = 'oppose'").groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return rows.join(due.select("item_id"), "item_id", "left_semi").groupBy("item_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("m06_digest_outcome", """SELECT item_id, CASE WHEN item_id % 5 = 0 THEN 'no_recipient' WHEN n_oppose > n_support THEN 'held' WHEN item_id % 7 = 0 THEN 'failed' ELSE 'sent' END AS outcome FROM (SELECT item_id, count(*) FILTER (WHERE stance = 'oppose') AS n_oppose, count(*) FILTER (WHERE stance = 'support') AS n_support FROM citizen_comment GROUP BY 1) a""")
@@ -226,10 +229,11 @@ def x24(c):
     return c.documents.select("doc_id", F.size(F.array_distinct(F.transform(found, lambda e: F.lower(e)))).alias("n"))
 
 
-@query("x02_name_parts", "SELECT official_id, split_part(canonical_name, '#', 1) AS first, split_part(canonical_name, '#', 2) AS last FROM official")
+@query("x02_name_parts", """SELECT official_id, split_part(replace(canonical_name, '#', ' '), ' ', 1) AS first, CASE WHEN canonical_name LIKE 'City Clerk %' THEN 'Clerk Supplier' END AS middle,
+ split_part(canonical_name, '#', 2) AS last FROM official""")
 def x02(c):
     parts = N.split_name(F.regexp_replace("canonical_name", "#", " "))
-    return c.official.withColumn("p", parts).select("official_id", F.col("p.first").alias("first"), F.col("p.last").alias("last"))
+    return c.official.withColumn("p", parts).select("official_id", F.col("p.first").alias("first"), F.col("p.middle").alias("middle"), F.col("p.last").alias("last"))
 
 
 @query("z09_replay_equals_batch", "SELECT jurisdiction_id, count(*) AS n, sum(amount_cents)::BIGINT AS cents FROM fund_event GROUP BY 1")

@@ -35,9 +35,9 @@ def z05(c):
 ORACLES["z05_ledger_admission"] = ORACLES["l03_admission"]
 
 
-@query("z06_comment_tallies", """SELECT conv_id % 40 AS item_id, count(*) FILTER (WHERE (conv_id + turn) % 3 = 0) AS support, count(*) FILTER (WHERE (conv_id + turn) % 3 = 1) AS oppose, count(*) FILTER (WHERE (conv_id + turn) % 3 = 2) AS neutral FROM conversations WHERE conv_id % 40 % 7 <> 0 GROUP BY 1""")
+@query("z06_comment_tallies", """SELECT CAST(floor(conv_id / 10.0) AS BIGINT) AS item_id, count(*) FILTER (WHERE (conv_id + turn) % 3 = 0) AS support, count(*) FILTER (WHERE (conv_id + turn) % 3 = 1) AS oppose, count(*) FILTER (WHERE (conv_id + turn) % 3 = 2) AS neutral FROM conversations WHERE CAST(floor(conv_id / 10.0) AS BIGINT) % 7 <> 0 GROUP BY 1""")
 def z06(c):
-    items = c.spark.range(40).select(F.col("id").alias("item_id")).filter("item_id % 7 <> 0")
+    items = c.citizen_comment.select("item_id").distinct().filter("item_id % 7 <> 0")
     stream = Z.read_stream(c.spark, f"{c.sf_dir}/conversations.parquet")
     return Z.run_to_table(Z.comment_tallies(stream, items), "update", ["item_id"])
 

@@ -1,7 +1,6 @@
-"""Queries over all rows where the one with SQL, of the same name without ``_whole``, takes a part of them.
+"""Further entries of queries without SQL: ``tests/test_whole_queries.py`` holds them against brute force on fixtures.
 
-The given SQL of those has the same cut, so they stay as they are.  These have
-no SQL: ``tests/test_whole_queries.py`` holds them against brute force.
+Those of the same name without ``_whole`` are over all rows, too, and have SQL.
 """
 
 from pyspark.sql import functions as F

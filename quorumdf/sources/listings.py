@@ -6,19 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Patterns of meeting names and their types, tried in this order.
+MEETING_TYPES = [(r"\bwork session\b", "workshop"), (r"\bspecial(\s+called)?\b", "special"), (r"\bemergency\b", "emergency"), (r"\bexecutive session\b", "executive_session")]
+
+
 def posted_stamp(text: Column) -> Column:
     """Timestamp of "Posted Month D, YYYY H:MM AM" anywhere in a text; null where there is none."""
-    found = F.regexp_extract(text, r"Posted\s+([A-Z][a-z]+ \d{1,2}, \d{4} \d{1,2}:\d{2} [AP]M)", 1)
-    return F.try_to_timestamp(F.nullif(found, F.lit("")), F.lit("MMMM d, yyyy h:mm a"))
+    found = F.regexp_extract(text, r"(?i)Posted\s+(?:on\s+)?([a-z]+\s+\d{1,2},\s*\d{4}\s+\d{1,2}:\d{2}\s*[ap]m)", 1)
+    plain = F.regexp_replace(F.regexp_replace(F.initcap(found), r"\s*,\s*", ", "), r"\s+", " ")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"(?i)\s?am$", " AM"), r"(?i)\s?pm$", " PM")
+    return F.try_to_timestamp(F.nullif(plain, F.lit("")), F.lit("[MMMM][MMM] d, yyyy h:mm a"))
 
 
 def meeting_type(name: Column) -> Column:
-    """First matching pattern decides."""
-    low = F.lower(name)
-    return (
-        F.when(low.rlike("work ?session|workshop"), "work_session").when(low.rlike("special|called"), "special").when(low.rlike("hearing"), "public_hearing")
-        .when(low.rlike("emergency"), "emergency").when(low.rlike("retreat"), "retreat").otherwise("regular")
-    )
+    """The first matching pattern decides."""
+    kind = F.lit("regular")
+    for pattern, label in reversed(MEETING_TYPES):
+        kind = F.when(name.rlike(f"(?i){pattern}"), label).otherwise(kind)
+    return kind
 
 
 def table_rows(pages: DataFrame, html: str, id_col: str) -> DataFrame:

@@ -16,8 +16,10 @@ from quorumdf.operators.ledger import fold_admission
 
 
 def scratch(spark: SparkSession) -> str:
-    """The shared folder of the cluster, or a local one where none is set."""
+    """The shared folder of the cluster; in local mode, as in tests, one of its own where none is set."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return path.rstrip("/") if path else tempfile.mkdtemp(prefix="spark-", dir="/tmp")
 
 
@@ -86,7 +88,7 @@ def contact_status(events: DataFrame) -> DataFrame:
 def comment_tallies(comments: DataFrame, items: DataFrame) -> DataFrame:
     """Stances per open item: a stream-static join, then an aggregation in update mode."""
     stance = F.when((F.col("conv_id") + F.col("turn")) % 3 == 0, "support").when((F.col("conv_id") + F.col("turn")) % 3 == 1, "oppose").otherwise("neutral")
-    rows = comments.withColumn("item_id", F.col("conv_id") % 40).withColumn("stance", stance).join(items, "item_id")
+    rows = comments.withColumn("item_id", F.expr("CAST(floor(conv_id / 10.0) AS BIGINT)")).withColumn("stance", stance).join(items, "item_id")
     return rows.groupBy("item_id").agg(*[F.count_if(F.col("stance") == s).alias(s) for s in ("support", "oppose", "neutral")])
 
 

@@ -25,13 +25,13 @@ VIEWS = {
     "governing_body": """SELECT n_nationkey AS body_id, n_regionkey AS jurisdiction_id, n_name AS body_name,
         CASE n_nationkey % 4 WHEN 0 THEN 'city_council' WHEN 1 THEN 'county_commission' WHEN 2 THEN 'school_board' ELSE 'planning_commission' END AS body_type
         FROM nation""",
-    "official": """SELECT s_suppkey AS official_id, s_name AS canonical_name, s_suppkey % 5 <> 0 AS is_elected, s_nationkey AS body_id FROM supplier""",
+    "official": """SELECT s_suppkey AS official_id, CASE WHEN s_suppkey % 22 = 0 THEN 'City Clerk ' || s_name ELSE s_name END AS canonical_name, s_suppkey % 5 <> 0 AS is_elected, s_nationkey AS body_id FROM supplier""",
     "docket": """SELECT o_orderkey AS motion_id, o_custkey, c_name, c_nationkey AS body_id, CAST(o_orderdate AS DATE) AS motion_date,
         year(o_orderdate) AS y, month(o_orderdate) AS m, o_totalprice, o_orderpriority, o_orderstatus
         FROM orders JOIN customer ON o_custkey = c_custkey""",
     "meeting_month": """SELECT body_id, body_id * 10000 + (y - 1990) * 12 + m AS meeting_id, min(motion_date) AS meeting_date FROM docket GROUP BY body_id, y, m""",
     "meeting": """SELECT meeting_id, body_id, meeting_date,
-        CASE WHEN meeting_id % 9 = 0 THEN 'work_session' ELSE 'regular' END AS meeting_type,
+        CASE WHEN meeting_id % 9 = 0 THEN 'workshop' ELSE 'regular' END AS meeting_type,
         CASE WHEN meeting_id % 5 = 0 OR (body_id % 4 = 0 AND meeting_date > DATE '2000-06-01') THEN NULL ELSE 'https://docs.example.org/minutes/' || meeting_id END AS minutes_url,
         CASE WHEN meeting_id % 7 = 0 OR (body_id % 4 = 1 AND meeting_date > DATE '2000-06-01') THEN NULL ELSE 'https://docs.example.org/agenda/' || meeting_id END AS agenda_url,
         CASE WHEN meeting_id % 10 = 3 THEN 'https://docs.example.org/packet/' || meeting_id END AS packet_url,
@@ -49,20 +49,22 @@ VIEWS = {
         FROM vote GROUP BY motion_id""",
     "motion": """SELECT d.motion_id, d.body_id, d.body_id * 10000 + (d.y - 1990) * 12 + d.m AS meeting_id, d.motion_date,
         CASE d.o_orderpriority WHEN '1-URGENT' THEN 'zoning_change' WHEN '2-HIGH' THEN 'ordinance' WHEN '3-MEDIUM' THEN 'resolution' WHEN '4-NOT SPECIFIED' THEN 'appointment' ELSE 'procedural' END AS motion_type,
-        CASE WHEN d.motion_id % 17 = 0 THEN 'Ok' WHEN d.motion_id % 23 = 0 THEN 'Adopt annual budget for the fiscal year' ELSE 'Parcel ID ' || (100 + d.o_custkey % 40) || ' ' || (d.y - 1000) END AS title,
+        CASE WHEN d.motion_id % 17 = 0 THEN 'Ok' WHEN d.motion_id % 23 = 0 AND NOT (d.body_id % 5 = 2 AND d.motion_date > DATE '2000-03-01') THEN 'Adopt annual budget for the fiscal year'
+             WHEN d.motion_id % 7 = 0 THEN 'Parcel No. G' || (10 + d.o_custkey % 40) || '-' || (d.y - 1000) || 'A' WHEN d.motion_id % 5 = 0 THEN 'Rezoning of ' || (100 + d.o_custkey % 40) || ' Old  Mill Road' ELSE 'Parcel ID ' || (100 + d.o_custkey % 40) || ' ' || (d.y - 1000) END AS title,
         CASE WHEN d.motion_id % 19 = 0 THEN 'staff' WHEN d.motion_id % 29 = 0 THEN 'City Manager ' || d.c_name WHEN d.motion_id % 31 = 0 THEN NULL ELSE d.c_name END AS petitioner,
         d.o_totalprice AS dollar_amount,
         CASE WHEN d.motion_id % 37 = 0 THEN NULL ELSE t.n_yes + CASE WHEN d.motion_id % 11 = 0 THEN 1 ELSE 0 END END AS tally_yes,
         t.n_no AS tally_no, t.n_abstain AS tally_abstain,
         CASE WHEN d.o_orderstatus = 'P' THEN 'failed' ELSE 'passed' END AS outcome
         FROM docket d LEFT JOIN tally t ON d.motion_id = t.motion_id""",
-    "term_year": """SELECT l_suppkey AS official_id, year(l_shipdate) AS y, min(CAST(l_shipdate AS DATE)) AS first_day, max(CAST(l_shipdate AS DATE)) AS last_day FROM lineitem GROUP BY l_suppkey, year(l_shipdate)""",
+    "term_year": """SELECT l_suppkey AS official_id, s_nationkey AS body_id, year(l_shipdate) AS y, min(CAST(l_shipdate AS DATE)) AS first_day, max(CAST(l_shipdate AS DATE)) AS last_day
+        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_suppkey, s_nationkey, year(l_shipdate)""",
     "term": """SELECT official_id * 100 + (y - 1990) AS term_id, official_id, official_id % 7 AS seat_id, first_day AS start_date,
-        CASE WHEN y = 2001 THEN NULL ELSE last_day END AS end_date FROM term_year WHERE official_id % 11 <> 0""",
+        CASE WHEN y = 2001 AND body_id % 8 <> 7 THEN NULL ELSE last_day END AS end_date FROM term_year WHERE official_id % 11 <> 0""",
     "contribution": """SELECT l_orderkey * 10 + l_linenumber AS contribution_id, l_suppkey AS official_id, c_name AS contributor_name,
-        CASE c_mktsegment WHEN 'BUILDING' THEN 'corporate' WHEN 'MACHINERY' THEN 'pac' ELSE 'individual' END AS contributor_type,
+        CASE WHEN c_mktsegment = 'BUILDING' THEN 'corporate' WHEN c_mktsegment = 'MACHINERY' AND s_nationkey % 6 <> 5 THEN 'pac' ELSE 'individual' END AS contributor_type,
         CAST(round(l_extendedprice * 100) AS BIGINT) AS amount_cents, year(l_shipdate) AS cycle, CAST(l_shipdate AS DATE) AS received
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey""",
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey""",
     "property_record": """SELECT l_suppkey AS official_id, l_partkey AS parcel_id, year(l_shipdate) AS assessment_year, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS value_cents
         FROM lineitem GROUP BY l_suppkey, l_partkey, year(l_shipdate)""",
     "fund_event": """SELECT event_id, user_id % 5 AS jurisdiction_id, user_id, ts,
@@ -76,7 +78,7 @@ VIEWS = {
         CASE event_id % 3 WHEN 0 THEN 'text' WHEN 1 THEN 'ocr' ELSE 'vision' END AS method,
         CASE WHEN event_id % 7 = 0 THEN 'failed' WHEN event_id % 5 = 0 THEN 'partial' ELSE 'ok' END AS status,
         event_id % 4 AS n_missing, event_id % 2 AS n_garbled FROM events WHERE event_type IN ('view', 'click')""",
-    "citizen_comment": """SELECT conv_id * 1000 + turn AS comment_id, conv_id % 40 AS item_id, turn, role, conv_id AS user_id, text,
+    "citizen_comment": """SELECT conv_id * 1000 + turn AS comment_id, CAST(floor(conv_id / 10.0) AS BIGINT) AS item_id, turn, role, conv_id AS user_id, text,
         CASE (conv_id + turn) % 3 WHEN 0 THEN 'support' WHEN 1 THEN 'oppose' ELSE 'neutral' END AS stance FROM conversations""",
 }
 

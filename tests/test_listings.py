@@ -12,7 +12,7 @@ def test_agenda_listing(spark):
     rows = S.listing_to_meetings(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
     assert len(rows) == 1
     r = rows[0]
-    assert r.meeting_date == dt.date(2025, 2, 3) and r.item == 41 and r.meeting_type == "work_session"
+    assert r.meeting_date == dt.date(2025, 2, 3) and r.item == 41 and r.meeting_type == "workshop"
     assert r.agenda_url.endswith("_02032025-41") and r.minutes_url.endswith("_02032025-41")
     assert r.posted_at == dt.datetime(2025, 1, 30, 16, 5)
 
