@@ -41,19 +41,40 @@ TEMPER = 0.75  # exponent of the number of symbols that count as independent
 KAPPA_HOST, KAPPA_DOMAIN, ALPHA = 4.0, 8.0, 0.5
 PIECE = 4 << 20
 
-_DROP = re.compile(r"<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->", re.S | re.I)
-_MAIN = re.compile(r"<(article|main)\b[^>]*>(.*?)</\1\s*>", re.S | re.I)
-_ASIDE = re.compile(r"<(nav|footer|aside|header)\b.*?</\1\s*>", re.S | re.I)
-_TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
-_META = re.compile(r"<meta\b[^>]*?content-language[^>]*?content\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
+#: What isn't closed lasts to the end of the page.
+_DROP = re.compile(r"<script\b.*?(?:</script\s*>|\Z)|<style\b.*?(?:</style\s*>|\Z)|<!--.*?(?:-->|\Z)", re.S | re.I)
+_MAIN = re.compile(r"<(article|main)\b[^<>]*>(.*?)(?:</\1\s*>|\Z)", re.S | re.I)
+_ASIDE = re.compile(r"<(/?)(nav|footer|aside|header)\b[^<>]*>", re.I)
+_TAG = re.compile(r"<[^<>]*>")
+_DECLARED = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
+_META = re.compile(r"<meta\b[^<>]*?content-language[^<>]*?content\s*=\s*[\"']?([A-Za-z]{2,3})\b", re.I)
+#: Labels under which a country's names are registered one level deeper.
+_SECOND = {"ac", "co", "com", "edu", "gov", "net", "org"}
+
+
+def _without_asides(html: str) -> str:
+    """The page without its navigation, headers and footers, in one pass; what isn't closed stays."""
+    out, at, opened = [], 0, None
+    closed_last = {}
+    tags = list(_ASIDE.finditer(html))
+    for m in tags:
+        if m.group(1):
+            closed_last[m.group(2).lower()] = m.start()
+    for m in tags:
+        name = m.group(2).lower()
+        if opened is None and not m.group(1) and closed_last.get(name, -1) > m.start():
+            out.append(html[at : m.start()])
+            opened = name
+        elif opened == name and m.group(1):
+            at, opened = m.end(), None
+    return " ".join([*out, html[at:]])
 
 
 def page_text(html: str) -> str:
     """The text of the main part of a page; of the whole body where none is marked."""
     html = _DROP.sub(" ", html)
     main = [m.group(2) for m in _MAIN.finditer(html)]
-    body = " ".join(main) if main else _ASIDE.sub(" ", html)
+    body = " ".join(main) if main else _without_asides(html)
     return re.sub(r"\s+", " ", unescape(_TAG.sub(" ", body))).strip()
 
 
@@ -69,7 +90,8 @@ def address(url: str) -> tuple[str, str, str]:
     except ValueError:
         host = ""
     labels = host.split(".") if host else []
-    return host, ".".join(labels[-2:]), labels[-1] if len(labels) > 1 else ""
+    deep = len(labels) > 2 and len(labels[-1]) == 2 and labels[-2] in _SECOND
+    return host, ".".join(labels[-3:] if deep else labels[-2:]), labels[-1] if len(labels) > 1 else ""
 
 
 def _count(batches):
