@@ -58,10 +58,11 @@ def high_confidence(names: DataFrame, officials: DataFrame, alias: DataFrame) ->
     return exact.unionByName(one.select("name", "official_id", F.lit("similar").alias("matched_via")))
 
 
-def bulk_resolve(names: DataFrame, alias: DataFrame, officials: DataFrame) -> DataFrame:
+def bulk_resolve(names: DataFrame, alias: DataFrame, officials: DataFrame, holders: DataFrame | None = None) -> DataFrame:
     """Staged resolution of distinct names: guard, alias, stripped alias, unique surname with agreeing first name.
 
-    A bare surname agrees with every first name, so it resolves where one official alone has it.
+    A bare surname can only mean one of ``holders`` (official_id; all officials
+    where none are given), and only where one of them alone has it.
     """
     base = names.select("name").distinct()
     bad = N.looks_unresolvable(F.col("name"))
@@ -74,7 +75,11 @@ def bulk_resolve(names: DataFrame, alias: DataFrame, officials: DataFrame) -> Da
     left = left.join(two, "name", "left_anti")
     parts = left.withColumn("p", N.split_name(N.strip_title(F.col("name")))).withColumn("last", F.lower("p.last"))
     known = officials.withColumn("q", N.split_name(F.col("canonical_name"))).select("official_id", F.lower("q.last").alias("last"), F.col("q.first").alias("o_first"))
-    near = parts.join(known, "last").filter(N.first_names_agree(F.col("p.first"), F.col("o_first")))
+    if holders is None:
+        known = known.withColumn("holds", F.lit(True))
+    else:
+        known = known.join(holders.select("official_id", F.lit(True).alias("holds")).distinct(), "official_id", "left")
+    near = parts.join(known, "last").filter(F.when(F.col("p.first").isNull(), F.col("holds")).otherwise(N.first_names_agree(F.col("p.first"), F.col("o_first"))))
     only = near.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("official_id").alias("official_id")).filter("n = 1")
     three = only.select("name", "official_id", F.lit("surname").alias("matched_via"))
     done = one.unionByName(two).unionByName(three)

@@ -65,6 +65,22 @@ VIEWS = {
         CASE WHEN c_mktsegment = 'BUILDING' THEN 'corporate' WHEN c_mktsegment = 'MACHINERY' AND s_nationkey % 6 <> 5 THEN 'pac' ELSE 'individual' END AS contributor_type,
         CAST(round(l_extendedprice * 100) AS BIGINT) AS amount_cents, year(l_shipdate) AS cycle, CAST(l_shipdate AS DATE) AS received
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey""",
+    "person": """SELECT s_suppkey AS official_id, s_nationkey AS body_id, n_regionkey AS jurisdiction_id, s_suppkey % 5 <> 0 AS is_elected,
+        CASE s_suppkey % 12 WHEN 0 THEN 'Robert' WHEN 1 THEN 'Bill' WHEN 2 THEN 'Karen' WHEN 3 THEN 'Amy' WHEN 4 THEN 'James' WHEN 5 THEN 'Steven' WHEN 6 THEN 'Kate' WHEN 7 THEN 'Thomas' WHEN 8 THEN 'Ceretta' WHEN 9 THEN 'Michael' WHEN 10 THEN 'Doug' ELSE 'Joe' END AS first_name,
+        CASE s_suppkey % 13 WHEN 0 THEN 'Baker' WHEN 1 THEN 'Carter' WHEN 2 THEN 'Dunn' WHEN 3 THEN 'Ellis' WHEN 4 THEN 'Foster' WHEN 5 THEN 'Grant' WHEN 6 THEN 'Hayes' WHEN 7 THEN 'Irwin' WHEN 8 THEN 'Keller' WHEN 9 THEN 'Lowell' WHEN 10 THEN 'Mason' WHEN 11 THEN 'Nolan' ELSE 'Parker' END
+        || translate('' || CAST(floor(s_suppkey / 39.0) AS BIGINT), '0123456789', 'abcdefghij') AS last_name FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
+    "official_alias": """SELECT official_id, first_name || ' ' || last_name AS alias FROM person WHERE official_id % 4 <> 3
+        UNION ALL SELECT official_id, 'Mayor ' || first_name || ' ' || last_name FROM person WHERE official_id % 6 = 0""",
+    "minutes_name": """SELECT v.motion_id, v.official_id, v.motion_date, v.vote_value, CASE WHEN v.motion_id % 10 = 0 THEN b.jurisdiction_id ELSE p.jurisdiction_id END AS jurisdiction_id,
+        CASE (v.motion_id + v.official_id) % 10 WHEN 0 THEN 'Councilmember ' || last_name WHEN 1 THEN first_name || ' ' || last_name WHEN 2 THEN 'Mayor ' || upper(first_name) || ' ' || last_name
+             WHEN 3 THEN 'Mr. ' || substr(first_name, 1, 1) || '. ' || last_name WHEN 4 THEN first_name || ' ' || last_name || 'e' WHEN 5 THEN last_name
+             WHEN 6 THEN 'J. ' || first_name || ' ' || last_name WHEN 7 THEN 'Zelda Q. ' || last_name WHEN 8 THEN 'unknown member' ELSE first_name || ' ' || last_name END AS name
+        FROM vote v JOIN person p ON v.official_id = p.official_id JOIN governing_body b ON v.body_id = b.body_id""",
+    "directory": """SELECT 'county' AS kind, min(official_id) * 10 AS fips, last_name || ' County' AS name, 0 AS state FROM person GROUP BY last_name
+        UNION ALL SELECT CASE WHEN official_id % 8 < 5 THEN 'school_district' ELSE 'city' END, official_id * 10 + 1,
+        CASE official_id % 8 WHEN 0 THEN last_name || ' County School District' WHEN 1 THEN last_name || ' City School District' WHEN 2 THEN last_name || ' School District 3'
+             WHEN 3 THEN last_name || ' County Consolidated School District' WHEN 4 THEN first_name || ' School District' WHEN 5 THEN 'Old-' || first_name || '-' || last_name || ' County'
+             WHEN 6 THEN last_name ELSE last_name || ' County' END, 0 FROM person""",
     "property_record": """SELECT l_suppkey AS official_id, l_partkey AS parcel_id, year(l_shipdate) AS assessment_year, sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS value_cents
         FROM lineitem GROUP BY l_suppkey, l_partkey, year(l_shipdate)""",
     "fund_event": """SELECT event_id, user_id % 5 AS jurisdiction_id, user_id, ts,
