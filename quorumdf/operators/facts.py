@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .resolution import contained
+
 PAYLOAD = (
     "struct<meeting:struct<date:date,body_name:string>,agenda_items:array<struct<item_number:bigint,title:string,motion_text_verbatim:string,summary_plain_english:string,"
     "vote_tally:struct<yes:int,no:int,abstain:int>,individual_votes:array<struct<name:string,vote:string>>,recusals:array<struct<name:string,reason:string>>>>>"
@@ -70,6 +72,87 @@ def dispatch(disputed: DataFrame, max_attempts: int = 3) -> DataFrame:
     return disputed.filter(F.col("attempts") < max_attempts).withColumn("handler_id", choice)
 
 
+#: What a repair appends to a motion's log.
+LOG = "array<struct<handler:string,outcome:string,field:string,old:string>>"
+BUNDLE_EXCESS = 5
+
+
+def repair_motions(motion: DataFrame, findings: DataFrame) -> DataFrame:
+    """The deterministic repairs of disputed motions, as column rewrites with a log.
+
+    ``findings`` has motion_id, pattern_id, declared and actual (votes of a
+    tally mismatch).  A single declared vote without recorded ones is a voice
+    vote: procedural, tallies cleared.  An appointment that declares five or more
+    votes beyond the recorded is a slate: left as it is and escalated.  Officials
+    named as petitioner or recommender are cleared.  Findings without a rule
+    leave the motion alone.
+    """
+    at = lambda p: F.col("pattern_id") == p
+    tally, declared, actual = at("qa_tally_mismatch"), F.coalesce("declared", F.lit(0)), F.coalesce("actual", F.lit(0))
+    marks = {"voice": tally & (F.col("declared") == 1) & (F.col("actual") == 0), "excess": tally & (declared >= actual + BUNDLE_EXCESS), "petitioner_out": at("qa_official_as_petitioner"), "recommender_out": at("qa_official_as_staff_recommender")}
+    per = findings.groupBy("motion_id").agg(*[F.coalesce(F.bool_or(c), F.lit(False)).alias(k) for k, c in marks.items()])
+    rows = motion.join(per, "motion_id", "left").fillna(False, list(marks))
+    slate = F.col("excess") & F.coalesce(F.col("motion_type") == "appointment", F.lit(False))
+    entry = lambda handler, outcome, field, old: F.struct(F.lit(handler).alias("handler"), F.lit(outcome).alias("outcome"), F.lit(field).alias("field"), old.cast("string").alias("old"))
+    log = F.array(
+        F.when(F.col("voice"), entry("voice_vote_demote", "repaired", "motion_type", F.col("motion_type"))),
+        F.when(slate, entry("bundled_tally_escalate", "unrepairable", "tally_yes", F.col("tally_yes"))),
+        F.when(F.col("petitioner_out"), entry("official_as_petitioner_clear", "repaired", "petitioner", F.col("petitioner"))),
+        F.when(F.col("recommender_out"), entry("official_as_staff_recommender_clear", "repaired", "recommender", F.col("recommender"))),
+    )
+    zero = lambda c: F.when(F.col("voice"), F.lit(0)).otherwise(F.col(c)).alias(c)
+    return rows.select(
+        "motion_id", F.when(F.col("voice"), "procedural").otherwise(F.col("motion_type")).alias("motion_type"), zero("tally_yes"), zero("tally_no"), zero("tally_abstain"),
+        F.when(F.col("voice"), F.coalesce("outcome", F.lit("discussed_no_vote"))).otherwise(F.col("outcome")).alias("outcome"),
+        F.when(~F.col("petitioner_out"), F.col("petitioner")).alias("petitioner"), F.when(~F.col("recommender_out"), F.col("recommender")).alias("recommender"),
+        F.filter(log, lambda e: e.isNotNull()).cast(LOG).alias("repair_log"),
+    )
+
+
+# Titles that mark a name as staff.
+STAFF_PREFIXES = [
+    "major ", "capt. ", "capt ", "captain ", "lt. ", "lieutenant ", "sgt. ", "sergeant ", "chief ", "officer ", "director ", "administrator ",
+    "attorney ", "clerk ", "engineer ", "manager ", "coordinator ", "secretary ", "treasurer ", "superintendent ",
+]
+
+
+def orphan_removal(flagged: DataFrame, officials: DataFrame, votes: DataFrame, terms: DataFrame, staff_present: DataFrame, alias: DataFrame, findings: DataFrame) -> DataFrame:
+    """What becomes of officials flagged as orphans: kept where they vote or serve, or nothing shows them as staff; else deleted.
+
+    Staff is who has a staff title before the name, or whose surname stands
+    within a ``staff_present`` line (meeting_id, line).  Deleted ones come with
+    how many aliases and findings go with them (``cascade`` drops these).
+    """
+    rows = flagged.select("official_id").distinct().join(officials.select("official_id", "canonical_name", F.lower("last_name").alias("low")), "official_id")
+    held = votes.select("official_id").unionByName(terms.select("official_id")).groupBy("official_id").agg(F.count(F.lit(1)).alias("held"))
+    rows = rows.join(held, "official_id", "left").fillna(0, ["held"])
+    lines = staff_present.select("meeting_id", F.lower("line").alias("line"))
+    seen = lines.join(contained(lines, "line", rows, "low"), "line").groupBy("low").agg(F.countDistinct("meeting_id").alias("staff_meetings"))
+    rows = rows.join(seen, "low", "left").fillna(0, ["staff_meetings"])
+    per = lambda df, name: df.groupBy("official_id").agg(F.count(F.lit(1)).alias(name))
+    rows = rows.join(per(alias, "n_alias"), "official_id", "left").join(per(findings, "n_findings"), "official_id", "left").fillna(0, ["n_alias", "n_findings"])
+    titled = F.lower("canonical_name").rlike("^(?:" + "|".join(p.replace(".", r"\.") for p in STAFF_PREFIXES) + ")")
+    outcome = F.when(F.col("held") > 0, "kept_in_use").when((F.col("staff_meetings") == 0) & ~titled, "kept_unconfirmed").otherwise("deleted")
+    return rows.select("official_id", outcome.alias("outcome"), "staff_meetings", *[F.when(outcome == "deleted", F.col(c)).otherwise(F.lit(0)).cast("long").alias(c) for c in ("n_alias", "n_findings")])
+
+
+def cascade(table: DataFrame, removed: DataFrame) -> DataFrame:
+    """The table without the rows of deleted officials."""
+    return table.join(removed.filter("outcome = 'deleted'").select("official_id"), "official_id", "left_anti")
+
+
+def staff_photo(tier: Column, caption: Column, name: Column) -> Column:
+    """struct(score, status, verified_by) of a staff photo: the city's own source, and the caption's full name or a surname of four letters or more."""
+    low, full = F.lower(F.coalesce(caption, F.lit(""))), F.lower(F.coalesce(name, F.lit("")))
+    last = F.coalesce(F.element_at(F.split(F.trim(full), r"\s+"), -1), F.lit(""))
+    own = F.coalesce(tier == "city_official", F.lit(False))
+    by_name = (low != "") & (full != "") & low.contains(full)
+    by_last = (low != "") & ~by_name & (F.length(last) >= 4) & low.contains(last)
+    score = own.cast("int") + (by_name | by_last).cast("int")
+    reasons = F.concat_ws("+", F.when(own, "source=city_official"), F.when(by_name, "caption_matches_canonical_name"), F.when(by_last, "caption_matches_last_name"))
+    return F.struct(score.alias("score"), F.when(score >= 2, "verified").otherwise("unverified").alias("status"), F.when(score >= 2, F.concat(F.lit("auto:"), reasons)).alias("verified_by"))
+
+
 def correction_intake(new: DataFrame, open_ones: DataFrame, limit: int = 200) -> DataFrame:
     """accepted, duplicate or invalid per submission; equal issues on one entity count once while open."""
     rows = new.withColumn("issue", F.substring(F.trim("issue"), 1, limit)).withColumn("hash", F.md5(F.lower("issue")))

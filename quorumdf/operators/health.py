@@ -63,6 +63,70 @@ def capability_ladder(meeting: DataFrame, motion: DataFrame, contribution: DataF
     return rows.select("jurisdiction_id", "capability", F.col("n").cast("long").alias("n"), state.alias("state"))
 
 
+# The rungs in order with their labels.
+RUNGS = {
+    "directory": "Government directory", "meetings": "Meetings indexed", "minutes": "Minutes & votes extracted", "roster": "Elected roster", "audit": "Compliance audit",
+    "historical": "Historical archive", "campaign_finance": "Campaign finance", "elections": "Elections calendar", "budget": "Budget records",
+}
+
+
+def capability_rungs(body: DataFrame, meeting: DataFrame, motion: DataFrame, item: DataFrame, member: DataFrame, finding: DataFrame, gift: DataFrame, fund: DataFrame, cutoff: str) -> DataFrame:
+    """Nine rungs per jurisdiction: key, label, state and detail.
+
+    ``fund`` has jurisdiction_id, status (null: unfunded), unlocked and needed_usd;
+    ``member`` and ``gift`` have official_id and body_id, ``finding`` body_id,
+    ``motion`` and ``item`` meeting_id.  Documents with a placeholder mark
+    (minutes_stub, agenda_stub) aren't there.  Each source is one aggregation.
+    """
+    b = body.select("body_id", "jurisdiction_id")
+    has = lambda df, name: df.select("meeting_id").distinct().withColumn(name, F.lit(True))
+    m = meeting.join(b, "body_id").join(has(motion, "moved"), "meeting_id", "left").join(has(item, "listed"), "meeting_id", "left").fillna(False, ["moved", "listed"])
+    recent = F.col("meeting_date") >= day(cutoff)
+    minutes = F.col("minutes_url").isNotNull() & ~F.coalesce("minutes_stub", F.lit(False))
+    agenda = F.col("agenda_url").isNotNull() & ~F.coalesce("agenda_stub", F.lit(False))
+    counts = m.groupBy("jurisdiction_id").agg(
+        F.count(F.lit(1)).alias("meetings"), F.count("minutes_url").alias("urls"), F.count_if("moved").alias("with_motions"),
+        F.count_if(recent & minutes).alias("recent_total"), F.count_if(recent & minutes & F.col("moved")).alias("recent_done"),
+        (F.count_if(~recent & minutes) + F.count_if(~recent & agenda)).alias("old_total"),
+        (F.count_if(~recent & minutes & ~F.col("moved")) + F.count_if(~recent & agenda & ~F.col("listed"))).alias("old_left"),
+    )
+    per = lambda df, agg, name: df.join(b, "body_id").groupBy("jurisdiction_id").agg(agg.alias(name))
+    n = F.count(F.lit(1))
+    wide = fund.select("jurisdiction_id", "status", "unlocked", "needed_usd").join(counts, "jurisdiction_id", "left").join(b.groupBy("jurisdiction_id").agg(n.alias("bodies")), "jurisdiction_id", "left")
+    for part in (per(member, F.countDistinct("official_id"), "officials"), per(finding, n, "findings"), per(gift, n, "gifts")):
+        wide = wide.join(part, "jurisdiction_id", "left")
+    c = F.col
+    names = ["meetings", "urls", "with_motions", "recent_total", "recent_done", "old_total", "old_left", "bodies", "officials", "findings", "gifts"]
+    wide = wide.fillna(0, names)
+    pending = F.when(F.coalesce("status", F.lit("unfunded")).isin("unfunded", "paused"), "needs_funding").otherwise("in_progress")
+    text = lambda *xs: F.concat(*[x.cast("string") if not isinstance(x, str) else F.lit(x) for x in xs])
+    money = F.when(c("needed_usd") >= 20, F.format_number("needed_usd", 0)).otherwise(F.format_number("needed_usd", 2))
+    some = lambda col, unit, empty="pending": F.when(c(col) > 0, text(c(col), f" {unit}")).otherwise(empty)
+    there = lambda col, otherwise: F.when(c(col) > 0, "indexed").otherwise(otherwise)
+    soon = (F.lit("coming_soon"), F.lit("coming soon"))
+    rungs = {
+        "directory": (there("bodies", pending), some("bodies", "bodies")),
+        "meetings": (there("meetings", pending), some("meetings", "meetings")),
+        "minutes": (
+            F.when(c("recent_total") > 0, F.when(c("recent_done") >= c("recent_total"), "indexed").otherwise(pending)).when(c("with_motions") > 0, "indexed").when(c("urls") > 0, pending).otherwise("needs_funding"),
+            F.when(c("recent_total") > 0, text(c("recent_done"), " of ", c("recent_total"), " recent meetings extracted")).when(c("with_motions") > 0, text(c("with_motions"), " meetings with votes")).when(c("urls") > 0, "pending").otherwise("no minutes documents found"),
+        ),
+        "roster": (there("officials", pending), some("officials", "officials")),
+        "audit": (F.when(c("findings") > 0, "indexed").when(c("meetings") > 0, "in_progress").otherwise(pending), some("findings", "findings tracked")),
+        "historical": (
+            F.when(c("old_total") == 0, "coming_soon").when(c("old_left") == 0, "indexed").when(c("unlocked"), "in_progress").otherwise("needs_funding"),
+            F.when(c("old_total") == 0, "no records beyond the recent window yet").when(c("old_left") == 0, text(c("old_total"), " historical documents indexed"))
+            .when(c("unlocked"), text(c("old_total") - c("old_left"), " of ", c("old_total"), " historical documents extracted"))
+            .when(c("needed_usd").isNull(), text(c("old_left"), " documents · price estimate pending")).otherwise(text(c("old_left"), " documents · ~$", money, " to unlock")),
+        ),
+        "campaign_finance": (there("gifts", F.lit("coming_soon")), some("gifts", "contributions", "coming soon")),
+        "elections": soon,
+        "budget": soon,
+    }
+    rows = F.array(*[F.struct(F.lit(k).alias("key"), F.lit(RUNGS[k]).alias("label"), state.alias("state"), detail.alias("detail")) for k, (state, detail) in rungs.items()])
+    return wide.select("jurisdiction_id", F.explode(rows).alias("r")).select("jurisdiction_id", "r.*")
+
+
 def capability_transition(now: DataFrame, prior: DataFrame, as_of: str) -> DataFrame:
     """First-indexed day kept or set, and whether a milestone is due."""
     both = now.join(prior.select("jurisdiction_id", "capability", F.col("state").alias("old"), "first_indexed"), ["jurisdiction_id", "capability"], "left")

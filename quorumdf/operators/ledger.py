@@ -64,6 +64,95 @@ def admission(events: DataFrame, keys: list[str], floor: int = 0) -> DataFrame:
     return events.select(*keys, "event_id", "ts", "kind", "amount_cents").groupBy(*keys).applyInPandas(run, "event_id long, decision string, balance long")
 
 
+HOLD_MINUTES = 60
+
+
+class Account:
+    """Balance, status and open holds of one account, the oldest hold first.
+
+    A hold reserves an expected cost: refused unless the account is active; under
+    the floor it is refused and pauses the account until money comes in; work that
+    isn't essential also leaves the reserve alone, without a pause.  Settling books
+    the actual cost and drops the hold; of an unknown hold it does nothing.  Holds
+    older than an hour are dropped.  A suspended account stays so until resumed.
+    """
+
+    def __init__(self, floor: int, reserve: int, state: dict | None = None):
+        state = state or {}
+        self.floor, self.reserve = floor, reserve
+        self.balance, self.status = state.get("balance", 0), state.get("status", "active")
+        self.holds = {int(k): (c, t) for k, c, t in sorted(state.get("holds", []), key=lambda h: h[2])}
+        self.held = sum(c for c, _ in self.holds.values())
+
+    def state(self) -> dict:
+        return {"balance": self.balance, "status": self.status, "holds": [(k, c, t) for k, (c, t) in self.holds.items()]}
+
+    def drop(self, hold: int) -> bool:
+        cents, _ = self.holds.pop(hold, (None, None))
+        self.held -= cents or 0
+        return cents is not None
+
+    def reap(self, minute: float) -> int:
+        """Drop holds opened more than an hour before the minute; how many."""
+        n = 0
+        while self.holds and next(iter(self.holds.values()))[1] < minute - HOLD_MINUTES:
+            self.drop(next(iter(self.holds)))
+            n += 1
+        return n
+
+    def take(self, event: int, kind: str, cents: int, minute: float, hold: int | None, essential: bool) -> str:
+        self.reap(minute)
+        if kind in ("deposit", "grant"):
+            self.balance += cents
+            if cents > 0 and self.status == "paused":
+                self.status = "active"
+            return "credited"
+        if kind in ("suspend", "resume"):
+            self.status = "suspended" if kind == "suspend" else "active"
+            return kind
+        if kind == "reserve":
+            if self.status != "active":
+                return f"refused_{self.status}"
+            left = self.balance - self.held - cents
+            if left < self.floor:
+                self.status = "paused"
+                return "refused_floor"
+            if not essential and left < self.floor + self.reserve:
+                return "refused_reserve"
+            self.holds[event] = (cents, minute)
+            self.held += cents
+            return "held"
+        if hold is None or not self.drop(hold):
+            return "unknown_hold"
+        if kind == "settle":
+            self.balance -= max(cents, 0)
+            return "settled"
+        return "released"
+
+
+RESERVATION = "event_id long, decision string, balance long, held long, status string"
+
+
+def fold_reservations(events: pd.DataFrame, floor: int, reserve: int, state: dict | None = None) -> tuple[pd.DataFrame, dict]:
+    """The rows of one account's events (event_id, ts, kind, cents, hold, essential) in order, and its state after."""
+    account, out = Account(floor, reserve, state), []
+    events = events.sort_values(["ts", "event_id"])
+    minutes = events["ts"].astype("datetime64[us]").astype("int64") / 6e7
+    for event, kind, cents, minute, hold, essential in zip(events["event_id"], events["kind"], events["cents"], minutes, events["hold"], events["essential"]):
+        decision = account.take(int(event), kind, 0 if pd.isna(cents) else int(cents), float(minute), None if pd.isna(hold) else int(hold), bool(essential))
+        out.append((int(event), decision, account.balance, account.held, account.status))
+    return pd.DataFrame(out, columns=["event_id", "decision", "balance", "held", "status"]), account.state()
+
+
+def reservations(events: DataFrame, keys: list[str], floor: int = 0, reserve: int = 0) -> DataFrame:
+    """The fold per account, in event order."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return fold_reservations(pdf, floor, reserve)[0]
+
+    return events.select(*keys, "event_id", "ts", "kind", "cents", "hold", "essential").groupBy(*keys).applyInPandas(run, RESERVATION)
+
+
 def usage_cost(usage: DataFrame) -> DataFrame:
     """Cost per unit and model from tokens, cached tokens and recognised pages."""
     price_in, price_out = F.lit(OTHER_PRICE[0]), F.lit(OTHER_PRICE[1])

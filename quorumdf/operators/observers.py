@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -101,6 +102,51 @@ def observe(civic, registry: dict[str, Callable] | None = None) -> tuple[DataFra
     return out, failed
 
 
+def observe_each(civic, folder: str, registry: dict[str, Callable] | None = None) -> tuple[DataFrame | None, list[str]]:
+    """As ``observe``, with every observer run for itself into a table under the shared folder.
+
+    One that fails, while it is planned or while it runs, is reported and holds up
+    no other; its findings are to be protected in the lifecycle.  None where all fail.
+    """
+    parts, failed = [], []
+    for category, f in sorted((registry or OBSERVERS).items()):
+        path = f"{folder.rstrip('/')}/{category}"
+        try:
+            rows = f(civic).withColumn("category", F.lit(category))
+            rows.write.mode("overwrite").parquet(path)
+            parts.append(rows.sparkSession.read.schema(rows.schema).parquet(path))
+        except Exception:
+            failed.append(category)
+    return (reduce(DataFrame.unionByName, parts) if parts else None), failed
+
+
+# What the records of a finding are called.
+RECORD_TYPES = {
+    "agenda_missing": "meeting agendas",
+    "minutes_missing": "meeting minutes",
+    "member_roster_missing": "appointed-body membership records",
+    "meeting_notice_too_short": "meeting-notice policy and short-notice records",
+    "campaign_finance_missing": "campaign finance disclosures",
+    "budget_overdue": "adopted budget and budget-adoption records",
+}
+UNCOUNTED = ["budget_overdue"]
+
+
+def item_sentence(category: Column, count: Column, since: Column) -> Column:
+    """One line that names what is missing: "Meeting minutes — 3 meetings, March 12, 2026 to present."
+
+    One or none counted, or a category that isn't counted, names the day alone;
+    without a day the kind of record stands alone.
+    """
+    table = F.create_map(*[F.lit(x) for kv in RECORD_TYPES.items() for x in kv])
+    kind = F.coalesce(F.try_element_at(table, category), F.replace(category, F.lit("_"), F.lit(" ")))
+    head = F.concat(F.upper(F.substring(kind, 1, 1)), F.substring(kind, F.lit(2), F.length(kind)))
+    day_text = F.date_format(since, "MMMM d, yyyy")
+    many = (F.coalesce(count, F.lit(0)) > 1) & ~category.isin(UNCOUNTED)
+    tail = F.when(since.isNull(), ".").when(many, F.concat(F.lit(" — "), count.cast("string"), F.lit(" meetings, "), day_text, F.lit(" to present."))).otherwise(F.concat(F.lit(" — none on record since "), day_text, F.lit(".")))
+    return F.concat(head, tail)
+
+
 def lifecycle(observed: DataFrame, prior: DataFrame, keys: list[str], *, live: list[str], closed: str, frozen: list[str] = (), protect: Column | None = None) -> DataFrame:
     """Fold observed rows into the prior state: the new status and the action per key.
 

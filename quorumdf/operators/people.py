@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from quorumdf.functions import names as N
 
-from .resolution import similar_pairs
+from .resolution import contained, similar_pairs
 
 #: First day of a term whose real one isn't known.
 PLACEHOLDER_START = "2020-01-01"
@@ -191,13 +191,9 @@ def staff_stubs(recommended: DataFrame, officials: DataFrame, min_motions: int =
     few lengths that names have.
     """
     lines = recommended.filter("line is not null").groupBy("line").agg(F.count(F.lit(1)).alias("n"), F.min("motion_date").alias("first_date"), F.max("motion_date").alias("last_date")).filter(F.col("n") >= min_motions)
-    names = officials.filter(F.length("canonical_name") >= 8).select(F.lower("canonical_name").alias("low")).distinct()
-    lengths = names.agg(F.array_sort(F.collect_set(F.length("low"))).alias("lengths"))  # some dozens at most
-    low = F.lower("line")
-    parts = lines.select("line").crossJoin(F.broadcast(lengths)).select("line", low.alias("text"), F.explode(F.filter("lengths", lambda k: k <= F.length("line"))).alias("k"))
-    parts = parts.select("line", F.explode(F.transform(F.sequence(F.lit(1), F.length("text") - F.col("k") + 1), lambda i: F.substring(F.col("text"), i, F.col("k")))).alias("low"))
-    matched = parts.join(names, "low", "left_semi").select("line")
-    free = lines.join(matched, "line", "left_anti").withColumn("p", N.recommender_name(F.col("line"))).filter("p is not null")
+    names = officials.filter(F.length("canonical_name") >= 8).select(F.lower("canonical_name").alias("name"))
+    matched = contained(lines.select(F.lower("line").alias("low")), "low", names, "name").select("low").distinct()
+    free = lines.withColumn("low", F.lower("line")).join(matched, "low", "left_anti").withColumn("p", N.recommender_name(F.col("line"))).filter("p is not null")
     return free.groupBy(F.col("p.first").alias("first_name"), F.col("p.last").alias("last_name")).agg(
         F.sum("n").alias("motions"), F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date"), F.array_join(F.sort_array(F.collect_set("line")), "; ").alias("lines")
     )

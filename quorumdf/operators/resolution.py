@@ -36,6 +36,20 @@ def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, ke
     return both.select("ka", "kb", "ta", "tb", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str) -> DataFrame:
+    """(text, name) of distinct texts and the names that stand anywhere within them, as an equi-join.
+
+    Texts give their substrings of the lengths that names have, some dozens at
+    most; both columns are compared as they are.
+    """
+    known = names.select(name).filter(F.length(name) > 0).distinct()
+    lengths = known.agg(F.array_sort(F.collect_set(F.length(name))).alias("lengths"))  # one row
+    rows = texts.select(text).distinct().crossJoin(F.broadcast(lengths)).select(text, F.explode(F.filter("lengths", lambda k: k <= F.length(text))).alias("k"))
+    starts = F.sequence(F.lit(1), F.length(text) - F.col("k") + 1)
+    parts = rows.select(text, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, F.col("k"))))).alias(name))
+    return parts.join(known, name).select(text, name)
+
+
 def exact_alias(names: DataFrame, alias: DataFrame) -> DataFrame:
     """Case-insensitive alias lookup; the lowest official of an alias."""
     low = alias.groupBy(F.lower("alias").alias("low")).agg(F.min("official_id").alias("official_id"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import tempfile
 import uuid
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import IntegerType, StructField, StructType, TimestampNTZType
 
-from quorumdf.operators.ledger import fold_admission
+from quorumdf.operators.ledger import HOLD_MINUTES, RESERVATION, Account, fold_admission, fold_reservations
 
 
 def scratch(spark: SparkSession) -> str:
@@ -105,6 +106,30 @@ def admission_stream(events: DataFrame, floor: int = 0) -> DataFrame:
     return events.groupBy("user_id").applyInPandasWithState(step, "event_id long, decision string, balance long", "balance long, paused boolean", "append", GroupStateTimeout.NoTimeout)
 
 
+def reservation_stream(events: DataFrame, key: str, floor: int = 0, reserve: int = 0, watermark: str = "1 hour") -> DataFrame:
+    """The reserve and settle fold as a stateful stream; a timer on the watermark reaps the holds of quiet accounts.
+
+    Reaped holds come as rows without an event.
+    """
+
+    def step(who, frames, state: GroupState):
+        held = json.loads(state.get[0]) if state.exists else None
+        if state.hasTimedOut:
+            account = Account(floor, reserve, held)
+            n, held = account.reap(state.getCurrentWatermarkMs() / 6e4), account.state()
+            rows = pd.DataFrame([(None, "reaped", account.balance, account.held, account.status)] * bool(n), columns=["event_id", "decision", "balance", "held", "status"])
+        else:
+            rows, held = fold_reservations(pd.concat(list(frames), ignore_index=True), floor, reserve, held)
+        state.update((json.dumps(held),))
+        if held["holds"]:
+            due = int((held["holds"][0][2] + HOLD_MINUTES) * 6e4) + 60000
+            state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
+        yield rows.astype({"event_id": "Int64"})
+
+    rows = events.withWatermark("ts", watermark).groupBy(key)
+    return rows.applyInPandasWithState(step, RESERVATION, "account string", "append", GroupStateTimeout.EventTimeTimeout)
+
+
 def fund_events(events: DataFrame) -> DataFrame:
     """The ledger's rows of the events table, as in the civic view."""
     kind = F.when(F.col("event_type") == "purchase", "deposit").when(F.col("event_type") == "signup", "grant").otherwise("spend")
