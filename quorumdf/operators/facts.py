@@ -52,6 +52,24 @@ def merge_windows(items: DataFrame, doc: str, page: str, title: str, window: str
     return items.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 
+def merge_extractions(windows: DataFrame, doc: str, window: str, header: list[str], lists: list[str]) -> DataFrame:
+    """One row per document of its windows: page numbers of the document, every item once, lists united, first header fields.
+
+    Windows of a document have numbers of their own, page_offset and items (source_page, title).  Of items of one page
+    and one title, in any case, the first window's stays; items are in page order,
+    of one page as they came.  A header field is the first that isn't null; a list
+    has every entry once, where it first stood.  Null lists count as empty.
+    """
+    rows = windows.select(doc, window, "page_offset", F.posexplode("items").alias("pos", "item"))
+    rows = rows.select(doc, window, "pos", (F.col("item.source_page") + F.col("page_offset")).alias("source_page"), F.col("item.title").alias("title"))
+    key = F.lower(F.trim(F.coalesce("title", F.lit(""))))
+    first = rows.groupBy(doc, "source_page", key.alias("key")).agg(F.min(F.struct(F.col(window).alias("w"), F.col("pos").alias("p"), F.col("title").alias("title"))).alias("r"))
+    items = first.groupBy(doc).agg(F.sort_array(F.collect_list(F.struct("source_page", "r.w", "r.p", "r.title"))).alias("items"))
+    items = items.select(doc, F.transform("items", lambda r: F.struct(r["source_page"].alias("source_page"), r["title"].alias("title"))).alias("items"))
+    in_order = lambda c: F.array_distinct(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(F.col(window).alias("w"), F.coalesce(c, F.array().cast("array<string>")).alias("v")))), lambda r: r["v"])))
+    heads = [F.min_by(c, F.when(F.col(c).isNotNull(), F.col(window))).alias(c) for c in header]
+    whole = windows.groupBy(doc).agg(*heads, *[in_order(F.col(c)).alias(c) for c in lists])
+    return whole.join(items, doc, "left").withColumn("items", F.coalesce("items", F.array().cast("array<struct<source_page:bigint,title:string>>")))
 
 
 def handlers() -> list[tuple[str, Column]]:

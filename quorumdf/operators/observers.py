@@ -174,3 +174,30 @@ def lifecycle(observed: DataFrame, prior: DataFrame, keys: list[str], *, live: l
     status = F.when(action.isin("inserted", "reopened"), "open").when(action == "closed", closed).otherwise(F.col("prior_status"))
     names = [F.coalesce(f"o_{k}", f"p_{k}").alias(k) for k in keys]
     return both.select(*names, "prior_status", status.alias("status"), action.alias("action"))
+
+
+#: Requests that still stand.
+LIVE_REQUESTS = ["draft", "ready_for_review", "sent", "responded"]
+
+
+def reconcile_requests(findings: DataFrame, observed: DataFrame, requests: DataFrame, tone: int = 1) -> DataFrame:
+    """One request per jurisdiction with open findings: what to do and with which findings.
+
+    ``findings`` has finding_id, jurisdiction_id, body_id, category and status;
+    those no longer observed (body_id, category) are dropped first.  Of the live
+    requests (request_id, status, tone, created_at, finding_ids) that share a
+    finding the largest counts, then the newest, then the lower id: "noop" where it
+    has just these findings, "update" where it has others, "create" without one.
+    Its tone stays.  Ids are in order of body and finding.
+    """
+    still = observed.select("body_id", "category").distinct()
+    kept = findings.filter("status = 'open'").join(still, ["body_id", "category"], "left_semi").select("jurisdiction_id", "body_id", "finding_id").distinct()
+    wanted = kept.groupBy("jurisdiction_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("body_id", "finding_id"))), lambda r: r["finding_id"]).alias("finding_ids"))
+    live = requests.filter(F.col("status").isin(LIVE_REQUESTS))
+    shared = live.select("request_id", F.explode(F.array_distinct("finding_ids")).alias("finding_id")).join(kept, "finding_id").select("jurisdiction_id", "request_id").distinct()
+    w = Window.partitionBy("jurisdiction_id").orderBy(F.desc("size"), F.desc("created_at"), "request_id")
+    had = live.select("request_id", F.col("tone").alias("old_tone"), "created_at", F.size("finding_ids").alias("size"), F.array_sort(F.array_distinct("finding_ids")).alias("old_ids"))
+    best = shared.join(had, "request_id").withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn", "size", "created_at")
+    rows = wanted.join(best, "jurisdiction_id", "left")
+    action = F.when(F.col("request_id").isNull(), "create").when(F.col("old_ids") == F.array_sort("finding_ids"), "noop").otherwise("update")
+    return rows.select("jurisdiction_id", "request_id", action.alias("action"), F.coalesce("old_tone", F.lit(tone)).alias("tone"), "finding_ids")

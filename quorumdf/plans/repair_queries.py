@@ -120,3 +120,42 @@ def _reservation_stream(c):
     """The ledger's requests with the hold that a settlement names, as a producer would send them."""
     stream = Z.read_stream(c.spark, f"{c.sf_dir}/events.parquet").select("event_id", "ts")
     return stream.join(c.reservation_event.drop("ts"), "event_id")
+
+
+_OPEN = f"SELECT o.body_id * 10 + CASE category WHEN 'agenda_missing' THEN 1 WHEN 'meeting_notice_too_short' THEN 2 WHEN 'member_roster_missing' THEN 3 ELSE 4 END AS finding_id, b.jurisdiction_id, o.body_id, category FROM ({OBSERVED}) o JOIN governing_body b ON o.body_id = b.body_id"
+
+
+@query("c09b_request_reconcile", f"""WITH f AS ({_OPEN}), g AS (SELECT jurisdiction_id, list(finding_id ORDER BY body_id, finding_id) AS ids FROM f GROUP BY 1),
+q AS (SELECT jurisdiction_id * 10 AS request_id, 2 AS tone, DATE '2001-01-01' AS created_at, CASE WHEN jurisdiction_id % 3 = 0 THEN ids ELSE ids[1:2] END AS old FROM g WHERE jurisdiction_id % 3 <> 2 UNION ALL SELECT jurisdiction_id * 10 + 1, 3, DATE '2001-02-01', ids[1:2] FROM g WHERE jurisdiction_id % 3 <> 2),
+r AS (SELECT g.jurisdiction_id, g.ids, q.*, row_number() OVER (PARTITION BY g.jurisdiction_id ORDER BY len(old) DESC, created_at DESC) AS i FROM g LEFT JOIN q ON list_has_any(g.ids, q.old))
+SELECT jurisdiction_id, request_id, CASE WHEN request_id IS NULL THEN 'create' WHEN list_sort(ids) = list_sort(old) THEN 'noop' ELSE 'update' END AS action, coalesce(tone, 1) AS tone, array_to_string(ids, ',') AS finding_ids FROM r WHERE i = 1""")
+def c09b(c):
+    """Earlier requests are derived: two in two jurisdictions of three, whole or of the first two findings."""
+    rows = O.observe(c)[0].join(c.governing_body.select("body_id", "jurisdiction_id"), "body_id")
+    cat = F.col("category")
+    code = F.when(cat == "agenda_missing", 1).when(cat == "meeting_notice_too_short", 2).when(cat == "member_roster_missing", 3).otherwise(4)
+    found = rows.select((F.col("body_id") * 10 + code).alias("finding_id"), "jurisdiction_id", "body_id", "category", F.lit("open").alias("status"))
+    per = found.groupBy("jurisdiction_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("body_id", "finding_id"))), lambda r: r["finding_id"]).alias("ids")).filter("jurisdiction_id % 3 <> 2")
+    old = per.select(F.expr("""stack(3, jurisdiction_id * 10, 'sent', 2, date '2001-01-01', if(jurisdiction_id % 3 = 0, ids, slice(ids, 1, 2)), jurisdiction_id * 10 + 1, 'draft', 3, date '2001-02-01', slice(ids, 1, 2),
+        jurisdiction_id * 10 + 2, 'closed', 9, date '2001-03-01', ids) AS (request_id, status, tone, created_at, finding_ids)"""))
+    done = O.reconcile_requests(found, rows, old)
+    return done.withColumn("finding_ids", F.concat_ws(",", F.col("finding_ids").cast("array<string>")))
+
+
+_WINDOWS = """SELECT doc, win, (win - 1) * 4 AS page_offset, CASE WHEN l_suppkey % 3 = 0 THEN 'Body ' || l_suppkey END AS body_name,
+ 1 + quantity % 6 AS p1, l_returnflag || ' item' AS t1, 5 - 4 * (win % 2) AS p2, CASE WHEN win % 2 = 0 THEN ' CONSENT' ELSE 'consent' END AS t2, 'M' || (l_suppkey % 4) AS m1, 'M' || (l_partkey % 4) AS m2 FROM extraction_line"""
+
+
+@query("r04b_window_merge_whole", f"""WITH w AS ({_WINDOWS}), i AS (SELECT doc, win, 0 AS pos, p1 + page_offset AS page, t1 AS title FROM w UNION ALL SELECT doc, win, 1, p2 + page_offset, t2 FROM w),
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc, page, lower(trim(title)) ORDER BY win, pos) AS rn FROM i) a WHERE rn = 1), n AS (SELECT doc, win, 0 AS pos, m1 AS m FROM w UNION ALL SELECT doc, win, 1, m2 FROM w), u AS (SELECT doc, m, min(win * 2 + pos) AS at1 FROM n GROUP BY 1, 2)
+SELECT h.doc, h.body_name, (SELECT string_agg(page || ':' || title, ';' ORDER BY page, win, pos) FROM f WHERE f.doc = h.doc) AS items, (SELECT string_agg(m, ';' ORDER BY at1) FROM u WHERE u.doc = h.doc) AS present FROM (SELECT doc, arg_min(body_name, win) FILTER (WHERE body_name IS NOT NULL) AS body_name FROM w GROUP BY 1) h""")
+def r04b(c):
+    n, s = F.col("win"), F.col("l_suppkey")
+    item = lambda page, title: F.struct(page.cast("long").alias("source_page"), title.alias("title"))
+    one = item(1 + F.col("quantity") % 6, F.concat("l_returnflag", F.lit(" item")))
+    two = item(5 - 4 * (n % 2), F.when(n % 2 == 0, " CONSENT").otherwise("consent"))
+    member = lambda x: F.concat(F.lit("M"), (x % 4).cast("string"))
+    windows = c.extraction_line.select("doc", "win", ((n - 1) * 4).alias("page_offset"), F.when(s % 3 == 0, F.concat(F.lit("Body "), s.cast("string"))).alias("body_name"), F.array(one, two).alias("items"), F.array(member(s), member(F.col("l_partkey"))).alias("present"))
+    done = R.merge_extractions(windows, "doc", "win", ["body_name"], ["present"])
+    text = F.transform("items", lambda r: F.concat_ws(":", r["source_page"].cast("string"), r["title"]))
+    return done.select("doc", "body_name", F.array_join(text, ";").alias("items"), F.array_join("present", ";").alias("present"))

@@ -90,6 +90,8 @@ VIEWS = {
     "reservation_event": """SELECT user_id, event_id, ts, CASE event_type WHEN 'purchase' THEN 'deposit' WHEN 'signup' THEN 'grant' WHEN 'view' THEN 'reserve' WHEN 'click' THEN 'settle'
         ELSE CASE event_id % 4 WHEN 0 THEN 'suspend' WHEN 1 THEN 'release' ELSE 'resume' END END AS kind, 1 + CAST(round(value * 100) AS BIGINT) % CASE WHEN event_type IN ('purchase', 'signup') THEN 5000 ELSE 3000 END AS cents,
         event_id % 3 <> 0 AS essential, max(CASE WHEN event_type = 'view' THEN event_id END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS hold FROM events""",
+    "extraction_line": """SELECT l_orderkey AS doc, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag) AS win,
+        l_partkey, l_suppkey, l_returnflag, CAST(l_quantity AS BIGINT) AS quantity FROM lineitem""",
     "failure": """SELECT event_id AS failure_id, user_id % 5 AS jurisdiction_id, ts AS created_at,
         'job' || (event_id % 3) AS job, 'step' || (event_id % 4) AS step, 'error ' || (event_id % 100) AS message,
         event_id % 6 = 0 AS resolved FROM events WHERE event_type = 'error'""",

@@ -158,3 +158,21 @@ def test_item_sentences(spark):
     assert [r[0] for r in df.select(O.item_sentence(F.col("category"), F.col("n"), F.col("since"))).collect()] == [
         "Adopted budget and budget-adoption records — none on record since May 1, 2001.", "Odd thing.", "Meeting minutes — 2 meetings, May 1, 2001 to present.", "Meeting agendas — none on record since May 1, 2001."
     ]
+
+
+def test_requests_are_reconciled(spark):
+    f = [(1, 1, 10, "a", "open"), (2, 1, 10, "b", "open"), (3, 1, 11, "a", "open"), (4, 2, 20, "a", "open"), (5, 3, 30, "a", "open"), (6, 4, 40, "gone", "open"), (7, 5, 50, "a", "closed")]
+    findings = spark.createDataFrame(f, "finding_id long, jurisdiction_id long, body_id long, category string, status string")
+    observed = findings.filter("category <> 'gone'").select("body_id", "category")
+    q = [(1, "sent", 2, date(2001, 1, 1), [1, 2]), (2, "draft", 3, date(2001, 2, 1), [2, 3]), (3, "closed", 4, date(2001, 3, 1), [1, 2, 3]), (4, "sent", 5, date(2001, 1, 1), [4, 4]), (5, "sent", 6, date(2001, 1, 1), None)]
+    requests = spark.createDataFrame(q, "request_id long, status string, tone int, created_at date, finding_ids array<long>")
+    assert rows(O.reconcile_requests(findings, observed, requests)) == [(1, 2, "update", 3, [1, 2, 3]), (2, 4, "noop", 5, [4]), (3, None, "create", 1, [5])]
+    assert rows(O.reconcile_requests(findings, observed.limit(0), requests)) == []
+
+
+def test_windows_merge_into_documents(spark):
+    item = "array<struct<source_page:bigint,title:string>>"
+    data = [(1, 1, 0, None, [(5, "Call"), (2, None)], ["B", "A"]), (1, 2, 4, "Council", [(1, " CALL "), (1, "Vote")], ["A", "C"]), (1, 3, 8, "Other", None, None), (2, 1, 0, None, None, None)]
+    windows = spark.createDataFrame(data, f"doc int, win int, page_offset int, body string, items {item}, present array<string>")
+    got = {r.doc: (r.body, r.present, [tuple(i) for i in r["items"]]) for r in R.merge_extractions(windows, "doc", "win", ["body"], ["present"]).collect()}
+    assert got == {1: ("Council", ["B", "A", "C"], [(2, None), (5, "Call"), (5, "Vote")]), 2: (None, [], [])}
