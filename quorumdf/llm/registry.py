@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_cnn, syncmers
+from . import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_cnn, secrets, syncmers
 
 
 def queries() -> dict:
@@ -17,8 +17,9 @@ def queries() -> dict:
         "op8_quality": quality_cnn.op8_quality,
         "op9_lm_scoring": lm_scoring.op9_lm_scoring,
         "op10_language_id": language_id.op10_language_id,
+        "op11_secrets": secrets.op11_secrets,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.OP5_SQL, "op6_exact_dedup": exact_dedup.OP6_SQL}
+    return {"op5_mixing": mixing.OP5_SQL, "op6_exact_dedup": exact_dedup.OP6_SQL, "op11_secrets": secrets.OP11_SQL}
