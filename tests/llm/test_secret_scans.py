@@ -70,7 +70,7 @@ def test_odd_texts_equal_brute_force_and_sql(spark, tmp_path):
 def test_ownership_decides(spark, tmp_path):
     own, copied, pair = "ghp_Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8", "ghp_Zb1Cd2Ef3Gh4Ij5Kl6Mn7Op9", "ghp_Qb1Cd2Ef3Gh4Ij5Kl6Mn7Op0"
     docs = [(i, f"see {own} and {copied if i < 40 else pair}", "src0" if i % 3 else "src9") for i in range(60)]
-    docs = [(i, t.replace(own, own + o[-1]), o if i < 55 else "src5") for i, t, o in docs] + [(100, copied, "src3")]
+    docs = [(i, t.replace(own, own + (o[-1] if i < 55 else "5")), o if i < 55 else "src5") for i, t, o in docs] + [(100, copied, "src3")]
     found = {r.doc_id: (r.spans, r.n_live, r.n_example) for r in S.op11_secrets(spark, written_docs(spark, tmp_path, docs)).collect()}
     assert found[0] == ("opaque:4:33", 1, 1) and found[100] == ("", 0, 1)
     assert {k: v[0] for k, v in found.items()} == {r[0]: r[5] for r in brute(docs)}
