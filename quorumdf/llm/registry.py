@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_cnn, secrets, syncmers
+from . import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_cnn, secrets, syncmers, whitening
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_lm_scoring": lm_scoring.op9_lm_scoring,
         "op10_language_id": language_id.op10_language_id,
         "op11_secrets": secrets.op11_secrets,
+        "op12_whitening": whitening.op12_whitening,
     }
 
 
