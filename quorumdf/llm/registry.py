@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, quality_cnn, secrets, syncmers, whitening
+from . import bpe, exact_dedup, language_id, licenses, lm_scoring, mixing, ngram_join, pii, prefix_trie, quality_cnn, secrets, syncmers, whitening
 
 
 def queries() -> dict:
@@ -19,8 +19,9 @@ def queries() -> dict:
         "op10_language_id": language_id.op10_language_id,
         "op11_secrets": secrets.op11_secrets,
         "op12_whitening": whitening.op12_whitening,
+        "op13_prefix_trie": prefix_trie.op13_prefix_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.OP5_SQL, "op6_exact_dedup": exact_dedup.OP6_SQL, "op11_secrets": secrets.OP11_SQL}
+    return {"op5_mixing": mixing.OP5_SQL, "op6_exact_dedup": exact_dedup.OP6_SQL, "op11_secrets": secrets.OP11_SQL, "op13_prefix_trie": prefix_trie.OP13_SQL}
