@@ -65,7 +65,6 @@ _U = np.uint64
 _DROP = _U(64 - BITS)
 _START, _END = _U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F)
 _ODD = [_U(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
-_P = 0x9E3779B97F4A7C15
 MESSAGE = "block int, bucket int, body binary"
 
 
@@ -136,18 +135,6 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_POWERS: dict[int, np.ndarray] = {}
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    """The first powers of a number, kept between blocks."""
-    if n > len(_POWERS.get(base, ())):
-        p = np.full(n + n // 4, base, _U)
-        p[:1] = 1
-        _POWERS[base] = np.cumprod(p, dtype=_U)
-    return _POWERS[base][:n]
-
-
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the tokens of all texts, one after another, and how many each has."""
     spans = np.array([len(t) + 1 for t in texts], np.int64)
@@ -156,10 +143,12 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     word = kind == 1
     starts = np.flatnonzero((kind == 2) | (word & ~np.r_[False, word[:-1]]))
     ends = np.flatnonzero((kind == 2) | (word & ~np.r_[word[1:], False])) + 1
-    sums = np.zeros(len(point) + 1, _U)
-    np.cumsum(_mix(point.astype(_U) + _ODD[3]) * _powers(_P, len(point)), dtype=_U, out=sums[1:])
-    back = _powers(pow(_P, -1, 1 << 64), len(point))
-    value = _mix((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(_U) * _ODD[2])
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    # a number for each character at its place in the token: no pattern of characters cancels out
+    each = _mix(point[place + np.repeat(starts, sizes)].astype(_U) + place.astype(_U) * _ODD[3])
+    value = _mix(np.add.reduceat(each, first) + sizes.astype(_U) * _ODD[2]) if len(sizes) else np.zeros(0, _U)
     owner = np.searchsorted(np.cumsum(spans), starts, "right")
     return value, np.bincount(owner, minlength=len(texts))
 

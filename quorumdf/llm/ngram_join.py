@@ -17,13 +17,15 @@ Method
      minus its bound emits them, as otherwise another segment has to agree.
   4. Equal keys give buckets.  A bucket first yields a star, each member with its
      smallest id, not all pairs.  Star pairs are checked by a sound bound (a
-     parity sketch never shows more differences than there are) and then exactly.
+     parity sketch never shows more differences than there are) and then exactly,
+     by the words of the two texts themselves.
   5. Buckets whose members are not yet connected are searched whole in blocks by
      the sketch bound; what passes is verified exactly, too.
 
 Signatures travel in packed blobs, one per map task and partition.  Tokens are
-64-bit hashes of whole shingles; two different shingles of one pair collide with
-a chance below 1e-13.
+64-bit hashes of whole shingles.  They choose candidates and count a document's own
+shingles; no link rests on them: texts of equal words are known by a cryptographic
+digest of the words, all other links by comparing words.
 
 Defined results: null, empty and blank texts have no shingles and no links; with
 fewer than five words the whole sequence is the one shingle; rows that repeat a
@@ -36,6 +38,7 @@ other columns are ignored, whatever their names; an empty table gives none.
 from __future__ import annotations
 
 import functools
+import hashlib
 import math
 
 import numpy as np
@@ -56,9 +59,9 @@ _U = np.uint64
 _SPACES = np.zeros(256, bool)
 _SPACES[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_BYTE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
-_P = 0x9E3779B97F4A7C15
-_P_INV = pow(_P, -1, 1 << 64)
+#: A random number for each byte at each of the first places of a word; later places multiply those of the place modulo their number.
+_PLACES = 64
+_BYTE_AT = np.random.default_rng(20240501).integers(1, 1 << 63, _PLACES * 256, dtype=np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -70,15 +73,26 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    p = np.full(n, base, _U)
-    p[:1] = 1
-    return np.cumprod(p, dtype=_U)
+def lowered(text: str) -> bytes:
+    return text.encode("utf-8", "surrogatepass").translate(_LOWER)
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each word: the sum of random numbers for its bytes at their places, so no pattern of bytes cancels out."""
+    sizes = ends - starts
+    first = np.cumsum(sizes) - sizes
+    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
+    at = place + np.repeat(starts, sizes)
+    value = _BYTE_AT[((place % _PLACES) << 8) | data[at]]
+    far = np.flatnonzero(place >= _PLACES)
+    if len(far):
+        value[far] *= mix((place[far] // _PLACES).astype(_U)) | _U(1)
+    return mix(np.add.reduceat(value, first) + sizes.astype(_U) * _U(0xD6E8FEB86659FD93))
 
 
 def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of all texts, one after another, and their counts."""
-    raw = [t.encode("utf-8", "surrogatepass").translate(_LOWER) for t in texts]
+    raw = [lowered(t) for t in texts]
     data = np.frombuffer(b" " + b" ".join(raw) + b" ", np.uint8)
     n_docs = len(raw)
     space = _SPACES[data]
@@ -88,9 +102,7 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, _U), np.zeros(n_docs, np.int64)
     doc_at = np.cumsum([1] + [len(r) + 1 for r in raw])[:-1]
     doc = np.searchsorted(doc_at, starts, "right") - 1
-    sums = np.zeros(len(data) + 1, _U)
-    np.cumsum(_BYTE[data] * _powers(_P, len(data)), dtype=_U, out=sums[1:])
-    words = mix((sums[ends] - sums[starts]) * _powers(_P_INV, len(data))[starts] + (ends - starts).astype(_U) * _U(0xD6E8FEB86659FD93))
+    words = _word_hashes(data, starts, ends)
     counts = np.bincount(doc, minlength=n_docs)
     step, out, owner = _U(0xA0761D6478BD642F), [], []
     if len(words) >= WORDS:
@@ -121,6 +133,36 @@ def shingle_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes[new], np.bincount(owners[new], minlength=n_docs)
 
 
+class Vocabulary:
+    """Numbers for the words of a few texts; shingles become numbers by the words' own, none is hashed to fewer bits."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def numbers(self, text: str) -> np.ndarray:
+        known = self.known
+        return np.array([known.setdefault(w, len(known)) for w in lowered(text).split()], np.int64)  # splits at the six characters alone
+
+    def linked(self, x: np.ndarray, y: np.ndarray) -> bool:
+        """Whether two rows of words have 100 * both >= 75 * either in distinct shingles."""
+        if not len(x) or not len(y):
+            return False
+        k = min(WORDS, len(x), len(y))
+        if min(len(x), len(y)) < WORDS and len(x) != len(y):
+            return False  # a shingle of fewer words is the whole text
+        keys = np.concatenate([x, y])
+        base = len(self.known)
+        for i in range(1, k):
+            last = np.concatenate([x[i:], y[i:]])
+            now = np.concatenate([keys[: len(x) - i], keys[len(x) - i + 1 : -1]])
+            if int(now.max(initial=0)) >= (1 << 62) // base:
+                now = np.unique(now, return_inverse=True)[1].reshape(-1)  # ranks instead: at most as many as words
+            keys = now * base + last
+        a, b = np.unique(keys[: len(x) - k + 1]), np.unique(keys[len(x) - k + 1 :])
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * both >= 75 * (len(a) + len(b) - both)
+
+
 # --- bands and their allocation --------------------------------------------
 
 
@@ -346,28 +388,25 @@ def _packer(parts: int):
 
 
 def _sign(parts: int):
-    """Signature blobs of a task's distinct sets; a set seen before gives an equal pair (part -1)."""
+    """Signature blobs of a task's distinct texts; one of words seen before gives an equal pair (part -1)."""
     pack = _packer(parts)
 
     def run(batches):
-        seen: dict[tuple[int, int], int] = {}
+        seen: dict[bytes, int] = {}
         keys, ids, held = [], [], 0
         for pdf in batches:
             pdf = pdf[pdf["doc_id"].notna()]
             for names, texts in _chunks(pdf["doc_id"].to_numpy(np.int64), pdf["text"].tolist()):
                 tokens, counts = shingle_sets(texts)
                 keep, equal = np.zeros(len(counts), bool), []
-                first = np.cumsum(counts) - counts
                 some = np.flatnonzero(counts)
-                if len(some):
-                    a = np.add.reduceat(mix(tokens), first[some])
-                    b = np.add.reduceat(mix(tokens ^ _U(0x1234567)), first[some])
-                    for d, x, y in zip(some.tolist(), a.tolist(), b.tolist()):
-                        other = seen.setdefault((x, y), int(names[d]))
-                        if other == names[d]:
-                            keep[d] = True
-                        else:
-                            equal.append((other, int(names[d])))
+                for d in some.tolist():
+                    x = hashlib.blake2b(b" ".join(lowered(texts[d]).split()), digest_size=16).digest()
+                    other = seen.setdefault(x, int(names[d]))
+                    if other == names[d]:
+                        keep[d] = True
+                    else:
+                        equal.append((other, int(names[d])))
                 if equal:
                     pairs = np.array(equal, np.int64)
                     yield pd.DataFrame({"part": [-1], "keys": [_planes(pairs[:, 0])], "ids": [_planes(pairs[:, 1])]})
@@ -461,17 +500,16 @@ def _filter_pairs(batches):
 
 
 def _verify(batches):
-    """Exact test on the whole texts; the tokens of a run of equal ``a`` are made once."""
-    last, x = None, None
+    """Exact test on the words of the whole texts; those of a run of equal ``a`` are read once."""
+    last, x, words = None, None, None
     for pdf in batches:
         a, b = pdf["a"].to_numpy(), pdf["b"].to_numpy()
         ok = np.zeros(len(pdf), bool)
         for i, (ta, tb) in enumerate(zip(pdf["text_a"], pdf["text_b"])):
-            if last is None or last[0] != a[i] or last[1] != ta:
-                last, x = (a[i], ta), shingle_sets([ta])[0]
-            y = shingle_sets([tb])[0]
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            ok[i] = len(x) and len(y) and 100 * both >= 75 * (len(x) + len(y) - both)
+            if last is None or last[0] != a[i] or last[1] != ta or len(words.known) > 4 * len(x) + 10_000:
+                words = Vocabulary()
+                last, x = (a[i], ta), words.numbers(ta)
+            ok[i] = words.linked(x, words.numbers(tb))
         yield pd.DataFrame({"a": a[ok], "b": b[ok]})
 
 
@@ -554,7 +592,7 @@ def near_links(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_c
     component only the ones needed are verified.
     """
     spark = docs.sparkSession
-    parts = min(1 << 15, 2 * shuffle_partitions(spark))
+    parts = 2 * shuffle_partitions(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
     blobs = texts.mapInPandas(_sign(parts), "part long, keys binary, ids binary")
     found = blobs.repartition(shuffle_partitions(spark), "part").mapInPandas(
