@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 EARLIEST = "1900-01-01"
 BUDGET = r"(?i)budget"
+ADOPTS = r"(?i)adopt"
 NOT_BUDGET = r"(?i)amendment|adjustment"
 
 
@@ -59,6 +60,28 @@ def campaign_finance_missing(body: DataFrame, official: DataFrame, contribution:
     return rows.join(given, "body_id", "left_anti").select("body_id", "members")
 
 
+#: Bodies whose members are elected, and those that adopt a budget by law of their own.
+ELECTED = ["city_council", "county_commission", "school_board"]
+GENERAL_PURPOSE = ["city_council", "county_commission"]
+
+
+def finance_filings_missing(body: DataFrame, official: DataFrame, term: DataFrame, filing: DataFrame, source: DataFrame, as_of: str, years: int = 8) -> DataFrame:
+    """Elected bodies whose current members have no filing of so many years, where filings are ingested at all.
+
+    A jurisdiction is judged if any of its officials has a filing of any age, or a
+    source of campaign finance is registered for it, even one that found nothing.
+    Bodies without a current member are another observer's.
+    """
+    place = official.select("official_id", "body_id").join(body.select("body_id", "jurisdiction_id"), "body_id")
+    by_filing = place.join(filing.select("official_id").distinct(), "official_id", "left_semi").select("jurisdiction_id")
+    by_source = source.filter("source_type = 'campaign_finance'").select("jurisdiction_id")
+    current = place.join(term.filter("end_date is null").select("official_id"), "official_id", "left_semi")
+    recent = filing.filter(F.col("received") >= F.add_months(day(as_of), -12 * years)).select("official_id", F.lit(1).alias("has")).distinct()
+    per = current.join(recent, "official_id", "left").groupBy("body_id").agg(F.count(F.lit(1)).alias("n"), F.count("has").alias("filed")).filter("filed = 0").drop("filed")
+    rows = body.filter(F.col("body_type").isin(ELECTED)).select("body_id", "jurisdiction_id").join(per, "body_id")
+    return rows.join(by_filing.unionByName(by_source), "jurisdiction_id", "left_semi").select("body_id", "n")
+
+
 def notice_too_short(meeting: DataFrame, as_of: str) -> DataFrame:
     """Regular meetings of the last 24 months posted less than three days ahead."""
     notice = F.datediff("meeting_date", "posted_date")
@@ -71,7 +94,7 @@ def notice_too_short(meeting: DataFrame, as_of: str) -> DataFrame:
 
 def budget_overdue(motion: DataFrame, meeting: DataFrame, as_of: str, months: int = 14) -> DataFrame:
     """Bodies that adopted budgets in two or more years but none for so many months, while they kept meeting."""
-    passed = motion.filter((F.col("outcome") == "passed") & F.col("title").rlike(BUDGET) & ~F.col("title").rlike(NOT_BUDGET))
+    passed = motion.filter((F.col("outcome") == "passed") & F.col("title").rlike(ADOPTS) & F.col("title").rlike(BUDGET) & ~F.col("title").rlike(NOT_BUDGET))
     per = passed.groupBy("body_id").agg(F.countDistinct(F.year("motion_date")).alias("years"), F.max("motion_date").alias("last_adopted"))
     per = per.filter((F.col("years") >= 2) & (F.col("last_adopted") < F.add_months(day(as_of), -months)))
     later = meeting.filter(F.col("minutes_url").isNotNull() & (F.col("meeting_date") < day(as_of))).select("body_id", "meeting_date")
@@ -79,11 +102,18 @@ def budget_overdue(motion: DataFrame, meeting: DataFrame, as_of: str, months: in
     return per.join(n, "body_id").filter("later >= 3")
 
 
+def _budgets(c) -> DataFrame:
+    late = budget_overdue(c.motion, c.meeting, c.as_of).join(c.governing_body.filter(F.col("body_type").isin(GENERAL_PURPOSE)).select("body_id"), "body_id", "left_semi")
+    return late.select("body_id", F.lit("medium").alias("severity"), F.col("later").alias("n"))
+
+
 #: Observer registry: category -> function(civic) -> body_id, severity, n.
 OBSERVERS: dict[str, Callable] = {
     "agenda_missing": lambda c: agenda_missing(c.meeting, c.as_of).select("body_id", "severity", "n"),
     "meeting_notice_too_short": lambda c: notice_too_short(c.meeting, c.as_of).select("body_id", "severity", "n"),
     "minutes_missing": lambda c: minutes_missing(c.meeting, c.as_of).select("body_id", "severity", "n"),
+    "budget_process_missing": lambda c: _budgets(c),
+    "campaign_finance_missing": lambda c: finance_filings_missing(c.governing_body, c.official, c.term, c.finance_filing, c.data_source, c.as_of).select("body_id", F.lit("high").alias("severity"), "n"),
     "member_roster_missing": lambda c: member_roster_missing(c.governing_body, c.official, c.term).select("body_id", F.lit("high").alias("severity"), F.lit(0).cast("long").alias("n")),
 }
 
@@ -127,9 +157,9 @@ RECORD_TYPES = {
     "member_roster_missing": "appointed-body membership records",
     "meeting_notice_too_short": "meeting-notice policy and short-notice records",
     "campaign_finance_missing": "campaign finance disclosures",
-    "budget_overdue": "adopted budget and budget-adoption records",
+    "budget_process_missing": "adopted budget and budget-adoption records",
 }
-UNCOUNTED = ["budget_overdue"]
+UNCOUNTED = ["budget_process_missing"]
 
 
 def item_sentence(category: Column, count: Column, since: Column) -> Column:
@@ -147,16 +177,18 @@ def item_sentence(category: Column, count: Column, since: Column) -> Column:
     return F.concat(head, tail)
 
 
-def lifecycle(observed: DataFrame, prior: DataFrame, keys: list[str], *, live: list[str], closed: str, frozen: list[str] = (), protect: Column | None = None) -> DataFrame:
+def lifecycle(observed: DataFrame, prior: DataFrame, keys: list[str], *, live: list[str], closed: str, frozen: list[str] = (), protect: Column | None = None, now: Column | None = None) -> DataFrame:
     """Fold observed rows into the prior state: the new status and the action per key.
 
     Observed and unknown is inserted as open; observed and live is updated;
     observed and closed is reopened; observed and frozen stays as it is, its
     fields refreshed.  What is live and no longer observed gets ``closed``,
-    unless ``protect`` holds for it.  Keys are compared null-safely.
+    unless ``protect`` holds for it.  Keys are compared null-safely.  With ``now``,
+    the prior's opened_at and closed_at are carried on: what is inserted or reopened
+    opens now and is closed no more, what is closed closes now.
     """
     o = observed.select(*[F.col(k).alias(f"o_{k}") for k in keys], F.lit(True).alias("seen"))
-    p = prior.select(*[F.col(k).alias(f"p_{k}") for k in keys], F.col("status").alias("prior_status"))
+    p = prior.select(*[F.col(k).alias(f"p_{k}") for k in keys], F.col("status").alias("prior_status"), *(["opened_at", "closed_at"] if now is not None else []))
     on = F.lit(True)
     for k in keys:
         on = on & F.col(f"o_{k}").eqNullSafe(F.col(f"p_{k}"))
@@ -173,7 +205,9 @@ def lifecycle(observed: DataFrame, prior: DataFrame, keys: list[str], *, live: l
     )
     status = F.when(action.isin("inserted", "reopened"), "open").when(action == "closed", closed).otherwise(F.col("prior_status"))
     names = [F.coalesce(f"o_{k}", f"p_{k}").alias(k) for k in keys]
-    return both.select(*names, "prior_status", status.alias("status"), action.alias("action"))
+    opens = action.isin("inserted", "reopened")
+    times = [] if now is None else [F.when(opens, now).otherwise(F.col("opened_at")).alias("opened_at"), F.when(action == "closed", now).when(~opens, F.col("closed_at")).alias("closed_at")]
+    return both.select(*names, "prior_status", status.alias("status"), action.alias("action"), *times)
 
 
 #: Requests that still stand.

@@ -1,9 +1,12 @@
 """Queries of the observers, the lifecycle and the sinks."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from quorumdf.operators import observers as O
 from quorumdf.operators import sinks as K
+from quorumdf.streaming.jobs import scratch
 
 from .registry import query
 
@@ -25,10 +28,24 @@ ROSTER = "SELECT body_id FROM governing_body b WHERE NOT EXISTS (SELECT 1 FROM o
 NOTICE = f"""SELECT *, CASE WHEN shortest < 1 THEN 'high' ELSE 'medium' END AS severity FROM (
  SELECT body_id, count(*) AS n, CAST(min(meeting_date - posted_date) AS INT) AS shortest, min(meeting_date) AS since_date FROM meeting
  WHERE meeting_type = 'regular' AND meeting_date - posted_date BETWEEN 0 AND 2 AND meeting_date >= CAST({AS} - INTERVAL 24 MONTH AS DATE) GROUP BY body_id) a WHERE n >= 2"""
+FILINGS = f"""SELECT b.body_id, count(DISTINCT o.official_id) AS n FROM governing_body b JOIN official o ON o.body_id = b.body_id JOIN term t ON t.official_id = o.official_id AND t.end_date IS NULL
+ WHERE b.body_type <> 'planning_commission' AND (EXISTS (SELECT 1 FROM data_source d WHERE d.jurisdiction_id = b.jurisdiction_id AND source_type = 'campaign_finance')
+  OR b.jurisdiction_id IN (SELECT y.jurisdiction_id FROM finance_filing f JOIN official x ON f.official_id = x.official_id JOIN governing_body y ON x.body_id = y.body_id))
+ AND NOT EXISTS (SELECT 1 FROM finance_filing f JOIN official x ON f.official_id = x.official_id JOIN term u ON u.official_id = x.official_id AND u.end_date IS NULL WHERE x.body_id = b.body_id AND f.received >= CAST({AS} - INTERVAL 8 YEAR AS DATE)) GROUP BY 1"""
+BUDGETS = f"""WITH p AS (SELECT body_id, count(DISTINCT year(motion_date)) AS years, max(motion_date) AS last_adopted FROM motion
+ WHERE outcome = 'passed' AND lower(title) LIKE '%adopt%' AND lower(title) LIKE '%budget%' AND lower(title) NOT LIKE '%amendment%' AND lower(title) NOT LIKE '%adjustment%' GROUP BY 1)
+SELECT p.body_id, count(*) AS n FROM p JOIN meeting m ON p.body_id = m.body_id AND m.meeting_date > last_adopted AND minutes_url IS NOT NULL AND m.meeting_date < {AS} JOIN governing_body b ON b.body_id = p.body_id AND b.body_type IN ('city_council', 'county_commission')
+WHERE years >= 2 AND last_adopted < CAST({AS} - INTERVAL 14 MONTH AS DATE) GROUP BY 1 HAVING count(*) >= 3"""
 OBSERVED = f"""SELECT body_id, severity, n, 'minutes_missing' AS category FROM ({MINUTES}) m UNION ALL SELECT body_id, severity, n, 'agenda_missing' FROM ({AGENDA}) g
- UNION ALL SELECT body_id, severity, n, 'meeting_notice_too_short' FROM ({NOTICE}) x UNION ALL SELECT body_id, 'high', 0, 'member_roster_missing' FROM ({ROSTER}) r"""
-PRIOR = """SELECT body_id, cat AS category, CASE body_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'closed_with_records' WHEN 2 THEN 'records_requested' ELSE 'wont_fix' END AS status
- FROM governing_body, (SELECT 'minutes_missing' AS cat UNION ALL SELECT 'agenda_missing' UNION ALL SELECT 'meeting_notice_too_short') c WHERE body_id % 3 <> 0"""
+ UNION ALL SELECT body_id, severity, n, 'meeting_notice_too_short' FROM ({NOTICE}) x UNION ALL SELECT body_id, 'high', 0, 'member_roster_missing' FROM ({ROSTER}) r
+ UNION ALL SELECT body_id, 'high', n, 'campaign_finance_missing' FROM ({FILINGS}) y UNION ALL SELECT body_id, 'medium', n, 'budget_process_missing' FROM ({BUDGETS}) z"""
+PRIOR = """SELECT body_id, cat AS category, CASE body_id % 4 WHEN 0 THEN 'open' WHEN 1 THEN 'closed_with_records' WHEN 2 THEN 'records_requested' ELSE 'wont_fix' END AS status, DATE '2000-01-01' + CAST(body_id AS INT) AS opened_at, CASE WHEN body_id % 4 = 1 THEN DATE '2001-02-01' END AS closed_at
+ FROM governing_body, (SELECT 'minutes_missing' AS cat UNION ALL SELECT 'agenda_missing' UNION ALL SELECT 'meeting_notice_too_short' UNION ALL SELECT 'campaign_finance_missing' UNION ALL SELECT 'budget_process_missing') c WHERE body_id % 3 <> 0"""
+
+
+def observed(c):
+    """What all observers find, each run for itself, and those that failed."""
+    return O.observe_each(c, f"{scratch(c.spark)}/observed-{uuid.uuid4().hex[:12]}")
 
 
 @query("c02_minutes_missing", MINUTES)
@@ -53,6 +70,11 @@ def c05(c):
     return O.campaign_finance_missing(c.governing_body, c.official, c.contribution, c.as_of)
 
 
+@query("c05b_filings_of_current_members", FILINGS)
+def c05b(c):
+    return O.finance_filings_missing(c.governing_body, c.official, c.term, c.finance_filing, c.data_source, c.as_of)
+
+
 @query("c06_notice_too_short", NOTICE)
 def c06(c):
     return O.notice_too_short(c.meeting, c.as_of)
@@ -67,38 +89,39 @@ def c07(c):
 
 
 def _prior(c):
-    cats = F.explode(F.array(*map(F.lit, ["minutes_missing", "agenda_missing", "meeting_notice_too_short"])))
+    cats = F.explode(F.array(*map(F.lit, ["minutes_missing", "agenda_missing", "meeting_notice_too_short", "campaign_finance_missing", "budget_process_missing"])))
     b = F.col("body_id") % 4
     status = F.when(b == 0, "open").when(b == 1, "closed_with_records").when(b == 2, "records_requested").otherwise("wont_fix")
-    return c.governing_body.filter("body_id % 3 <> 0").select("body_id", cats.alias("category"), status.alias("status"))
+    return c.governing_body.filter("body_id % 3 <> 0").select("body_id", cats.alias("category"), status.alias("status"), F.date_add(F.lit("2000-01-01").cast("date"), F.col("body_id").cast("int")).alias("opened_at"), F.when(b == 1, F.lit("2001-02-01").cast("date")).alias("closed_at"))
 
 
 def _fold(frozen):
     still = "p.status IN ('open', 'records_requested'" + (", 'wont_fix'" if frozen else "") + ")"
     return f"""WITH o AS ({OBSERVED}), p AS ({PRIOR}), f AS (
-  SELECT coalesce(o.body_id, p.body_id) AS body_id, coalesce(o.category, p.category) AS category, p.status AS prior_status,
+  SELECT coalesce(o.body_id, p.body_id) AS body_id, coalesce(o.category, p.category) AS category, p.status AS prior_status, p.opened_at AS was_opened, p.closed_at AS was_closed,
     CASE WHEN o.body_id IS NOT NULL AND p.status IS NULL THEN 'inserted' WHEN o.body_id IS NOT NULL AND {still} THEN 'updated' WHEN o.body_id IS NOT NULL THEN 'reopened'
          WHEN p.status IN ('open', 'records_requested') THEN 'closed' ELSE 'unchanged' END AS action
   FROM o FULL JOIN p ON o.body_id = p.body_id AND o.category = p.category)
-SELECT *, CASE WHEN action IN ('inserted', 'reopened') THEN 'open' WHEN action = 'closed' THEN 'closed_with_records' ELSE prior_status END AS status FROM f"""
+SELECT body_id, category, prior_status, action, CASE WHEN action IN ('inserted', 'reopened') THEN 'open' WHEN action = 'closed' THEN 'closed_with_records' ELSE prior_status END AS status,
+ CASE WHEN action IN ('inserted', 'reopened') THEN {AS} ELSE was_opened END AS opened_at, CASE WHEN action = 'closed' THEN {AS} WHEN action IN ('updated', 'unchanged') THEN was_closed END AS closed_at FROM f"""
 
 
 @query("c08_finding_lifecycle", _fold(False))
 def c08(c):
-    observed, failed = O.observe(c)
-    return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", protect=F.col("p_category").isin(failed))
+    found, failed = observed(c)
+    return O.lifecycle(found, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", protect=F.col("p_category").isin(failed), now=O.day(c.as_of))
 
 
 @query("h05_issue_lifecycle", _fold(True))
 def h05(c):
-    observed, failed = O.observe(c)
-    return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", frozen=["wont_fix"], protect=F.col("p_category").isin(failed))
+    found, failed = observed(c)
+    return O.lifecycle(found, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", frozen=["wont_fix"], protect=F.col("p_category").isin(failed), now=O.day(c.as_of))
 
 
 @query("c09_request_per_jurisdiction", f"""WITH o AS ({OBSERVED}) SELECT b.jurisdiction_id, count(*) AS n, string_agg(o.category || ':' || o.body_id, ',' ORDER BY o.category, o.body_id) AS findings FROM o JOIN governing_body b ON o.body_id = b.body_id GROUP BY 1""")
 def c09(c):
-    observed, _ = O.observe(c)
-    rows = observed.join(c.governing_body.select("body_id", "jurisdiction_id"), "body_id")
+    found, _ = observed(c)
+    rows = found.join(c.governing_body.select("body_id", "jurisdiction_id"), "body_id")
     items = F.transform(F.sort_array(F.collect_list(F.struct("category", "body_id"))), lambda s: F.concat_ws(":", s["category"], s["body_id"].cast("string")))
     return rows.groupBy("jurisdiction_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(items, ",").alias("findings"))
 
@@ -106,9 +129,9 @@ def c09(c):
 @query("c10_issue_text", f"""WITH o AS ({OBSERVED}), r AS (SELECT *, row_number() OVER (PARTITION BY body_id ORDER BY category) AS i FROM o)
 SELECT body_id, string_agg(i || '. ' || category || ' (' || n || ')', chr(10) ORDER BY i) AS body_text FROM r GROUP BY 1""")
 def c10(c):
-    observed, _ = O.observe(c)
+    found, _ = observed(c)
     ordered = F.sort_array(F.collect_list(F.struct("category", "n")))
-    per = observed.groupBy("body_id").agg(ordered.alias("items"))
+    per = found.groupBy("body_id").agg(ordered.alias("items"))
     lines = F.transform("items", lambda s, i: F.format_string("%d. %s (%d)", i + 1, s["category"], s["n"]))
     return per.select("body_id", F.array_join(lines, "\n").alias("body_text"))
 

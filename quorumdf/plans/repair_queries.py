@@ -8,7 +8,7 @@ from quorumdf.operators import ledger as L
 from quorumdf.operators import observers as O
 from quorumdf.streaming import jobs as Z
 
-from .compliance_queries import AGENDA, MINUTES, OBSERVED, _fold, _prior
+from .compliance_queries import AGENDA, MINUTES, OBSERVED, _fold, _prior, observed
 from .people_queries import _lines, _LINES, _officials
 from .registry import query
 
@@ -94,14 +94,14 @@ def h10b(c):
     meeting = c.meeting.withColumn("minutes_stub", F.col("meeting_id") % 8 == 0).withColumn("agenda_stub", F.lit(None).cast("boolean"))
     member = c.official.select("official_id", "body_id").join(c.term.select("official_id"), "official_id", "left_semi")
     gift = c.contribution.select("official_id").join(c.official.select("official_id", "body_id"), "official_id")
-    return H.capability_rungs(c.governing_body, meeting, c.motion.filter("motion_id % 2 = 0"), c.motion.filter("petitioner is null"), member, O.observe(c)[0], gift, fund, _CUT)
+    return H.capability_rungs(c.governing_body, meeting, c.motion.filter("motion_id % 2 = 0"), c.motion.filter("petitioner is null"), member, observed(c)[0], gift, fund, _CUT)
 
 
 @query("c08b_lifecycle_of_each_observer", _fold(False))
 def c08b(c):
     """Every observer runs for itself; what a failed one had found stays as it is."""
-    observed, failed = O.observe_each(c, f"{Z.scratch(c.spark)}/observed-{Z.uuid.uuid4().hex[:12]}")
-    return O.lifecycle(observed, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", protect=F.col("p_category").isin(failed))
+    found, failed = observed(c)
+    return O.lifecycle(found, _prior(c), ["body_id", "category"], live=["open", "records_requested"], closed="closed_with_records", protect=F.col("p_category").isin(failed), now=O.day(c.as_of))
 
 
 @query("l03b_reserve_and_settle")
@@ -122,7 +122,7 @@ def _reservation_stream(c):
     return stream.join(c.reservation_event.drop("ts"), "event_id")
 
 
-_OPEN = f"SELECT o.body_id * 10 + CASE category WHEN 'agenda_missing' THEN 1 WHEN 'meeting_notice_too_short' THEN 2 WHEN 'member_roster_missing' THEN 3 ELSE 4 END AS finding_id, b.jurisdiction_id, o.body_id, category FROM ({OBSERVED}) o JOIN governing_body b ON o.body_id = b.body_id"
+_OPEN = f"SELECT o.body_id * 10 + CASE category WHEN 'agenda_missing' THEN 1 WHEN 'meeting_notice_too_short' THEN 2 WHEN 'member_roster_missing' THEN 3 WHEN 'campaign_finance_missing' THEN 5 WHEN 'budget_process_missing' THEN 6 ELSE 4 END AS finding_id, b.jurisdiction_id, o.body_id, category FROM ({OBSERVED}) o JOIN governing_body b ON o.body_id = b.body_id"
 
 
 @query("c09b_request_reconcile", f"""WITH f AS ({_OPEN}), g AS (SELECT jurisdiction_id, list(finding_id ORDER BY body_id, finding_id) AS ids FROM f GROUP BY 1),
@@ -131,9 +131,9 @@ r AS (SELECT g.jurisdiction_id, g.ids, q.*, row_number() OVER (PARTITION BY g.ju
 SELECT jurisdiction_id, request_id, CASE WHEN request_id IS NULL THEN 'create' WHEN list_sort(ids) = list_sort(old) THEN 'noop' ELSE 'update' END AS action, coalesce(tone, 1) AS tone, array_to_string(ids, ',') AS finding_ids FROM r WHERE i = 1""")
 def c09b(c):
     """Earlier requests are derived: two in two jurisdictions of three, whole or of the first two findings."""
-    rows = O.observe(c)[0].join(c.governing_body.select("body_id", "jurisdiction_id"), "body_id")
+    rows = observed(c)[0].join(c.governing_body.select("body_id", "jurisdiction_id"), "body_id")
     cat = F.col("category")
-    code = F.when(cat == "agenda_missing", 1).when(cat == "meeting_notice_too_short", 2).when(cat == "member_roster_missing", 3).otherwise(4)
+    code = F.when(cat == "agenda_missing", 1).when(cat == "meeting_notice_too_short", 2).when(cat == "member_roster_missing", 3).when(cat == "campaign_finance_missing", 5).when(cat == "budget_process_missing", 6).otherwise(4)
     found = rows.select((F.col("body_id") * 10 + code).alias("finding_id"), "jurisdiction_id", "body_id", "category", F.lit("open").alias("status"))
     per = found.groupBy("jurisdiction_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("body_id", "finding_id"))), lambda r: r["finding_id"]).alias("ids")).filter("jurisdiction_id % 3 <> 2")
     old = per.select(F.expr("""stack(3, jurisdiction_id * 10, 'sent', 2, date '2001-01-01', if(jurisdiction_id % 3 = 0, ids, slice(ids, 1, 2)), jurisdiction_id * 10 + 1, 'draft', 3, date '2001-02-01', slice(ids, 1, 2),

@@ -65,6 +65,8 @@ VIEWS = {
         CASE WHEN c_mktsegment = 'BUILDING' THEN 'corporate' WHEN c_mktsegment = 'MACHINERY' AND s_nationkey % 6 <> 5 THEN 'pac' ELSE 'individual' END AS contributor_type,
         CAST(round(l_extendedprice * 100) AS BIGINT) AS amount_cents, year(l_shipdate) AS cycle, CAST(l_shipdate AS DATE) AS received
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey""",
+    "finance_filing": """SELECT official_id, received FROM contribution WHERE contributor_type = 'pac'""",
+    "data_source": """SELECT jurisdiction_id, CASE WHEN jurisdiction_id % 2 = 0 THEN 'minutes' ELSE 'campaign_finance' END AS source_type FROM jurisdiction""",
     "person": """SELECT s_suppkey AS official_id, s_nationkey AS body_id, n_regionkey AS jurisdiction_id, s_suppkey % 5 <> 0 AS is_elected,
         CASE s_suppkey % 12 WHEN 0 THEN 'Robert' WHEN 1 THEN 'Bill' WHEN 2 THEN 'Karen' WHEN 3 THEN 'Amy' WHEN 4 THEN 'James' WHEN 5 THEN 'Steven' WHEN 6 THEN 'Kate' WHEN 7 THEN 'Thomas' WHEN 8 THEN 'Ceretta' WHEN 9 THEN 'Michael' WHEN 10 THEN 'Doug' ELSE 'Joe' END AS first_name,
         CASE s_suppkey % 13 WHEN 0 THEN 'Baker' WHEN 1 THEN 'Carter' WHEN 2 THEN 'Dunn' WHEN 3 THEN 'Ellis' WHEN 4 THEN 'Foster' WHEN 5 THEN 'Grant' WHEN 6 THEN 'Hayes' WHEN 7 THEN 'Irwin' WHEN 8 THEN 'Keller' WHEN 9 THEN 'Lowell' WHEN 10 THEN 'Mason' WHEN 11 THEN 'Nolan' ELSE 'Parker' END
