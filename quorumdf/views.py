@@ -103,6 +103,13 @@ VIEWS = {
         event_id % 4 AS n_missing, event_id % 2 AS n_garbled FROM events WHERE event_type IN ('view', 'click')""",
     "citizen_comment": """SELECT conv_id * 1000 + turn AS comment_id, CAST(floor(conv_id / 10.0) AS BIGINT) AS item_id, turn, role, conv_id AS user_id, text,
         CASE (conv_id + turn) % 3 WHEN 0 THEN 'support' WHEN 1 THEN 'oppose' ELSE 'neutral' END AS stance FROM conversations""",
+    "issue_event": """SELECT event_id, ts, CASE WHEN user_id % 9 = 0 THEN NULL ELSE user_id % 5 END AS jurisdiction_id, 'step' || (user_id % 40) AS dedupe_key,
+        CASE event_type WHEN 'error' THEN 'observed' WHEN 'purchase' THEN 'cleared' WHEN 'signup' THEN CASE WHEN event_id % 11 = 0 THEN 'wont_fix' ELSE 'noted' END ELSE 'noted' END AS kind FROM events""",
+    "delivery_event": """SELECT event_id, ts, CASE WHEN event_id % 50 = 0 THEN NULL WHEN event_id % 3 = 0 THEN ' Clerk' || user_id || '@Town.example' ELSE 'clerk' || user_id || '@town.example' END AS email,
+        CASE event_type WHEN 'error' THEN 'email.bounced' WHEN 'signup' THEN 'email.complained' WHEN 'purchase' THEN 'email.delivered' ELSE 'email.opened' END AS event_type FROM events""",
+    "milestone_event": """SELECT event_id, ts, CASE WHEN user_id % 10 = 9 THEN NULL ELSE user_id % 5 END AS jurisdiction_id, CASE WHEN event_type <> 'view' THEN event_type || ':' || (user_id % 10) END AS dedupe_key FROM events""",
+    "comment_event": """SELECT event_id AS comment_id, user_id, (event_id * 7 + user_id) % 31 AS item_id, ts, CASE event_id % 5 WHEN 0 THEN 'support' WHEN 1 THEN ' Oppose' WHEN 2 THEN 'neutral' WHEN 3 THEN 'SUPPORT' ELSE CASE WHEN event_id % 3 = 0 THEN 'maybe' ELSE 'oppose' END END AS stance FROM events""",
+    "agenda_item": """SELECT n_nationkey AS item_id, DATE '2024-01-04' + CAST(n_nationkey AS INT) AS meeting_date, n_nationkey % 2 = 0 AS in_phoenix FROM nation""",
 }
 
 
