@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .resolution import contained
+
 # Words that mark staff, generic petitioners, titles of staff, forms of parcels and of street addresses.
 STAFF_WORDS = ["director", "administrator", "attorney", "clerk", "manager", "engineer", "chief", "inspector", "coordinator", "secretary", "treasurer", "superintendent", "officer"]
 GENERIC_PETITIONERS = ["staff", "resident", "applicant", "petitioner", "unknown", "n/a"]
@@ -130,6 +132,35 @@ def official_as_petitioner(motion: DataFrame, names: DataFrame) -> DataFrame:
     return probes.join(cand, ["shape", "len"]).select("motion_id", "official_id").distinct()
 
 
+#: What precedes an official's name in a petitioner that is one, and the part of the name that follows.
+PETITIONER_SHAPES = [("councilmember ", "last_name"), ("councilmember ", "canonical_name"), ("mayor pro tem ", "canonical_name"), ("mayor ", "canonical_name")]
+
+
+def elected_petitioners(motion: DataFrame, official: DataFrame) -> DataFrame:
+    """(motion_id, official_id) of clean motions whose petitioner is an elected official.
+
+    That is a name alone, or one that the petitioner begins with after a title.
+    Only petitioners that begin with a title are cut to the lengths that names have, so
+    the test for a beginning is an equi-join; a bare surname is never matched.
+    """
+    names = official.filter("is_elected").select("official_id", F.lower("canonical_name").alias("canonical_name"), F.lower("last_name").alias("last_name"))
+    clean = motion.filter("data_status = 'clean' AND petitioner IS NOT NULL").select("motion_id", F.lower("petitioner").alias("pet"))
+    whole = clean.join(names.select(F.col("canonical_name").alias("pet"), "official_id"), "pet").select("motion_id", "official_id")
+    shapes = F.array(*[F.concat(F.lit(title), F.col(part)) for title, part in PETITIONER_SHAPES])
+    begins = names.select("official_id", F.explode(F.array_distinct(F.array_compact(shapes))).alias("shape"))
+    lengths = begins.select(F.length("shape").alias("len")).distinct().agg(F.collect_set("len").alias("lengths"))  # one row: names have a few dozen lengths
+    titled = clean.filter(F.col("pet").startswith("councilmember ") | F.col("pet").startswith("mayor "))
+    cuts = titled.crossJoin(F.broadcast(lengths)).select("motion_id", F.explode(F.transform(F.filter("lengths", lambda n: n <= F.length("pet")), lambda n: F.substring(F.col("pet"), F.lit(1), n))).alias("shape"))
+    return whole.unionByName(cuts.join(begins, "shape").select("motion_id", "official_id")).distinct()
+
+
+def elected_recommenders(motion: DataFrame, official: DataFrame, least: int = 8) -> DataFrame:
+    """(motion_id, official_id) of clean motions whose staff recommender names an elected official anywhere; names of so many letters count."""
+    names = official.filter(F.col("is_elected") & (F.length("canonical_name") >= least)).select("official_id", F.lower("canonical_name").alias("name"))
+    clean = motion.filter("data_status = 'clean' AND recommender IS NOT NULL").select("motion_id", F.lower("recommender").alias("low"))
+    return clean.join(contained(clean, "low", names, "name"), "low").join(names, "name").select("motion_id", "official_id").distinct()
+
+
 def staff_looking_official(official: DataFrame, term: DataFrame) -> DataFrame:
     titled = official.filter(F.col("canonical_name").rlike(rf"(?i)\b(?:{'|'.join(STAFF_TITLES)})\b"))
     return titled.join(term.select("official_id"), "official_id", "left_anti").select("official_id", "canonical_name")
@@ -141,6 +172,14 @@ def top_finding(findings: DataFrame, key: str = "motion_id") -> DataFrame:
     return findings.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
 
 
+def quarantine_counts(state: DataFrame) -> DataFrame:
+    """Of what ``quarantine`` gives: motions flagged, motions cleared back to clean, and those left to repairs."""
+    old, new = F.col("old_state"), F.col("new_state")
+    return state.agg(
+        F.count_if(new == "disputed").alias("quarantined"), F.count_if((new == "disputed") & (old != "disputed")).alias("newly"), F.count_if((old == "disputed") & (new == "clean")).alias("cleared"), F.count_if(new == "repairing").alias("repairing")
+    )
+
+
 def quarantine(motion: DataFrame, findings: DataFrame) -> DataFrame:
     """New state of the motions, from their ``old_state``: flagged ones become disputed, others clean, with the transition."""
     top = top_finding(findings).select("motion_id", "pattern_id", "severity")

@@ -157,9 +157,10 @@ RECORD_TYPES = {
     "member_roster_missing": "appointed-body membership records",
     "meeting_notice_too_short": "meeting-notice policy and short-notice records",
     "campaign_finance_missing": "campaign finance disclosures",
+    "budget_overdue": "adopted budget and budget-adoption records",
     "budget_process_missing": "adopted budget and budget-adoption records",
 }
-UNCOUNTED = ["budget_process_missing"]
+UNCOUNTED = ["budget_overdue", "budget_process_missing"]
 
 
 def item_sentence(category: Column, count: Column, since: Column) -> Column:

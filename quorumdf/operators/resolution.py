@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quorumdf.functions import names as N
+from quorumdf.functions.automaton import Automaton
 
 
 def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, key_r: str, text_r: str, threshold: float, ordered: bool = False) -> DataFrame:
@@ -36,18 +38,57 @@ def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, ke
     return both.select("ka", "kb", "ta", "tb", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
-def contained(texts: DataFrame, text: str, names: DataFrame, name: str) -> DataFrame:
-    """(text, name) of distinct texts and the names that stand anywhere within them, as an equi-join.
+#: Names of so many letters in all are sought by automata that every task builds; more of them by their first grams.
+AUTOMATON_LETTERS = 2_000_000
+#: Letters of one automaton: a table of about as many states by some dozens of letters.
+TABLE_LETTERS = 100_000
 
-    Texts give their substrings of the lengths that names have, some dozens at
-    most; both columns are compared as they are.
+
+def contained(texts: DataFrame, text: str, names: DataFrame, name: str, most: int = AUTOMATON_LETTERS) -> DataFrame:
+    """(text, name) of distinct texts and the names that stand anywhere within them; both columns are compared as they are.
+
+    Names of up to ``most`` letters in all are made into automata, and every text is read
+    once by each of them: nothing but the results is made.  More names go by the index of
+    ``contained_by_grams``.
     """
     known = names.select(name).filter(F.length(name) > 0).distinct()
-    lengths = known.agg(F.array_sort(F.collect_set(F.length(name))).alias("lengths"))  # one row
+    total = known.agg(F.sum(F.length(name)).alias("n")).first().n or 0
+    if total > most:
+        return contained_by_grams(texts, text, known, name)
+    words = sorted(r[0] for r in known.collect())  # ``most`` letters at most
+    parts, size = [[]], 0
+    for w in words:
+        if size + len(w) > TABLE_LETTERS and parts[-1]:
+            parts.append([])
+            size = 0
+        parts[-1].append(w)
+        size += len(w)
+
+    def seek(batches):
+        automata = [Automaton(p) for p in parts]
+        for frame in batches:
+            rows = frame[text].tolist()
+            for a in automata:
+                at, which = a.found(rows)
+                yield pd.DataFrame({text: [rows[i] for i in at], name: [a.words[k] for k in which]}, dtype=object)
+
+    rows = texts.select(text).filter(F.length(text) > 0).distinct()
+    return rows.mapInPandas(seek, f"`{text}` string, `{name}` string")
+
+
+def contained_by_grams(texts: DataFrame, text: str, names: DataFrame, name: str, gram: int = 8) -> DataFrame:
+    """The same by an index of the names' beginnings, for more names than tasks can hold.
+
+    A name is found by its first ``gram`` letters, or by all of it where it is shorter;
+    texts give one row per place and length, short lengths only where names have them.
+    """
+    known = names.select(name).filter(F.length(name) > 0).distinct().withColumn("head", F.substring(name, 1, gram))
+    lengths = known.agg(F.array_sort(F.collect_set(F.length("head"))).alias("lengths"))  # one row of ``gram`` numbers at most
     rows = texts.select(text).distinct().crossJoin(F.broadcast(lengths)).select(text, F.explode(F.filter("lengths", lambda k: k <= F.length(text))).alias("k"))
-    starts = F.sequence(F.lit(1), F.length(text) - F.col("k") + 1)
-    parts = rows.select(text, F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(text), i, F.col("k"))))).alias(name))
-    return parts.join(known, name).select(text, name)
+    places = rows.select(text, "k", F.explode(F.sequence(F.lit(1), F.length(text) - F.col("k") + 1)).alias("at"))
+    places = places.withColumn("head", F.substring(F.col(text), F.col("at"), F.col("k")))
+    hits = places.join(known, "head").filter(F.substring(F.col(text), F.col("at"), F.length(name)) == F.col(name))
+    return hits.select(text, name).distinct()
 
 
 def exact_alias(names: DataFrame, alias: DataFrame) -> DataFrame:
@@ -124,6 +165,28 @@ def merge_mapping(edges: DataFrame, path: str | None = None) -> DataFrame:
         label = new
 
 
+MERGE_SOURCE = "merge_officials_job"
+
+
+def merged_tables(vote: DataFrame, term: DataFrame, alias: DataFrame, official: DataFrame, mapping: DataFrame) -> dict[str, DataFrame]:
+    """votes, terms, aliases and officials after all merges, from one mapping (node, root) of officials.
+
+    Votes and terms move to the root; of two votes on a motion the root's own stays, then
+    the lower duplicate's.  Aliases (official_id, alias, source) move unless the root has
+    them, and a duplicate's own name stays as an alias, of ``MERGE_SOURCE``.  Duplicates go
+    from officials (official_id, canonical_name, ...).
+    """
+    to = mapping.select(F.col("node").alias("official_id"), "root")
+    root = F.coalesce("root", "official_id")
+    gone = to.filter("root <> official_id")
+    moved = alias.join(to, "official_id", "left").select(root.alias("target"), "alias", "source", (root != F.col("official_id")).cast("int").alias("step"), "official_id")
+    named = official.join(gone, "official_id").select(F.col("root").alias("target"), F.col("canonical_name").alias("alias"), F.lit(MERGE_SOURCE).alias("source"), F.lit(2).alias("step"), "official_id")
+    first = Window.partitionBy("target", "alias").orderBy("step", "official_id", "source")
+    aliases = moved.unionByName(named).withColumn("rn", F.row_number().over(first)).filter("rn = 1").select(F.col("target").alias("official_id"), "alias", "source")
+    terms = term.join(to, "official_id", "left").withColumn("official_id", root).select(*term.columns)
+    return {"vote": apply_merges(vote, mapping), "term": terms, "alias": aliases, "official": official.join(gone.select("official_id"), "official_id", "left_anti")}
+
+
 def apply_merges(vote: DataFrame, mapping: DataFrame) -> DataFrame:
     """Votes under their canonical official; of two on one motion the canonical's own stays."""
     rows = vote.join(mapping.withColumnRenamed("node", "official_id"), "official_id", "left").withColumn("target", F.coalesce("root", "official_id"))

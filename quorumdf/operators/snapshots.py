@@ -42,16 +42,22 @@ class Snapshots:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
-    def publish(self, number: int, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None) -> bool:
-        """Write the tables' new contents or further rows and name them all in one version; false if it is there already."""
+    def stage(self, name: str, df: DataFrame) -> str:
+        """Write a table's new contents, which nobody sees before they are published; the folder."""
+        folder = f"{self.root}/{name}/{uuid.uuid4().hex[:12]}"
+        df.write.parquet(folder)
+        return folder
+
+    def publish(self, number: int, replace: dict[str, DataFrame] | None = None, append: dict[str, DataFrame] | None = None, staged: dict[str, str] | None = None) -> bool:
+        """Write the tables' new contents or further rows and name them all in one version, with those staged before; false if it is there already."""
         last, tables = self.latest()
         if number <= last:
             return False
         for whole, parts in ((True, replace or {}), (False, append or {})):
             for name, df in parts.items():
-                folder = f"{self.root}/{name}/{number}-{uuid.uuid4().hex[:8]}"
-                df.write.parquet(folder)
+                folder = self.stage(name, df)
                 tables[name] = [folder] if whole else [*tables.get(name, []), folder]
+        tables.update({name: [folder] for name, folder in (staged or {}).items()})
         row = self.spark.createDataFrame([(number, tables)], MANIFEST)
         row.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
         return True

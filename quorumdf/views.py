@@ -110,6 +110,14 @@ VIEWS = {
     "milestone_event": """SELECT event_id, ts, CASE WHEN user_id % 10 = 9 THEN NULL ELSE user_id % 5 END AS jurisdiction_id, CASE WHEN event_type <> 'view' THEN event_type || ':' || (user_id % 10) END AS dedupe_key FROM events""",
     "comment_event": """SELECT event_id AS comment_id, user_id, (event_id * 7 + user_id) % 31 AS item_id, ts, CASE event_id % 5 WHEN 0 THEN 'support' WHEN 1 THEN ' Oppose' WHEN 2 THEN 'neutral' WHEN 3 THEN 'SUPPORT' ELSE CASE WHEN event_id % 3 = 0 THEN 'maybe' ELSE 'oppose' END END AS stance FROM events""",
     "agenda_item": """SELECT n_nationkey AS item_id, DATE '2024-01-04' + CAST(n_nationkey AS INT) AS meeting_date, n_nationkey % 2 = 0 AS in_phoenix FROM nation""",
+    "petition": """SELECT o_orderkey AS motion_id, p.body_id, CASE WHEN o_orderkey % 13 = 0 THEN 'disputed' WHEN o_orderkey % 17 = 0 THEN 'repairing' ELSE 'clean' END AS data_status,
+        CASE o_orderkey % 12 WHEN 0 THEN first_name || ' ' || last_name WHEN 1 THEN 'Councilmember ' || last_name WHEN 2 THEN 'COUNCILMEMBER ' || first_name || ' ' || upper(last_name) WHEN 3 THEN 'Mayor ' || first_name || ' ' || last_name
+             WHEN 4 THEN 'Mayor Pro Tem ' || first_name || ' ' || last_name || ', District 3' WHEN 5 THEN first_name || ' ' || last_name || ' LLC' WHEN 6 THEN last_name WHEN 7 THEN 'Mayor ' || last_name WHEN 8 THEN 'Councilmember ' || last_name || 'son'
+             WHEN 9 THEN NULL ELSE 'Applicant ' || o_custkey END AS petitioner,
+        CASE o_orderkey % 9 WHEN 0 THEN 'City Manager ' || first_name || ' ' || last_name WHEN 1 THEN upper(first_name || ' ' || last_name) || ' and staff' WHEN 2 THEN NULL WHEN 3 THEN 'Planning Director' WHEN 4 THEN first_name || '  ' || last_name
+             WHEN 5 THEN 'for ' || first_name || ' ' || last_name || ' by ' || first_name || ' ' || last_name || 'son' ELSE 'Staff ' || o_custkey END AS recommender
+        FROM (SELECT o_orderkey, o_custkey, 1 + o_custkey % n AS who FROM orders CROSS JOIN (SELECT count(*) AS n FROM supplier) z) o JOIN person p ON p.official_id = o.who""",
+    "named_official": """SELECT official_id, body_id, is_elected, first_name || ' ' || last_name AS canonical_name, last_name FROM person""",
 }
 
 
