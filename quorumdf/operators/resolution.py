@@ -10,32 +10,48 @@ from quorumdf.functions import names as N
 from quorumdf.functions.automaton import Automaton
 
 
+#: Postings of a gram that one task joins with the other side's.
+POSTINGS = 4096
+
+
 def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, key_r: str, text_r: str, threshold: float, ordered: bool = False) -> DataFrame:
     """Pairs whose trigram similarity is at least the threshold, exactly, by an inverted index.
 
-    Only a prefix of each text's grams is indexed, the rarest first: two sets of
-    sizes a and b with Jaccard >= t share at least t / (1 + t) * (a + b) grams, so
-    a common gram lies within the first n - ceil(t * n) + 1 of either by one order.
+    Grams stand in one order, the rarest first, and only a prefix of each text's is
+    indexed: two sets of sizes a and b with Jaccard >= t share at least t / (1 + t) *
+    (a + b) grams, so a common gram lies within the first n - ceil(t * n) + 1 of either.
+    Postings carry their text's grams.  A pair is made at its first common gram alone, and
+    only if the sizes allow it and enough grams are left behind that place; then it is
+    counted there and then, so candidates are neither shuffled nor made distinct nor
+    joined back.  A gram of many postings is dealt to several tasks in blocks.
+
+    Rows of one key and text are one row; ``ordered`` keeps pairs of rising keys.
     """
     def grams(df, key, text, side):
-        return df.select(F.col(key).alias(f"k{side}"), F.col(text).alias(f"t{side}"), N.trigrams(F.col(text)).alias(f"g{side}"))
+        return df.select(F.col(key).alias(f"k{side}"), F.col(text).alias(f"t{side}"), N.trigrams(F.col(text)).alias("grams")).distinct()
 
     a, b = grams(left, key_l, text_l, "a"), grams(right, key_r, text_r, "b")
-    one = a.select(F.explode("ga").alias("gram")).unionAll(b.select(F.explode("gb").alias("gram")))
-    freq = one.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-
-    def prefix(df, side):
-        rows = df.select(f"k{side}", F.size(f"g{side}").alias("size"), F.explode(f"g{side}").alias("gram")).join(freq, "gram")
-        w = Window.partitionBy(f"k{side}").orderBy("n", "gram")
-        keep = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
-        return rows.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= keep).select(f"k{side}", "gram")
-
-    cand = prefix(a, "a").join(prefix(b, "b"), "gram")
-    cand = (cand.filter("ka < kb") if ordered else cand).select("ka", "kb").distinct()
-    both = cand.join(a, "ka").join(b, "kb")
+    one = a.select(F.explode("grams").alias("gram")).unionAll(b.select(F.explode("grams").alias("gram")))
+    freq = one.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))  # three of 36 letters and digits or blanks: 51 thousand rows at most
+
+    def postings(df, side):
+        k, t, g, size = (f"{c}{side}" for c in "ktgs")
+        rows = df.select(k, t, F.explode("grams").alias("gram")).join(F.broadcast(freq), "gram")
+        rows = rows.groupBy(k, t).agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("order"))  # one text's
+        rows = rows.withColumn(size, F.size("order")).withColumn(g, F.transform("order", lambda x: x["gram"]))
+        first = F.slice("order", F.lit(1), (F.col(size) - F.ceil(F.lit(threshold) * F.col(size) - 1e-9) + 1).cast("int"))
+        rows = rows.select(k, t, g, size, F.posexplode(first).alias(f"p{side}", "x")).select(k, t, g, size, f"p{side}", "x.gram", F.ceil(F.col("x.n") / POSTINGS).cast("int").alias("blocks"))
+        block = F.pmod(F.xxhash64(k), F.col("blocks")).cast("int") if side == "a" else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        return rows.withColumn("block", block).drop("blocks")
+
+    both = postings(a, "a").join(postings(b, "b"), ["gram", "block"])
+    both = both.filter("ka < kb") if ordered else both
+    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("sa") + F.col("sb")) - 1e-6)
+    both = both.filter((F.least("sa", "sb") >= F.lit(threshold) * F.greatest("sa", "sb") - 1e-6) & (1 + F.least(F.col("sa") - F.col("pa"), F.col("sb") - F.col("pb")) - 1 >= least))
+    before = F.arrays_overlap(F.slice("ga", F.lit(1), F.col("pa")), F.slice("gb", F.lit(1), F.col("pb")))
     shared = F.size(F.array_intersect("ga", "gb"))
-    sim = F.round(shared / (F.size("ga") + F.size("gb") - shared), 6)
-    return both.select("ka", "kb", "ta", "tb", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
+    sim = F.round(shared / (F.col("sa") + F.col("sb") - shared), 6)
+    return both.filter(~before).select("ka", "kb", "ta", "tb", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
 
 
 #: Names of so many letters in all are sought by automata that every task builds; more of them by their first grams.
