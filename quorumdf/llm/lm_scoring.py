@@ -135,6 +135,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _mix_own(x: np.ndarray) -> np.ndarray:
+    """The same, in the array's own place."""
+    for shift, odd in ((30, _ODD[0]), (27, _ODD[1])):
+        x ^= x >> _U(shift)
+        x *= odd
+    x ^= x >> _U(31)
+    return x
+
+
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the tokens of all texts, one after another, and how many each has."""
     spans = np.array([len(t) + 1 for t in texts], np.int64)
@@ -143,12 +152,16 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     word = kind == 1
     starts = np.flatnonzero((kind == 2) | (word & ~np.r_[False, word[:-1]]))
     ends = np.flatnonzero((kind == 2) | (word & ~np.r_[word[1:], False])) + 1
-    sizes = ends - starts
-    first = np.cumsum(sizes) - sizes
-    place = np.arange(int(sizes.sum())) - np.repeat(first, sizes)
     # a number for each character at its place in the token: no pattern of characters cancels out
-    each = _mix(point[place + np.repeat(starts, sizes)].astype(_U) + place.astype(_U) * _ODD[3])
-    value = _mix(np.add.reduceat(each, first) + sizes.astype(_U) * _ODD[2]) if len(sizes) else np.zeros(0, _U)
+    at = np.zeros(len(point), _U)
+    at[starts] = starts
+    np.maximum.accumulate(at, out=at)
+    np.subtract(np.arange(len(point), dtype=_U), at, out=at)
+    at *= _ODD[3]
+    at += point
+    sums = np.zeros(len(point) + 1, _U)
+    np.cumsum(_mix_own(at), dtype=_U, out=sums[1:])
+    value = _mix(sums[ends] - sums[starts] + (ends - starts).astype(_U) * _ODD[2])
     owner = np.searchsorted(np.cumsum(spans), starts, "right")
     return value, np.bincount(owner, minlength=len(texts))
 
