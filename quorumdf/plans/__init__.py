@@ -4,7 +4,7 @@ from importlib import import_module
 
 from . import registry
 
-_MODULES = ["detector_queries", "profile_queries", "compliance_queries", "entity_queries", "health_queries", "streaming_queries", "facts_queries", "remaining_queries", "people_queries", "repair_queries", "stream_state_queries", "version_queries", "whole_queries"]
+_MODULES = ["detector_queries", "profile_queries", "compliance_queries", "entity_queries", "health_queries", "streaming_queries", "facts_queries", "remaining_queries", "people_queries", "repair_queries", "stream_state_queries", "version_queries", "payload_queries", "audit_queries", "whole_queries"]
 
 
 def _load() -> None:

@@ -118,6 +118,41 @@ VIEWS = {
              WHEN 5 THEN 'for ' || first_name || ' ' || last_name || ' by ' || first_name || ' ' || last_name || 'son' ELSE 'Staff ' || o_custkey END AS recommender
         FROM (SELECT o_orderkey, o_custkey, 1 + o_custkey % n AS who FROM orders CROSS JOIN (SELECT count(*) AS n FROM supplier) z) o JOIN person p ON p.official_id = o.who""",
     "named_official": """SELECT official_id, body_id, is_elected, first_name || ' ' || last_name AS canonical_name, last_name FROM person""",
+    "payload_item": """SELECT meeting_id, motion_id, '{"item_number":"' || motion_id || '","title":" ' || title || '","summary_plain_english":"On ' || motion_type || '","motion_type":"' || motion_type || '","outcome":"'
+        || CASE WHEN motion_id % 997 = 0 THEN 'unknown' ELSE outcome END || '","vote_tally":{"yes":' || coalesce(tally_yes, 0) || ',"no":' || coalesce(tally_no, 0) || '},"individual_votes":['
+        || CASE WHEN motion_id % 3 = 0 THEN '{"name":"Ann Lee","vote":"yes"}' WHEN motion_id % 1009 = 0 THEN '{"name":"Ann Lee","vote":"aye"}' ELSE '' END || ']'
+        || CASE WHEN motion_id % 601 = 0 THEN '' WHEN motion_id % 5 = 0 THEN ',"source_page":"' || (1 + motion_id % 40) || '"' ELSE ',"source_page":' || (1 + motion_id % 40) END || '}' AS item, motion_id % 4 <> 0 AS has_page FROM motion""",
+    "payload_object": """SELECT m.meeting_id, minutes_url, '{"meeting":{"meeting_time":' || CASE m.meeting_id % 3 WHEN 0 THEN '"19:00"' WHEN 1 THEN 'null' ELSE '""' END || ',"called_to_order_at":' || CASE WHEN m.meeting_id % 4 = 0 THEN 'null' ELSE '"18:05"' END
+        || CASE WHEN m.meeting_id % 2 = 0 THEN ',"location":"Hall ' || m.meeting_id || '"' ELSE '' END || ',"extraction_confidence":"' || CASE m.meeting_id % 17 WHEN 0 THEN 'unsure' WHEN 1 THEN 'low' WHEN 2 THEN 'high' ELSE 'medium' END || '"},'
+        || CASE WHEN m.meeting_id % 19 = 0 THEN '' ELSE '"attendance":{"present":[' || CASE WHEN m.meeting_id % 6 = 0 THEN '' ELSE '"Ann Lee","Member ' || m.meeting_id % 40 || '"' END || ']' || CASE WHEN m.meeting_id % 5 = 1 THEN ',"absent":["Bo Day"]' ELSE '' END
+        || CASE WHEN m.meeting_id % 7 = 1 THEN ',"staff_present":["Clerk ' || m.meeting_id || '"]' ELSE ',"staff_present":[]' END || '},' END || '"agenda_items":[' || items || '],"extraction_notes":"' || CASE WHEN m.meeting_id % 8 = 1 THEN 'two pages dark' ELSE '' END || '"'
+        || CASE WHEN m.meeting_id % 9 = 1 THEN ',"document_summary":"In short ' || m.meeting_id || '"' ELSE '' END || '}' AS obj
+        FROM meeting m JOIN (SELECT meeting_id, string_agg(item, ',') AS items FROM payload_item GROUP BY meeting_id) i ON i.meeting_id = m.meeting_id""",
+    "stored_payload": """SELECT meeting_id * 10 + v AS source_id, minutes_url AS source_url, CASE WHEN meeting_id % 14 = 0 AND v = 0 THEN NULL ELSE TIMESTAMP '2001-01-01 00:00:00' END AS ingested_at,
+        CASE WHEN v = 0 AND meeting_id % 11 = 2 THEN substr(obj, 1, length(obj) - 3) WHEN v = 0 AND meeting_id % 11 = 3 THEN '[1]' WHEN v = 0 AND meeting_id % 11 = 4 THEN NULL
+             WHEN meeting_id % 11 = 1 THEN '"' || replace(obj, '"', chr(92) || '"') || '"' ELSE obj END AS raw_payload
+        FROM payload_object CROSS JOIN (SELECT 0 AS v UNION ALL SELECT 1 AS v) z WHERE v = 0 OR meeting_id % 4 = 0""",
+    "meeting_detail": """SELECT meeting_id, minutes_url, 'scheduled' AS status, 'old notes' AS attendance_notes, '17:00' AS called_to_order_at, '21:00' AS adjourned_at, CASE WHEN meeting_id % 2 = 1 THEN '18:30' END AS meeting_time,
+        CASE WHEN meeting_id % 3 = 0 THEN 'Old Hall' END AS location, 'old summary' AS minutes_ai_summary FROM meeting""",
+    "packet_meeting": """SELECT doc_id AS meeting_id, CAST(floor(doc_id / 200.0) AS BIGINT) AS body_id, DATE '1999-01-05' + CAST(7 * (doc_id % 200) AS INT) AS meeting_date,
+        CASE WHEN doc_id % 3 = 0 THEN 'https://docs.example.org/minutes/' || doc_id END AS minutes_url, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'https://docs.example.org/agenda/' || doc_id END AS agenda_url,
+        CASE WHEN doc_id % 25 = 1 THEN '{"minutes_source":"embedded"}' WHEN doc_id % 35 = 1 THEN '{"agenda_unavailable":null}' WHEN doc_id % 6 = 1 THEN NULL ELSE '{"note":"minutes_source"}' END AS meta FROM documents""",
+    "packet_motion": """SELECT doc_id AS meeting_id FROM documents WHERE doc_id % 11 = 0""",
+    "packet_date": """SELECT doc_id, trim(substr('January  February March    April    May      June     July     August   SeptemberOctober  November December ', 9 * month(d) - 8, 9)) AS mon,
+        '' || day(d) AS dd, CASE WHEN day(d) < 10 THEN '0' ELSE '' END || day(d) AS padded, ', ' || year(d) AS yy, coalesce(text, '') AS body
+        FROM (SELECT doc_id, text, DATE '1999-01-05' + CAST(7 * (doc_id % 200 - 1 - doc_id % 5) AS INT) AS d FROM documents) q""",
+    "packet_text": """SELECT 'https://docs.example.org/agenda/' || doc_id AS source_url, split(CASE doc_id % 8 WHEN 0 THEN 'Minutes of the ' || mon || ' ' || dd || yy || ' Regular Meeting' || chr(10) || body
+        WHEN 1 THEN body || chr(10) || 'MINUTES  OF ' || upper(mon) || ' ' || padded || yy || chr(10) || 'Roll call' WHEN 2 THEN body || chr(10) || 'Approve minutes' || chr(9) || 'of the ' || mon || '  ' || dd || yy || '.'
+        WHEN 3 THEN 'Minutes for ' || mon || ' ' || dd || yy || chr(10) || body WHEN 4 THEN 'Minutes of February 31' || yy || chr(10) || body || chr(10) || 'minutes of ' || mon || ' ' || padded || yy || chr(10) || 'Minutes of ' || mon || ' ' || dd || yy
+        WHEN 5 THEN body ELSE body || chr(10) || 'Minutes of the ' || mon || ' ' || dd || yy END, chr(10)) AS pages FROM packet_date WHERE doc_id % 13 <> 0""",
+    "registry_entry": """SELECT c_custkey AS entry_id, 'town-' || c_custkey AS slug, CASE WHEN c_custkey % 101 = 0 THEN 'no JSON' ELSE '{"agenda_platform":"' || CASE c_custkey % 6 WHEN 0 THEN 'none_found' WHEN 1 THEN 'carrier pigeon' ELSE 'civicplus' END || '"'
+        || CASE c_custkey % 5 WHEN 0 THEN ',"clerk_email_access":"none_found"' WHEN 1 THEN ',"clerk_email_access":null' ELSE ',"clerk_email_access":"published"' END || CASE c_custkey % 4 WHEN 0 THEN ',"records_custodian_email":"clerk@town.example"' WHEN 1 THEN ',"records_custodian_email":""' ELSE ',"records_custodian_email":"r@town.example"' END
+        || ',"confidence":"' || CASE c_custkey % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'medium' ELSE 'sure' END || '","verified":"' || CASE WHEN c_custkey % 2 = 0 THEN 'verified' ELSE 'draft' END || '"'
+        || CASE c_custkey % 7 WHEN 0 THEN ',"public_comment":{"channel":"in_person_only"}' WHEN 1 THEN ',"public_comment":{"channel":"fax","recipient_email":"c@town.example"}' WHEN 2 THEN '' ELSE ',"public_comment":{"channel":"email","recipient_email":"c@town.example"}' END
+        || CASE c_custkey % 8 WHEN 0 THEN ',"notable_gaps":["Minutes not  published since May","budget is online"]' WHEN 1 THEN ',"notable_gaps":["none"]' WHEN 2 THEN ',"notable_gaps":[]' ELSE '' END
+        || CASE c_custkey % 9 WHEN 0 THEN '' ELSE ',"verification":{"structure_sweep":{"sections_enumerated":[' || CASE c_custkey % 10 WHEN 0 THEN '' WHEN 1 THEN '"agendas"' ELSE '"https://town.example/agendas"' END || ']},"search_pass":{"queries":['
+        || CASE c_custkey % 11 WHEN 0 THEN '"town agenda"' WHEN 1 THEN '"budget","map","news"' WHEN 2 THEN '"Minutes","map","news"' ELSE '"agenda","clerk email","map"' END || ']' || CASE WHEN c_custkey % 12 = 0 THEN '' ELSE ',"engine":"web"' END || '},"sibling_control":"'
+        || CASE WHEN c_custkey % 13 = 0 THEN ' ' ELSE 'minutes parse' END || '"' || CASE WHEN c_custkey % 14 < 7 THEN ',"adversarial":"2-of-3"' ELSE '' END || CASE WHEN c_custkey % 15 < 9 THEN ',"session_date":"2001-05-01"' ELSE '' END || '}' END || '}' END AS entry FROM customer""",
 }
 
 
