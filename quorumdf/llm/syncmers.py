@@ -2,11 +2,16 @@
 
 Method.  A text of any length is a row of units: its words, single letters of
 scripts written without spaces, and single other characters; white space says
-nothing.  Of the k-mers of units, those are anchors whose minimal inner s-mer (by
-hash) lies at either edge.  Whether a k-mer is an anchor depends on nothing
+nothing.  Words of more than twelve letters are cut after the next vowel or digit,
+or else after twelve more, so that a text without spaces has many units and its
+cuts meet again after an edit.  k - 1 marks stand before the first unit, so that
+texts of every length have k-mers, and words added behind change none.  Of the
+k-mers of units, those are anchors whose minimal inner s-mer (by
+hash) lies at either edge; the first and the last k-mer of a text are, too, which
+gives short texts an end.  Whether any other k-mer is an anchor depends on nothing
 outside of it, so an edit moves or changes only the anchors that it touches.
 
-The fingerprint has every anchor with its position, counted in units.  Two texts
+The fingerprint has every anchor with its position: which unit it ends at, from 0.  Two texts
 match by position: an anchor is matched if the other text has it, too, at the
 same distance from the anchor before.  Distances instead of places make passages
 match wherever they stand.  The likeness of two texts is the Jaccard similarity
@@ -18,9 +23,8 @@ quantiles of the ids cut the table into ranges, every range is ordered for itsel
 and the row at each cut is also sent to the range above, so texts are shuffled
 once.  The ranges have names that Spark's hash deals evenly to the tasks.
 
-Defined results: null text is the empty text; texts with fewer than k units, or
-without an anchor, have the hash of all their units as their one anchor, at 0;
-rows that repeat an id stand next to each other by their texts; a null id is the
+Defined results: null text is the empty text; a text without units has the
+hash of the marks as its one anchor, at 0; rows that repeat an id stand next to each other by their texts; a null id is the
 smallest; the only document of a table is its own neighbour; very long texts are
 read whole; other columns are ignored, whatever their names; an empty table gives
 none.
@@ -37,8 +41,11 @@ K, S = 5, 2
 RANGES_PER_PARTITION = 2
 LOWEST = -(1 << 63)
 _UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-#: A letter of an unspaced script, a run of other letters, marks and numbers, or any other character but the six of white space.
-UNIT = rf"[{_UNSPACED}]|[\p{{L}}\p{{M}}\p{{N}}_&&[^{_UNSPACED}]]+|[^\x20\x09-\x0D]"
+_LETTER = rf"[\p{{L}}\p{{M}}\p{{N}}_&&[^{_UNSPACED}]]"
+#: A letter of an unspaced script, a run of other letters, marks and numbers (long ones cut), or any other character but the six of white space.
+UNIT = rf"[{_UNSPACED}]|{_LETTER}{{1,12}}+(?:{_LETTER}{{0,11}}?[AEIOUaeiou0-9]|{_LETTER}{{0,12}})|[^\x20\x09-\x0D]"
+#: The mark before the first unit; white space is no unit.
+MARK = " "
 
 
 def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -48,17 +55,18 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     h, inner, middle, spots = (f"__{out}_{i}" for i in range(4))
     at = lambda a, i: F.get(F.col(a), i)
-    df = df.withColumn(h, F.transform(F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)), lambda u: F.xxhash64(u)))
+    units = F.concat(F.array_repeat(F.lit(MARK), K - 1), F.regexp_extract_all(F.col(text), F.lit(UNIT), F.lit(0)))
+    df = df.withColumn(h, F.transform(units, lambda u: F.xxhash64(u)))
     df = df.withColumn(inner, F.zip_with(F.col(h), F.slice(F.col(h), F.lit(S), F.size(h)), lambda x, y: F.xxhash64(x, y)))
     # the smaller of the two inner s-mers that lie at no edge
     df = df.withColumn(middle, F.zip_with(F.slice(F.col(inner), 2, F.size(inner)), F.slice(F.col(inner), 3, F.size(inner)), lambda x, y: F.least(x, y)))
     edge = lambda i: F.least(at(inner, i), at(inner, i + K - S)) <= at(middle, i)
     # naming ``middle`` twice keeps the optimiser from moving it into the lambda
-    df = df.withColumn(spots, F.when((F.size(h) >= K) & (F.size(middle) > 0), F.filter(F.sequence(F.lit(0), F.size(h) - K), edge)))
+    df = df.withColumn(spots, F.when((F.size(h) >= K) & (F.size(middle) > 0), F.filter(F.sequence(F.lit(0), F.size(h) - K), lambda i: edge(i) | (i == F.size(h) - K))))
     one = lambda x, i: F.struct(x.alias("hash"), i.alias("position"))
     found = F.transform(spots, lambda i: one(F.xxhash64(*[at(h, i + j) for j in range(K)]), i))
     whole = F.array(one(F.xxhash64(F.col(h)), F.lit(0)))
-    return df.withColumn(out, F.when(F.size(F.coalesce(F.col(spots), F.array())) > 0, found).otherwise(whole)).drop(h, inner, middle, spots)
+    return df.withColumn(out, F.coalesce(found, whole)).drop(h, inner, middle, spots)
 
 
 def with_placed(df: DataFrame, anchors: str, out: str) -> DataFrame:

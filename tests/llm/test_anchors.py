@@ -9,7 +9,18 @@ import regex
 from quorumdf.llm import syncmers
 
 UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
-UNIT = regex.compile(rf"(?V1)[{UNSPACED}]|[[\p{{L}}\p{{M}}\p{{N}}_]--[{UNSPACED}]]+|[^\x20\x09-\x0D]")
+RUN = regex.compile(rf"(?V1)[{UNSPACED}]|[[\p{{L}}\p{{M}}\p{{N}}_]--[{UNSPACED}]]+|[^\x20\x09-\x0D]")
+
+
+def units_of(text):
+    out = []
+    for run in RUN.findall(text):
+        while len(run) > 12:
+            cut = next((i + 1 for i in range(12, min(24, len(run))) if run[i] in "AEIOUaeiou0123456789"), min(24, len(run)))
+            out.append(run[:cut])
+            run = run[cut:]
+        out += [run] if run else []
+    return [" "] * 4 + out
 
 
 class Hash:
@@ -30,12 +41,12 @@ class Hash:
 
 def brute_anchors(spark, text):
     hashes = Hash(spark)
-    units = UNIT.findall(text)
+    units = units_of(text)
     known = hashes.words(units)
     h = [known[u] for u in units]
     pairs = hashes.numbers(list(zip(h, h[1:])))
     inner = [pairs[p] for p in zip(h, h[1:])]
-    at = [i for i in range(len(h) - 4) if min(inner[i : i + 4]) in (inner[i], inner[i + 3])]
+    at = [i for i in range(len(h) - 4) if min(inner[i : i + 4]) in (inner[i], inner[i + 3]) or i == len(h) - 5]
     five = hashes.numbers([tuple(h[i : i + 5]) for i in at])
     return [(five[tuple(h[i : i + 5])], i) for i in at]
 
@@ -54,7 +65,7 @@ def placed(anchors):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_anchors_and_likeness_equal_brute_force(spark, seed):
     rnd = random.Random(seed)
-    words = lambda n: " ".join(rnd.choice(["été", "abc", "x_1", "日本", "の文", "a.b", "7", "…", "z"]) + str(rnd.randint(0, 9)) for _ in range(n))
+    words = lambda n: " ".join(rnd.choice(["été", "abc", "x_1", "日本", "の文", "a.b", "7", "…", "z", "Donaudampfschifffahrtsgesellschaft", "pqrstvwxyz" * 6]) + str(rnd.randint(0, 9)) for _ in range(n))
     a, b = words(60) + "\n\t " + words(30), words(20)
     b = a[:200] + b + a[150:]
     row = near(spark, a, b)
@@ -94,3 +105,18 @@ def test_ranges_have_names_that_spread(spark):
     tasks = [r[0] for r in spark.createDataFrame([(n,) for n in names], "n int").selectExpr("pmod(hash(n), 10)").collect()]
     assert {tasks.count(t) for t in range(10)} == {4}
     assert re.fullmatch(r"(\d+:-?\d+,?)+", syncmers.fingerprints(spark.createDataFrame([(1, "a b c d e f g h")], "doc_id long, text string")).first().fingerprint)
+
+
+def test_texts_below_five_words(spark):
+    assert 0 < near(spark, "a b c d", "a b c e").s < 1 and near(spark, "a", "a b").s > 0
+    assert near(spark, "", "a").s == 0 and near(spark, "a b", "b a").s < 1
+    for text in ("a", "a b", "日", "a b c d e"):
+        x = brute_anchors(spark, text)
+        assert x and [(r.hash, r.position) for r in near(spark, text, "").x] == x
+
+
+def test_long_texts_without_spaces(spark):
+    rnd = random.Random(5)
+    text = "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(6001))
+    assert near(spark, text, text[:3000] + "-" + text[3001:]).s > 0.9
+    assert near(spark, text, "zq" + text).s > 0.9 and near(spark, text, text[::-1]).s < 0.05
