@@ -31,9 +31,9 @@ def as_findings(rows: DataFrame, pattern_id: str, severity: int | None = None) -
 
 def name_typos(official: DataFrame) -> DataFrame:
     """Officials whose names are nearly another's: the pair's first as the subject."""
-    pairs = similar_pairs(official, official, "official_id", "canonical_name", "official_id", "canonical_name", 0.4, ordered=True)
     first = lambda t: F.lower(F.substring_index(t, " ", 1))
-    pairs = pairs.filter((F.col("similarity") > 0.5) | (first("ta") == first("tb")))
+    pairs = similar_pairs(official, official, "official_id", "canonical_name", "official_id", "canonical_name", 0.4, ordered=True, alike=first)
+    pairs = pairs.filter((F.col("similarity") > 0.5) | F.col("alike"))
     return pairs.select(F.col("ka").alias("official_id"), F.when(F.col("similarity") > 0.7, 3).when(F.col("similarity") > 0.5, 2).otherwise(1).alias("severity"))
 
 
@@ -50,6 +50,9 @@ PATTERNS: dict[str, Callable] = {
     "qa_official_as_staff_recommender": lambda c: as_findings(D.elected_recommenders(c.petition, c.named_official), "qa_official_as_staff_recommender", 2),
 }
 
+#: Those of the patterns whose findings are about motions; what quarantines motions needs no others.
+MOTION_PATTERNS = ["qa_official_as_petitioner", "qa_official_as_staff_recommender"]
+
 
 def run_patterns(civic, snapshots: Snapshots, number: int, patterns: dict[str, Callable] | None = None, marks: dict | None = None) -> list[str]:
     """Run all patterns and publish their findings as version ``number``; the names of those that failed.

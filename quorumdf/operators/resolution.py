@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,48 +15,147 @@ from quorumdf.functions import names as N
 from quorumdf.functions.automaton import Automaton
 
 
-#: Postings of a gram that one task joins with the other side's.
+#: Texts of a block whose grams one task multiplies with another block's.
 POSTINGS = 4096
+#: Below this threshold most of a text's grams would have to be indexed, and blocks of texts are multiplied instead.
+DENSE = 0.5
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, key_r: str, text_r: str, threshold: float, ordered: bool = False) -> DataFrame:
-    """Pairs whose trigram similarity is at least the threshold, exactly, by an inverted index.
+def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, key_r: str, text_r: str, threshold: float, ordered: bool = False, alike=None, within: str | None = None) -> DataFrame:
+    """(ka, kb, similarity) of the pairs whose trigram similarity is at least the threshold, exactly.
 
-    Grams stand in one order, the rarest first, and only a prefix of each text's is
-    indexed: two sets of sizes a and b with Jaccard >= t share at least t / (1 + t) *
-    (a + b) grams, so a common gram lies within the first n - ceil(t * n) + 1 of either.
-    Postings carry their text's grams.  A pair is made at its first common gram alone, and
-    only if the sizes allow it and enough grams are left behind that place; then it is
-    counted there and then, so candidates are neither shuffled nor made distinct nor
-    joined back.  A gram of many postings is dealt to several tasks in blocks.
+    Grams stand in one order, the rarest first.  From ``DENSE`` on pairs are found by an
+    index of couples of grams (``_by_couples``), below it by products of blocks
+    (``_by_blocks``).
 
     Rows of one key and text are one row; ``ordered`` keeps pairs of rising keys.
+    ``alike`` is a function of the text's column; a column of that name tells whether
+    both texts give the same.  ``within`` is a column that both rows have to share.
+    """
+    same = left is right and (key_l, text_l) == (key_r, text_r)
+    mark = (lambda t: F.coalesce(alike(t), F.lit(""))) if alike else (lambda t: F.lit(None).cast("string"))
+    group = F.col(within).cast("string") if within else F.lit("")
+
+    def grams(df, key, text):
+        rows = df.select(F.col(key).alias("k"), F.col(text).alias("t"), group.alias("w")).distinct()
+        return rows.select("k", "w", mark(F.col("t")).alias("m"), "t", N.trigrams(F.col("t")).alias("grams")).filter("size(grams) > 0 AND w IS NOT NULL")
+
+    both = [grams(left, key_l, text_l)] + ([] if same else [grams(right, key_r, text_r)])
+    freq = reduce(DataFrame.unionAll, [rows.select(F.explode("grams").alias("gram")) for rows in both]).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    rank = freq.select("gram", F.row_number().over(Window.orderBy("n", "gram")).alias("r"))  # three of 36 letters and digits or blanks: 51 thousand rows at most
+
+    def ranked(rows):
+        rows = rows.select("k", "w", "m", "t", F.explode("grams").alias("gram")).join(F.broadcast(rank), "gram")
+        return rows.groupBy("k", "w", "m", "t").agg(F.sort_array(F.collect_list("r")).alias("g")).select("k", "w", "m", "g", F.size("g").alias("s"))
+
+    sets = [ranked(rows) for rows in both] * (2 if same else 1)
+    found = (_by_couples if threshold >= DENSE else _by_blocks)(*sets, threshold, same, ordered)
+    return found.select("ka", "kb", "similarity", *(["alike"] if alike else []))
+
+
+def _by_couples(a: DataFrame, b: DataFrame, threshold: float, same: bool, ordered: bool) -> DataFrame:
+    """Pairs by an index of couples of each text's rarest grams.
+
+    Sets of sizes x and y with Jaccard >= t share at least o = ceil(t / (1 + t) * (x + y))
+    grams, so the first two common ones lie within the first x - o + 2 of the one and
+    y - o + 2 of the other.  Couples of these are indexed per size of the other set.  A
+    pair is made at its first common couple alone, where sketches of 256 bits allow it.
     """
-    def grams(df, key, text, side):
-        return df.select(F.col(key).alias(f"k{side}"), F.col(text).alias(f"t{side}"), N.trigrams(F.col(text)).alias("grams")).distinct()
-
-    a, b = grams(left, key_l, text_l, "a"), grams(right, key_r, text_r, "b")
-    one = a.select(F.explode("grams").alias("gram")).unionAll(b.select(F.explode("grams").alias("gram")))
-    freq = one.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))  # three of 36 letters and digits or blanks: 51 thousand rows at most
-
-    def postings(df, side):
-        k, t, g, size = (f"{c}{side}" for c in "ktgs")
-        rows = df.select(k, t, F.explode("grams").alias("gram")).join(F.broadcast(freq), "gram")
-        rows = rows.groupBy(k, t).agg(F.sort_array(F.collect_list(F.struct("n", "gram"))).alias("order"))  # one text's
-        rows = rows.withColumn(size, F.size("order")).withColumn(g, F.transform("order", lambda x: x["gram"]))
-        first = F.slice("order", F.lit(1), (F.col(size) - F.ceil(F.lit(threshold) * F.col(size) - 1e-9) + 1).cast("int"))
-        rows = rows.select(k, t, g, size, F.posexplode(first).alias(f"p{side}", "x")).select(k, t, g, size, f"p{side}", "x.gram", F.ceil(F.col("x.n") / POSTINGS).cast("int").alias("blocks"))
-        block = F.pmod(F.xxhash64(k), F.col("blocks")).cast("int") if side == "a" else F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        return rows.withColumn("block", block).drop("blocks")
-
-    both = postings(a, "a").join(postings(b, "b"), ["gram", "block"])
-    both = both.filter("ka < kb") if ordered else both
-    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("sa") + F.col("sb")) - 1e-6)
-    both = both.filter((F.least("sa", "sb") >= F.lit(threshold) * F.greatest("sa", "sb") - 1e-6) & (1 + F.least(F.col("sa") - F.col("pa"), F.col("sb") - F.col("pb")) - 1 >= least))
-    before = F.arrays_overlap(F.slice("ga", F.lit(1), F.col("pa")), F.slice("gb", F.lit(1), F.col("pb")))
+    sizes = lambda rows: F.broadcast(rows.agg(F.collect_set("s").alias("sizes")))  # noqa: E731  one row: texts have a few dozen sizes
+    other = F.col("o")
+    least = lambda x, y: F.ceil(F.lit(threshold / (1 + threshold)) * (x + y) - 1e-6).cast("int")
+
+    def couples(rows, others, side):
+        sketch = [F.expr(f"aggregate(g, 0L, (z, r) -> if(shiftright(r, 6) % 4 = {q}, z | shiftleft(1L, r % 64), z)) AS `{q}{side}`") for q in range(4)]
+        carried = [F.col(c).alias(f"{c}{side}") for c in ("k", "w", "m", "g", "s")]
+        rows = rows.crossJoin(sizes(others)).select("g", "s", *carried, *sketch, F.explode("sizes").alias("o"))
+        s, t = F.col("s"), F.lit(threshold)
+        rows = rows.filter((F.least(s, other) >= t * F.greatest(s, other) - 1e-6) & (least(s, other) <= F.least(s, other))).withColumn("need", F.least(least(s, other), F.lit(2)))
+        rows = rows.withColumn("top", s - least(s, other) + F.col("need"))
+        one = F.transform(F.sequence(F.lit(1), F.col("top")), lambda i: F.struct(i.alias("i"), i.alias("j")))
+        two = F.flatten(F.transform(F.sequence(F.lit(1), F.col("top") - 1), lambda i: F.transform(F.sequence(i + 1, F.col("top")), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+        rows = rows.select("*", F.explode(F.when(F.col("need") == 1, one).otherwise(two)).alias("at"))
+        x, y = (s, other) if side == "a" else (other, s)
+        number = lambda c: c.cast("long")
+        gram = lambda i: number(F.get("g", F.col(f"at.{i}") - 1))
+        key = ((number(x) * 65536 + number(y)) * 65536 + gram("i")).alias("key")
+        return rows.select(key, gram("j").cast("int").alias("second"), F.col("at.j").alias(f"p{side}"), *(c + side for c in ("k", "w", "m", "g", "s", "0", "1", "2", "3")))
+
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.second") == F.col("y.second")) & (F.col("wa") == F.col("wb"))
+    both = couples(a, b, "a").alias("x").join(couples(b, a, "b").alias("y"), on)
+    if ordered:
+        both = both.filter("ka < kb")
+    total, need = F.col("sa") + F.col("sb"), least(F.col("sa"), F.col("sb"))
+    differ = reduce(lambda p, q: p + q, [F.bit_count(F.col(f"{q}a").bitwiseXOR(F.col(f"{q}b"))) for q in range(4)])
+    both = both.filter(differ <= total - 2 * need)
     shared = F.size(F.array_intersect("ga", "gb"))
-    sim = F.round(shared / (F.col("sa") + F.col("sb") - shared), 6)
-    return both.filter(~before).select("ka", "kb", "ta", "tb", sim.alias("similarity")).filter(F.col("similarity") >= threshold)
+    both = both.filter(shared >= need)
+    first = F.size(F.array_intersect(F.slice("ga", F.lit(1), F.col("pa")), F.slice("gb", F.lit(1), F.col("pb")))) == F.least(need, F.lit(2))
+    sim = F.round(shared / (total - shared), 6)
+    return both.filter(first).select("ka", "kb", sim.alias("similarity"), (F.col("ma") == F.col("mb")).alias("alike")).filter(F.col("similarity") >= threshold)
+
+
+def _by_blocks(a: DataFrame, b: DataFrame, threshold: float, same: bool, ordered: bool) -> DataFrame:
+    """Pairs by products of blocks of texts by grams, every block with every other one once; a task holds two blocks and a strip of their product."""
+    half = same and ordered
+
+    def blocks(rows, side):
+        n = max(1, -(-rows.count() // POSTINGS))
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(n)))
+        names = {c: f"{c}{side}" for c in "kwmg"}
+        return n, rows.groupBy(F.col("block").alias(f"b{side}")).agg(F.sort_array(F.collect_list(F.struct(*"kwmg"))).alias("rows")).select(f"b{side}", *[F.col(f"rows.{c}").alias(v) for c, v in names.items()])
+
+    (n_a, left), (n_b, right) = blocks(a, "a"), blocks(b, "b")
+    spark = a.sparkSession
+    places = spark.range(n_a).select(F.col("id").alias("ba")).crossJoin(spark.range(n_b).select(F.col("id").alias("bb")))
+    places = places.filter("ba <= bb") if half else places
+    n = n_a * (n_a + 1) // 2 if half else n_a * n_b
+    pairs = places.join(left, "ba").join(right, "bb").repartition(min(n, 2000), "ba", "bb")
+    kind = [f.dataType for f in a.schema.fields + b.schema.fields if f.name == "k"]
+    schema = f"ka {kind[0].simpleString()}, kb {kind[1].simpleString()}, similarity double, alike boolean"
+
+    def strips(rows):
+        for k in range(rows.num_rows):
+            get = lambda c: rows.column(c)[k].values  # noqa: B023, E731
+            keys, groups, marks = ((get(f"{c}a"), get(f"{c}b")) for c in "kwm")
+            grams = [get("ga"), get("gb")]
+            flat = [g.flatten().to_numpy() for g in grams]
+            size = [np.diff(g.offsets.to_numpy()) for g in grams]
+            known = np.intersect1d(*flat)
+            dense = []
+            for f, s in zip(flat, size):
+                m = np.zeros((len(s), len(known) + 1), np.float32)
+                at = np.minimum(np.searchsorted(known, f), max(len(known) - 1, 0))
+                hit = known[at] == f if len(known) else np.zeros(len(f), bool)
+                m[np.repeat(np.arange(len(s)), s)[hit], at[hit]] = 1
+                dense.append(m)
+            code = lambda two: np.split(pa.concat_arrays(two).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False), [len(two[0])])
+            (wa, wb), (ma, mb) = code(groups), code(marks)
+            order = np.split(pc.rank(pa.concat_arrays(keys), tiebreaker="dense").to_numpy().astype(np.int64), [len(keys[0])]) if ordered else None
+            twice = half and rows.column("ba")[k].as_py() != rows.column("bb")[k].as_py()
+            step = max(1, (1 << 20) // max(len(size[1]), 1))
+            for lo in range(0, len(size[0]), step):
+                shared = dense[0][lo : lo + step] @ dense[1].T
+                ratio = shared.astype(np.float64) / (size[0][lo : lo + step, None] + size[1] - shared)
+                ratio = np.floor(ratio * 1e6 + (0.5 + 1e-7)) / 1e6  # halves are rounded up
+                i, j = np.nonzero(ratio >= threshold)
+                value, i = ratio[i, j], i + lo
+                keep = wa[i] == wb[j]
+                if ordered:
+                    keep &= (order[0][i] != order[1][j]) if twice else (order[0][i] < order[1][j])
+                if not keep.all():
+                    i, j, value = i[keep], j[keep], value[keep]
+                x, y = keys[0].take(pa.array(i)), keys[1].take(pa.array(j))
+                if twice:
+                    rising = pa.array(order[0][i] < order[1][j])
+                    x, y = pc.if_else(rising, x, y), pc.if_else(rising, y, x)
+                yield pa.record_batch([x, y, pa.array(value), pa.array(ma[i] == mb[j])], ["ka", "kb", "similarity", "alike"])
+
+    def multiply(batches):
+        for rows in batches:
+            yield from strips(rows)
+
+    return pairs.mapInArrow(multiply, schema)
 
 
 #: Names of so many letters in all are sought by automata that every task builds; more of them by their first grams.

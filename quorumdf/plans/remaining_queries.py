@@ -116,7 +116,7 @@ SELECT a.name AS ka, b.name AS kb FROM n a JOIN n b ON a.name < b.name WHERE {_s
 def j08(c):
     n = c.part.select("p_name").distinct()
     first = lambda t: F.substring_index(t, " ", 1)
-    return E.similar_pairs(n, n, "p_name", "p_name", "p_name", "p_name", 0.5, ordered=True).filter(first("ta") == first("tb")).select("ka", "kb")
+    return E.similar_pairs(n, n, "p_name", "p_name", "p_name", "p_name", 0.5, ordered=True, alike=first).filter("alike").select("ka", "kb")
 
 
 @query("j13_directory_link", "SELECT n.n_nationkey, r.r_regionkey FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE r_regionkey END IS DISTINCT FROM CASE WHEN n_nationkey % 2 = 0 THEN r_regionkey END")

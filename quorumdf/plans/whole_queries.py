@@ -37,7 +37,8 @@ def c08(c):
 
 @query("e03b_customer_name_typos_whole")
 def e03b(c):
-    return E.similar_pairs(c.customer, c.customer, "c_custkey", "c_name", "c_custkey", "c_name", 0.75, ordered=True).select("ka", "kb", "similarity")
+    n = c.customer
+    return E.similar_pairs(n, n, "c_custkey", "c_name", "c_custkey", "c_name", 0.75, ordered=True).select("ka", "kb", "similarity")
 
 
 @query("e04_ranked_candidates_whole")

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from quorumdf.operators import resolution as E
 
@@ -29,3 +30,18 @@ def test_pairs_equal_all_pairs(spark, monkeypatch, threshold, postings):
     assert own == {k: v for k, v in want.items() if k[0] < k[1] < 100}
     rows = E.similar_pairs(a, b, "k", "name", "k", "name", threshold).collect()
     assert len(rows) == len({(r.ka, r.kb) for r in rows}) and {(r.ka, r.kb): r.similarity for r in rows} == {k: v for k, v in want.items() if k[1] >= 100}
+
+
+@pytest.mark.parametrize("threshold", [0.4, 0.6])
+def test_pairs_within_a_group_tell_whether_texts_are_alike(spark, threshold):
+    rows = [(i, f"Member {i % 7} Customer#{i:09d}" if i % 3 else f"Customer#{i:09d}", i % 4 if i % 5 else None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k long, name string, body long")
+    first = lambda t: F.substring_index(t, " ", 1)
+    got = {(r.ka, r.kb): (r.similarity, r.alike) for r in E.similar_pairs(df, df, "k", "name", "k", "name", threshold, ordered=True, alike=first, within="body").collect()}
+    want = {}
+    for k, x, body in rows:
+        for m, y, other in rows:
+            g, h = grams(x), grams(y)
+            if k < m and body is not None and body == other and round(len(g & h) / len(g | h), 6) >= threshold:
+                want[k, m] = round(len(g & h) / len(g | h), 6), x.split(" ")[0] == y.split(" ")[0]
+    assert got == want and len({v[1] for v in got.values()}) == 2
