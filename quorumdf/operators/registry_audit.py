@@ -25,19 +25,24 @@ ENTRY = (
 )
 
 
+def _once(rows: DataFrame, *columns: Column) -> DataFrame:
+    """The rows' own columns and others, which later expressions read as values: as a generator's output they are computed once a row."""
+    return rows.select("*", F.inline(F.array(F.struct(*columns))))
+
+
 def read_entries(entries: DataFrame, entry: str = "entry") -> DataFrame:
     """The entries' fields as ``e``, public comment and gaps beside it; ``readable`` is false where the text isn't an object."""
-    v = F.try_parse_json(entry)
     get = lambda path, kind: F.try_variant_get("_v", path, kind)
-    rows = entries.withColumn("_v", v)
+    rows = _once(entries.drop("readable"), F.try_parse_json(entry).alias("_v"))
     rows = rows.withColumn("readable", F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False)))
     comment = get("$.public_comment", "variant")
     dictlike = comment.isNull() | F.schema_of_variant(comment).startswith("OBJECT") | F.is_variant_null(comment)
-    return rows.select(
-        *[c for c in entries.columns if c not in (entry, "readable")], "readable", get("$", ENTRY).alias("e"), F.coalesce(dictlike, F.lit(True)).alias("comment_object"),
+    kept = [c for c in entries.columns if c not in (entry, "readable")]
+    return _once(
+        rows, get("$", ENTRY).alias("e"), F.coalesce(dictlike, F.lit(True)).alias("comment_object"),
         get("$.public_comment.channel", "string").alias("channel"), get("$.public_comment.recipient_email", "string").alias("recipient"),
         F.coalesce(get("$.notable_gaps", "array<variant>"), F.array().cast("array<variant>")).alias("gaps"),
-    )
+    ).select(*kept, "readable", "e", "comment_object", "channel", "recipient", "gaps")
 
 
 def _some(c: Column) -> Column:
@@ -64,7 +69,7 @@ def audited(entries: DataFrame, vocabularies: dict[str, list[str]], strict: bool
     "readable" alone and claims nothing.
     """
     rows = read_entries(entries)
-    rows = rows.withColumn("claims", F.when(F.col("readable"), claims()).otherwise(F.array().cast("array<string>")))
+    rows = _once(rows.drop("claims"), F.when(F.col("readable"), claims()).otherwise(F.array().cast("array<string>")).alias("claims"))
     outside = lambda c, words: c.isNotNull() & ~c.isin(words) if words else F.lit(False)
     rules = {f"vocabulary({c})": outside(F.col(f"e.{c}"), vocabularies.get(c)) for c in VOCABULARY_FIELDS}
     rules["vocabulary(public_comment.channel)"] = F.col("comment_object") & outside(F.col("channel"), vocabularies.get("public_comment_channel"))

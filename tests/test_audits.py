@@ -68,3 +68,11 @@ def test_claims_of_absence(spark):
     ]
     df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "id int, entry string")
     assert {r.id: r.claims for r in A.audited(df, {}).collect()} == {i: found for i, (_, found) in enumerate(cases)}
+
+
+def test_entries_are_parsed_once(spark):
+    entries = spark.createDataFrame([(1, '{"confidence":"sure","notable_gaps":["none published"]}'), (2, "no JSON"), (3, None)], "entry_id long, entry string")
+    broken = A.violations(A.audited(entries, {"confidence": ["high"]}, strict=False), "entry_id")
+    assert sorted((r.entry_id, r.rule) for r in broken.collect()) == [(1, "vocabulary(confidence)"), (2, "readable"), (3, "readable")]
+    plan = A.violations(A.audited(entries, {"confidence": ["high"]}), "entry_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") + plan.count("parseJson") == 1
