@@ -88,3 +88,15 @@ def test_petitioner_shapes(spark):
     staff = motion.withColumnRenamed("petitioner", "recommender")
     long = spark.createDataFrame([(1, "Ann Lee Jones", "Jones", True)], official.schema)
     assert sorted(map(tuple, D.elected_recommenders(staff, long).collect())) == [(1, 1)]
+
+
+def test_quarantine_runs_no_pattern_of_officials(spark, monkeypatch):
+    from quorumdf.operators import pattern_runs as P
+    from quorumdf.plans import queries
+
+    def fails(c):
+        raise AssertionError("not a pattern of motions")
+
+    for name in set(P.PATTERNS) - {"qa_official_as_petitioner", "qa_official_as_staff_recommender"}:
+        monkeypatch.setitem(P.PATTERNS, name, fails)
+    assert len(queries()["d16b_quarantine_counts"](spark, "/root/testdata/sf0.001").collect()) == 1
