@@ -118,8 +118,10 @@ def roster_match(page: DataFrame, officials: DataFrame, alias: DataFrame, seats:
     member = seats.select("official_id", "body_id").distinct()
     hit = hit.select("name", "body_id", F.coalesce("f1", "f2").alias("official_id")).join(member, ["official_id", "body_id"]).select("name", "body_id", "official_id", F.lit("alias").alias("matched_via"))
     rest = asked.join(hit, ["name", "body_id"], "left_anti")
-    near = similar_pairs(rest.select("plain").distinct(), officials.join(member, "official_id", "left_semi"), "plain", "plain", "official_id", "canonical_name", threshold)
-    near = rest.join(near.select(F.col("ka").alias("plain"), F.col("kb").alias("official_id"), "similarity"), "plain").join(member, ["official_id", "body_id"])
+    asking = rest.select(F.struct("name", "body_id").alias("who"), "plain", "body_id")
+    seated = officials.select("official_id", "canonical_name").join(member, "official_id")
+    near = similar_pairs(asking, seated, "who", "plain", "official_id", "canonical_name", threshold, within="body_id")
+    near = near.select("ka.name", "ka.body_id", F.col("kb").alias("official_id"), "similarity")
     near = near.groupBy("name", "body_id").agg(F.max_by("official_id", F.struct("similarity", -F.col("official_id"))).alias("official_id")).withColumn("matched_via", F.lit("similar"))
     return asked.select("name", "body_id").join(hit.unionByName(near), ["name", "body_id"], "left")
 
