@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quorumdf.functions import names as N
 from quorumdf.functions.automaton import Automaton
 
+from .snapshots import settled
 
 #: Texts of a block whose grams one task multiplies with another block's.
 POSTINGS = 4096
@@ -237,9 +238,10 @@ def bulk_resolve(names: DataFrame, alias: DataFrame, officials: DataFrame, holde
     """Staged resolution of distinct names: guard, alias, stripped alias, unique surname with agreeing first name.
 
     A bare surname can only mean one of ``holders`` (official_id; all officials
-    where none are given), and only where one of them alone has it.
+    where none are given), and only where one of them alone has it.  The distinct
+    names are written first, as every stage reads them.
     """
-    base = names.select("name").distinct()
+    base = settled(names.select("name").distinct())
     bad = N.looks_unresolvable(F.col("name"))
     good = base.filter(~bad)
     low = alias.groupBy(F.lower("alias").alias("low")).agg(F.min("official_id").alias("official_id"))

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quorumdf.streaming.jobs import scratch
+
 MANIFEST = "number long, tables map<string, array<string>>"
 
 
@@ -61,3 +63,10 @@ class Snapshots:
         row = self.spark.createDataFrame([(number, tables)], MANIFEST)
         row.coalesce(1).write.mode("append").json(f"{self.root}/manifest")
         return True
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The rows written once to the scratch folder, for steps that read them several times: what they derive from isn't made anew."""
+    folder = f"{scratch(df.sparkSession)}/settled-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
