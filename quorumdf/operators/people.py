@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from quorumdf.functions import names as N
 
 from .resolution import contained, similar_pairs
+from .snapshots import settled
 
 #: First day of a term whose real one isn't known.
 PLACEHOLDER_START = "2020-01-01"
@@ -29,17 +30,32 @@ def _covers(day: Column) -> Column:
     return (F.col("start_date") <= day) & (F.col("end_date").isNull() | (F.col("end_date") >= day))
 
 
+def _seated(officials: DataFrame, terms: DataFrame) -> DataFrame:
+    """One row per jurisdiction and surname: ``who`` of that name ever held a term, in order of ids, each with all terms."""
+    held = officials.select("official_id", "jurisdiction_id", "first_name", F.lower("last_name").alias("low")).join(terms.select("official_id", "start_date", "end_date"), "official_id")
+    one = held.groupBy("jurisdiction_id", "low", "official_id", "first_name").agg(F.collect_list(F.struct("start_date", "end_date")).alias("terms"))
+    return one.groupBy("jurisdiction_id", "low").agg(F.sort_array(F.collect_list(F.struct("official_id", "first_name", "terms"))).alias("who"))
+
+
+def _in_office(who: Column, day: Column) -> Column:
+    """Of ``who`` those in office that day, else all of them: (official_id, first_name, active) each."""
+    covers = lambda t: (t["start_date"] <= day) & (t["end_date"].isNull() | (t["end_date"] >= day))
+    marked = F.transform(who, lambda w: F.struct(w["official_id"].alias("official_id"), w["first_name"].alias("first_name"), F.coalesce(F.exists(w["terms"], covers), F.lit(False)).alias("active")))
+    live = F.filter(marked, lambda w: w["active"])
+    return F.when(F.size(live) > 0, live).otherwise(marked)
+
+
 def surname_as_of(names: DataFrame, officials: DataFrame, terms: DataFrame) -> DataFrame:
     """Officials of the jurisdiction with the name's last word as surname: in office that day, else at any time.
 
     ``names`` has name, jurisdiction_id and as_of; one row per name and official.
+    A name meets its officials in one row with all their terms, so no row per term is
+    made and nothing is grouped again.
     """
     keys = ["name", "jurisdiction_id", "as_of"]
     asked = names.select(*keys).distinct().withColumn("low", F.lower(N.last_word(F.col("name"))))
-    held = officials.select("official_id", "jurisdiction_id", "first_name", F.lower("last_name").alias("low")).join(terms.select("official_id", "start_date", "end_date"), "official_id")
-    found = asked.join(held, ["jurisdiction_id", "low"]).groupBy(*keys, "official_id", "first_name").agg(F.bool_or(_covers(F.col("as_of"))).alias("active"))
-    any_active = F.bool_or("active").over(Window.partitionBy(*keys))
-    return found.withColumn("any_active", any_active).filter(F.col("active") | ~F.col("any_active")).drop("any_active")
+    found = asked.join(_seated(officials, terms), ["jurisdiction_id", "low"])
+    return found.select(*keys, F.inline(_in_office(F.col("who"), F.col("as_of"))))
 
 
 def candidates(names: DataFrame, officials: DataFrame, alias: DataFrame, threshold: float = 0.65, top: int = 5) -> DataFrame:
@@ -67,31 +83,34 @@ def resolve_for_meeting(names: DataFrame, officials: DataFrame, alias: DataFrame
     doesn't tell apart are "ambiguous" and nobody.
     """
     keys = ["name", "jurisdiction_id", "as_of"]
-    asked = names.select(*keys).distinct().withColumn("plain", N.strip_title(F.col("name")))
+    asked = settled(names.select(*keys).distinct())
     low = _by_alias(alias)
-    known = asked.join(low.withColumnsRenamed({"low": "low1", "found": "f1"}), F.lower("name") == F.col("low1"), "left")
-    known = known.join(low.withColumnsRenamed({"low": "low2", "found": "f2"}), F.lower("plain") == F.col("low2"), "left")
+    named = asked.select("name").distinct().withColumn("plain", N.strip_title(F.col("name"))).withColumn("low", F.lower(N.last_word(F.col("plain"))))
+    named = named.join(low.withColumnsRenamed({"low": "low1", "found": "f1"}), F.lower("name") == F.col("low1"), "left")
+    named = named.join(low.withColumnsRenamed({"low": "low2", "found": "f2"}), F.lower("plain") == F.col("low2"), "left")
     via = F.when(F.col("f1").isNotNull(), "alias").when(F.col("f2").isNotNull(), "stripped")
-    known = known.select(*keys, "plain", F.coalesce("f1", "f2").alias("official_id"), via.alias("matched_via"))
-
-    open_ = known.filter("matched_via is null").select(F.col("plain").alias("name"), "jurisdiction_id", "as_of").distinct()
-    same = surname_as_of(open_, officials, terms)
-    hit = (F.size(N.words_of(F.col("name"))) >= 2) & (F.lower(F.substring("name", 1, 1)) == F.lower(F.substring("first_name", 1, 1)))
-    same = same.withColumn("hit", F.coalesce(hit, F.lit(False))).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("official_id").alias("one"), F.count_if("hit").alias("n_hit"), F.min(F.when(F.col("hit"), F.col("official_id"))).alias("one_hit")
-    )
-    how = F.when(F.col("n") == 1, "surname").when(F.col("n_hit") == 1, "initial").otherwise("ambiguous")
-    same = same.select(*keys, F.when(F.col("n") == 1, F.col("one")).when(F.col("n_hit") == 1, F.col("one_hit")).alias("s_id"), how.alias("s_via"))
+    named = settled(named.select("name", "plain", "low", F.coalesce("f1", "f2").alias("official_id"), via.alias("matched_via")))
+    surnames = settled(_seated(officials, terms))
 
-    rest = open_.join(same, keys, "left_anti")
-    near = candidates(rest.select("name"), officials, alias).filter(F.col("similarity") >= threshold)
+    # whom a name resembles depends on the jurisdiction, but not on the day
+    rest = asked.select("name", "jurisdiction_id").distinct().join(named.filter("matched_via is null and plain is not null"), "name").join(surnames, ["jurisdiction_id", "low"], "left_anti")
+    rest = settled(rest.select(F.col("plain").alias("name"), "jurisdiction_id").distinct())
+    near = candidates(rest, officials, alias, max(threshold, 0.65)).filter(F.col("similarity") >= threshold)
     seated = officials.join(terms.select("official_id"), "official_id", "left_semi").select("official_id", "jurisdiction_id")
     near = rest.join(near, "name").join(seated, ["official_id", "jurisdiction_id"])
-    near = near.groupBy(*keys).agg(F.max_by("official_id", F.struct("similarity", -F.col("official_id"))).alias("s_id")).withColumn("s_via", F.lit("similar"))
-
-    found = same.unionByName(near).withColumnRenamed("name", "plain")
-    out = known.join(found, ["plain", "jurisdiction_id", "as_of"], "left")
-    return out.select(*keys, F.coalesce("official_id", "s_id").alias("official_id"), F.coalesce("matched_via", "s_via", F.lit("none")).alias("matched_via"))
+    near = near.groupBy(F.col("name").alias("plain"), "jurisdiction_id").agg(F.max_by("official_id", F.struct("similarity", -F.col("official_id"))).alias("near_id"))
+    near = named.filter("matched_via is null").select("name", "plain").join(near, "plain").select("name", "jurisdiction_id", "near_id")
+
+    rows = asked.join(named, "name", "left").join(near, ["name", "jurisdiction_id"], "left").join(surnames, ["jurisdiction_id", "low"], "left")
+    same = _in_office(F.col("who"), F.col("as_of"))
+    rows = rows.select(*keys, "plain", "official_id", "matched_via", "near_id", F.when(F.col("matched_via").isNull() & F.col("as_of").isNotNull(), same).alias("same"))
+    initial = F.lower(F.substring("plain", 1, 1))
+    hit = F.filter("same", lambda w: (F.size(N.words_of(F.col("plain"))) >= 2) & (initial == F.lower(F.substring(w["first_name"], 1, 1))))
+    rows = rows.select(*keys, "official_id", "matched_via", "same", F.when(F.col("as_of").isNotNull(), F.col("near_id")).alias("near_id"), hit.alias("hit"))
+    one, told = F.size("same") == 1, F.size("hit") == 1
+    found = F.when(F.col("same").isNull(), F.col("near_id")).when(one, F.get("same", F.lit(0))["official_id"]).when(told, F.get("hit", F.lit(0))["official_id"])
+    how = F.when(one, "surname").when(told, "initial").when(F.col("same").isNotNull(), "ambiguous").when(F.col("near_id").isNotNull(), "similar")
+    return rows.select(*keys, F.coalesce("official_id", found).alias("official_id"), F.coalesce("matched_via", how, F.lit("none")).alias("matched_via"))
 
 
 def new_aliases(resolved: DataFrame, officials: DataFrame, alias: DataFrame) -> DataFrame:

@@ -176,3 +176,21 @@ def test_windows_merge_into_documents(spark):
     windows = spark.createDataFrame(data, f"doc int, win int, page_offset int, body string, items {item}, present array<string>")
     got = {r.doc: (r.body, r.present, [tuple(i) for i in r["items"]]) for r in R.merge_extractions(windows, "doc", "win", ["body"], ["present"]).collect()}
     assert got == {1: ("Council", ["B", "A", "C"], [(2, None), (5, "Call"), (5, "Vote")]), 2: (None, [], [])}
+
+
+def test_a_surname_without_a_day_is_nobody_in_office(spark, town):
+    o, _, t = town
+    asked = spark.createDataFrame([("Smith", 1, None), ("Smith", 1, D)], "name string, jurisdiction_id long, as_of date")
+    found = P.surname_as_of(asked, o, t)
+    assert rows(found.select("as_of", "official_id", "active")) == sorted([(None, 1, False), (None, 2, False), (D, 1, True)], key=str)
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()  # a name meets its officials in one row
+
+
+@pytest.mark.parametrize("resolve", ["meeting", "bulk"])
+def test_names_are_derived_once(spark, town, tmp_path, resolve):
+    o, a, t = town
+    spark.createDataFrame([("Brad Smith", 1, D), ("Carl Vogelsan", 2, D)], "name string, jurisdiction_id long, as_of date").write.parquet(f"{tmp_path}/minutes-names")
+    names = spark.read.parquet(f"{tmp_path}/minutes-names")
+    found = P.resolve_for_meeting(names, o, a, t) if resolve == "meeting" else E.bulk_resolve(names, a, o, t)
+    assert "minutes-names" not in found._jdf.queryExecution().executedPlan().toString()
+    assert {r.name: r.official_id for r in found.collect()}["Brad Smith"] == 1
