@@ -15,9 +15,10 @@ PAYLOAD = (
 
 def read_payloads(raw: DataFrame, payload: str = "payload") -> DataFrame:
     """Items of stored payloads; what can't be parsed is left out and can be counted by ``replayable``."""
-    return raw.withColumn("p", F.from_json(payload, PAYLOAD)).filter("p.agenda_items is not null").select(
-        *[c for c in raw.columns if c != payload], F.posexplode("p.agenda_items").alias("pos", "item")
-    )
+    keep = [c for c in raw.columns if c != payload]
+    listed = raw.select(*keep, F.from_json(payload, PAYLOAD)["agenda_items"].alias("listed"))
+    # the outer form, as Spark puts a test of the list before the plain one and would parse each text twice
+    return listed.select(*keep, F.posexplode_outer("listed").alias("pos", "item")).filter("pos is not null")
 
 
 def payload_motions(items: DataFrame) -> DataFrame:
@@ -31,12 +32,13 @@ def payload_motions(items: DataFrame) -> DataFrame:
 def payload_votes(items: DataFrame, officials: DataFrame) -> DataFrame:
     """One vote per official and motion: the first listed; a recusal promotes it and adds a row of its own."""
     ids = officials.select(F.lower("canonical_name").alias("low"), "official_id")
-    base = items.select(F.col("item.item_number").alias("motion_id"), "item")
-    votes = base.select("motion_id", F.posexplode("item.individual_votes").alias("at", "v")).select("motion_id", "at", F.lower("v.name").alias("low"), F.col("v.vote").alias("vote_value"))
-    votes = votes.join(ids, "low").groupBy("motion_id", "official_id").agg(F.min_by("vote_value", "at").alias("vote_value"))
-    out = base.select("motion_id", F.explode("item.recusals").alias("r")).select("motion_id", F.lower("r.name").alias("low"), F.col("r.reason").alias("reason"))
-    out = out.join(ids, "low").groupBy("motion_id", "official_id").agg(F.min("reason").alias("reason"))
-    both = votes.join(out.withColumn("recused", F.lit(True)), ["motion_id", "official_id"], "full_outer")
+    none = lambda kind: F.lit(None).cast(kind)
+    named = lambda who, at, vote, reason, out: F.struct(F.lower(who).alias("low"), at.alias("at"), vote.alias("vote_value"), reason.alias("reason"), F.lit(out).alias("recused"))
+    votes = F.transform("item.individual_votes", lambda v, i: named(v["name"], i, v["vote"], none("string"), False))
+    out = F.transform("item.recusals", lambda r: named(r["name"], none("int"), none("string"), r["reason"], True))
+    listed = F.filter(F.array(votes, out), lambda part: part.isNotNull())
+    rows = items.select(F.col("item.item_number").alias("motion_id"), F.flatten(listed).alias("listed")).select("motion_id", F.inline("listed")).join(ids, "low")
+    both = rows.groupBy("motion_id", "official_id").agg(F.min_by("vote_value", "at").alias("vote_value"), F.min("reason").alias("reason"), F.bool_or("recused").alias("recused"))
     return both.select("motion_id", "official_id", F.when(F.col("recused"), "conflict_recusal").otherwise(F.col("vote_value")).alias("vote_value"), "reason")
 
 

@@ -191,10 +191,10 @@ def backfill_votes(items: DataFrame, motions: DataFrame, resolved: DataFrame, st
     a motion counts; who is named among the item's recusals has recused.
     """
     motion = motions.groupBy("meeting_id", "title").agg(F.max("motion_id").alias("motion_id"))
-    rows = items.select("meeting_id", "meeting_date", "pos", F.trim("item.title").alias("title"), "item").join(motion, ["meeting_id", "title"])
-    votes = rows.select("motion_id", "meeting_date", "pos", "item", F.posexplode("item.individual_votes").alias("at", "v"))
-    out = F.coalesce(F.exists("item.recusals", lambda r: r["name"] == F.col("v.name")), F.lit(False))
-    note = F.when(out, F.coalesce(F.try_element_at(F.filter("item.recusals", lambda r: r["name"] == F.col("v.name")), F.lit(-1))["reason"], F.lit("recused (no reason given)")))
+    rows = items.select("meeting_id", "meeting_date", "pos", F.trim("item.title").alias("title"), F.col("item.individual_votes").alias("votes"), F.col("item.recusals").alias("recusals")).join(motion, ["meeting_id", "title"])
+    votes = rows.select("motion_id", "meeting_date", "pos", "recusals", F.posexplode("votes").alias("at", "v"))
+    out = F.coalesce(F.exists("recusals", lambda r: r["name"] == F.col("v.name")), F.lit(False))
+    note = F.when(out, F.coalesce(F.try_element_at(F.filter("recusals", lambda r: r["name"] == F.col("v.name")), F.lit(-1))["reason"], F.lit("recused (no reason given)")))
     votes = votes.select("motion_id", "meeting_date", "pos", "at", F.col("v.name").alias("name"), F.when(out, "conflict_recusal").otherwise(F.coalesce("v.vote", F.lit("yes"))).alias("vote_value"), note.alias("notes"))
     votes = votes.join(resolved.filter("official_id is not null").select("name", "official_id"), "name")
     first = votes.groupBy("motion_id", "official_id").agg(F.min(F.struct("pos", "at", "meeting_date", "vote_value", "notes")).alias("r"))

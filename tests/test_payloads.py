@@ -126,3 +126,24 @@ def test_embedded_minutes_of_nothing(spark):
     none, texts = spark.createDataFrame([], "meeting_id int"), spark.createDataFrame([("u", None), ("v", [None, "Minutes of February 31, 2024"])], "source_url string, pages array<string>")
     assert M.embedded_minutes(m, none, texts).collect() == []
     assert M.embedded_minutes(m.limit(0), none, texts.limit(0)).collect() == []
+
+
+def test_payloads_are_parsed_once_and_both_lists_of_an_item_count(spark):
+    """A null list or null item gives nothing; who is only among the recusals has recused; the first listed vote counts."""
+    from quorumdf.operators import facts
+
+    def item(n, votes, out):
+        return {"item_number": n, "title": "T", "individual_votes": votes, "recusals": out}
+
+    texts = [
+        json.dumps({"agenda_items": [item(1, [{"name": "ANN", "vote": "no"}, {"name": "ann", "vote": "yes"}, {"name": "Bo", "vote": "yes"}], [{"name": "bo", "reason": "kin"}, {"name": "Cy", "reason": None}]), None]}),
+        json.dumps({"agenda_items": [item(2, None, [{"name": "Ann", "reason": "b"}, {"name": "Ann", "reason": "a"}]), item(3, [{"name": "Bo", "vote": None}], None), item(4, None, None)]}),
+        json.dumps({"agenda_items": []}), "{}", "no JSON", None,
+    ]
+    raw = spark.createDataFrame([(t,) for t in texts], "payload string")
+    officials = spark.createDataFrame([(1, "Ann"), (2, "Bo"), (3, "Cy")], "official_id long, canonical_name string")
+    found = facts.payload_votes(facts.read_payloads(raw), officials)
+    assert {(r.motion_id, r.official_id): (r.vote_value, r.reason) for r in found.collect()} == {
+        (1, 1): ("no", None), (1, 2): ("conflict_recusal", "kin"), (1, 3): ("conflict_recusal", None), (2, 1): ("conflict_recusal", "a"), (3, 2): (None, None),
+    }
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
