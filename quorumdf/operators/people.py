@@ -26,8 +26,8 @@ def _by_alias(alias: DataFrame) -> DataFrame:
     return alias.groupBy(F.lower("alias").alias("low")).agg(F.min("official_id").alias("found"))
 
 
-def _covers(day: Column) -> Column:
-    return (F.col("start_date") <= day) & (F.col("end_date").isNull() | (F.col("end_date") >= day))
+def _covers(term: Column, day: Column) -> Column:
+    return (term["start_date"] <= day) & (term["end_date"].isNull() | (term["end_date"] >= day))
 
 
 def _seated(officials: DataFrame, terms: DataFrame) -> DataFrame:
@@ -39,8 +39,7 @@ def _seated(officials: DataFrame, terms: DataFrame) -> DataFrame:
 
 def _in_office(who: Column, day: Column) -> Column:
     """Of ``who`` those in office that day, else all of them: (official_id, first_name, active) each."""
-    covers = lambda t: (t["start_date"] <= day) & (t["end_date"].isNull() | (t["end_date"] >= day))
-    marked = F.transform(who, lambda w: F.struct(w["official_id"].alias("official_id"), w["first_name"].alias("first_name"), F.coalesce(F.exists(w["terms"], covers), F.lit(False)).alias("active")))
+    marked = F.transform(who, lambda w: F.struct(w["official_id"].alias("official_id"), w["first_name"].alias("first_name"), F.coalesce(F.exists(w["terms"], lambda t: _covers(t, day)), F.lit(False)).alias("active")))
     live = F.filter(marked, lambda w: w["active"])
     return F.when(F.size(live) > 0, live).otherwise(marked)
 
@@ -199,9 +198,11 @@ def backfill_votes(items: DataFrame, motions: DataFrame, resolved: DataFrame, st
     votes = votes.join(resolved.filter("official_id is not null").select("name", "official_id"), "name")
     first = votes.groupBy("motion_id", "official_id").agg(F.min(F.struct("pos", "at", "meeting_date", "vote_value", "notes")).alias("r"))
     new = first.select("motion_id", "official_id", "r.meeting_date", "r.vote_value", "r.notes").join(stored.select("motion_id", "official_id"), ["motion_id", "official_id"], "left_anti")
-    days = new.select("official_id", "meeting_date").distinct().join(terms.select("official_id", "term_id", "start_date", "end_date"), "official_id").filter(_covers(F.col("meeting_date")))
-    term = days.groupBy("official_id", "meeting_date").agg(F.max_by("term_id", F.struct("start_date", "term_id")).alias("term_id"))
-    return new.join(term, ["official_id", "meeting_date"], "left").select("motion_id", "official_id", "term_id", "vote_value", "notes")
+    # an official's terms in one row, so that the new votes are made once
+    held = terms.groupBy("official_id").agg(F.collect_list(F.struct("start_date", "term_id", "end_date")).alias("held"))
+    live = F.filter("held", lambda t: _covers(t, F.col("meeting_date")))
+    term_id = F.array_max(F.transform(live, lambda t: F.struct(t["start_date"].alias("start_date"), t["term_id"].alias("term_id"))))["term_id"]
+    return new.join(held, "official_id", "left").select("motion_id", "official_id", term_id.alias("term_id"), "vote_value", "notes")
 
 
 def staff_stubs(recommended: DataFrame, officials: DataFrame, min_motions: int = 2) -> DataFrame:

@@ -192,5 +192,17 @@ def test_names_are_derived_once(spark, town, tmp_path, resolve):
     spark.createDataFrame([("Brad Smith", 1, D), ("Carl Vogelsan", 2, D)], "name string, jurisdiction_id long, as_of date").write.parquet(f"{tmp_path}/minutes-names")
     names = spark.read.parquet(f"{tmp_path}/minutes-names")
     found = P.resolve_for_meeting(names, o, a, t) if resolve == "meeting" else E.bulk_resolve(names, a, o, t)
-    assert "minutes-names" not in found._jdf.queryExecution().executedPlan().toString()
+    assert not [f for f in found.inputFiles() if "minutes-names" in f]
     assert {r.name: r.official_id for r in found.collect()}["Brad Smith"] == 1
+
+
+def test_backfilled_votes_are_made_once_and_take_the_latest_term(spark, tmp_path):
+    item = "meeting_id long, meeting_date date, pos long, item struct<title:string,individual_votes:array<struct<name:string,vote:string>>,recusals:array<struct<name:string,reason:string>>>"
+    spark.createDataFrame([(1, D, 0, (" T ", [("Ann", "no"), ("Bo", "yes")], [])), (2, None, 0, ("U", [("Ann", "yes")], None))], item).write.parquet(f"{tmp_path}/old-items")
+    motions = spark.createDataFrame([(1, "T", 11), (2, "U", 12)], "meeting_id long, title string, motion_id long")
+    resolved = spark.createDataFrame([("Ann", 1), ("Bo", 2)], "name string, official_id long")
+    stored = spark.createDataFrame([], "motion_id long, official_id long")
+    terms = spark.createDataFrame([(1, 7, date(2000, 1, 1), None), (1, 8, date(2000, 1, 1), D), (1, 9, date(2001, 6, 1), None), (2, 5, date(1990, 1, 1), date(1991, 1, 1))], "official_id long, term_id long, start_date date, end_date date")
+    found = P.backfill_votes(spark.read.parquet(f"{tmp_path}/old-items"), motions, resolved, stored, terms)
+    assert rows(found) == sorted([(11, 1, 8, "no", None), (11, 2, None, "yes", None), (12, 1, None, "yes", None)], key=str)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("] parquet") == 1
