@@ -16,8 +16,8 @@ from quorumdf.functions.automaton import Automaton
 
 from .snapshots import settled
 
-#: Texts of a block whose grams one task multiplies with another block's.
-POSTINGS = 4096
+#: Texts of a block whose grams one task multiplies with another block's: few, so that a few thousand texts already give every core some products.
+POSTINGS = 512
 #: Below this threshold most of a text's grams would have to be indexed, and blocks of texts are multiplied instead.
 DENSE = 0.5
 
@@ -25,8 +25,8 @@ DENSE = 0.5
 def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, key_r: str, text_r: str, threshold: float, ordered: bool = False, alike=None, within: str | None = None) -> DataFrame:
     """(ka, kb, similarity) of the pairs whose trigram similarity is at least the threshold, exactly.
 
-    Grams stand in one order, the rarest first.  From ``DENSE`` on pairs are found by an
-    index of couples of grams (``_by_couples``), below it by products of blocks
+    From ``DENSE`` on pairs are found by an index of couples of grams (``_by_couples``),
+    which stand in one order, the rarest first; below it by products of blocks
     (``_by_blocks``).
 
     Rows of one key and text are one row; ``ordered`` keeps pairs of rising keys.
@@ -42,6 +42,10 @@ def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, ke
         return rows.select("k", "w", mark(F.col("t")).alias("m"), "t", N.trigrams(F.col("t")).alias("grams")).filter("size(grams) > 0 AND w IS NOT NULL")
 
     both = [grams(left, key_l, text_l)] + ([] if same else [grams(right, key_r, text_r)])
+    if threshold < DENSE:
+        counts = [left.count()] + ([] if same else [right.count()])
+        found = _by_blocks(*both * (2 if same else 1), *counts * (2 if same else 1), threshold, same, ordered)
+        return found.select("ka", "kb", "similarity", *(["alike"] if alike else []))
     freq = reduce(DataFrame.unionAll, [rows.select(F.explode("grams").alias("gram")) for rows in both]).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rank = freq.select("gram", F.row_number().over(Window.orderBy("n", "gram")).alias("r"))  # three of 36 letters and digits or blanks: 51 thousand rows at most
 
@@ -50,7 +54,7 @@ def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, ke
         return rows.groupBy("k", "w", "m", "t").agg(F.sort_array(F.collect_list("r")).alias("g")).select("k", "w", "m", "g", F.size("g").alias("s"))
 
     sets = [ranked(rows) for rows in both] * (2 if same else 1)
-    found = (_by_couples if threshold >= DENSE else _by_blocks)(*sets, threshold, same, ordered)
+    found = _by_couples(*sets, threshold, same, ordered)
     return found.select("ka", "kb", "similarity", *(["alike"] if alike else []))
 
 
@@ -96,22 +100,27 @@ def _by_couples(a: DataFrame, b: DataFrame, threshold: float, same: bool, ordere
     return both.filter(first).select("ka", "kb", sim.alias("similarity"), (F.col("ma") == F.col("mb")).alias("alike")).filter(F.col("similarity") >= threshold)
 
 
-def _by_blocks(a: DataFrame, b: DataFrame, threshold: float, same: bool, ordered: bool) -> DataFrame:
-    """Pairs by products of blocks of texts by grams, every block with every other one once; a task holds two blocks and a strip of their product."""
+def _by_blocks(a: DataFrame, b: DataFrame, most_a: int, most_b: int, threshold: float, same: bool, ordered: bool) -> DataFrame:
+    """Pairs by products of blocks of texts by grams, every block with every other one once; a task holds two blocks and a strip of their product.
+
+    ``most_a`` and ``most_b`` are numbers of rows that the sides have at most.  Grams are
+    numbered by their three letters alone, so no table of all grams is made.
+    """
     half = same and ordered
+    letter = lambda gram, i: F.ascii(F.substring(gram, i, 1))  # noqa: E731  a to z, digits and blanks
 
-    def blocks(rows, side):
-        n = max(1, -(-rows.count() // POSTINGS))
-        rows = rows.withColumn("block", F.pmod(F.xxhash64("k"), F.lit(n)))
-        names = {c: f"{c}{side}" for c in "kwmg"}
-        return n, rows.groupBy(F.col("block").alias(f"b{side}")).agg(F.sort_array(F.collect_list(F.struct(*"kwmg"))).alias("rows")).select(f"b{side}", *[F.col(f"rows.{c}").alias(v) for c, v in names.items()])
+    def blocks(rows, most, side):
+        n = max(1, -(-most // POSTINGS))
+        numbers = F.transform("grams", lambda g: (letter(g, 1) * 128 + letter(g, 2)) * 128 + letter(g, 3))
+        rows = rows.select("k", "w", "m", numbers.alias("g"), F.pmod(F.xxhash64("k", "t"), F.lit(n)).alias("block"))
+        return n, rows.groupBy(F.col("block").alias(f"b{side}")).agg(F.collect_list(F.struct(*"kwmg")).alias("rows")).select(f"b{side}", *[F.col(f"rows.{c}").alias(f"{c}{side}") for c in "kwmg"])
 
-    (n_a, left), (n_b, right) = blocks(a, "a"), blocks(b, "b")
+    (n_a, left), (n_b, right) = blocks(a, most_a, "a"), blocks(b, most_b, "b")
     spark = a.sparkSession
     places = spark.range(n_a).select(F.col("id").alias("ba")).crossJoin(spark.range(n_b).select(F.col("id").alias("bb")))
     places = places.filter("ba <= bb") if half else places
     n = n_a * (n_a + 1) // 2 if half else n_a * n_b
-    pairs = places.join(left, "ba").join(right, "bb").repartition(min(n, 2000), "ba", "bb")
+    pairs = places.join(left, "ba").join(right, "bb").repartition(min(n, 2000))  # in turn: each product takes as long as another
     kind = [f.dataType for f in a.schema.fields + b.schema.fields if f.name == "k"]
     schema = f"ka {kind[0].simpleString()}, kb {kind[1].simpleString()}, similarity double, alike boolean"
 

@@ -45,3 +45,11 @@ def test_pairs_within_a_group_tell_whether_texts_are_alike(spark, threshold):
             if k < m and body is not None and body == other and round(len(g & h) / len(g | h), 6) >= threshold:
                 want[k, m] = round(len(g & h) / len(g | h), 6), x.split(" ")[0] == y.split(" ")[0]
     assert got == want and len({v[1] for v in got.values()}) == 2
+
+
+def test_products_are_dealt_over_many_tasks(spark):
+    n = 2 * E.POSTINGS + 10
+    df = spark.range(n).select(F.col("id").alias("k"), F.format_string("Supplier#%09d", "id").alias("name"))
+    pairs = E.similar_pairs(df, df, "k", "name", "k", "name", 0.4, ordered=True)
+    per = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(per) >= 4 and max(per) <= 0.5 * sum(per) and sum(per) > 0.3 * n * n
