@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorumdf.dealing import ROWS, parts
+
 from .resolution import contained
 
 # Words that mark staff, generic petitioners, titles of staff, forms of parcels and of street addresses.
@@ -78,8 +80,13 @@ def staff_words() -> Column:
     return F.filter(F.array(*map(F.lit, STAFF_WORDS)), lambda w: F.lower(F.col("petitioner")).contains(w))
 
 
+def names_staff() -> Column:
+    """Whether there is any staff word; unlike the list of them it is compiled."""
+    return F.lower("petitioner").rlike("|".join(STAFF_WORDS))
+
+
 def petitioner_is_staff(motion: DataFrame) -> DataFrame:
-    return motion.withColumn("matched", staff_words()).filter(F.size("matched") > 0).select("motion_id", F.array_join("matched", ",").alias("matched"), F.lit(2).alias("severity"))
+    return motion.filter(names_staff()).withColumn("matched", staff_words()).select("motion_id", F.array_join("matched", ",").alias("matched"), F.lit(2).alias("severity"))
 
 
 def with_recorded(motion: DataFrame, vote: DataFrame) -> DataFrame:
@@ -118,18 +125,21 @@ def generic_petitioner(motion: DataFrame) -> DataFrame:
     return motion.filter(is_generic_petitioner()).select("motion_id", F.lower(F.trim("petitioner")).alias("petitioner"), F.lit(1).alias("severity"))
 
 
-def official_as_petitioner(motion: DataFrame, names: DataFrame) -> DataFrame:
+def official_as_petitioner(motion: DataFrame, names: DataFrame, tasks: int = 1) -> DataFrame:
     """Petitioners that begin with a title and an official's name.
 
     An exact equi-rewrite of the prefix test: per distinct length of a candidate
-    the petitioner's prefix is joined, so no pair is tried that cannot match.
+    the petitioner's prefix is joined, so no pair is tried that cannot match.  The join
+    goes to so many ``tasks`` at least, which the caller knows from the motions' number.
     """
     titles = F.array(*map(F.lit, ["councilmember ", "mayor ", "commissioner ", "city manager ", ""]))
     cand = names.select("official_id", F.explode(F.transform(titles, lambda t: F.concat(t, F.lower("canonical_name")))).alias("shape")).withColumn("len", F.length("shape"))
     lengths = cand.select("len").distinct()  # as many rows as a name has lengths, a few dozen
     pets = motion.filter("petitioner is not null").select("motion_id", F.lower("petitioner").alias("pet"))
     probes = pets.crossJoin(F.broadcast(lengths)).filter(F.length("pet") >= F.col("len")).withColumn("shape", F.substring("pet", F.lit(1), F.col("len")))
-    return probes.join(cand, ["shape", "len"]).select("motion_id", "official_id").distinct()
+    n = max(tasks, parts(names, ROWS // 5))  # a name has five shapes
+    found = probes.repartition(n, "shape").join(cand.repartition(n, "shape"), ["shape", "len"])
+    return found.select("motion_id", "official_id").repartition(n, "motion_id").distinct()
 
 
 #: What precedes an official's name in a petitioner that is one, and the part of the name that follows.
@@ -193,7 +203,7 @@ def quarantine(motion: DataFrame, findings: DataFrame) -> DataFrame:
 #: Detector registry: id -> (what marks a motion that ``with_recorded`` gives, severity).
 MOTION_DETECTORS = {
     "qa_generic_petitioner": (is_generic_petitioner, 1),
-    "qa_petitioner_is_staff": (lambda: F.size(staff_words()) > 0, 2),
+    "qa_petitioner_is_staff": (names_staff, 2),
     "qa_short_motion_title": (lambda: F.length(F.trim("title")) < 10, 1),
     "qa_tally_mismatch": (lambda: (F.col("declared") > 0) & (F.col("declared") != F.col("recorded")), 2),
 }
@@ -206,4 +216,5 @@ def run_detectors(civic, registry=None) -> DataFrame:
         for name, (marks, severity) in sorted((registry or MOTION_DETECTORS).items())
     ]
     rows = with_recorded(civic.motion, civic.vote)
-    return rows.select("motion_id", F.inline(F.array_compact(F.array(*found))))
+    # nulls go afterwards: functions over arrays aren't compiled, nor is what they are given
+    return rows.select("motion_id", F.explode(F.array(*found)).alias("found")).filter("found is not null").select("motion_id", "found.*")

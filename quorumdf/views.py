@@ -12,6 +12,9 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quorumdf.dealing import dealt
+from quorumdf.operators.snapshots import settled
+
 #: The explicit clock of every query over the civic tables and over the events.
 AS_OF = "2001-09-01"
 AS_OF_EVENTS = "2024-01-31"
@@ -155,14 +158,17 @@ VIEWS = {
         || CASE WHEN c_custkey % 13 = 0 THEN ' ' ELSE 'minutes parse' END || '"' || CASE WHEN c_custkey % 14 < 7 THEN ',"adversarial":"2-of-3"' ELSE '' END || CASE WHEN c_custkey % 15 < 9 THEN ',"session_date":"2001-05-01"' ELSE '' END || '}' END || '}' END AS entry FROM customer""",
 }
 
+#: Motions without their tallies, for what reads none: every other column of ``motion``, which has one row a motion as well.
+VIEWS["motion_text"] = re.sub(r",\s+CASE WHEN d\.motion_id % 37 .*? AS tally_abstain| LEFT JOIN tally t ON .*$", "", VIEWS["motion"], flags=re.DOTALL)
+
 
-def needed(sql: str) -> list[str]:
-    """Views that a text names, with those they build on, in order of definition."""
+def needed(sql: str, held: tuple | dict = ()) -> list[str]:
+    """Views that a text names, with those they build on but for those held, in order of definition."""
     found, todo = set(), [sql]
     while todo:
         text = todo.pop()
         for name in VIEWS:
-            if name not in found and re.search(rf"\b{name}\b", text):
+            if name not in found and name not in held and re.search(rf"\b{name}\b", text):
                 found.add(name)
                 todo.append(VIEWS[name])
     return [v for v in VIEWS if v in found]
@@ -188,14 +194,27 @@ class Civic:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self.as_of = AS_OF
+        self.held: dict[str, DataFrame] = {}
+
+    def deal(self, table: str, *keys: str) -> Civic:
+        """From now on the views get the table's rows dealt by key (``dealing``)."""
+        setattr(self, table, dealt(getattr(self, table), *keys))
+        return self
+
+    def settle(self, *views: str) -> Civic:
+        """Write views once; from now on they and the views that build on them read what was written."""
+        for name in views:
+            self.held[name] = settled(getattr(self, name))
+            setattr(self, name, self.held[name])
+        return self
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name in VIEWS:
-            views = needed(VIEWS[name]) + [name]
+            views = needed(VIEWS[name], self.held) + [name]
             text = " ".join(VIEWS[v] for v in views)
-            for t in TABLES:
+            for t in [*TABLES, *self.held]:
                 if re.search(rf"\b{t}\b", text):
                     getattr(self, t).createOrReplaceTempView(t)
             head = ",\n".join(f"{v} AS ({VIEWS[v]})" for v in dict.fromkeys(views))

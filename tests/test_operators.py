@@ -5,6 +5,7 @@ import random
 import pandas as pd
 from pyspark.sql import functions as F
 
+from quorumdf.operators import detectors as D
 from quorumdf.operators import documents as T
 from quorumdf.operators import ledger as L
 from quorumdf.operators import observers as O
@@ -95,3 +96,11 @@ def test_page_windows(spark):
 def test_content_hash_ignores_nul(spark):
     df = spark.createDataFrame([(1, "a\x00b"), (2, "ab")], "id int, text string")
     assert T.content_addressed(df, "id", "text")[0].count() == 1
+
+
+def test_staff_words_are_marked_as_they_are_listed(spark):
+    rows = [(1, "City CLERK Ann"), (2, None), (3, ""), (4, "Ann Lee"), (5, "chief inspector"), (6, "off icer")]
+    df = spark.createDataFrame(rows, "motion_id long, petitioner string")
+    got = df.select("motion_id", F.coalesce(D.names_staff(), F.lit(False)).alias("marked"), (F.size(D.staff_words()) > 0).alias("listed")).collect()
+    assert [r.motion_id for r in got if r.marked] == [1, 5] and all(r.marked == r.listed for r in got if rows[r.motion_id - 1][1] is not None)
+    assert {r.motion_id: r.matched for r in D.petitioner_is_staff(df).collect()} == {1: "clerk", 5: "chief,inspector"}
