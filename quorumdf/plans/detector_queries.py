@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from quorumdf.dealing import parts
 from quorumdf.operators import detectors as D
 
 from .registry import query
@@ -76,6 +77,7 @@ SELECT m.motion_id, tally_yes + tally_no + tally_abstain AS declared, coalesce(r
 FROM motion m LEFT JOIN (SELECT motion_id, count(*) AS recorded FROM vote GROUP BY motion_id) v ON m.motion_id = v.motion_id
 WHERE tally_yes + tally_no + tally_abstain > 0 AND tally_yes + tally_no + tally_abstain <> coalesce(recorded, 0)""")
 def d07(c):
+    c.deal("lineitem", "l_orderkey")  # votes are distinct and counted by motion
     return D.tally_mismatch(c.motion, c.vote)
 
 
@@ -107,7 +109,8 @@ SELECT DISTINCT motion_id, official_id FROM motion JOIN n ON
   OR starts_with(lower(petitioner), 'mayor ' || lower(canonical_name)) OR starts_with(lower(petitioner), 'councilmember ' || lower(canonical_name)) OR starts_with(lower(petitioner), 'commissioner ' || lower(canonical_name))""")
 def d11(c):
     names = c.customer.select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name"))
-    return D.official_as_petitioner(c.motion, names)
+    tasks = parts(c.orders)
+    return D.official_as_petitioner(c.deal("orders", "o_custkey").motion_text, names, tasks)
 
 
 @query("d13_generic_petitioner", f"SELECT motion_id, lower(trim(petitioner)) AS petitioner, 1 AS severity FROM motion WHERE lower(trim(petitioner)) IN ({_GENERIC}) OR length(lower(trim(petitioner))) < 3")

@@ -5,6 +5,7 @@ Those of the same name without ``_whole`` are over all rows, too, and have SQL.
 
 from pyspark.sql import functions as F
 
+from quorumdf.dealing import parts
 from quorumdf.operators import detectors as D
 from quorumdf.operators import observers as O
 from quorumdf.operators import resolution as E
@@ -50,7 +51,8 @@ def e04(c):
 
 @query("d11_official_as_petitioner_whole")
 def d11(c):
-    return D.official_as_petitioner(c.motion, c.customer.select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name")))
+    tasks = parts(c.orders)
+    return D.official_as_petitioner(c.deal("orders", "o_custkey").motion_text, c.customer.select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name")), tasks)
 
 
 @query("d12_official_as_recommender_whole")
