@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quorumdf.dealing import dealt
+
 
 def content_hash(text: Column) -> Column:
     """SHA-256 of the text without NUL characters."""
@@ -45,6 +47,7 @@ def summary_pages(docs: DataFrame, id_col: str, text: str, cues: list[str], top:
 
 def merge_segments(segments: DataFrame, keys: list[str]) -> DataFrame:
     """Per key the island of adjacent or overlapping spans that holds the largest span."""
+    segments = dealt(segments, *keys)
     w = Window.partitionBy(*keys).orderBy("start_page", "end_page")
     reach = F.max("end_page").over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = segments.withColumn("new", (reach.isNull() | (F.col("start_page") > reach + 1)).cast("int"))
