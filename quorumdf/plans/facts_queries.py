@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from quorumdf.dealing import parts
 from quorumdf.operators import detectors as D
 from quorumdf.operators import facts as R
 from quorumdf.operators import profiles as P
@@ -324,9 +325,11 @@ def c01(c):
 
 @query("e02_surname_as_of", "SELECT v.motion_id, count(DISTINCT v.official_id) AS n_active FROM vote v JOIN term t ON v.official_id = t.official_id AND t.start_date <= v.motion_date AND coalesce(t.end_date, DATE '9999-12-31') >= v.motion_date GROUP BY 1")
 def e02(c):
-    t, v = c.term.select("official_id", "start_date", "end_date"), c.vote.select("motion_id", "official_id", "motion_date")
+    n = parts(c.lineitem)
+    c.deal("lineitem", "l_orderkey")
+    t, v = c.term.select("official_id", "start_date", "end_date"), c.vote.select("motion_id", "official_id", "motion_date").repartition(n, "official_id")
     live = v.join(t, "official_id").filter((F.col("start_date") <= F.col("motion_date")) & (F.col("end_date").isNull() | (F.col("end_date") >= F.col("motion_date"))))
-    return live.groupBy("motion_id").agg(F.countDistinct("official_id").alias("n_active"))
+    return live.select("motion_id", "official_id").repartition(n, "motion_id").groupBy("motion_id").agg(F.countDistinct("official_id").alias("n_active"))
 
 
 @query("e15_staff_stubs", "SELECT lower(petitioner) AS name, count(*) AS n, min(motion_date) AS first_date, max(motion_date) AS last_date FROM motion WHERE petitioner LIKE 'City Manager %' GROUP BY 1 HAVING count(*) >= 2")
