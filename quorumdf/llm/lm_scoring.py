@@ -57,6 +57,8 @@ MIX = (0.55, 0.27, 0.12, 0.055, 0.005)
 BLOCK_CHARS = 5_000_000
 SALTS = 16
 PIECE = 48 << 20
+#: Characters hashed at a time: what is made of them stays in a core's cache.
+CACHED = 1 << 14
 BITS = 48
 _UNSPACED = r"\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}"
 _WORD = rf"(?V1)[[\p{{L}}\p{{M}}\p{{N}}_]--[{_UNSPACED}]]+"
@@ -153,36 +155,83 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     starts = np.flatnonzero((kind == 2) | (word & ~np.r_[False, word[:-1]]))
     ends = np.flatnonzero((kind == 2) | (word & ~np.r_[word[1:], False])) + 1
     # a number for each character at its place in the token: no pattern of characters cancels out
-    at = np.zeros(len(point), _U)
-    at[starts] = starts
-    np.maximum.accumulate(at, out=at)
-    np.subtract(np.arange(len(point), dtype=_U), at, out=at)
-    at *= _ODD[3]
-    at += point
-    sums = np.zeros(len(point) + 1, _U)
-    np.cumsum(_mix_own(at), dtype=_U, out=sums[1:])
+    sums, begun, total = np.zeros(len(point) + 1, _U), _U(0), _U(0)
+    cuts = np.arange(0, len(point) + CACHED, CACHED)
+    first = np.searchsorted(starts, cuts)
+    for i, lo in enumerate(cuts[:-1].tolist()):
+        here = point[lo : lo + CACHED]
+        at = np.full(len(here), begun)
+        own = starts[first[i] : first[i + 1]]
+        at[own - lo] = own
+        np.maximum.accumulate(at, out=at)
+        begun = at[-1]
+        np.subtract(np.arange(lo, lo + len(here), dtype=_U), at, out=at)
+        at *= _ODD[3]
+        at += here
+        out = sums[lo + 1 : lo + 1 + len(here)]
+        np.cumsum(_mix_own(at), dtype=_U, out=out)
+        out += total
+        total = out[-1]
     value = _mix(sums[ends] - sums[starts] + (ends - starts).astype(_U) * _ODD[2])
     owner = np.searchsorted(np.cumsum(spans), starts, "right")
     return value, np.bincount(owner, minlength=len(texts))
 
 
+def in_order(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted hashes and their places, those of equal ones rising.
+
+    Numbers alone are sorted several times faster than places by numbers, so a place
+    takes the last bits of its hash.  Where unlike hashes differ in those only, the
+    result isn't sorted, and the plain way is taken.
+    """
+    low = _U((1 << max(len(hashes) - 1, 0).bit_length()) - 1)
+    key = hashes << _DROP
+    key &= ~low
+    key |= np.arange(len(hashes), dtype=_U)
+    key.sort()
+    key &= low
+    order = key.view(np.int64)
+    s = hashes[order]
+    if (s[1:] < s[:-1]).any():
+        order = np.argsort(hashes, kind="stable")
+        s = hashes[order]
+    return s, order
+
+
 class Grams:
     """The distinct n-grams of some places, how often each is there, and how often in the text of a place."""
 
     def __init__(self, hashes: np.ndarray, text: np.ndarray, good: np.ndarray):
-        order = np.argsort(hashes, kind="stable")  # equal ones stay in the order of the texts
-        s, t = hashes[order], text[order]
-        new = np.r_[True, s[1:] != s[:-1]][: len(s)]
-        begin = np.flatnonzero(new)
+        s, self._order = in_order(hashes)  # equal ones stay in the order of the texts
+        self._text = text
+        self._new = np.ones(len(s), bool)
+        np.not_equal(s[1:], s[:-1], out=self._new[1:])
+        begin = np.flatnonzero(self._new)
         self.known = s[begin]
-        self.all = np.diff(np.r_[begin, len(s)])
-        self.good = np.add.reduceat(good[order].astype(np.int64), begin) if len(s) else self.all
-        self.at = np.empty(len(s), np.int64)
-        self.at[order] = np.cumsum(new) - 1
-        run = np.flatnonzero(new | np.r_[True, t[1:] != t[:-1]][: len(s)])
-        size = np.diff(np.r_[run, len(s)])
-        self.own = np.empty(len(s), np.int64)
-        self.own[order] = np.repeat(size, size)
+        self.all = np.diff(begin, append=len(s))
+        self.good = self.all
+        if len(s):
+            before = np.zeros(len(s) + 1, np.int64)
+            np.cumsum(good[self._order], out=before[1:])
+            self.good = np.diff(before[begin], append=before[-1])
+
+    @functools.cached_property
+    def at(self) -> np.ndarray:
+        """Of every place, which of the distinct ones it has."""
+        out = np.empty(len(self._order), np.int64)
+        out[self._order] = np.cumsum(self._new) - 1
+        return out
+
+    @functools.cached_property
+    def own(self) -> np.ndarray:
+        """Of every place, how often its text has its n-gram."""
+        t = self._text[self._order]
+        first = self._new.copy()
+        first[1:] |= t[1:] != t[:-1]
+        size = np.diff(np.flatnonzero(first), append=len(t))
+        out = np.empty(len(t), np.int64)
+        out[self._order] = np.repeat(size, size)
+        return out
 
 
 class Block:

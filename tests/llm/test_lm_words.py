@@ -4,6 +4,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 
@@ -101,3 +102,22 @@ def test_op9_tells_words_of_one_byte_class_apart(spark, tmp_path):
     spark.createDataFrame([(i, 1) for i in range(5)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     got = {r.doc_id: r.score for r in lm_scoring.op9_lm_scoring(spark, str(tmp_path)).collect()}
     assert max(got[i] for i in range(10)) < min(got[i] for i in range(10, 20))
+
+
+def test_places_of_equal_hashes_rise_whatever_their_last_bits():
+    rnd = np.random.default_rng(3)
+    many = rnd.integers(0, 1 << lm_scoring.BITS, 3000).astype(np.uint64)
+    near = (np.uint64(1 << 40) + rnd.integers(0, 8, 3000).astype(np.uint64)).astype(np.uint64)  # unlike ones differ in the bits that a place takes
+    for hashes in (many, near, np.r_[many, many], many[:1], many[:0]):
+        s, order = lm_scoring.in_order(hashes)
+        want = np.argsort(hashes, kind="stable")
+        assert (order == want).all() and (s == hashes[want]).all()
+
+
+def test_tokens_cross_the_pieces_that_are_hashed(monkeypatch):
+    texts = ["one two  three", "", "supercalifragilistic 漢字 x" * 9, "two"]
+    whole, sizes = lm_scoring.tokens(texts)
+    for piece in (1, 3, 7):
+        monkeypatch.setattr(lm_scoring, "CACHED", piece)
+        got, n = lm_scoring.tokens(texts)
+        assert (got == whole).all() and (n == sizes).all()
