@@ -5,6 +5,8 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 import regex
 
@@ -121,3 +123,45 @@ def test_tokens_cross_the_pieces_that_are_hashed(monkeypatch):
         monkeypatch.setattr(lm_scoring, "CACHED", piece)
         got, n = lm_scoring.tokens(texts)
         assert (got == whole).all() and (n == sizes).all()
+
+
+def test_a_token_is_the_same_at_every_place():
+    """Tokens are hashed by 8 bytes at a time, wherever these begin."""
+    words = [c * n + e for c in ("a", "é", "ﬁ", "𐐀") for n in (1, 2, 3, 7, 8, 9, 15, 16, 17, 33, 300) for e in ("", "b", "ж")]
+    words += ["x" * n + c + "y" * (20 - n) for n in range(21) for c in ("z", "ß")] + ["漢", "€", "😀", "\ud800", "a\u0301"]
+    words = sorted(set(words))
+    first, sizes = lm_scoring.tokens([" ".join(words)])
+    assert sizes.tolist() == [len(words)] and len(set(first.tolist())) == len(words)
+    for before in range(1, 9):
+        again, sizes = lm_scoring.tokens(["." * before, *words, ""])
+        assert sizes.tolist() == [before, *[1] * len(words), 0] and (again[before:] == first).all()
+    assert [len(a) for a in lm_scoring.tokens([])] == [0, 0]
+
+
+def test_hashes_less_than_their_bucket_keep_all_their_bits():
+    rnd = np.random.default_rng(5)
+    for buckets in (1, 2, 5, 8, 100):
+        top = (1 << lm_scoring.BITS) // buckets + 1 - (buckets & (buckets - 1) == 0)
+        hashes = np.r_[rnd.integers(0, top, 5000), [top - 1, 0, top - 1, 0]].astype(np.uint64)
+        s, order = lm_scoring.in_order(hashes, buckets)
+        want = np.argsort(hashes, kind="stable")
+        assert (order == want).all() and (s == hashes[want]).all()
+
+
+def test_a_round_orders_the_places_that_it_needs(monkeypatch):
+    """Every round put the places of all shorter n-grams in order, with their counts in both models."""
+    parts, rows, sorts = 3, {}, []
+    for b in range(parts):
+        docs = [(str(i), False, t) for i, t in made() if i % parts == b] + [("100", True, "")]
+        batch = pa.RecordBatch.from_pylist([{"block": b, "id": i, "is_mark": m, "text": t} for i, m, t in docs], pa.schema([("block", pa.int32()), ("id", pa.string()), ("is_mark", pa.bool_()), ("text", pa.string())]))
+        rows[b] = pa.Table.from_batches(lm_scoring._packed([batch])).to_pandas()
+    plain = lm_scoring.in_order
+    monkeypatch.setattr(lm_scoring, "in_order", lambda h, *a: sorts.append(len(h)) or plain(h, *a))
+    places = {b: len(lm_scoring._block(r, 1)[0].text) for b, r in rows.items()}
+    sent = pd.concat([lm_scoring._send_short(parts)((b,), r) for b, r in rows.items()])
+    assert not sorts  # counts need no places
+    answers = pd.concat([lm_scoring._add(2, parts)((k,), g) for k, g in sent.groupby("bucket")]).assign(round=1)
+    for b, r in rows.items():
+        sorts.clear()
+        lm_scoring._send_long(parts, 3)((b,), r, answers[answers.block == b])
+        assert sorts == [places[b]]  # those of bigrams
