@@ -55,7 +55,7 @@ ORDER = 4
 #: Weights of the orders 4, 3, 2, 1 and of the uniform model.
 MIX = (0.55, 0.27, 0.12, 0.055, 0.005)
 #: Code points of text in a block on average; there are as many buckets as blocks, so neither grows with the corpus.
-BLOCK_CHARS = 5_000_000
+BLOCK_CHARS = 8_000_000
 SALTS = 16
 PIECE = 48 << 20
 #: Tokens hashed at a time: what is made of them stays in a core's cache.
@@ -491,6 +491,7 @@ def _score(key: tuple, rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFram
 def _packed(batches):
     """Rows of a block as one compressed body, from as many rows as fit in PIECE bytes."""
     held, size = [], 0
+    options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=3))  # kept and read by every round
 
     def flush():
         rows = pa.Table.from_batches(held).sort_by("block")
@@ -499,7 +500,7 @@ def _packed(batches):
         bodies = []
         for a, b in zip(begin, np.r_[begin[1:], len(block)]):
             sink, part = pa.BufferOutputStream(), rows.slice(a, b - a).drop_columns(["block"])
-            with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+            with pa.ipc.new_stream(sink, part.schema, options=options) as out:
                 out.write_table(part.combine_chunks())
             bodies.append(sink.getvalue().to_pybytes())
         return pa.RecordBatch.from_arrays([pa.array(block[begin], pa.int32()), pa.array(bodies, pa.binary())], ["block", "body"])
