@@ -16,22 +16,27 @@ from quorumdf.functions.automaton import Automaton
 
 from .snapshots import settled
 
-#: Texts of a block whose grams one task multiplies with another block's: few, so that a few thousand texts already give every core some products.
+#: Texts of a block that one task compares with another block's: few, so that a few thousand texts already give every core some products.
 POSTINGS = 512
-#: Below this threshold most of a text's grams would have to be indexed, and blocks of texts are multiplied instead.
+#: From so many blocks on they grow instead, up to ``LARGEST`` texts: every block is sent to each product.
+BLOCKS = 24
+LARGEST = 8192
+#: Below this threshold most of a text's grams would have to be indexed, and blocks of texts are compared instead.
 DENSE = 0.5
 
 
-def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, key_r: str, text_r: str, threshold: float, ordered: bool = False, alike=None, within: str | None = None) -> DataFrame:
+def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, key_r: str, text_r: str, threshold: float, ordered: bool = False, alike=None, within: str | None = None, unlike: float | None = None, counted: bool = False) -> DataFrame:
     """(ka, kb, similarity) of the pairs whose trigram similarity is at least the threshold, exactly.
 
     From ``DENSE`` on pairs are found by an index of couples of grams (``_by_couples``),
-    which stand in one order, the rarest first; below it by products of blocks
-    (``_by_blocks``).
+    which stand in one order, the rarest first; below it by comparing blocks
+    (``_by_blocks``).  Where they are only ``counted``, a column ``n`` stands for ``kb``:
+    of its sum per ``ka`` and similarity each row gives a part.
 
     Rows of one key and text are one row; ``ordered`` keeps pairs of rising keys.
     ``alike`` is a function of the text's column; a column of that name tells whether
-    both texts give the same.  ``within`` is a column that both rows have to share.
+    both texts give the same, and pairs that don't have to be more than ``unlike`` similar,
+    too.  ``within`` is a column that both rows have to share.
     """
     same = left is right and (key_l, text_l) == (key_r, text_r)
     mark = (lambda t: F.coalesce(alike(t), F.lit(""))) if alike else (lambda t: F.lit(None).cast("string"))
@@ -44,8 +49,8 @@ def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, ke
     both = [grams(left, key_l, text_l)] + ([] if same else [grams(right, key_r, text_r)])
     if threshold < DENSE:
         counts = [left.count()] + ([] if same else [right.count()])
-        found = _by_blocks(*both * (2 if same else 1), *counts * (2 if same else 1), threshold, same, ordered)
-        return found.select("ka", "kb", "similarity", *(["alike"] if alike else []))
+        found = _by_blocks(*both * (2 if same else 1), *counts * (2 if same else 1), threshold, unlike or 0, same, ordered, counted)
+        return found.select("ka", "n" if counted else "kb", "similarity", *(["alike"] if alike else []))
     freq = reduce(DataFrame.unionAll, [rows.select(F.explode("grams").alias("gram")) for rows in both]).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
     rank = freq.select("gram", F.row_number().over(Window.orderBy("n", "gram")).alias("r"))  # three of 36 letters and digits or blanks: 51 thousand rows at most
 
@@ -55,7 +60,9 @@ def similar_pairs(left: DataFrame, right: DataFrame, key_l: str, text_l: str, ke
 
     sets = [ranked(rows) for rows in both] * (2 if same else 1)
     found = _by_couples(*sets, threshold, same, ordered)
-    return found.select("ka", "kb", "similarity", *(["alike"] if alike else []))
+    found = found.filter(F.col("alike") | (F.col("similarity") > unlike)) if unlike else found
+    found = found.withColumn("n", F.lit(1).cast("long")) if counted else found
+    return found.select("ka", "n" if counted else "kb", "similarity", *(["alike"] if alike else []))
 
 
 def _by_couples(a: DataFrame, b: DataFrame, threshold: float, same: bool, ordered: bool) -> DataFrame:
@@ -100,18 +107,22 @@ def _by_couples(a: DataFrame, b: DataFrame, threshold: float, same: bool, ordere
     return both.filter(first).select("ka", "kb", sim.alias("similarity"), (F.col("ma") == F.col("mb")).alias("alike")).filter(F.col("similarity") >= threshold)
 
 
-def _by_blocks(a: DataFrame, b: DataFrame, most_a: int, most_b: int, threshold: float, same: bool, ordered: bool) -> DataFrame:
-    """Pairs by products of blocks of texts by grams, every block with every other one once; a task holds two blocks and a strip of their product.
+def _by_blocks(a: DataFrame, b: DataFrame, most_a: int, most_b: int, threshold: float, unlike: float, same: bool, ordered: bool, counted: bool) -> DataFrame:
+    """Pairs by the numbers of grams that blocks of texts share, every block with every other one once.
 
-    ``most_a`` and ``most_b`` are numbers of rows that the sides have at most.  Grams are
-    numbered by their three letters alone, so no table of all grams is made.
+    Python gives one row per text of the left, similarity and block, with the list of the
+    keys that are so similar, or their number ``n`` where they are only ``counted``; Spark
+    makes them rows.  ``most_a`` and ``most_b`` are numbers of rows that the sides have at
+    most.  Grams are numbered by their three letters alone, so no table of all grams is made.
     """
     half = same and ordered
     letter = lambda gram, i: F.ascii(F.substring(gram, i, 1))  # noqa: E731  a to z, digits and blanks
 
     def blocks(rows, most, side):
         n = max(1, -(-most // POSTINGS))
+        n = n if n <= BLOCKS else max(BLOCKS, -(-most // LARGEST))
         numbers = F.transform("grams", lambda g: (letter(g, 1) * 128 + letter(g, 2)) * 128 + letter(g, 3))
+        rows = rows.filter("k IS NOT NULL") if ordered else rows
         rows = rows.select("k", "w", "m", numbers.alias("g"), F.pmod(F.xxhash64("k", "t"), F.lit(n)).alias("block"))
         return n, rows.groupBy(F.col("block").alias(f"b{side}")).agg(F.collect_list(F.struct(*"kwmg")).alias("rows")).select(f"b{side}", *[F.col(f"rows.{c}").alias(f"{c}{side}") for c in "kwmg"])
 
@@ -121,51 +132,135 @@ def _by_blocks(a: DataFrame, b: DataFrame, most_a: int, most_b: int, threshold:
     places = places.filter("ba <= bb") if half else places
     n = n_a * (n_a + 1) // 2 if half else n_a * n_b
     pairs = places.join(left, "ba").join(right, "bb").repartition(min(n, 2000))  # in turn: each product takes as long as another
-    kind = [f.dataType for f in a.schema.fields + b.schema.fields if f.name == "k"]
-    schema = f"ka {kind[0].simpleString()}, kb {kind[1].simpleString()}, similarity double, alike boolean"
-
-    def strips(rows):
-        for k in range(rows.num_rows):
-            get = lambda c: rows.column(c)[k].values  # noqa: B023, E731
-            keys, groups, marks = ((get(f"{c}a"), get(f"{c}b")) for c in "kwm")
-            grams = [get("ga"), get("gb")]
-            flat = [g.flatten().to_numpy() for g in grams]
-            size = [np.diff(g.offsets.to_numpy()) for g in grams]
-            known = np.intersect1d(*flat)
-            dense = []
-            for f, s in zip(flat, size):
-                m = np.zeros((len(s), len(known) + 1), np.float32)
-                at = np.minimum(np.searchsorted(known, f), max(len(known) - 1, 0))
-                hit = known[at] == f if len(known) else np.zeros(len(f), bool)
-                m[np.repeat(np.arange(len(s)), s)[hit], at[hit]] = 1
-                dense.append(m)
-            code = lambda two: np.split(pa.concat_arrays(two).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False), [len(two[0])])
-            (wa, wb), (ma, mb) = code(groups), code(marks)
-            order = np.split(pc.rank(pa.concat_arrays(keys), tiebreaker="dense").to_numpy().astype(np.int64), [len(keys[0])]) if ordered else None
-            twice = half and rows.column("ba")[k].as_py() != rows.column("bb")[k].as_py()
-            step = max(1, (1 << 20) // max(len(size[1]), 1))
-            for lo in range(0, len(size[0]), step):
-                shared = dense[0][lo : lo + step] @ dense[1].T
-                ratio = shared.astype(np.float64) / (size[0][lo : lo + step, None] + size[1] - shared)
-                ratio = np.floor(ratio * 1e6 + (0.5 + 1e-7)) / 1e6  # halves are rounded up
-                i, j = np.nonzero(ratio >= threshold)
-                value, i = ratio[i, j], i + lo
-                keep = wa[i] == wb[j]
-                if ordered:
-                    keep &= (order[0][i] != order[1][j]) if twice else (order[0][i] < order[1][j])
-                if not keep.all():
-                    i, j, value = i[keep], j[keep], value[keep]
-                x, y = keys[0].take(pa.array(i)), keys[1].take(pa.array(j))
-                if twice:
-                    rising = pa.array(order[0][i] < order[1][j])
-                    x, y = pc.if_else(rising, x, y), pc.if_else(rising, y, x)
-                yield pa.record_batch([x, y, pa.array(value), pa.array(ma[i] == mb[j])], ["ka", "kb", "similarity", "alike"])
-
-    def multiply(batches):
+    kind = [f.dataType.simpleString() for f in a.schema.fields + b.schema.fields if f.name == "k"]
+    schema = f"ka {kind[0]}, similarity double, alike boolean, " + ("n long" if counted else f"kb array<{kind[1]}>")
+
+    def products(batches):
         for rows in batches:
-            yield from strips(rows)
+            for r in range(rows.num_rows):
+                sides = [[rows.column(c + side)[r].values for c in "kwmg"] for side in "ab"]
+                (wa, wb), (ma, mb) = (_codes(sides[0][c], sides[1][c]) for c in (1, 2))
+                ranks = _codes(sides[0][0], sides[1][0], ranked=True) if ordered else [np.zeros(len(w), np.int64) for w in (wa, wb)]
+                one, two = ([k, w, m, x, g] for (k, _, _, g), w, m, x in zip(sides, (wa, wb), (ma, mb), ranks))
+                twice = half and rows.column("ba")[r].as_py() != rows.column("bb")[r].as_py()
+                for x, y in [(one, two), (two, one)][: 1 + twice]:
+                    yield from _product(x, y, threshold, unlike, ordered, counted)
+
+    found = pairs.mapInArrow(products, schema)
+    return found if counted else found.select("ka", F.explode("kb").alias("kb"), "similarity", "alike")
+
+
+def _codes(a: pa.Array, b: pa.Array, ranked: bool = False) -> list[np.ndarray]:
+    """Numbers of the values of both arrays, equal for equal values; nulls are -1, or in order of the values where they are ``ranked``."""
+    both = pa.concat_arrays([a, b])
+    numbers = pc.rank(both, tiebreaker="dense") if ranked else both.dictionary_encode().indices.fill_null(-1)
+    return np.split(numbers.to_numpy(zero_copy_only=False).astype(np.int64), [len(a)])
 
-    return pairs.mapInArrow(multiply, schema)
+
+def _product(one: list, two: list, threshold: float, unlike: float, ordered: bool, counted: bool):
+    """Batches of ``_by_blocks`` for two blocks: each of the one's texts with all of the other's, or with those of greater rank where they are ``ordered``.
+
+    A block is its keys, groups, marks, ranks and lists of grams.  Of the other block texts with equally many
+    grams are taken at once, so a text's similarity to them is a number of shared grams.  A strip of texts adds up
+    the rows that its grams have in a table of grams by those texts; what all of the strip have is added once.
+    """
+    for group in np.intersect1d(one[1], two[1]):
+        (kx, sx, fx, mx, rx), (ky, sy, fy, my, ry) = (_texts(block, group) for block in (one, two))
+        known = np.intersect1d(fx, fy)
+        (px, ax), (py, ay) = (_places(known, f, s) for f, s in ((fx, sx), (fy, sy)))
+        both = np.intersect1d(mx, my)
+        same = len(both) == 1 and bool((mx == both).all() and (my == both).all())
+        in_x, in_y = np.isin(mx, both), np.isin(my, both)
+        most = int(sx.max())
+        wide = max(64, min(2048, (1 << 26) // (len(known) + 1)))
+        for size in np.unique(sy):
+            of_size = np.flatnonzero(sy == size)
+            ratio = np.arange(most + 1) / (np.arange(most + 1)[:, None] + size - np.minimum(np.arange(most + 1), size)).clip(1)
+            ratio = np.floor(ratio * 1e6 + (0.5 + 1e-7)) / 1e6  # by the text's grams and those shared; halves are rounded up
+            least_alike, least_other = (np.where(r.any(axis=1), r.argmax(axis=1), most + 1) for r in (ratio >= threshold, (ratio >= threshold) & (ratio > unlike)))
+            for columns in np.split(of_size, range(wide, len(of_size), wide)):
+                w = len(columns)
+                at = np.full(len(sy), -1)
+                at[columns] = np.arange(w)
+                at = at[ay]
+                table = np.zeros((len(known), w), np.uint8)
+                table[py[at >= 0], at[at >= 0]] = 1
+                keys, mark, rank, some_y = ky.take(pa.array(columns)), my[columns], ry[columns], np.flatnonzero(in_y[columns])
+                tall = max(1, (1 << 18) // w)
+                for lo in range(0, len(sx), tall):
+                    n = min(tall, len(sx) - lo)
+                    after = np.searchsorted(rank, rx[lo : lo + n], "right") if ordered else np.zeros(n, np.int64)
+                    if after.min() == w:
+                        continue
+                    shared, turn = _shared(px, ax, lo, n, table, most)
+                    rows = lo + turn
+                    least = (least_alike if same else least_other)[sx[rows], None]
+                    hit = shared >= least.astype(shared.dtype)
+                    if ordered:
+                        after = after[turn]
+                        hit[:, : after.max()] &= np.arange(after.max()) >= after[:, None]
+                    some_x = np.flatnonzero(in_x[rows])
+                    if not same and len(some_x) and len(some_y):
+                        i, j = np.nonzero(mx[rows[some_x], None] == mark[some_y])
+                        i, j = some_x[i], some_y[j]
+                        hit[i, j] = False
+                        keep = (shared[i, j] >= least_alike[sx[rows[i]]]) & (j >= after[i] if ordered else True)
+                        yield from _lists(i[keep], j[keep], shared[i[keep], j[keep]], True, rows, sx, kx, keys, ratio, counted)
+                    at = np.flatnonzero(hit)
+                    i = at // w
+                    yield from _lists(i, at - i * w, shared.ravel()[at], same, rows, sx, kx, keys, ratio, counted)
+
+
+def _lists(i: np.ndarray, j: np.ndarray, shared: np.ndarray, alike: bool, rows: np.ndarray, sx: np.ndarray, kx: pa.Array, keys: pa.Array, ratio: np.ndarray, counted: bool):
+    """A batch of pairs (i, j) of a strip, in order of i: per text and number of shared grams the similarity and the others' keys, or how many there are."""
+    if not len(i):
+        return
+    n = len(rows)
+    number = np.bincount(shared * np.int64(n) + i)
+    found = np.flatnonzero(number)
+    number, which, value = number[found], rows[found % n], found // n
+    if counted:
+        last = pa.array(number)
+    else:
+        to = j[np.argsort(shared, kind="stable")]
+        last = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(number)), pa.int32()), keys.take(pa.array(to)))
+    yield pa.record_batch([kx.take(pa.array(which)), pa.array(ratio[sx[which], value]), pa.array(np.full(len(found), alike)), last], ["ka", "similarity", "alike", "n" if counted else "kb"])
+
+
+def _shared(places: np.ndarray, texts: np.ndarray, lo: int, n: int, table: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of grams that ``n`` texts from ``lo`` on share with those of the table, and the order in which the texts stand there."""
+    at = slice(*np.searchsorted(texts, [lo, lo + n]))
+    p, row = places[at], texts[at] - lo
+    common = np.bincount(p, minlength=len(table)) == n
+    p, row = p[~common[p]], row[~common[p]]
+    own = np.bincount(row, minlength=n)
+    turn = np.argsort(-own, kind="stable")  # texts with more grams of their own come first
+    place = np.empty(n, np.int64)
+    place[turn] = np.arange(n)
+    grams = np.zeros((own.max(), n), np.int64)
+    grams[np.arange(len(p)) - (np.cumsum(own) - own)[row], place[row]] = p
+    shared = np.empty((n, table.shape[1]), np.min_scalar_type(most + 1))
+    shared[:] = table[common].sum(axis=0, dtype=shared.dtype)
+    for j, g in enumerate(grams):
+        some = g[: np.count_nonzero(own > j)]
+        shared[: len(some)] += table.take(some, axis=0)
+    return shared, turn
+
+
+def _texts(block: list, group: int) -> tuple:
+    """Keys, numbers of grams, all grams, marks and ranks of a block's texts of one group, in order of their ranks."""
+    keys, groups, marks, ranks, grams = block
+    at = np.flatnonzero(groups == group)
+    at = at[np.argsort(ranks[at], kind="stable")]
+    grams = grams.take(pa.array(at))
+    return keys.take(pa.array(at)), np.diff(grams.offsets.to_numpy()).astype(np.int64), grams.flatten().to_numpy(), marks[at], ranks[at]
+
+
+def _places(known: np.ndarray, grams: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of all texts' grams that are known: their places among these, and the numbers of their texts."""
+    at = np.searchsorted(known, grams)
+    hit = np.append(known, -1)[at] == grams
+    return at[hit], np.repeat(np.arange(len(size)), size)[hit]
 
 
 #: Names of so many letters in all are sought by automata that every task builds; more of them by their first grams.

@@ -36,7 +36,7 @@ SELECT ka, kb, similarity, CASE WHEN similarity > 0.7 THEN 3 WHEN similarity > 0
 WHERE similarity > 0.5 OR (similarity > 0.4 AND lower(split_part(x.name, ' ', 1)) = lower(split_part(y.name, ' ', 1)))""")
 def d14(c):
     first = lambda t: F.lower(F.substring_index(t, " ", 1))
-    pairs = E.similar_pairs(c.official, c.official, "official_id", "canonical_name", "official_id", "canonical_name", 0.4, ordered=True, alike=first)
+    pairs = E.similar_pairs(c.official, c.official, "official_id", "canonical_name", "official_id", "canonical_name", 0.4, ordered=True, alike=first, unlike=0.5)
     pairs = pairs.filter((F.col("similarity") > 0.5) | ((F.col("similarity") > 0.4) & F.col("alike")))
     return pairs.select("ka", "kb", "similarity", F.when(F.col("similarity") > 0.7, 3).when(F.col("similarity") > 0.5, 2).otherwise(1).alias("severity"))
 
