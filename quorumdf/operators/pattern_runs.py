@@ -4,6 +4,9 @@ Each pattern's findings are a table of their own in ``Snapshots``.  A run stages
 every pattern finds, also where that is nothing, and publishes all of it in one
 version: readers see the findings of one run, never of two halves.  A pattern that
 fails leaves its former findings as they are, and the others run on.
+
+Findings with the same subject and severity may be staged as one row with their number
+(``times``); readers get each of them.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quorumdf.dealing import ROWS
+
 from . import detectors as D
 from .resolution import similar_pairs
 from .snapshots import Snapshots
@@ -20,21 +25,23 @@ from .snapshots import Snapshots
 SUBJECTS = ["motion_id", "official_id", "body_id", "meeting_id"]
 FINDING = "pattern_id string, severity int, " + ", ".join(f"{s} long" for s in SUBJECTS)
 _FOLDER = "finding-"
+#: Findings that one row is made into at once.
+PIECE = 4096
 
 
 def as_findings(rows: DataFrame, pattern_id: str, severity: int | None = None) -> DataFrame:
-    """Findings of a pattern from rows with any of the subjects, and with a severity unless one is given."""
-    columns = [(F.col(s) if s in rows.columns else F.lit(None)).cast("long").alias(s) for s in SUBJECTS]
+    """Findings of a pattern from rows with any of the subjects, and with a severity unless one is given; a row may stand for several, ``times``."""
+    columns = [(F.col(s) if s in rows.columns else F.lit(None)).cast("long").alias(s) for s in SUBJECTS + ["times"] * ("times" in rows.columns)]
     level = F.col("severity") if severity is None else F.lit(severity)
     return rows.select(F.lit(pattern_id).alias("pattern_id"), level.cast("int").alias("severity"), *columns)
 
 
 def name_typos(official: DataFrame) -> DataFrame:
-    """Officials whose names are nearly another's: the pair's first as the subject."""
+    """Officials whose names are nearly another's, the pair's first as the subject, and how many pairs those are per severity."""
     first = lambda t: F.lower(F.substring_index(t, " ", 1))
-    pairs = similar_pairs(official, official, "official_id", "canonical_name", "official_id", "canonical_name", 0.4, ordered=True, alike=first)
-    pairs = pairs.filter((F.col("similarity") > 0.5) | F.col("alike"))
-    return pairs.select(F.col("ka").alias("official_id"), F.when(F.col("similarity") > 0.7, 3).when(F.col("similarity") > 0.5, 2).otherwise(1).alias("severity"))
+    pairs = similar_pairs(official, official, "official_id", "canonical_name", "official_id", "canonical_name", 0.4, ordered=True, alike=first, unlike=0.5, counted=True)
+    level = F.when(F.col("similarity") > 0.7, 3).when(F.col("similarity") > 0.5, 2).otherwise(1)
+    return pairs.groupBy(F.col("ka").alias("official_id"), level.alias("severity")).agg(F.sum("n").alias("times"))
 
 
 #: Pattern -> function(civic) -> its findings.
@@ -88,4 +95,13 @@ def findings(snapshots: Snapshots) -> DataFrame:
     folders = [f for name, found in snapshots.latest()[1].items() if name.startswith(_FOLDER) for f in found]
     if not folders:
         return snapshots.spark.createDataFrame([], FINDING)
-    return snapshots.spark.read.schema(FINDING).parquet(*folders)
+    rows = snapshots.spark.read.schema(f"{FINDING}, times long").parquet(*folders)
+    return rows.filter("times IS NULL").drop("times").unionAll(_each(rows.filter("times > 0")))
+
+
+def _each(rows: DataFrame) -> DataFrame:
+    """Every row ``times`` times, in pieces dealt over tasks by the number of all."""
+    n = rows.agg(F.sum("times").alias("n")).first().n or 0
+    tasks = min(2000, max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // ROWS))
+    pieces = rows.withColumn("done", F.explode(F.sequence(F.lit(0).cast("long"), F.col("times") - 1, F.lit(PIECE).cast("long")))).repartition(tasks)
+    return pieces.withColumn("i", F.explode(F.sequence(F.lit(1).cast("long"), F.least(F.lit(PIECE), F.col("times") - F.col("done"))))).drop("times", "done", "i")
