@@ -49,10 +49,15 @@ def e04(c):
     return cand.join(shown, "name").select(F.col("c_name").alias("name"), "official_id", "similarity", "rn")
 
 
+def d11(c, motion=None, tasks=1):
+    names = c.customer.select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name"))
+    return D.official_as_petitioner(c.motion if motion is None else motion, names, tasks)
+
+
 @query("d11_official_as_petitioner_whole")
-def d11(c):
+def d11_dealt(c):
     tasks = parts(c.orders)
-    return D.official_as_petitioner(c.deal("orders", "o_custkey").motion_text, c.customer.select(F.col("c_custkey").alias("official_id"), F.col("c_name").alias("canonical_name")), tasks)
+    return d11(c, c.deal("orders", "o_custkey").motion_text, tasks)
 
 
 @query("d12_official_as_recommender_whole")
